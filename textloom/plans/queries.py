@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import training  # noqa: F401
+from . import text_plans, training  # noqa: F401
 from .registry import REGISTRY
 
 
