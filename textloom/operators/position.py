@@ -5,8 +5,10 @@ Instead the rows are range-partitioned on the order keys, numbered inside each
 partition, and shifted by the number of rows in all earlier partitions. The
 per-partition count table has one row per partition (its size is bounded by
 the partition count, not by the data), so broadcasting it is safe.
-The range exchange is computed once: both the count branch and the numbering
-branch read the same exchange (Spark reuses it inside one plan).
+The numbered rows are written once as a table in the shared checkpoint folder
+and both the count branch and the numbering branch read that table: a range
+exchange evaluated twice could sample different boundaries, and Catalyst's
+column pruning keeps the two branches from sharing one exchange.
 
 With ``group_cols`` positions restart in every group (line numbers per file).
 A hot group is still split across many range partitions, so one group holding
@@ -20,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _RN_BITS = 33  # monotonically_increasing_id = partition index << 33 | row in partition
 _RN_MASK = (1 << _RN_BITS) - 1
 
@@ -53,6 +57,9 @@ def global_position(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_mid", F.monotonically_increasing_id())
+    )
+    tagged = (
+        materialize(tagged, "positions")
         .withColumn("_pid", F.shiftrightunsigned(F.col("_mid"), _RN_BITS))
         .withColumn("_rn", F.col("_mid").bitwiseAND(F.lit(_RN_MASK)))
         .drop("_mid")

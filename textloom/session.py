@@ -56,3 +56,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one written table."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used where two branches of a plan must see exactly the same rows (e.g. the
+    same partition numbering). It also cuts lineage, and a lost executor
+    cannot change what was written.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
