@@ -95,7 +95,7 @@ def pack_blocks(
     )
     first_blk = F.floor(F.col("_start") / S)
     last_blk = F.floor((F.least(F.col("_start") + F.col("_len"), F.col("_kept")) - 1) / S)
-    pieces = base.withColumn("blk", F.explode(F.sequence(first_blk, last_blk)).cast("bigint"))
+    pieces = base.withColumn("blk", F.explode(F.sequence(first_blk.cast("bigint"), last_blk.cast("bigint"))))
     lo = F.greatest(F.col("blk") * S, F.col("_start"))
     hi = F.least((F.col("blk") + 1) * S, F.col("_start") + F.col("_len"), F.col("_kept"))
     sel = [F.slice(F.col(c), (lo - F.col("_start") + 1).cast("int"), (hi - lo).cast("int")).alias(c) for c in cols]
@@ -103,7 +103,7 @@ def pack_blocks(
     agg = pieces.groupBy("grp", "blk").agg(
         *[
             F.flatten(
-                F.transform(F.sort_array(F.collect_list(F.struct("_i", c))), lambda z, c=c: z[c])
+                F.transform(F.sort_array(F.collect_list(F.struct("_i", c))), _field(c))
             ).alias(c)
             for c in cols
         ]
@@ -111,6 +111,10 @@ def pack_blocks(
     return agg.withColumn("labels", F.col(ids_col))
 
 
+def _field(name: str):
+    return lambda z: z[name]
+
+
 def block_lengths(blocks: DataFrame, ids_col: str = "input_ids") -> DataFrame:
     """Q8: the length of every packed block."""
     return blocks.select("grp", "blk", F.size(ids_col).cast("bigint").alias("block_len"))

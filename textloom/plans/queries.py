@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import order_plans, text_plans, training  # noqa: F401
+from . import order_plans, sequence_plans, text_plans, training  # noqa: F401
 from .registry import REGISTRY
 
 
