@@ -153,24 +153,43 @@ class _Floor(dict):
         return super().get(k, self.floor)
 
 
+def _pair_histogram(words: DataFrame) -> DataFrame:
+    """Weighted count of every adjacent symbol pair, keyed ``left << 32 | right``."""
+    pairs = words.select(
+        F.expr(
+            f"explode(zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), "
+            f"(a, b) -> CAST(a AS BIGINT) * {_SHIFT} + b))"
+        ).alias("k"),
+        "n",
+    )
+    return pairs.groupBy("k").agg(F.sum("n").alias("c"))
+
+
 def _rewrite(words: DataFrame, table: dict[int, int]) -> DataFrame:
     """Apply a batch of merges to every word, left to right (one pass suffices:
     batch pairs share no symbols, so a merged symbol never merges again)."""
     keys = list(table.keys())
-    m = F.map_from_arrays(
-        F.array(*[F.lit(k).cast("bigint") for k in keys]),
-        F.array(*[F.lit(table[k]).cast("int") for k in keys]),
-    )
-
-    def step(acc, x):
-        last = F.try_element_at(acc, F.lit(-1))
-        key = last.cast("bigint") * F.lit(_SHIFT) + x.cast("bigint")
-        merged = F.try_element_at(m, key)
-        return F.when(merged.isNotNull(), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(merged))).otherwise(
-            F.concat(acc, F.array(x))
+    m = f"map_from_arrays(array({', '.join(f'{k}L' for k in keys)}), array({', '.join(str(table[k]) for k in keys)}))"
+    if all(k // _SHIFT != k % _SHIFT for k in keys):
+        # No (a, a) pair: batch pairs share no symbol, so two hits never overlap
+        # and every hit merges. Element-wise: a hit at i emits the merged id and
+        # the element after a hit is dropped.
+        def at(i: str) -> str:
+            return f"try_element_at({m}, CAST(try_element_at(w, {i} + 1) AS BIGINT) * {_SHIFT} + try_element_at(w, {i} + 2))"
+
+        expr = (
+            f"filter(transform(w, (x, i) -> CASE WHEN {at('i')} IS NOT NULL THEN {at('i')} "
+            f"WHEN i > 0 AND {at('i - 1')} IS NOT NULL THEN NULL ELSE x END), x -> x IS NOT NULL)"
         )
-
-    out = words.select(F.aggregate("w", F.array().cast("array<int>"), step).alias("w"), "n")
+    else:
+        # a run of a's merges pairwise from the left: fold with the previous symbol
+        expr = (
+            f"aggregate(w, CAST(array() AS ARRAY<INT>), (acc, x) -> "
+            f"CASE WHEN try_element_at({m}, CAST(try_element_at(acc, -1) AS BIGINT) * {_SHIFT} + x) IS NOT NULL "
+            f"THEN concat(slice(acc, 1, size(acc) - 1), array(try_element_at({m}, CAST(try_element_at(acc, -1) AS BIGINT) * {_SHIFT} + x))) "
+            f"ELSE concat(acc, array(x)) END)"
+        )
+    out = words.select(F.expr(expr).alias("w"), "n")
     return out.where(F.size("w") > 1)  # a single symbol has no pairs left to merge
 
 
@@ -200,8 +219,11 @@ def learn_bpe(
     m = F.map_from_arrays(
         F.array(*[F.lit(b) for b in alphabet]), F.array(*[F.lit(byte_id[b]) for b in alphabet])
     )
+    parts = max(spark.sparkContext.defaultParallelism, 1)
     words = materialize(
-        words.select(F.transform("w", lambda b: F.element_at(m, b)).alias("w"), "n").where(F.size("w") > 1),
+        words.select(F.transform("w", lambda b: F.element_at(m, b)).alias("w"), "n")
+        .where(F.size("w") > 1)
+        .repartition(parts, "w"),
         "bpe-words",
     )
     model = BpeModel(vocab, [], list(specials))
@@ -210,17 +232,7 @@ def learn_bpe(
     rounds = 0
     while len(model.vocab) < vocab_size:
         rounds += 1
-        pairs = words.select(
-            F.explode(
-                F.zip_with(
-                    F.slice("w", 1, F.size("w") - 1),
-                    F.slice("w", 2, F.size("w") - 1),
-                    lambda a, b: a.cast("bigint") * F.lit(_SHIFT) + b.cast("bigint"),
-                )
-            ).alias("k"),
-            "n",
-        )
-        hist = pairs.groupBy("k").agg(F.sum("n").alias("c"))
+        hist = _pair_histogram(words)
         top_rows = hist.orderBy(F.col("c").desc(), F.col("k").asc()).limit(top_k).collect()
         for old in cached[:-1]:  # the newest word table is now computed and cached
             old.unpersist()
