@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_plans, metrics_plans, order_plans, select_plans, sequence_plans, source_plans, text_plans, training  # noqa: F401
+from . import bpe_plans, metrics_plans, order_plans, select_plans, sequence_plans, source_plans, stream_plans, text_plans, training  # noqa: F401
 from .registry import REGISTRY
 
 
