@@ -18,12 +18,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _java_class(chars: str) -> str:
-    return "".join(f"\\x{{{ord(ch):X}}}" for ch in chars)
-
-
-STRIP_CLASS = "[" + _java_class(STRIP_CHARS) + "]"
-STRIP_PATTERN = f"^{STRIP_CLASS}+|{STRIP_CLASS}+$"
 CJK_CLASS = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in CJK_RANGES) + "]"
 
 
@@ -39,10 +33,12 @@ def length_gate(c, lo: int = MIN_DOC_CHARS, hi: int = MAX_DOC_CHARS) -> Column:
 
 
 def strip(c) -> Column:
-    """Python ``str.strip()`` - the 29 whitespace code points on both ends."""
-    # \z-free form: `$` may also match before a final line break, but the class
-    # contains the line breaks, so the greedy run reaches the true end anyway.
-    return F.regexp_replace(_col(c), STRIP_PATTERN, "")
+    """Python ``str.strip()`` - the 29 whitespace code points removed from both ends.
+
+    ``trim(str, chars)`` compares whole code points and touches only the ends
+    (a regex would scan the whole text).
+    """
+    return F.trim(_col(c), F.lit(STRIP_CHARS))
 
 
 def keep_long_segments(segs, min_len: int = 2) -> Column:
@@ -114,9 +110,10 @@ def codepoints(c) -> Column:
     """Code points of a string as ``array<bigint>`` (empty string -> empty array).
 
     Used as a tokenizer-free id encoding so order/shape operators can be
-    checked against an SQL oracle.
+    checked against an SQL oracle. The input is referenced once, so an
+    expensive input expression is not evaluated twice.
     """
-    t = _col(c)
-    return F.when(
-        F.length(t) == 0, F.array().cast("array<bigint>")
-    ).otherwise(F.transform(F.split(t, ""), lambda ch: F.ascii(ch).cast("bigint")))
+    parts = F.split(_col(c), "")  # '' splits into [''], every other element is one character
+    return F.array_compact(
+        F.transform(parts, lambda ch: F.when(ch == "", F.lit(None)).otherwise(F.ascii(ch)).cast("bigint"))
+    )

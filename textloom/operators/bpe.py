@@ -6,7 +6,8 @@ shuffle aggregate, takes the top candidates, and accepts the longest prefix of
 them that merging one at a time would also pick in that order (see
 ``_accept_batch``). The accepted merges rewrite the words with a higher-order
 ``aggregate``; the word table is written to the shared checkpoint folder every
-round, which cuts lineage and survives lost executors.
+round, which cuts lineage, keeps plans from composing across rounds, and
+survives lost executors.
 
 The model (vocabulary and ordered merges) is bounded by ``vocab_size`` and is
 the only state held on the driver.
@@ -201,7 +202,6 @@ def learn_bpe(
     specials=SPECIAL_TOKENS,
     max_batch: int = 1024,
     top_k: int = 4096,
-    checkpoint_every: int = 8,
 ) -> BpeModel:
     """Learn byte-level BPE merges until ``vocab_size`` or no pair remains.
 
@@ -227,16 +227,11 @@ def learn_bpe(
         "bpe-words",
     )
     model = BpeModel(vocab, [], list(specials))
-    words.persist()
-    cached = [words]
     rounds = 0
     while len(model.vocab) < vocab_size:
         rounds += 1
         hist = _pair_histogram(words)
         top_rows = hist.orderBy(F.col("c").desc(), F.col("k").asc()).limit(top_k).collect()
-        for old in cached[:-1]:  # the newest word table is now computed and cached
-            old.unpersist()
-        cached = cached[-1:]
         if not top_rows:
             break
         top = [(r.k // _SHIFT, r.k % _SHIFT, r.c) for r in top_rows]
@@ -258,13 +253,10 @@ def learn_bpe(
                 # the merged string already had an id: pairs with that id may gain
                 # count, so the rest of this batch is re-examined next round
                 break
-        words = _rewrite(words, table)
-        if rounds % checkpoint_every == 0:
-            words = materialize(words, "bpe-words")  # cut lineage, durable
-        words.persist()
-        cached.append(words)
-    for w in cached:
-        w.unpersist()
+        # Written every round: the rewrite references each word several times, so
+        # letting the optimizer compose rounds would grow expressions exponentially.
+        # The written table also cuts lineage and survives lost executors.
+        words = materialize(_rewrite(words, table), "bpe-words")
     return model
 
 
@@ -375,3 +367,24 @@ def decode_documents(df: DataFrame, model: BpeModel, key_col: str, ids_col: str
     )
     out = agg.select(key_col, F.decode(F.unhex("_hex"), "UTF-8").alias("text"))
     return df.select(key_col).join(out, key_col, "left").select(key_col, F.coalesce("text", F.lit("")).alias("text"))
+
+
+def encode_gated(
+    df: DataFrame, model: BpeModel, key_col: str, text_col: str = "text", *, keep_rejected: bool = False
+) -> DataFrame:
+    """Length gate on the raw text, strip, encode, append the end id; ``(key, ids, n_tokens)``.
+
+    Rejected documents are dropped, or kept with null ids and 0 tokens when ``keep_rejected``.
+    """
+    from ..constants import EOD_ID
+    from ..functions import text as TX
+
+    ok = df.where(TX.length_gate(text_col)).select(key_col, TX.strip(text_col).alias(text_col))
+    enc = encode_documents(ok, model, key_col, text_col)
+    enc = enc.select(key_col, F.concat("ids", F.array(F.lit(EOD_ID).cast("bigint"))).alias("ids"))
+    enc = enc.withColumn("n_tokens", F.size("ids").cast("bigint"))
+    if not keep_rejected:
+        return enc
+    return df.select(key_col).join(enc, key_col, "left").select(
+        key_col, "ids", F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens")
+    )

@@ -57,3 +57,28 @@ def ids_join_long_segments(segs, encode, min_len: int = 2, sep_id: int = EOD_ID,
     if trailing:
         return F.when(F.size(kept) == 0, sep).otherwise(flat)
     return F.when(F.size(kept) == 0, F.array().cast("array<bigint>")).otherwise(F.slice(flat, 1, F.size(flat) - 1))
+
+
+def tokenizer_corpus(frames, text_col: str = "text", mode: str = "union") -> DataFrame:
+    """The corpus a vocabulary is learned from.
+
+    ``union`` (the intent): all corpora together. ``last``: only the last one,
+    which is what three successive from-scratch training calls amount to.
+    """
+    if mode not in ("union", "last"):
+        raise ValueError("mode must be 'union' or 'last'")
+    frames = list(frames)
+    if mode == "last":
+        return frames[-1].select(text_col)
+    out = frames[0].select(text_col)
+    for f in frames[1:]:
+        out = out.unionByName(f.select(text_col))
+    return out
+
+
+def strict_segments(df: DataFrame, segs_col: str) -> DataFrame:
+    """Z9 strict mode: fail the job on a null segment instead of skipping it like ``array_join``."""
+    return df.withColumn(
+        segs_col,
+        F.when(T.has_null_segment(segs_col), F.raise_error(F.lit("null segment"))).otherwise(F.col(segs_col)),
+    )

@@ -36,11 +36,11 @@ def pretoken_histogram(spark, sf_dir):
     return h.where(P.has_visible_char("piece"))
 
 
-def trained_model(spark, sf_dir, vocab_size: int = BPE_VOCAB) -> B.BpeModel:
+def trained_model(spark, sf_dir, vocab_size: int = BPE_VOCAB, *, recache: bool = False) -> B.BpeModel:
     """S9 + S11: load the model for this corpus from the shared folder, or learn and save it."""
     key = hashlib.sha1(f"{sf_dir}|{vocab_size}".encode()).hexdigest()[:12]
     path = f"{checkpoint_dir(spark)}/bpe-model-{key}"
-    if _exists(spark, f"{path}/merges/_SUCCESS"):
+    if not recache and _exists(spark, f"{path}/merges/_SUCCESS"):
         return B.BpeModel.load(spark, path)
     model = B.learn_bpe(table(spark, sf_dir, "documents").select("text"), vocab_size)
     model.save(spark, path)
@@ -49,7 +49,8 @@ def trained_model(spark, sf_dir, vocab_size: int = BPE_VOCAB) -> B.BpeModel:
 
 @register("bpe_vocab", ids="T3 A9 S11 U3")
 def bpe_vocab(spark, sf_dir):
-    m = trained_model(spark, sf_dir)
+    """Always learns afresh (and refreshes the saved model the other BPE queries load)."""
+    m = trained_model(spark, sf_dir, recache=True)
     return m.vocab_frame(spark).select("id", "token", "special")
 
 

@@ -124,14 +124,13 @@ FROM kept""",
 )
 def collate_batches(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("idx"),
-        T.char_length("text").alias("n_chars"),
-        F.concat(T.codepoints("text"), Q.eod_array()).alias("ids"),
+        F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text"
     )
-    s = Q.map_style_sample(d, "ids", COLL_L)
+    # order and shard on the keys first; build the arrays after the range exchange
+    batched = O.training_order(d, COLL_R, COLL_B)
+    ids = batched.withColumn("ids", F.concat(T.codepoints("text"), Q.eod_array())).drop("text")
     # untruncated rows keep an all-ones mask; truncated rows end in 0
-    batched = O.training_order(s, COLL_R, COLL_B)
-    out = Q.collate(batched)
+    out = Q.collate(Q.map_style_sample(ids, "ids", COLL_L))
     return out.select(
         "rank", "batch", "slot", "idx",
         *[A.ids_to_string(c).alias(c) for c in ("input_ids", "attention_mask", "labels")],

@@ -14,13 +14,20 @@ from .registry import register
 from .tables import table
 
 
-def codepoint_samples(docs: DataFrame, max_len: int | None = DEFAULT_SEQUENCE_LENGTH) -> DataFrame:
-    """P2 gate -> P3 strip -> end id -> F5 truncation, ids = code points (tokenizer-free)."""
-    d = docs.where(T.length_gate("text")).select(
-        F.col("doc_id").alias("idx"),
-        T.char_length("text").alias("n_chars"),
-        F.concat(T.codepoints(T.strip("text")), Q.eod_array()).alias("ids"),
+def gated_documents(docs: DataFrame) -> DataFrame:
+    """P2 gate; keys for ordering (raw length, id) plus the raw text as payload."""
+    return docs.where(T.length_gate("text")).select(
+        F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text"
     )
+
+
+def codepoint_samples(docs: DataFrame, max_len: int | None = DEFAULT_SEQUENCE_LENGTH) -> DataFrame:
+    """P3 strip -> ids = code points + end id -> F5 truncation (tokenizer-free samples).
+
+    Applied *after* ordering/sharding in the plans below, so only the raw text
+    crosses the range exchange and the sampling pass stays cheap.
+    """
+    d = docs.withColumn("ids", F.concat(T.codepoints(T.strip("text")), Q.eod_array())).drop("text")
     return Q.map_style_sample(d, "ids", max_len).drop("ids")
 
 
@@ -59,6 +66,6 @@ GROUP BY 1, 2
 )
 def train_batches(spark, sf_dir):
     """Flagship: documents -> code-point samples -> length order -> 4 ranks -> batches of 16."""
-    samples = codepoint_samples(table(spark, sf_dir, "documents"), TRAIN_L)
-    batched = O.training_order(samples, TRAIN_R, TRAIN_B, length_col="n_chars", idx_col="idx")
-    return batch_summary(batched)
+    docs = gated_documents(table(spark, sf_dir, "documents"))
+    batched = O.training_order(docs, TRAIN_R, TRAIN_B, length_col="n_chars", idx_col="idx")
+    return batch_summary(codepoint_samples(batched, TRAIN_L))
