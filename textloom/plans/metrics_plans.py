@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import metrics as M
+from ..session import materialize
 from .duck import codepoints as d_cp
 from .registry import register
 from .tables import table
@@ -72,7 +73,8 @@ def perplexity(spark, sf_dir):
     Tokens are pre-aggregated to (lang, code point) counts before any join.
     """
     d = table(spark, sf_dir, "documents").select("lang", F.explode(T.codepoints("text")).alias("c"))
-    cl = d.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n"))
+    # one pass over the tokens; the (lang, code point) table is small and is read three times
+    cl = materialize(d.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n")), "perplexity-counts")
     g = cl.groupBy("c").agg(F.sum("n").alias("nc"))
     total = cl.agg(F.sum("n")).scalar()
     j = cl.join(g, "c").withColumn("nll", F.col("n") * -F.log(F.col("nc") / total))
