@@ -110,10 +110,10 @@ def codepoints(c) -> Column:
     """Code points of a string as ``array<bigint>`` (empty string -> empty array).
 
     Used as a tokenizer-free id encoding so order/shape operators can be
-    checked against an SQL oracle. The input is referenced once, so an
-    expensive input expression is not evaluated twice.
+    checked against an SQL oracle. The input appears twice (empty guard and
+    split): pass a column or a cheap expression.
     """
-    parts = F.split(_col(c), "")  # '' splits into [''], every other element is one character
-    return F.array_compact(
-        F.transform(parts, lambda ch: F.when(ch == "", F.lit(None)).otherwise(F.ascii(ch)).cast("bigint"))
+    t = _col(c)
+    return F.when(t == "", F.array().cast("array<bigint>")).otherwise(
+        F.transform(F.split(t, ""), lambda ch: F.ascii(ch).cast("bigint"))
     )

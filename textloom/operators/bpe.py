@@ -292,27 +292,36 @@ def _encode_symbols(syms: list[int], ranks) -> list[int]:
 
 
 def encode_pieces(pieces: DataFrame, model: BpeModel, piece_col: str = "piece") -> DataFrame:
-    """Encode each *distinct* piece once: ``(piece, ids array<int>)``.
+    """Encode each *distinct* ``(piece, special)`` once: ``(piece, special, ids array<int>)``.
 
     Runs the merge loop per piece in Arrow batches (``mapInPandas``); the merge
-    table is bounded by the vocabulary size. Bytes never seen in training have
-    no id and are dropped, as in the original.
+    table is bounded by the vocabulary size. A special token maps to its id.
+    Bytes never seen in training have no id and are dropped, as in the original.
     """
     b2c = byte_to_char()
     tok_ids = model.token_id()
     byte_ids = {b: tok_ids[c] for b, c in b2c.items() if c in tok_ids}
+    special_ids = {t: tok_ids[t] for t in model.specials}
     ranks = _merge_ranks(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for p in pdf[piece_col]:
-                syms = [byte_ids[b] for b in p.encode("utf-8") if b in byte_ids]
-                out.append(_encode_symbols(syms, ranks))
-            yield pd.DataFrame({piece_col: pdf[piece_col], "ids": out})
-
-    schema = T.StructType([T.StructField(piece_col, T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return pieces.select(piece_col).distinct().mapInPandas(run, schema)
+            for p, sp in zip(pdf[piece_col], pdf["special"]):
+                if sp:
+                    out.append([special_ids[p]])
+                else:
+                    out.append(_encode_symbols([byte_ids[b] for b in p.encode("utf-8") if b in byte_ids], ranks))
+            yield pd.DataFrame({piece_col: pdf[piece_col], "special": pdf["special"], "ids": out})
+
+    schema = T.StructType(
+        [
+            T.StructField(piece_col, T.StringType()),
+            T.StructField("special", T.BooleanType()),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+        ]
+    )
+    return pieces.select(piece_col, "special").distinct().mapInPandas(run, schema)
 
 
 def encode_documents(
@@ -325,23 +334,13 @@ def encode_documents(
     is salted: one very frequent piece is spread over ``salt`` tasks. Pieces are
     re-assembled per document in (part, piece) order.
     """
-    spark = df.sparkSession
     pieces = document_pieces(df, key_col, text_col)
-    ordinary = pieces.where(~F.col("special"))
-    encoded = encode_pieces(ordinary, model)
+    encoded = encode_pieces(pieces, model)
     s = F.pmod(F.xxhash64(F.col(key_col), "part_no", "piece_no"), F.lit(salt)).cast("int")
-    left = ordinary.withColumn("_salt", s)
+    left = pieces.withColumn("_salt", s)
     right = encoded.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    joined = left.join(right, ["piece", "_salt"]).select(key_col, "part_no", "piece_no", "ids")
-    tok_ids = model.token_id()
-    spec = F.map_from_arrays(
-        F.array(*[F.lit(t) for t in model.specials]), F.array(*[F.lit(tok_ids[t]) for t in model.specials])
-    )
-    specials = pieces.where(F.col("special")).select(
-        key_col, "part_no", "piece_no", F.array(F.element_at(spec, F.col("piece"))).alias("ids")
-    )
-    allp = joined.unionByName(specials)
-    out = allp.groupBy(key_col).agg(
+    joined = left.join(right, ["piece", "special", "_salt"]).select(key_col, "part_no", "piece_no", "ids")
+    out = joined.groupBy(key_col).agg(
         F.flatten(
             F.transform(F.sort_array(F.collect_list(F.struct("part_no", "piece_no", "ids"))), lambda z: z["ids"])
         ).cast("array<bigint>").alias("ids")

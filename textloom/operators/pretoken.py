@@ -48,7 +48,10 @@ def document_pieces(df: DataFrame, key_col: str, text_col: str = "text") -> Data
     Special tokens become one piece each (``special`` = true); ordinary runs are
     pre-tokenised. ``(part_no, piece_no)`` orders the pieces of a document.
     """
-    parts = df.select(key_col, F.posexplode(special_parts(text_col)).alias("part_no", "part"))
+    t = F.col(text_col)
+    # every special token starts with '<': texts without one skip the look-ahead split
+    split = F.when(F.instr(t, "<") > 0, special_parts(t)).otherwise(F.array(t))
+    parts = df.select(key_col, F.posexplode(split).alias("part_no", "part"))
     special = F.col("part").isin(SPECIAL_TOKENS)
     pieces = F.when(special, F.array(F.col("part"))).otherwise(pretokens("part"))
     return parts.select(
