@@ -267,30 +267,6 @@ def _merge_ranks(model: BpeModel) -> dict[tuple[int, int], tuple[int, int]]:
     return {(a, b): (r, o) for r, (a, b, o) in enumerate(model.merges)}
 
 
-def _encode_symbols(syms: list[int], ranks) -> list[int]:
-    """Apply merges by rank: repeatedly merge every occurrence (left to right)
-    of the lowest-ranked adjacent pair present."""
-    while len(syms) > 1:
-        best = None
-        for i in range(len(syms) - 1):
-            r = ranks.get((syms[i], syms[i + 1]))
-            if r is not None and (best is None or r[0] < best[0]):
-                best = r
-                pair = (syms[i], syms[i + 1])
-        if best is None:
-            break
-        out, merged, i = best[1], [], 0
-        while i < len(syms):
-            if i + 1 < len(syms) and (syms[i], syms[i + 1]) == pair:
-                merged.append(out)
-                i += 2
-            else:
-                merged.append(syms[i])
-                i += 1
-        syms = merged
-    return syms
-
-
 def encode_pieces(pieces: DataFrame, model: BpeModel, piece_col: str = "piece") -> DataFrame:
     """Encode each *distinct* ``(piece, special)`` once: ``(piece, special, ids array<int>)``.
 
@@ -304,15 +280,39 @@ def encode_pieces(pieces: DataFrame, model: BpeModel, piece_col: str = "piece")
     special_ids = {t: tok_ids[t] for t in model.specials}
     ranks = _merge_ranks(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Everything the executors run is defined here, so it ships by value and the
+    # workers never need to import this package.
+    def merge(syms: list[int]) -> list[int]:
+        while len(syms) > 1:
+            best = None
+            for i in range(len(syms) - 1):
+                r = ranks.get((syms[i], syms[i + 1]))
+                if r is not None and (best is None or r[0] < best[0]):
+                    best, pair = r, (syms[i], syms[i + 1])
+            if best is None:
+                break
+            out, i = [], 0
+            while i < len(syms):
+                if i + 1 < len(syms) and (syms[i], syms[i + 1]) == pair:
+                    out.append(best[1])
+                    i += 2
+                else:
+                    out.append(syms[i])
+                    i += 1
+            syms = out
+        return syms
+
+    def run(batches):
+        import pandas
+
         for pdf in batches:
             out = []
             for p, sp in zip(pdf[piece_col], pdf["special"]):
                 if sp:
                     out.append([special_ids[p]])
                 else:
-                    out.append(_encode_symbols([byte_ids[b] for b in p.encode("utf-8") if b in byte_ids], ranks))
-            yield pd.DataFrame({piece_col: pdf[piece_col], "special": pdf["special"], "ids": out})
+                    out.append(merge([byte_ids[b] for b in p.encode("utf-8") if b in byte_ids]))
+            yield pandas.DataFrame({piece_col: pdf[piece_col], "special": pdf["special"], "ids": out})
 
     schema = T.StructType(
         [

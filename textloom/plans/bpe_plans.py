@@ -13,7 +13,7 @@ from ..operators import bpe as B
 from ..operators import pretoken as P
 from ..operators import sequence as Q
 from ..session import checkpoint_dir
-from ..sources.index import _exists
+from ..sources.index import read_if_present
 from .registry import register
 from .tables import table
 
@@ -40,7 +40,7 @@ def trained_model(spark, sf_dir, vocab_size: int = BPE_VOCAB, *, recache: bool =
     """S9 + S11: load the model for this corpus from the shared folder, or learn and save it."""
     key = hashlib.sha1(f"{sf_dir}|{vocab_size}".encode()).hexdigest()[:12]
     path = f"{checkpoint_dir(spark)}/bpe-model-{key}"
-    if not recache and _exists(spark, f"{path}/merges/_SUCCESS"):
+    if not recache and read_if_present(spark, f"{path}/merges") is not None:
         return B.BpeModel.load(spark, path)
     model = B.learn_bpe(table(spark, sf_dir, "documents").select("text"), vocab_size)
     model.save(spark, path)

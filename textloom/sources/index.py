@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -16,11 +17,15 @@ def length_index(df: DataFrame, segs_col: str, sep: str = "", idx_col: str = "id
     return df.select(idx_col, T.char_length(T.join_segments(segs_col, sep)).alias("n_chars"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None if there is none (an uncommitted
+    write leaves no readable table behind)."""
+    try:
+        df = spark.read.parquet(path)
+        df.schema  # noqa: B018 - forces the footer read
+        return df
+    except AnalysisException:
+        return None
 
 
 def cached(spark: SparkSession, path: str, build, *, recache: bool = False) -> DataFrame:
@@ -29,7 +34,9 @@ def cached(spark: SparkSession, path: str, build, *, recache: bool = False) -> D
     Like the original there is no freshness check; the write goes through a
     committed parquet output, so a lost executor never leaves a half table.
     """
-    if not recache and _exists(spark, path + "/_SUCCESS"):
-        return spark.read.parquet(path)
+    if not recache:
+        got = read_if_present(spark, path)
+        if got is not None:
+            return got
     build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
