@@ -72,9 +72,11 @@ def perplexity(spark, sf_dir):
 
     Tokens are pre-aggregated to (lang, code point) counts before any join.
     """
-    d = table(spark, sf_dir, "documents").select("lang", F.explode(T.codepoints("text")).alias("c"))
-    # one pass over the tokens; the (lang, code point) table is small and is read three times
-    cl = materialize(d.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n")), "perplexity-counts")
+    # one pass over the characters, counted as one-character strings; the code point is taken
+    # on the small (lang, character) table, which is written once and read three times
+    d = table(spark, sf_dir, "documents").select("lang", F.explode(F.split("text", "")).alias("ch"))
+    counts = d.where(F.col("ch") != "").groupBy("lang", "ch").agg(F.count(F.lit(1)).alias("n"))
+    cl = materialize(counts.select("lang", F.ascii("ch").cast("bigint").alias("c"), "n"), "perplexity-counts")
     g = cl.groupBy("c").agg(F.sum("n").alias("nc"))
     total = cl.agg(F.sum("n")).scalar()
     j = cl.join(g, "c").withColumn("nll", F.col("n") * -F.log(F.col("nc") / total))
