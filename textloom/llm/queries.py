@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_index
+from . import fm_index, shingle_rtree
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,11 @@ def query(fn):
     return fn
 
 
+@query
+def op6_count_vector_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_rtree.link_documents(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_index.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
