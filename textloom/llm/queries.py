@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fm_index, shingle_rtree
+from . import fm_index, language_profiles, pii_bootstrap, shingle_rtree
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,19 @@ def query(fn):
     return fn
 
 
+@query
+def op2_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = language_profiles.held_out(F.col("doc_id"))
+    profiles = language_profiles.learn_profiles(docs.filter(~held))
+    return language_profiles.predict_languages(docs, profiles).withColumn("held_out", held)
+
+
+@query
+def op4_bootstrapped_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.personal_data_digest(pii_bootstrap.find_personal_data(_table(spark, sf_dir, "documents")))
+
+
 @query
 def op6_count_vector_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_rtree.link_documents(_table(spark, sf_dir, "documents"))
