@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fm_index, language_profiles, pii_bootstrap, shingle_rtree
+from . import chunked_bpe, fm_index, language_profiles, pii_bootstrap, shingle_rtree
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +41,12 @@ def op6_count_vector_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_rtree.link_documents(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_content_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return chunked_bpe.encoding_digest(chunked_bpe.encode_documents(_table(spark, sf_dir, "documents"), path), path)
+
+
 @query
 def op10_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fm_index.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
