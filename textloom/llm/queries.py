@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunked_bpe, fm_index, language_profiles, pii_bootstrap, shingle_rtree
+from . import chunked_bpe, fm_index, language_profiles, pii_bootstrap, shingle_rtree, token_counts
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op2_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_profiles.predict_languages(docs, profiles).withColumn("held_out", held)
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op4_bootstrapped_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_bootstrap.personal_data_digest(pii_bootstrap.find_personal_data(_table(spark, sf_dir, "documents")))
