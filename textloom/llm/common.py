@@ -155,7 +155,7 @@ def put_file(path: str, chunks) -> int:
     store, name = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
     store.create_dir(name.rpartition("/")[0], recursive=True)
     size = 0
-    with store.open_output_stream(name) as out:
+    with store.open_output_stream(name, compression=None) as out:
         for c in chunks:
             size += len(c)
             out.write(c)

@@ -41,3 +41,12 @@ reach AS (SELECT doc_id, doc_id AS r FROM n UNION SELECT reach.doc_id, links.y F
 SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, coalesce(min(reach.r), d.doc_id) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id
 """
+
+ORACLES["op5_warc_dictionary_archives"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+w AS (SELECT page_id, h, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM w
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunked_bpe, fm_index, language_profiles, pii_bootstrap, shingle_rtree, token_counts
+from . import chunked_bpe, fm_index, language_profiles, pii_bootstrap, shingle_rtree, token_counts, warc_dictionary
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op4_bootstrapped_personal_data(spark: SparkSession, sf_dir: str) -> DataFram
     return pii_bootstrap.personal_data_digest(pii_bootstrap.find_personal_data(_table(spark, sf_dir, "documents")))
 
 
+@query
+def op5_warc_dictionary_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_dictionary.archive_round_trip(_table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_count_vector_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_rtree.link_documents(_table(spark, sf_dir, "documents"))
