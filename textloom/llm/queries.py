@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunked_bpe, fm_index, language_profiles, pii_bootstrap, shingle_rtree, token_counts, warc_dictionary
+from . import chunked_bpe, direct_codes, fm_index, language_profiles, pii_bootstrap, prefix_hash, shingle_rtree, token_counts, warc_dictionary
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,17 @@ def op6_count_vector_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_rtree.link_documents(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_prefix_hash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_hash.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_direct_code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = direct_codes.write_codes(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return direct_codes.read_codes(manifest)
+
+
 @query
 def op9_content_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
