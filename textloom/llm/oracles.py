@@ -50,3 +50,32 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
        CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
 FROM w
 """
+
+_TURN = "'<|im_start|>' || coalesce({0}_role, 'user') || chr(10) || coalesce({0}_text, '') || '<|im_end|>' || chr(10)"
+_C, _R = _TURN.format("c"), _TURN.format("r")
+
+
+def _mask(side: str, turn: str) -> str:
+    return f"""string_agg(CASE WHEN NOT shared AND {side}_role = 'assistant' THEN
+      CAST({side}_end - length({turn}) + 22 AS VARCHAR) || ':' || CAST({side}_end AS VARCHAR) END, ',' ORDER BY pos)"""
+
+
+ORACLES["op1_preference_pairs"] = f"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+last AS (SELECT conv_id, max(turn) AS stop FROM c WHERE role = 'assistant' GROUP BY conv_id),
+reply AS (SELECT c.conv_id, max(coalesce(c.text, '')) AS text FROM c JOIN last ON c.conv_id = last.conv_id AND c.turn = last.stop WHERE role = 'assistant' GROUP BY 1),
+t AS (
+  SELECT c.conv_id AS pair_id, row_number() OVER (PARTITION BY c.conv_id ORDER BY turn, role, c.text) AS pos, role AS c_role, c.text AS c_text, role AS r_role,
+         CASE WHEN turn = stop AND role = 'assistant' THEN coalesce(reply.text, '') ELSE c.text END AS r_text
+  FROM c JOIN last ON c.conv_id = last.conv_id AND turn <= stop LEFT JOIN reply ON reply.conv_id = xor(c.conv_id, 1)),
+s AS (SELECT *, coalesce(pos < min(CASE WHEN c_text IS DISTINCT FROM r_text THEN pos END) OVER (PARTITION BY pair_id), true) AS shared FROM t),
+e AS (
+  SELECT *, sum(CASE WHEN shared THEN 0 ELSE length({_C}) END) OVER w AS c_end, sum(CASE WHEN shared THEN 0 ELSE length({_R}) END) OVER w AS r_end
+  FROM s WINDOW w AS (PARTITION BY pair_id ORDER BY pos))
+SELECT pair_id, coalesce(string_agg({_C}, '' ORDER BY pos) FILTER (shared), '') AS prompt,
+       coalesce(string_agg({_C}, '' ORDER BY pos) FILTER (NOT shared), '') AS chosen,
+       coalesce(string_agg({_R}, '' ORDER BY pos) FILTER (NOT shared), '') AS rejected,
+       coalesce({_mask("c", _C)}, '') AS chosen_mask, coalesce({_mask("r", _R)}, '') AS rejected_mask,
+       count(*) FILTER (shared) AS prompt_turns
+FROM e GROUP BY pair_id
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunked_bpe, direct_codes, fm_index, language_profiles, pii_bootstrap, prefix_hash, shingle_rtree, token_counts, warc_dictionary
+from . import chunked_bpe, direct_codes, fm_index, language_profiles, pii_bootstrap, preferences, prefix_hash, shingle_rtree, token_counts, warc_dictionary
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.format_preferences(preferences.pairs_from_conversations(_table(spark, sf_dir, "conversations")))
+
+
 @query
 def op2_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
