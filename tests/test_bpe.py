@@ -92,3 +92,43 @@ def test_model_save_load(spark, tmp_path):
     model.save(spark, str(tmp_path / "m"))
     back = B.BpeModel.load(spark, str(tmp_path / "m"))
     assert back.vocab == model.vocab and back.merges == model.merges
+
+
+def test_long_piece_is_not_quadratic(spark):
+    import time
+
+    from textloom.operators.pieces import PieceEncoder
+
+    model = B.learn_bpe(texts_df(spark, random_corpus(1)), 70)
+    b2c, ids = B.byte_to_char(), model.token_id()
+    enc = PieceEncoder({b: ids[c] for b, c in b2c.items() if c in ids}, model.merges, {})
+    rnd = random.Random(2)
+    word = "".join(rnd.choice("ab") for _ in range(80_000))
+    t = time.time()
+    got = enc.encode(word)
+    assert time.time() - t < 5
+    tok, _ = library_vocab(random_corpus(1), 70)
+    assert got == tok.encode(word).ids
+
+
+def test_null_text_unknown_ids_and_cut_characters(spark):
+    model = B.learn_bpe(texts_df(spark, ["é é"]), 60)
+    df = spark.createDataFrame([(0, None), (1, "é")], "k bigint, text string")
+    assert {r.k: r.ids for r in B.encode_documents(df, model, "k").collect()}[0] == []
+    cut = model.token_id()["Ã"]
+    got = B.decode_documents(spark.createDataFrame([(0, [cut]), (1, [1, 10_000])], "k bigint, ids array<bigint>"), model, "k")
+    assert {r.k: r.text for r in got.collect()} == {0: "\ufffd", 1: ""}
+
+
+def test_rounds_leave_one_word_table(spark):
+    from textloom.session import checkpoint_dir, file_store
+
+    store, name = file_store(checkpoint_dir(spark))
+    from pyarrow import fs
+
+    def tables():
+        return [f.path for f in store.get_file_info(fs.FileSelector(name, recursive=False)) if "bpe-words" in f.path]
+
+    before = len(tables())
+    B.learn_bpe(texts_df(spark, random_corpus(3)), 60)
+    assert len(tables()) - before <= 2

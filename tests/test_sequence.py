@@ -6,17 +6,6 @@ from hypothesis import strategies as st
 from textloom.operators import sequence as Q
 
 
-def pack_reference(rows, S, group):
-    out = []
-    for g in range(0, len(rows), group):
-        flat = [t for r in rows[g:g + group] for t in r]
-        total = len(flat)
-        if total >= S:
-            total = total // S * S
-        out.extend(flat[i:i + S] for i in range(0, total, S))
-    return out
-
-
 def spark_pack(spark, rows, S, group):
     df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "idx bigint, input_ids array<bigint>")
     got = Q.pack_blocks(df, "input_ids", "idx", S, group_rows=group).collect()
@@ -34,9 +23,21 @@ def test_pack_fixtures(spark):
 def test_pack_property(spark, seed, S, group):
     rnd = random.Random(seed)
     rows = [[rnd.randrange(100) for _ in range(rnd.choice([0, 1, 2, 5, 13]))] for _ in range(rnd.randrange(1, 14))]
-    assert spark_pack(spark, rows, S, group) == pack_reference(rows, S, group)
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "idx bigint, input_ids array<bigint>")
+    by_group = {}
+    for r in sorted(Q.pack_blocks(df, "input_ids", "idx", S, group_rows=group).collect(), key=lambda r: (r.grp, r.blk)):
+        by_group.setdefault(r.grp, []).append(r.input_ids)
+    for g in range((len(rows) + group - 1) // group):
+        tokens = [t for r in rows[g * group : (g + 1) * group] for t in r]
+        blocks = by_group.pop(g, [])
+        joined = [t for b in blocks for t in b]
+        assert joined == tokens[: len(joined)]  # a prefix of the group's tokens
+        full = all(len(b) == S for b in blocks)
+        assert full or [len(b) for b in blocks] == [len(tokens)]  # full blocks, or a single short one
+        assert len(tokens) - len(joined) < S  # less than a block is left over
+    assert not by_group
 
 
 def test_pack_long_document_spans_blocks(spark):
-    rows = [list(range(1000))]
-    assert spark_pack(spark, rows, 64, 1000) == pack_reference(rows, 64, 1000)
+    got = spark_pack(spark, [list(range(1000))], 64, 1000)
+    assert [len(b) for b in got] == [64] * 15 and [t for b in got for t in b] == list(range(960))

@@ -52,10 +52,60 @@ def test_text_table_column_choice(spark, tmp_path):
         R.read_text_table(spark, p, "xml")
 
 
-def test_compressed_refusal(spark):
-    with pytest.raises(NotImplementedError):
-        R.check_compressed(["/x/a.jsonl.gz"], True)
-    R.check_compressed(["/x/a.jsonl.gz"], False)
+def test_compressed_refusal(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "a.jsonl.gz", "wt") as f:
+        f.write('{"text": "zipped"}\n')
+    write(tmp_path / "in" / "b.jsonl", '{"text": "plain"}\n')
+    for paths in (str(tmp_path / "in"), str(tmp_path / "in" / "*"), [str(tmp_path / "in" / "a.jsonl.gz")]):
+        with pytest.raises(NotImplementedError):
+            R.read_jsonl(spark, paths, "text", reject_compressed=True)
+    assert sorted(r.text for r in R.read_jsonl(spark, str(tmp_path / "in"), "text").collect()) == ["plain", "zipped"]
+
+
+@pytest.mark.parametrize("line", ['{"other": 1}', "", "   ", '{"text": 5}', '{"text": null}', '{"text": {"a": 1}}', '{"text": ["a", 1]}', "nope"])
+def test_strict_scan_fails_on_what_the_original_fails_on(spark, tmp_path, line):
+    p = write(tmp_path / "s.jsonl", f'{{"text": "ok"}}\n{line}\n{{"text": "ok"}}\n')
+    with pytest.raises(Exception):
+        R.read_jsonl(spark, p, "text").collect()
+    got = R.read_jsonl(spark, p, "text", mode="PERMISSIVE").orderBy("line_no").collect()
+    assert [r.text for r in got] == ["ok", None, "ok"]
+
+
+def test_lists_under_a_scalar_field_are_joined(spark, tmp_path):
+    p = write(tmp_path / "m.jsonl", '{"text": "ok"}\n{"text": ["a", "b"]}\n{"text": []}\n{"text": "[\\"x\\"]"}\n')
+    assert [r.text for r in R.read_jsonl(spark, p, "text").orderBy("line_no").collect()] == ["ok", "ab", "", '["x"]']
+
+
+def test_json_table_takes_the_first_column_of_the_file(spark, tmp_path):
+    p = write(tmp_path / "z.json", '{"zeta": "first", "alpha": "second"}\n{"zeta": "third", "alpha": "x"}\n')
+    assert sorted(r.text for r in R.read_text_table(spark, p, "json").collect()) == ["first", "third"]
+    p = write(tmp_path / "y.json", '{"alpha": "x", "text": "t"}\n')
+    assert R.read_text_table(spark, p, "json").first().text == "t"
+
+
+def test_last_line_without_break(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    write(tmp_path / "t" / "a.txt", "l1\nl2")
+    write(tmp_path / "t" / "b.txt", "é3\n\n")
+    assert sorted(r.text for r in R.read_text_table(spark, str(tmp_path / "t"), "txt").collect()) == ["\n", "l1\n", "l2", "é3\n"]
+
+
+def test_line_numbers_over_splits_and_no_shuffle_of_lines(spark, tmp_path):
+    paths = [write(tmp_path / f"{n}.jsonl", "".join(json.dumps({"text": f"{n} {i}"}) + "\n" for i in range(4000))) for n in "ab"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = R.read_jsonl(spark, paths, "text")
+        assert df.rdd.getNumPartitions() > 4
+        got = [(r.file.rsplit("/", 1)[1][0], r.line_no, r.text) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(got) == sorted((n, i, f"{n} {i}") for n in "ab" for i in range(4000))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "value" in x] and "rangepartitioning" not in plan
 
 
 def test_cache_load_or_build(spark, tmp_path):

@@ -6,4 +6,4 @@ Nothing collects documents to the driver; the only driver round trips are
 bounded scalars (a row count, a per-partition count table, a BPE merge batch).
 """
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"

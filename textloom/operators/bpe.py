@@ -15,17 +15,15 @@ the only state held on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..constants import SPECIAL_TOKENS
-from ..session import materialize
-from .pretoken import document_pieces, pretokens
+from ..constants import DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
+from ..session import materialize, remove_table, scratch_path
+from .pieces import PieceEncoder, encode_batch
+from .pretoken import piece_list, pretokens
 
 _SHIFT = 1 << 32
 
@@ -105,53 +103,37 @@ def word_table(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return hist.select(word_bytes("piece").alias("w"), "n")
 
 
-def _accept_batch(top, bounds_left, bounds_right, room: int, max_batch: int):
+def _accept_batch(top, bounds, room: int, max_batch: int):
     """Longest prefix of ``top`` that one-at-a-time merging would pick in this order.
 
-    ``top``: [(left, right, count)] sorted by count desc, then (left, right).
-    A further pair is accepted only if (a) it shares no symbol with an accepted
-    pair or its output, and (b) its count is strictly greater than every count
-    an accepted merge could give a newly formed pair: a merge of (a, b) with
-    count n forms (x, ab) at most min(n, max count of (x, a)) times and (ab, y)
-    at most min(n, max count of (b, y)) times. Existing pairs never gain count.
-    The batch stops after a pair (a, a).
+    ``top``: [(left, right, count)] sorted by count desc, then (left, right). ``bounds(pair)``: the
+    largest count of a symbol triple that holds the pair at its start or end. A further pair is
+    accepted only if (a) it can't overlap an accepted one: it doesn't begin with an accepted right
+    symbol, nor end with an accepted left one, nor repeat one symbol; and (b) its count is
+    greater than what any accepted merge could give a new pair: (x, ab) comes from triples (x, a, b) only,
+    (ab, y) from (a, b, y). Pairs that exist never gain count. The batch stops after a pair (a, a).
     """
-    accepted, touched, bound = [], set(), 0
+    accepted, lefts, rights, bound = [], set(), set(), 0
     for left, right, cnt in top[: max(1, min(room, max_batch))]:
-        if accepted:
-            if left in touched or right in touched or cnt <= bound:
-                break
+        if accepted and (left == right or left in rights or right in lefts or cnt <= bound):
+            break
         accepted.append((left, right, cnt))
-        touched.update((left, right))
-        bound = max(bound, min(cnt, bounds_left.get(left, 0)), min(cnt, bounds_right.get(right, 0)))
-        if left == right:
+        if left == right or len(accepted) == max_batch:
             break
+        lefts.add(left)
+        rights.add(right)
+        bound = max(bound, bounds((left, right)))
     return accepted
 
 
-def _bounds(top, complete: bool):
-    """Upper bounds on the counts of pairs (x, a) per a and (b, y) per b.
-
-    Taken from the top-K list itself: a pair outside the list has a count of at
-    most the K-th count, so that count caps every symbol unless the list holds
-    the whole histogram (``complete``).
-    """
-    floor = 0 if complete else top[-1][2]
-    left: dict[int, int] = {}
-    right: dict[int, int] = {}
-    for a, b, c in top:
-        left[b] = max(left.get(b, floor), c)  # pair (a, b) is an (x, b)
-        right[a] = max(right.get(a, floor), c)  # pair (a, b) is a (a, y)
-    return _Floor(left, floor), _Floor(right, floor)
-
-
-class _Floor(dict):
-    def __init__(self, d, floor):
-        super().__init__(d)
-        self.floor = floor
-
-    def get(self, k, default=None):
-        return super().get(k, self.floor)
+def _triple_bounds(words: DataFrame, pairs: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
+    """For each of a bounded list of pairs: the largest count of a triple that starts or ends with it."""
+    keys = ", ".join(f"{a * _SHIFT + b}L" for a, b in pairs)
+    key = f"CAST(w[i] AS BIGINT) * {_SHIFT} + w[i + 1]"
+    at = words.selectExpr("w", "n", f"explode(filter(sequence(0, size(w) - 2), i -> {key} IN ({keys}))) AS i").selectExpr(f"{key} AS k", "w", "i", "n")
+    ends = at.selectExpr("k", "n", "explode(array(struct(0 AS side, get(w, i - 1) AS o), struct(1 AS side, get(w, i + 2) AS o))) AS e").where("e.o IS NOT NULL")
+    triples = ends.groupBy("k", "e").agg(F.sum("n").alias("c")).groupBy("k").agg(F.max("c").alias("c"))
+    return {(r.k // _SHIFT, r.k % _SHIFT): r.c for r in triples.collect()}
 
 
 def _pair_histogram(words: DataFrame) -> DataFrame:
@@ -167,12 +149,12 @@ def _pair_histogram(words: DataFrame) -> DataFrame:
 
 
 def _rewrite(words: DataFrame, table: dict[int, int]) -> DataFrame:
-    """Apply a batch of merges to every word, left to right (one pass suffices:
-    batch pairs share no symbols, so a merged symbol never merges again)."""
+    """Apply a batch of merges to the words that hold one of its pairs; the others pass through.
+    One pass suffices: the pairs of a batch never overlap, and none begins or ends with a new symbol."""
     keys = list(table.keys())
     m = f"map_from_arrays(array({', '.join(f'{k}L' for k in keys)}), array({', '.join(str(table[k]) for k in keys)}))"
     if all(k // _SHIFT != k % _SHIFT for k in keys):
-        # No (a, a) pair: batch pairs share no symbol, so two hits never overlap
+        # No (a, a) pair: a batch holds no chain of pairs, so two hits never overlap
         # and every hit merges. Element-wise: a hit at i emits the merged id and
         # the element after a hit is dropped.
         def at(i: str) -> str:
@@ -190,23 +172,27 @@ def _rewrite(words: DataFrame, table: dict[int, int]) -> DataFrame:
             f"THEN concat(slice(acc, 1, size(acc) - 1), array(try_element_at({m}, CAST(try_element_at(acc, -1) AS BIGINT) * {_SHIFT} + x))) "
             f"ELSE concat(acc, array(x)) END)"
         )
-    out = words.select(F.expr(expr).alias("w"), "n")
+    touched = f"exists(sequence(0, size(w) - 2), i -> CAST(w[i] AS BIGINT) * {_SHIFT} + w[i + 1] IN ({', '.join(f'{k}L' for k in keys)}))"
+    out = words.select(F.expr(f"CASE WHEN {touched} THEN {expr} ELSE w END").alias("w"), "n")
     return out.where(F.size("w") > 1)  # a single symbol has no pairs left to merge
 
 
 def learn_bpe(
     texts: DataFrame,
-    vocab_size: int,
+    vocab_size: int = DEFAULT_VOCAB_SIZE,
     *,
     text_col: str = "text",
     specials=SPECIAL_TOKENS,
     max_batch: int = 1024,
     top_k: int = 4096,
+    bounded: int = 256,
 ) -> BpeModel:
     """Learn byte-level BPE merges until ``vocab_size`` or no pair remains.
 
     ``max_batch=1`` gives the one-merge-per-round reference mode used by tests.
-    Ties between equal counts go to the smallest (left id, right id).
+    ``top_k`` pairs reach the driver in a round and ``bounded`` of them can be accepted together; both
+    change the number of rounds only. Ties between equal counts go to the smallest (left id, right id).
+    A round's word table is deleted when the next one is written.
     """
     spark = texts.sparkSession
     b2c = byte_to_char()
@@ -220,25 +206,32 @@ def learn_bpe(
         F.array(*[F.lit(b) for b in alphabet]), F.array(*[F.lit(byte_id[b]) for b in alphabet])
     )
     parts = max(spark.sparkContext.defaultParallelism, 1)
-    words = materialize(
+
+    def written(df: DataFrame) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, "bpe-words")
+        df.write.parquet(path)
+        return spark.read.parquet(path), path
+
+    words, path = written(
         words.select(F.transform("w", lambda b: F.element_at(m, b)).alias("w"), "n")
         .where(F.size("w") > 1)
-        .repartition(parts, "w"),
-        "bpe-words",
+        .repartition(parts, "w")
     )
     model = BpeModel(vocab, [], list(specials))
-    rounds = 0
+    tok_ids = model.token_id()
     while len(model.vocab) < vocab_size:
-        rounds += 1
         hist = _pair_histogram(words)
         top_rows = hist.orderBy(F.col("c").desc(), F.col("k").asc()).limit(top_k).collect()
         if not top_rows:
             break
         top = [(r.k // _SHIFT, r.k % _SHIFT, r.c) for r in top_rows]
-        bounds_left, bounds_right = _bounds(top, complete=len(top_rows) < top_k)
-        batch = _accept_batch(top, bounds_left, bounds_right, vocab_size - len(model.vocab), max_batch)
+        room = vocab_size - len(model.vocab)
+        most = min(room, max_batch, bounded)
+        # how far a batch could reach by its pairs alone; only for these the triples are counted
+        reach = _accept_batch(top, lambda p: 0, room, most)
+        bounds = _triple_bounds(words, [p[:2] for p in reach]) if len(reach) > 1 else {}
+        batch = _accept_batch(reach, lambda p: bounds.get(p, 0), room, most)
         table: dict[int, int] = {}
-        tok_ids = model.token_id()
         for left, right, _ in batch:
             tok = model.vocab[left] + model.vocab[right]
             out = tok_ids.get(tok)
@@ -256,116 +249,50 @@ def learn_bpe(
         # Written every round: the rewrite references each word several times, so
         # letting the optimizer compose rounds would grow expressions exponentially.
         # The written table also cuts lineage and survives lost executors.
-        words = materialize(_rewrite(words, table), "bpe-words")
+        before = path
+        words, path = written(_rewrite(words, table))
+        remove_table(before)
     return model
 
 
 # ---------------------------------------------------------------- encoding
 
 
-def _merge_ranks(model: BpeModel) -> dict[tuple[int, int], tuple[int, int]]:
-    return {(a, b): (r, o) for r, (a, b, o) in enumerate(model.merges)}
-
+def encode_documents(df: DataFrame, model: BpeModel, key_col: str, text_col: str = "text") -> DataFrame:
+    """``(key, ids array<bigint>)`` for every document, in the scan that reads it.
 
-def encode_pieces(pieces: DataFrame, model: BpeModel, piece_col: str = "piece") -> DataFrame:
-    """Encode each *distinct* ``(piece, special)`` once: ``(piece, special, ids array<int>)``.
-
-    Runs the merge loop per piece in Arrow batches (``mapInPandas``); the merge
-    table is bounded by the vocabulary size. A special token maps to its id.
-    Bytes never seen in training have no id and are dropped, as in the original.
+    Texts are cut at special tokens (T2) and into pieces (T1) by SQL functions; the pieces of an Arrow batch
+    are encoded once each, with the ones a task has met lately kept. Special tokens map
+    straight to their ids; bytes never seen in training have no id and are dropped, as in the
+    original. Nothing is shuffled, so no piece is a hot key. A null text has no ids (the original fails on one).
     """
     b2c = byte_to_char()
     tok_ids = model.token_id()
     byte_ids = {b: tok_ids[c] for b, c in b2c.items() if c in tok_ids}
     special_ids = {t: tok_ids[t] for t in model.specials}
-    ranks = _merge_ranks(model)
-
-    # Everything the executors run is defined here, so it ships by value and the
-    # workers never need to import this package.
-    def merge(syms: list[int]) -> list[int]:
-        while len(syms) > 1:
-            best = None
-            for i in range(len(syms) - 1):
-                r = ranks.get((syms[i], syms[i + 1]))
-                if r is not None and (best is None or r[0] < best[0]):
-                    best, pair = r, (syms[i], syms[i + 1])
-            if best is None:
-                break
-            out, i = [], 0
-            while i < len(syms):
-                if i + 1 < len(syms) and (syms[i], syms[i + 1]) == pair:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(syms[i])
-                    i += 1
-            syms = out
-        return syms
+    merges = list(model.merges)
+    d = df.select(F.col(key_col), F.coalesce(piece_list(text_col), F.array().cast("array<string>")).alias("_pieces"))
 
     def run(batches):
-        import pandas
-
-        for pdf in batches:
-            out = []
-            for p, sp in zip(pdf[piece_col], pdf["special"]):
-                if sp:
-                    out.append([special_ids[p]])
-                else:
-                    out.append(merge([byte_ids[b] for b in p.encode("utf-8") if b in byte_ids]))
-            yield pandas.DataFrame({piece_col: pdf[piece_col], "special": pdf["special"], "ids": out})
-
-    schema = T.StructType(
-        [
-            T.StructField(piece_col, T.StringType()),
-            T.StructField("special", T.BooleanType()),
-            T.StructField("ids", T.ArrayType(T.IntegerType())),
-        ]
-    )
-    return pieces.select(piece_col, "special").distinct().mapInPandas(run, schema)
-
-
-def encode_documents(
-    df: DataFrame, model: BpeModel, key_col: str, text_col: str = "text", *, salt: int = 8
-) -> DataFrame:
-    """``(key, ids array<bigint>)`` for every document.
+        encoder = PieceEncoder(byte_ids, merges, special_ids)
+        for b in batches:
+            yield encode_batch(b, key_col, "_pieces", encoder)
 
-    Special tokens map straight to their ids (T2); other text is pre-tokenised,
-    each distinct piece is encoded once, and the ids are joined back. The join
-    is salted: one very frequent piece is spread over ``salt`` tasks. Pieces are
-    re-assembled per document in (part, piece) order.
-    """
-    pieces = document_pieces(df, key_col, text_col)
-    encoded = encode_pieces(pieces, model)
-    s = F.pmod(F.xxhash64(F.col(key_col), "part_no", "piece_no"), F.lit(salt)).cast("int")
-    left = pieces.withColumn("_salt", s)
-    right = encoded.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    joined = left.join(right, ["piece", "special", "_salt"]).select(key_col, "part_no", "piece_no", "ids")
-    out = joined.groupBy(key_col).agg(
-        F.flatten(
-            F.transform(F.sort_array(F.collect_list(F.struct("part_no", "piece_no", "ids"))), lambda z: z["ids"])
-        ).cast("array<bigint>").alias("ids")
-    )
-    # documents without any piece (empty text) still get a row
-    return df.select(key_col).join(out, key_col, "left").select(
-        key_col, F.coalesce("ids", F.array().cast("array<bigint>")).alias("ids")
-    )
+    return d.mapInArrow(run, f"`{key_col}` {df.schema[key_col].dataType.simpleString()}, ids array<bigint>")
 
 
 def decode_documents(df: DataFrame, model: BpeModel, key_col: str, ids_col: str = "ids") -> DataFrame:
-    """T5: ids -> token bytes -> UTF-8 text; special tokens are skipped.
+    """T5: ids -> token bytes -> UTF-8 text; special tokens and unknown ids are skipped.
 
-    The vocabulary side of the join is bounded by the vocabulary size, so it is
-    broadcast. Invalid UTF-8 (a cut multi-byte char) decodes to U+FFFD.
+    The vocabulary (bounded by its size) is one folded literal, so decoding is a projection. Invalid UTF-8 (a cut
+    multi-byte char) decodes to U+FFFD.
     """
-    spark = df.sparkSession
-    vocab = model.vocab_frame(spark).where(~F.col("special")).select(F.col("id").alias("_id"), "hex")
-    toks = df.select(key_col, F.posexplode(ids_col).alias("_pos", "_id"))
-    joined = toks.join(F.broadcast(vocab), "_id")
-    agg = joined.groupBy(key_col).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "hex"))), lambda z: z["hex"]), "").alias("_hex")
-    )
-    out = agg.select(key_col, F.decode(F.unhex("_hex"), "UTF-8").alias("text"))
-    return df.select(key_col).join(out, key_col, "left").select(key_col, F.coalesce("text", F.lit("")).alias("text"))
+    c2b = {c: b for b, c in byte_to_char().items()}
+    skip = len(model.specials)
+    hexes = ["" if i < skip else "".join(f"{c2b[ch]:02X}" for ch in tok) for i, tok in enumerate(model.vocab)]
+    tokens = F.split(F.lit(",".join(hexes)), ",")
+    raw = F.array_join(F.transform(ids_col, lambda x: F.coalesce(F.get(tokens, x.cast("int")), F.lit(""))), "")
+    return df.select(key_col, F.coalesce(F.make_valid_utf8(F.unhex(raw).cast("string")), F.lit("")).alias("text"))
 
 
 def encode_gated(

@@ -11,20 +11,28 @@ from pyspark.sql import functions as F
 def describe_lengths(df: DataFrame, group_cols: Sequence[str], value_col: str, digits: int = 2) -> DataFrame:
     """A1: pandas ``describe()`` per group - count, mean, sample std, min, quartiles, max.
 
-    Quartiles interpolate linearly (exact ``percentile``). Its buffer is a
-    value -> count map, merged map-side, so memory grows with the number of
-    distinct lengths, not with rows.
+    Rows are first counted by (group, value), partially in every task, so a group that
+    holds most rows only brings its distinct values to one place. Quartiles
+    interpolate linearly (exact ``percentile`` with the counts as frequencies); the moments
+    are sums of exact integers.
     """
-    v = F.col(value_col)
-    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.groupBy(*group_cols).agg(
-        F.count(v).cast("bigint").alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
+    seen = df.groupBy(*group_cols, F.col(value_col).cast("bigint").alias("_v")).agg(F.count(F.lit(1)).cast("bigint").alias("_n"))
+    v, n = F.col("_v"), F.col("_n")
+    q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), n)
+    wide = lambda c: c.cast("decimal(38,0)")
+    out = seen.groupBy(*group_cols).agg(
+        F.coalesce(F.sum(F.when(v.isNotNull(), n)), F.lit(0)).cast("bigint").alias("count"),
+        F.sum(wide(v * n)).alias("_s"),
+        F.sum(wide(v * v * n)).alias("_ss"),
         F.min(v).cast("double").alias("min"),
         q.alias("_q"),
         F.max(v).cast("double").alias("max"),
     )
+    c, s, ss = F.col("count").cast("double"), F.col("_s").cast("double"), F.col("_ss").cast("double")
+    mean = F.when(c > 0, s / c)
+    # N * sum(v^2) - sum(v)^2 stays exact in decimals as long as it fits them
+    spread = F.expr("try_subtract(CAST(count AS DECIMAL(19,0)) * try_cast(_ss AS DECIMAL(19,0)), try_cast(_s AS DECIMAL(19,0)) * try_cast(_s AS DECIMAL(19,0)))").cast("double")
+    out = out.withColumn("mean", mean).withColumn("std", F.when(c > 1, F.sqrt(F.coalesce(spread, c * ss - s * s) / (c * (c - 1)))))
     return out.select(
         *group_cols,
         "count",

@@ -41,11 +41,11 @@ def natural_order(df: DataFrame, idx_col: str = "idx", *, pos_col: str = "pos",
 def seeded_shuffle(
     df: DataFrame, seed: int, epoch: int = 0, idx_col: str = "idx", *, pos_col: str = "pos", total_col: str | None = None
 ) -> DataFrame:
-    """A repeatable permutation keyed by ``seed + epoch`` (hash order, ties by idx).
+    """A repeatable permutation keyed by ``seed + epoch`` (order of an MD5 text, ties by idx).
 
     Hash-based, so a retried task reproduces the same order (``rand()`` would not).
     """
-    key = F.xxhash64(F.lit(seed + epoch), F.col(idx_col))
+    key = F.md5(F.concat_ws(":", F.lit(seed + epoch), F.col(idx_col)))
     return global_position(
         df.withColumn("_shuffle_key", key), [F.col("_shuffle_key"), F.col(idx_col)],
         pos_col=pos_col, total_col=total_col,
@@ -79,17 +79,14 @@ def rank_shard(
         )
     num = F.ceil(n / R).cast("bigint")
     pad = num * R - n  # < R extra slots, filled from the start of the order
-    # a row at position p < pad fills slots N + p, N + p + N, ... (N < R wraps again)
-    copies = F.when(
-        pos < pad, F.sequence(pos, pad - 1, F.greatest(n, F.lit(1)))
-    ).otherwise(F.array().cast("array<bigint>"))
-    base = df.withColumn("_slot", pos)
-    extra = df.withColumn("_k", F.explode(copies)).withColumn("_slot", n + F.col("_k")).drop("_k")
-    both = base.unionByName(extra)
+    # a row at position p also fills the padding slots N + p, N + p + N, ... below num * R (N < R wraps again)
+    copies = F.when(pos < pad, F.sequence(pos, pad - 1, F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<bigint>"))
+    slots = F.concat(F.array(pos.cast("bigint")), F.transform(copies, lambda k: (n + k).cast("bigint")))
     return (
-        both.withColumn("rank", (F.col("_slot") % R).cast("bigint"))
+        df.withColumn("num_samples", num)
+        .withColumn("_slot", F.explode(slots))
+        .withColumn("rank", (F.col("_slot") % R).cast("bigint"))
         .withColumn("step", F.floor(F.col("_slot") / R).cast("bigint"))
-        .withColumn("num_samples", num)
         .drop("_slot")
     )
 
@@ -175,7 +172,10 @@ def skip_resumed(df: DataFrame, checkpoint_path: str | None, batch_col: str = "b
 
 
 def head_limit(df: DataFrame, n: int | None, pos_col: str = "pos") -> DataFrame:
-    """P10: the first ``n`` rows by position (not ``limit``, which has no order)."""
+    """P10: the first ``n`` rows by position (not ``limit``, which has no order).
+
+    For rows that have no position yet, :func:`textloom.operators.position.head_rows` finds them without ordering all.
+    """
     return df if n is None else df.where(F.col(pos_col) < n)
 
 

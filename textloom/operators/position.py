@@ -98,3 +98,28 @@ def global_position(
         pos_col, (F.col("_off") + F.col("_rn") - F.col("_first")).cast("bigint")
     )
     return out.drop("_pid", "_rn", "_off", "_first", *["_s" + c for c in ["_pid", *g]])
+
+
+def scan_line_numbers(df: DataFrame, file_col: str, block_col: str, pos_col: str = "line_no") -> DataFrame:
+    """Position of each row of a file scan inside its file, without moving the rows.
+
+    A split (``file_col``, ``block_col``: path and start of the block) is read by one task in file
+    order, so its rows have consecutive ``monotonically_increasing_id`` values. A first
+    narrow pass counts the rows of every split; the rows then only add their
+    split's offset. The offsets have one row per split, that is one per
+    ``spark.sql.files.maxPartitionBytes`` of input, and are broadcast.
+    """
+    numbered = df.withColumn("_mid", F.monotonically_increasing_id())
+    splits = numbered.groupBy(file_col, block_col).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(
+        F.col(file_col).alias("_file"), F.col(block_col).alias("_block"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    )
+    out = numbered.join(F.broadcast(offsets), (F.col(file_col) == F.col("_file")) & (F.col(block_col) == F.col("_block")))
+    return out.withColumn(pos_col, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint")).drop("_mid", "_file", "_block", "_first", "_off")
+
+
+def head_rows(df: DataFrame, order_cols: Sequence, n: int, *, pos_col: str = "pos") -> DataFrame:
+    """P10: the first ``n`` rows in ``order_cols`` order with their position; every task keeps its own first ``n`` only."""
+    keys = _as_cols(order_cols)
+    return df.orderBy(*keys).limit(n).withColumn(pos_col, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint"))

@@ -42,18 +42,12 @@ def pretoken_histogram(df: DataFrame, text_col: str = "text", piece_col: str = "
     )
 
 
-def document_pieces(df: DataFrame, key_col: str, text_col: str = "text") -> DataFrame:
-    """T2 then T1 per document: ``(key, part_no, piece_no, piece, special)`` rows.
+def piece_list(text) -> Column:
+    """T2 then T1: the pieces of a text in order, special tokens whole (array<string>).
 
-    Special tokens become one piece each (``special`` = true); ordinary runs are
-    pre-tokenised. ``(part_no, piece_no)`` orders the pieces of a document.
+    No piece of an ordinary run equals a special token, as those runs hold none.
     """
-    t = F.col(text_col)
+    t = _col(text)
+    parts = F.transform(special_parts(t), lambda p: F.when(p.isin(SPECIAL_TOKENS), F.array(p)).otherwise(pretokens(p)))
     # every special token starts with '<': texts without one skip the look-ahead split
-    split = F.when(F.instr(t, "<") > 0, special_parts(t)).otherwise(F.array(t))
-    parts = df.select(key_col, F.posexplode(split).alias("part_no", "part"))
-    special = F.col("part").isin(SPECIAL_TOKENS)
-    pieces = F.when(special, F.array(F.col("part"))).otherwise(pretokens("part"))
-    return parts.select(
-        key_col, "part_no", special.alias("special"), F.posexplode(pieces).alias("piece_no", "piece")
-    )
+    return F.when(F.instr(t, "<") > 0, F.flatten(parts)).otherwise(pretokens(t))

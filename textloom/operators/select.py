@@ -79,12 +79,12 @@ def weighted_draw(
 
     Exponential races: the item minimising ``-ln(u) / p`` wins with probability
     p / sum(p), so renormalisation is implicit and excluding an item (G8) is a
-    filter before the draw. ``u`` comes from a hash of (seed, group, item): a
-    retried task draws the same item. An emptied group yields no row.
+    filter before the draw. ``u`` is the first 52 bits of an MD5 of (seed, group, item): a
+    retried task draws the same item, and any engine can repeat the draw. An emptied group yields no row.
     """
     d = df if exclude is None else df.where(~F.col(item).isin(list(exclude)))
-    h = F.xxhash64(F.lit(seed), F.col(group), F.col(item))
-    u = (F.pmod(h, F.lit(1 << 53)).cast("double") + 0.5) / float(1 << 53)
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(group), F.col(item)))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     key = -F.log(u) / F.col(prob)
     return d.where(F.col(prob) > 0).groupBy(group).agg(F.min_by(item, key).alias(item))
 

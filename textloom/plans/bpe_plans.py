@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from ..constants import STRIP_CHARS
@@ -13,33 +11,39 @@ from ..operators import bpe as B
 from ..operators import pretoken as P
 from ..operators import sequence as Q
 from ..session import checkpoint_dir
-from ..sources.index import read_if_present
+from ..sources.index import content_key, read_if_present
 from .registry import register
 from .tables import table
 
-BPE_VOCAB = 300
+#: Tokens the registered queries learn; rounds are sequential jobs, so the operator's default of 25,000 takes hours at this size (README).
+BPE_VOCAB = 1000
 
 _RE2_WS = "".join(f"\\x{{{ord(c):X}}}" for c in STRIP_CHARS if c not in "\x1c\x1d\x1e\x1f")
 _RE2_PRETOKEN = f"'s|'t|'re|'ve|'m|'ll|'d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{_RE2_WS}\\p{{L}}\\p{{N}}]+"
 
 
+_D_PIECES = f"""(SELECT unnest(regexp_extract_all(text, '{_RE2_PRETOKEN.replace("'", "''")}')) AS piece FROM documents)"""
+
+
 @register(
     "pretoken_histogram",
     ids="T1 A8",
-    sql=f"""SELECT piece, CAST(count(*) AS BIGINT) AS n
-FROM (SELECT unnest(regexp_extract_all(text, '{_RE2_PRETOKEN.replace("'", "''")}')) AS piece FROM documents) GROUP BY piece""",
+    # RE2 has no look-ahead: a run of white space before something visible gives all but its last character, and the
+    # last one too unless it is a blank (which then belongs to the next piece); a run at the end is one piece
+    sql=f"""WITH runs AS (SELECT unnest(regexp_extract_all(text, '[{_RE2_WS}]+([^{_RE2_WS}]|$)')) AS m FROM documents),
+r AS (SELECT regexp_full_match(m, '[{_RE2_WS}]+') AS fin, CASE WHEN regexp_full_match(m, '[{_RE2_WS}]+') THEN m ELSE left(m, length(m) - 1) END AS w FROM runs),
+p AS (SELECT piece FROM {_D_PIECES} UNION ALL SELECT w FROM r WHERE fin
+  UNION ALL SELECT left(w, length(w) - 1) FROM r WHERE NOT fin AND length(w) > 1
+  UNION ALL SELECT right(w, 1) FROM r WHERE NOT fin AND right(w, 1) <> ' ')
+SELECT piece, CAST(count(*) AS BIGINT) AS n FROM p GROUP BY piece""",
 )
 def pretoken_histogram(spark, sf_dir):
-    """Pieces holding a visible character (whitespace-only pieces are also counted
-    by the operator; they are left out here only because RE2 has no look-ahead)."""
-    h = P.pretoken_histogram(table(spark, sf_dir, "documents"))
-    return h.where(P.has_visible_char("piece"))
+    return P.pretoken_histogram(table(spark, sf_dir, "documents"))
 
 
 def trained_model(spark, sf_dir, vocab_size: int = BPE_VOCAB, *, recache: bool = False) -> B.BpeModel:
     """S9 + S11: load the model for this corpus from the shared folder, or learn and save it."""
-    key = hashlib.sha1(f"{sf_dir}|{vocab_size}".encode()).hexdigest()[:12]
-    path = f"{checkpoint_dir(spark)}/bpe-model-{key}"
+    path = f"{checkpoint_dir(spark)}/bpe-model-{content_key(table(spark, sf_dir, 'documents'), vocab_size)}"
     if not recache and read_if_present(spark, f"{path}/merges") is not None:
         return B.BpeModel.load(spark, path)
     model = B.learn_bpe(table(spark, sf_dir, "documents").select("text"), vocab_size)
@@ -64,10 +68,8 @@ def bpe_merges(spark, sf_dir):
 def bpe_encode(spark, sf_dir):
     """Gate -> strip -> encode -> append the end id; ids and token count per document."""
     m = trained_model(spark, sf_dir)
-    d = table(spark, sf_dir, "documents").where(T.length_gate("text")).select("doc_id", T.strip("text").alias("text"))
-    enc = B.encode_documents(d, m, "doc_id")
-    ids = F.concat("ids", Q.eod_array())
-    return enc.select("doc_id", A.ids_to_string(ids).alias("input_ids"), F.size(ids).cast("bigint").alias("n_tokens"))
+    enc = B.encode_gated(table(spark, sf_dir, "documents").select("doc_id", "text"), m, "doc_id")
+    return enc.select("doc_id", A.ids_to_string("ids").alias("input_ids"), "n_tokens")
 
 
 @register("bpe_decode", ids="T5 T4 T6", sql="SELECT doc_id, text FROM documents")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..constants import END_OF_TEXT_TOKEN as E
 from ..operators import corpus as C
 from ..operators import order as O
-from ..operators.position import global_position
+from ..operators.position import global_position, head_rows
 from .registry import register
 from .tables import table
 
@@ -32,13 +32,11 @@ SELECT CAST(dataset_ord AS BIGINT) AS dataset_ord, local_id, CAST(n_chars AS BIG
 FROM u""",
 )
 def union_index(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("local_id"), "text")
-    bench = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("local_id"), "text")
-    conv = C.fold_conversations(table(spark, sf_dir, "conversations"), sep=E).select(
-        F.col("conv_id").alias("local_id"), "text"
-    )
-    idx = O.concat_index([docs, bench, conv], ["local_id"])
-    return idx.select("dataset_ord", "local_id", F.length("text").cast("bigint").alias("n_chars"), "idx")
+    n_chars = F.length("text").cast("bigint").alias("n_chars")  # only lengths are ordered, never texts
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("local_id"), n_chars)
+    bench = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("local_id"), n_chars)
+    conv = C.fold_conversations(table(spark, sf_dir, "conversations"), sep=E).select(F.col("conv_id").alias("local_id"), n_chars)
+    return O.concat_index([docs, bench, conv], ["local_id"]).select("dataset_ord", "local_id", "n_chars", "idx")
 
 
 @register(
@@ -115,7 +113,11 @@ def line_window(spark, sf_dir):
     return O.line_window(_lines(spark, sf_dir), LINE_R, LINE_W).select("source", "doc_id", "line_no", "rank", "worker")
 
 
-@register("seeded_shuffle", ids="O9")
+@register(
+    "seeded_shuffle",
+    ids="O9",
+    sql=f"SELECT idx, CAST(row_number() OVER (ORDER BY md5('1025:' || CAST(idx AS VARCHAR)), idx) - 1 AS BIGINT) AS pos FROM {_D_DOCS}",
+)
 def seeded_shuffle(spark, sf_dir):
     return O.seeded_shuffle(_docs(spark, sf_dir), seed=1024, epoch=1).select("idx", "pos")
 
@@ -148,7 +150,7 @@ HEAD_N, SPLIT_PCT = 100, 5
   (SELECT idx, n_chars, row_number() OVER (ORDER BY idx) - 1 AS pos FROM {_D_DOCS}) WHERE pos < {HEAD_N}""",
 )
 def head_limit(spark, sf_dir):
-    return O.head_limit(O.natural_order(_docs(spark, sf_dir)), HEAD_N).select("idx", "n_chars", "pos")
+    return head_rows(_docs(spark, sf_dir), ["idx"], HEAD_N).select("idx", "n_chars", "pos")
 
 
 @register(

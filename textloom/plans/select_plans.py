@@ -59,7 +59,14 @@ def nucleus_cut(spark, sf_dir):
     return f.select(F.col("group_id").alias("user_id"), F.col("item_id").alias("event_type"), F.round("prob", 9).alias("prob"))
 
 
-@register("weighted_draw", ids="G7 G8")
+@register(
+    "weighted_draw",
+    ids="G7 G8",
+    sql=_D_NUCLEUS + f""",
+race AS (SELECT group_id, item_id, -ln((CAST(CAST('0x' || substr(md5('{SEED}:' || CAST(group_id AS VARCHAR) || ':' || item_id), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
+    / {float(1 << 52)!r}) / prob AS k FROM cum WHERE before <= {TOP_P} AND item_id <> '{REDRAW}' AND prob > 0)
+SELECT group_id AS user_id, arg_min(item_id, k) AS event_type FROM race GROUP BY group_id""",
+)
 def weighted_draw(spark, sf_dir):
     """One draw per user from the nucleus-filtered distribution, never the re-drawn item."""
     f = _filtered(spark, sf_dir)

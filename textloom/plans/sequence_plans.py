@@ -8,11 +8,12 @@ from ..constants import END_OF_TEXT_TOKEN as E
 from ..functions import arrays as A
 from ..functions import text as T
 from ..operators import corpus as C
-from ..operators import order as O
 from ..operators import sequence as Q
+from ..operators.order import natural_order
 from .duck import codepoints as d_cp, ids_str as d_ids
 from .registry import register
 from .tables import table
+from .training import placed_texts
 
 TRUNC_L = 64
 
@@ -126,8 +127,7 @@ def collate_batches(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text"
     )
-    # order and shard on the keys first; build the arrays after the range exchange
-    batched = O.training_order(d, COLL_R, COLL_B)
+    batched = placed_texts(d, COLL_R, COLL_B)  # order and shard on the keys; build the arrays afterwards
     ids = batched.withColumn("ids", F.concat(T.codepoints("text"), Q.eod_array())).drop("text")
     # untruncated rows keep an all-ones mask; truncated rows end in 0
     out = Q.collate(Q.map_style_sample(ids, "ids", COLL_L))
@@ -139,7 +139,7 @@ def collate_batches(spark, sf_dir):
 
 PACK_S, PACK_G = 256, 100
 _D_PACK = f"""WITH toks AS (
-  SELECT doc_id // {PACK_G} AS grp, doc_id, u.v AS tok, u.k AS k FROM documents,
+  SELECT pos // {PACK_G} AS grp, doc_id, u.v AS tok, u.k AS k FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents),
     LATERAL (SELECT unnest({d_cp('text')}) AS v, generate_subscripts({d_cp('text')}, 1) AS k) u),
 num AS (SELECT grp, doc_id, k, tok, row_number() OVER (PARTITION BY grp ORDER BY doc_id, k) - 1 AS t,
   count(*) OVER (PARTITION BY grp) AS total FROM toks),
@@ -148,8 +148,11 @@ kept AS (SELECT grp, t // {PACK_S} AS blk, t, tok FROM num
 
 
 def _pack(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), T.codepoints("text").alias("input_ids"))
-    return Q.pack_blocks(d, "input_ids", "idx", PACK_S, group_rows=PACK_G)
+    docs = table(spark, sf_dir, "documents")
+    # groups are consecutive rows: the ids are numbered densely first (they need not be after a filter)
+    pos = natural_order(docs.select(F.col("doc_id").alias("idx"))).select("idx", "pos")
+    d = docs.select(F.col("doc_id").alias("idx"), T.codepoints("text").alias("input_ids")).join(pos, "idx").drop("idx")
+    return Q.pack_blocks(d, "input_ids", "pos", PACK_S, group_rows=PACK_G)
 
 
 @register(

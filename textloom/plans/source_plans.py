@@ -3,8 +3,6 @@ shared checkpoint folder, then read back through the scan under test (S1-S9)."""
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from ..constants import END_OF_TEXT_TOKEN as E
@@ -20,17 +18,40 @@ from .tables import table
 @register(
     "jsonl_scan",
     ids="S1 P1 F11 S6",
-    sql="SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars, true AS has_line FROM documents",
+    sql="""SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars,
+  CAST(row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) - 1 AS BIGINT) AS line_no FROM documents""",
 )
 def jsonl_scan(spark, sf_dir):
+    """Four files of known order, so the line numbers are known too."""
     d = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "jsonl-docs")
-    R.write_jsonl(
-        d.select("doc_id", "text", F.struct(F.col("source").alias("pile_set_name"), F.col("lang").alias("other")).alias("meta")),
-        path,
-    )
+    rows = d.select("doc_id", "text", F.struct(F.col("source").alias("pile_set_name"), F.col("lang").alias("other")).alias("meta"))
+    R.write_jsonl(rows.repartitionById(4, (F.col("doc_id") % 4).cast("int")).sortWithinPartitions("doc_id"), path)
     got = R.read_jsonl(spark, f"{path}/*.json", "text", extra="doc_id bigint")
-    return got.select("doc_id", "text", T.char_length("text").alias("n_chars"), F.col("line_no").isNotNull().alias("has_line"))
+    return got.select("doc_id", "text", T.char_length("text").alias("n_chars"), "line_no")
+
+
+@register(
+    "jsonl_mixed_scan",
+    ids="S1 P1",
+    sql="SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN text ELSE replace(text, chr(10), '') END AS text FROM documents",
+)
+def jsonl_mixed_scan(spark, sf_dir):
+    """One field holds a string in some lines and a list of strings in others; lists are joined."""
+    d = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "jsonl-mixed")
+    as_text = F.to_json(F.struct("doc_id", "text"))
+    as_list = F.to_json(F.struct("doc_id", C.split_lines("text").alias("text")))
+    R.write_text(d.select(F.when(F.col("doc_id") % 2 == 0, as_text).otherwise(as_list).alias("text")), path)
+    return R.read_jsonl(spark, path, "text", numbered=False, extra="doc_id bigint").select("doc_id", "text")
+
+
+@register("json_text_column", ids="S7 P9", sql="SELECT text FROM documents")
+def json_text_column(spark, sf_dir):
+    """A JSON table whose first column, by the order in the file, isn't the first by name."""
+    path = scratch_path(spark, "json-table")
+    R.write_jsonl(table(spark, sf_dir, "documents").select(F.col("text").alias("zeta"), F.col("lang").alias("alpha"), "doc_id"), path)
+    return R.read_text_table(spark, path, "json")
 
 
 @register("jsonl_list_scan", ids="S2 P4", sql="SELECT doc_id, text FROM documents")
@@ -38,7 +59,7 @@ def jsonl_list_scan(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "jsonl-cont")
     R.write_jsonl(d.select("doc_id", C.split_lines("text").alias("cont")), path)
-    got = R.read_jsonl(spark, path, "cont", "array<string>", extra="doc_id bigint")
+    got = R.read_jsonl(spark, path, "cont", "array<string>", numbered=False, extra="doc_id bigint")
     return got.select("doc_id", F.array_join("cont", "\n").alias("text"))
 
 
@@ -78,7 +99,7 @@ def text_column_scan(spark, sf_dir):
     d.select(F.col("text").alias("body"), "doc_id", "lang").write.mode("overwrite").options(
         header="true", escape='"'
     ).csv(path)
-    return R.read_text_table(spark, path, "csv")
+    return R.read_text_table(spark, path, "csv", multi_line=True)
 
 
 @register(
@@ -100,8 +121,7 @@ def text_lines_scan(spark, sf_dir):
     sql="SELECT doc_id AS idx, CAST(length(text) AS BIGINT) AS n_chars FROM documents",
 )
 def cached_index(spark, sf_dir):
-    key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    path = f"{checkpoint_dir(spark)}/length-index-{key}"
+    path = f"{checkpoint_dir(spark)}/length-index-{IX.content_key(table(spark, sf_dir, 'documents'))}"
 
     def build():
         docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), F.array("text").alias("segs"))

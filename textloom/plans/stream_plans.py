@@ -20,8 +20,9 @@ STREAM_L = 128
 def _write_source(spark, sf_dir):
     conv = C.fold_conversations(table(spark, sf_dir, "conversations"))
     src = scratch_path(spark, "stream-src")
-    # several files, so the stream sees more than one arrival
-    R.write_jsonl(conv.select("conv_id", F.col("turns").alias("texts")).repartition(4, "conv_id"), src)
+    # several files of known order, so the stream sees more than one arrival
+    rows = conv.select("conv_id", F.col("turns").alias("texts"))
+    R.write_jsonl(rows.repartitionById(4, (F.col("conv_id") % 4).cast("int")).sortWithinPartitions("conv_id"), src)
     return src
 
 
@@ -53,12 +54,23 @@ def stream_encode(spark, sf_dir):
     return out.select("conv_id", A.ids_to_string("input_ids").alias("input_ids"), F.size("input_ids").cast("bigint").alias("n_tokens"))
 
 
-@register("stream_batches", ids="ST2 O7 O5 Q6")
+STREAM_R, STREAM_B = 2, 4
+
+
+@register(
+    "stream_batches",
+    ids="ST2 O7 O5 Q6",
+    sql=f"""WITH s AS (SELECT conv_id, least(len(ids), {STREAM_L}) AS n FROM {_D_Q3}),
+l AS (SELECT conv_id, n, conv_id % 4 AS file, row_number() OVER (PARTITION BY conv_id % 4 ORDER BY conv_id) - 1 AS line FROM s),
+b AS (SELECT *, line % {STREAM_R} AS rank, line // {STREAM_R} // {STREAM_B} AS batch, line // {STREAM_R} % {STREAM_B} AS slot FROM l)
+SELECT CAST(rank AS BIGINT) AS rank, CAST(batch AS BIGINT) AS batch, CAST(slot AS BIGINT) AS slot, conv_id,
+  CAST(max(n) OVER (PARTITION BY file, rank, batch) AS BIGINT) AS width FROM b""",
+)
 def stream_batches(spark, sf_dir):
     src = _write_source(spark, sf_dir)
     stream = S.conversation_stream(spark, src, max_files_per_trigger=1)
-    enc = S.encode_stream(stream, _ids(F.col("texts")), STREAM_L, key_cols=("conv_id", "file"))
+    enc = S.encode_stream(stream, _ids(F.col("texts")), STREAM_L, key_cols=("conv_id", "file", "block"))
     sink = scratch_path(spark, "stream-batches")
-    S.run_foreach_batch(enc, S.shard_and_batch_per_microbatch(2, 4, sink), scratch_path(spark, "stream-ckpt"))
+    S.run_foreach_batch(enc, S.shard_and_batch_per_microbatch(STREAM_R, STREAM_B, sink), scratch_path(spark, "stream-ckpt"))
     out = spark.read.parquet(sink)
-    return out.select("micro_batch", "rank", "batch", "slot", "conv_id", F.size("input_ids").cast("bigint").alias("width"))
+    return out.select("rank", "batch", "slot", "conv_id", F.size("input_ids").cast("bigint").alias("width"))

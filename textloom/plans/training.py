@@ -14,18 +14,22 @@ from .registry import register
 from .tables import table
 
 
-def gated_documents(docs: DataFrame) -> DataFrame:
-    """P2 gate; keys for ordering (raw length, id) plus the raw text as payload."""
-    return docs.where(T.length_gate("text")).select(
-        F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text"
-    )
+def documents_to_order(docs: DataFrame, *, gate: bool = False) -> DataFrame:
+    """Keys for ordering (raw length, id) and the text; ``gate`` applies P2 (the training read has no gate)."""
+    d = docs.where(T.length_gate("text")) if gate else docs
+    return d.select(F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text")
+
+
+def placed_texts(docs: DataFrame, world_size: int, batch_size: int) -> DataFrame:
+    """O6 on the keys alone; the texts move once, when ranks and batches are joined to them by ``idx``."""
+    placed = O.training_order(docs.select("idx", "n_chars"), world_size, batch_size)
+    return placed.join(docs.select("idx", "text"), "idx")
 
 
 def codepoint_samples(docs: DataFrame, max_len: int | None = DEFAULT_SEQUENCE_LENGTH) -> DataFrame:
     """P3 strip -> ids = code points + end id -> F5 truncation (tokenizer-free samples).
 
-    Applied *after* ordering/sharding in the plans below, so only the raw text
-    crosses the range exchange and the sampling pass stays cheap.
+    Applied after ordering and sharding, on texts that have their place.
     """
     d = docs.withColumn("ids", F.concat(T.codepoints(T.strip("text")), Q.eod_array())).drop("text")
     return Q.map_style_sample(d, "ids", max_len).drop("ids")
@@ -45,12 +49,12 @@ TRAIN_R, TRAIN_B, TRAIN_L = 4, 16, 1024
 
 @register(
     "train_batches",
-    ids="O6 O5 O3 O2 O1 P2 P3 F2 F5",
+    ids="O6 O5 O3 O2 O1 P3 F2 F5",
     sql=f"""
 WITH docs AS (
   SELECT doc_id AS idx, length(text) AS n_chars,
          least(length({d_strip('text')}) + 1, {TRAIN_L}) AS n_tok
-  FROM documents WHERE length(text) BETWEEN 10 AND 20000),
+  FROM documents),
 ordered AS (SELECT idx, n_tok, row_number() OVER (ORDER BY n_chars, idx) - 1 AS pos FROM docs),
 params AS (SELECT count(*) AS n, CAST(ceil(count(*) / {TRAIN_R}.0) AS BIGINT) AS num FROM docs),
 slots AS (SELECT unnest(range(0, num * {TRAIN_R})) AS p, n, num FROM params),
@@ -66,6 +70,5 @@ GROUP BY 1, 2
 )
 def train_batches(spark, sf_dir):
     """Flagship: documents -> code-point samples -> length order -> 4 ranks -> batches of 16."""
-    docs = gated_documents(table(spark, sf_dir, "documents"))
-    batched = O.training_order(docs, TRAIN_R, TRAIN_B, length_col="n_chars", idx_col="idx")
-    return batch_summary(codepoint_samples(batched, TRAIN_L))
+    docs = documents_to_order(table(spark, sf_dir, "documents"))
+    return batch_summary(codepoint_samples(placed_texts(docs, TRAIN_R, TRAIN_B), TRAIN_L))

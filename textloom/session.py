@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -32,25 +33,60 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset *and* the
-    session runs in local mode (tests, laptops) do we create a scratch folder
-    and register it; on a cluster an unset value is an error, because a
-    machine-local folder is not visible to other executors.
+    The setting is read from the session. Where it is unset and the master is plain local mode (one
+    machine by definition), the warehouse folder takes its place; on a cluster an unset value is an
+    error, because a machine-local folder is not visible to other executors.
     """
     sc = spark.sparkContext
     current = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
-    if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a folder shared by the cluster"
-        )
-    path = tempfile.mkdtemp(prefix="textloom-ckpt-", dir=os.environ.get("TEXTLOOM_SCRATCH", "/tmp"))
-    spark.conf.set(_CHECKPOINT_KEY, path)
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
+        current = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/textloom-scratch"
+        spark.conf.set(_CHECKPOINT_KEY, current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
+    return current.rstrip("/")
+
+
+def file_store(path: str):
+    """``(file system, name)`` of a path or URI in the shared store."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:") :].lstrip("/")
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+
+
+def remove_table(path: str) -> None:
+    """Delete a written scratch table that nothing reads any more."""
+    store, name = file_store(path)
+    store.delete_dir(name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the workers, wherever they were started: its sources go to them once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    path = f"{scratch_path(spark, 'package')}/textloom.zip"
+    store, name = file_store(path)
+    store.create_dir(name.rpartition("/")[0], recursive=True)
+    with store.open_output_stream(name, compression=None) as out:
+        out.write(raw.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from .. import __version__
 from ..functions import text as T
 
 
@@ -28,6 +31,13 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def content_key(df: DataFrame, *more) -> str:
+    """A key that changes with the files under ``df`` (paths, sizes, modification times), the package version and ``more``."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    seen = sorted(tuple(map(str, r)) for r in files.collect())  # one row a file
+    return hashlib.sha1(repr((seen, __version__, more)).encode()).hexdigest()[:16]
+
+
 def cached(spark: SparkSession, path: str, build, *, recache: bool = False) -> DataFrame:
     """Read the table at ``path`` if present and ``recache`` is false, else build and write it.
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.position import global_position
+from ..operators.position import scan_line_numbers
 
 COMPRESSED_SUFFIXES = (".gz", ".bz", ".bz2")
 
@@ -21,55 +21,80 @@ def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def check_compressed(paths, reject_compressed: bool) -> None:
-    """Spark reads gz/bz2 natively; ``reject_compressed=True`` restores the refusal."""
+def check_compressed(spark: SparkSession, paths, reject_compressed: bool) -> None:
+    """Spark reads gz/bz2 natively; ``reject_compressed=True`` restores the refusal, also for members of folders and globs."""
     if reject_compressed:
-        bad = [p for p in _paths(paths) if p.endswith(COMPRESSED_SUFFIXES)]
+        bad = [p for p in spark.read.text(_paths(paths)).inputFiles() if p.endswith(COMPRESSED_SUFFIXES)]
         if bad:
-            raise NotImplementedError(f"compressed input refused: {bad}")
+            raise NotImplementedError(f"compressed input refused: {bad[:10]}")
+
+
+def _scan(spark: SparkSession, paths) -> DataFrame:
+    return spark.read.option("lineSep", "\n").text(_paths(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata.file_size").alias("_size"), "value"
+    )
 
 
 def read_lines(spark: SparkSession, paths, *, reject_compressed: bool = False) -> DataFrame:
     """S6 + line numbers: ``(file, line_no, value)`` for every line of every file (globs allowed).
 
-    Splits of one file are ordered by their block start, rows inside a split by
-    scan order; positions are then dense per file.
+    Lines are numbered where they are read (one narrow count of rows per split comes
+    first); no line is shuffled.
     """
-    check_compressed(paths, reject_compressed)
-    raw = spark.read.option("lineSep", "\n").text(_paths(paths)).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-        "value",
-    )
-    return global_position(raw, ["_block", "_mid"], group_cols=["file"], pos_col="line_no").select(
-        "file", "line_no", "value"
-    )
+    check_compressed(spark, paths, reject_compressed)
+    return scan_line_numbers(_scan(spark, paths), "file", "_start").select("file", "line_no", "value")
+
+
+def _strict(kind: str, field: str, want_list: bool) -> Column:
+    """The field of a parsed variant object, failing like the original on anything but a string or a list of strings."""
+    v, name = F.col(kind), field.replace("'", "''")
+    t = F.schema_of_variant(v)
+    wrong = F.raise_error(F.concat(F.lit(f"field {name}: unexpected "), F.coalesce(t, F.lit("absence"))))
+    is_list = t.isin("ARRAY<STRING>", "ARRAY<VOID>")
+    items = F.try_variant_get(v, "$", "array<string>")
+    if want_list:
+        return F.when(is_list, items).otherwise(wrong.cast("array<string>"))
+    return F.when(t == "STRING", F.try_variant_get(v, "$", "string")).when(is_list, F.array_join(items, "")).otherwise(wrong.cast("string"))
 
 
 def parse_jsonl(lines: DataFrame, field: str, field_type: str = "string", *, mode: str = "FAILFAST", extra: str = "") -> DataFrame:
     """Parse each line as a JSON object and keep ``field``.
 
-    ``field_type`` is ``string`` (S1) or ``array<string>`` (S2, S3). With
-    ``mode="FAILFAST"`` a malformed line fails the job like the original; with
-    ``mode="PERMISSIVE"`` it becomes a null. A duplicate key keeps the last value.
-    ``extra`` adds more fields to the schema, e.g. ``"doc_id bigint"``.
+    ``field_type`` is ``string`` (S1; a list of strings is joined without a separator) or ``array<string>``
+    (S2, S3). With ``mode="FAILFAST"`` a malformed or blank line, an absent field and a value of
+    another type fail the job like the original; with ``mode="PERMISSIVE"`` they become nulls. A duplicate key
+    keeps the last value. ``extra`` adds more fields to the schema, e.g. ``"doc_id bigint"``.
     """
-    schema = f"`{field}` {field_type}" + (f", {extra}" if extra else "")
-    parsed = lines.withColumn("_j", F.from_json("value", schema, {"mode": mode}))
+    if field_type not in ("string", "array<string>"):
+        raise ValueError("field_type must be string or array<string>")
+    want_list, strict = field_type != "string", mode.upper() == "FAILFAST"
+    schema = f"`{field}` variant" + (f", {extra}" if extra else "")
     extras = [f.strip().split()[0] for f in extra.split(",") if f.strip()] if extra else []
+    parsed = lines.withColumn("_j", F.from_json("value", schema, {"mode": mode})).withColumn("_v", F.col(f"_j.`{field}`"))
+    if strict:
+        value = F.when(F.trim("value") == "", F.raise_error(F.lit("blank line")).cast(field_type)).otherwise(_strict("_v", field, want_list))
+    elif want_list:
+        value = F.try_variant_get("_v", "$", "array<string>")
+    else:
+        t = F.schema_of_variant("_v")
+        value = F.when(t == "STRING", F.try_variant_get("_v", "$", "string")).when(t.isin("ARRAY<STRING>", "ARRAY<VOID>"), F.array_join(F.try_variant_get("_v", "$", "array<string>"), ""))
     return parsed.select(
         *[c for c in lines.columns if c != "value"],
-        F.col(f"_j.`{field}`").alias(field),
+        value.alias(field),
         *[F.col(f"_j.`{e}`").alias(e) for e in extras],
     )
 
 
-def read_jsonl(spark: SparkSession, paths, field: str, field_type: str = "string", **kw) -> DataFrame:
-    """JSONL scan keeping one field, with file and line number."""
+def read_jsonl(spark: SparkSession, paths, field: str, field_type: str = "string", *, numbered: bool = True, **kw) -> DataFrame:
+    """JSONL scan keeping one field, with file and line number (``numbered=False`` leaves the number out)."""
     extra = kw.pop("extra", "")
     mode = kw.pop("mode", "FAILFAST")
-    return parse_jsonl(read_lines(spark, paths, **kw), field, field_type, mode=mode, extra=extra)
+    if numbered:
+        lines = read_lines(spark, paths, **kw)
+    else:
+        check_compressed(spark, paths, kw.get("reject_compressed", False))
+        lines = _scan(spark, paths).select("file", "value")
+    return parse_jsonl(lines, field, field_type, mode=mode, extra=extra)
 
 
 def read_wholefile_json(spark: SparkSession, paths, *, wrapped: bool = False, field: str = "texts", reject_compressed: bool = False) -> DataFrame:
@@ -79,7 +104,7 @@ def read_wholefile_json(spark: SparkSession, paths, *, wrapped: bool = False, fi
     element 0 is a list of ``{field: [...]}`` objects; other elements are ignored.
     One file is one JSON value, so a file is parsed by one task (as the format requires).
     """
-    check_compressed(paths, reject_compressed)
+    check_compressed(spark, paths, reject_compressed)
     raw = spark.read.text(_paths(paths), wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), "value"
     )
@@ -91,29 +116,48 @@ def read_wholefile_json(spark: SparkSession, paths, *, wrapped: bool = False, fi
     return raw.select("file", F.posexplode(items).alias("conv_no", "turns"))
 
 
-def read_text_table(spark: SparkSession, paths, extension: str, *, keep_linebreaks: bool = True, csv_options: dict | None = None) -> DataFrame:
+def _with_breaks(scan: DataFrame) -> DataFrame:
+    """Lines with the line breaks they have in their files: a file's last line may have none.
+
+    A narrow pass adds up the bytes of every split; a file one byte shorter than its lines with
+    breaks lacks the last one. One row per such file is broadcast.
+    """
+    numbered = scan.withColumn("_mid", F.monotonically_increasing_id())
+    splits = numbered.groupBy("file", "_start").agg(F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_mid").alias("_last"), F.max("_size").alias("_size"))
+    open_files = splits.groupBy("file").agg(F.sum("_bytes").alias("_bytes"), F.max("_size").alias("_size"), F.max(F.struct("_start", "_last")).alias("_end"))
+    ends = open_files.where(F.col("_bytes") == F.col("_size") + 1).select(F.col("file").alias("_file"), F.col("_end._start").alias("_s"), F.col("_end._last").alias("_l"))
+    j = numbered.join(F.broadcast(ends), (F.col("file") == F.col("_file")) & (F.col("_start") == F.col("_s")) & (F.col("_mid") == F.col("_l")), "left")
+    return j.select(F.when(F.col("_file").isNull(), F.concat("value", F.lit("\n"))).otherwise(F.col("value")).alias("text"))
+
+
+def read_text_table(spark: SparkSession, paths, extension: str, *, keep_linebreaks: bool = True, multi_line: bool = False, csv_options: dict | None = None) -> DataFrame:
     """S7 + P9: CSV / JSON / TXT table reduced to its text column, named ``text``.
 
-    The text column is ``text`` if present, else the first column; the other
-    columns are dropped. TXT keeps one row per line; with ``keep_linebreaks``
-    each line keeps its line break (every line written by a line writer has one).
+    The text column is ``text`` if present, else the first column in the file's own order; the other
+    columns are dropped. JSON tables are lines of objects; their columns are the keys of the first object, so
+    nothing is inferred over the data. TXT keeps one row per line; with ``keep_linebreaks`` each line keeps
+    its line break, as far as it has one. CSV files are split unless ``multi_line`` allows
+    line breaks inside quoted values.
     """
     if extension not in ("csv", "json", "txt"):
         raise ValueError("extension must be csv, json or txt")
     p = _paths(paths)
     if extension == "txt":
-        df = spark.read.option("lineSep", "\n").text(p).withColumnRenamed("value", "text")
-        if keep_linebreaks:
-            df = df.withColumn("text", F.concat("text", F.lit("\n")))
-        return df.select("text")
+        scan = _scan(spark, p)
+        return _with_breaks(scan) if keep_linebreaks else scan.select(F.col("value").alias("text"))
     if extension == "csv":
-        opts = {"header": "true", "multiLine": "true", "escape": '"'}
+        opts = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"'}
         opts.update(csv_options or {})
         df = spark.read.options(**opts).csv(p)
-    else:
-        df = spark.read.json(p)
-    col = "text" if "text" in df.columns else df.columns[0]
-    return df.select(F.col(col).alias("text"))
+        col = "text" if "text" in df.columns else df.columns[0]
+        return df.select(F.col(f"`{col}`").alias("text"))
+    lines = spark.read.option("lineSep", "\n").text(p).where(F.trim("value") != "")
+    first = lines.select(F.json_object_keys("value").alias("k")).first()
+    keys = list(first["k"] or []) if first else []
+    if not keys:
+        return lines.select(F.lit(None).cast("string").alias("text")).where(F.lit(False))
+    col = "text" if "text" in keys else keys[0]
+    return lines.select(F.from_json("value", f"`{col}` string", {"mode": "FAILFAST"})[col].alias("text"))
 
 
 def write_text(df: DataFrame, path: str, col: str = "text") -> None:

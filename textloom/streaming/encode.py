@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import order as O
 from ..operators import sequence as Q
-from ..operators.position import global_position
+from ..operators.position import scan_line_numbers
 
 
 def conversation_stream(spark: SparkSession, src_dir: str, *, schema: str = "conv_id bigint, texts array<string>", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -25,7 +25,7 @@ def conversation_stream(spark: SparkSession, src_dir: str, *, schema: str = "con
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.json(src_dir).withColumn("file", F.col("_metadata.file_path"))
+    return r.json(src_dir).withColumns({"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start")})
 
 
 def encode_stream(stream: DataFrame, ids: Column, max_len: int | None, key_cols=("conv_id",)) -> DataFrame:
@@ -34,7 +34,17 @@ def encode_stream(stream: DataFrame, ids: Column, max_len: int | None, key_cols=
     return Q.iterable_sample(s, "ids", max_len).drop("ids")
 
 
-def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, *, timeout_s: int = 600) -> None:
+def _wait(q, timeout_s: float | None) -> None:
+    """Wait for a query to end: without a limit unless the caller sets one."""
+    if timeout_s is None:
+        q.awaitTermination()  # raises what ended the query
+        return
+    if not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError("stream did not finish")
+
+
+def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, *, timeout_s: float | None = None) -> None:
     """Append to a parquet sink with an ``availableNow`` trigger and wait for it.
 
     The checkpoint location makes the sink exactly-once across restarts.
@@ -47,12 +57,7 @@ def run_to_parquet(df: DataFrame, sink: str, checkpoint: str, *, timeout_s: int
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
-    if q.exception():
-        raise q.exception()
+    _wait(q, timeout_s)
 
 
 def shard_and_batch_per_microbatch(
@@ -60,10 +65,11 @@ def shard_and_batch_per_microbatch(
 ) -> Callable[[DataFrame, int], None]:
     """ST2: a ``foreachBatch`` function - line numbers per file, strided ranks (O7),
     batches per rank (O5, last short batch kept), padding (Q6); appended to ``sink``
-    with the micro-batch id, so a replayed micro-batch overwrites nothing twice."""
+    with the micro-batch id, so a replayed micro-batch overwrites nothing twice.
+    Lines are numbered by their place in the file (columns ``file`` and ``block`` of the source)."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        lines = global_position(batch, [F.col("conv_id")], group_cols=["file"], pos_col="line_no")
+        lines = scan_line_numbers(batch, "file", "block", "line_no")
         sh = O.line_shard(lines, world_size)
         b = sh.withColumn("batch", F.floor(F.col("step") / batch_size).cast("bigint")).withColumn(
             "slot", (F.col("step") % batch_size).cast("bigint")
@@ -80,11 +86,6 @@ def shard_and_batch_per_microbatch(
     return run
 
 
-def run_foreach_batch(df: DataFrame, fn, checkpoint: str, *, timeout_s: int = 600) -> None:
+def run_foreach_batch(df: DataFrame, fn, checkpoint: str, *, timeout_s: float | None = None) -> None:
     q = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
-    if q.exception():
-        raise q.exception()
+    _wait(q, timeout_s)
