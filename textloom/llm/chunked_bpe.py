@@ -124,7 +124,7 @@ class ByteBPE:
         return (np.concatenate(lists) if lists else np.zeros(0, np.int32)), np.concatenate([[0], np.cumsum(sizes)])
 
     def decode(self, ids: np.ndarray) -> str:
-        ids = np.asarray(ids)
+        ids = np.asarray(ids, np.int64)
         ids = ids[(ids >= 0) & (ids < len(self.sizes))]
         return self.bytes[ragged(self.starts[ids], self.sizes[ids])].tobytes().decode("utf-8", "replace")
 

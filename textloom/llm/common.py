@@ -10,7 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_M64 = (1 << 64) - 1
+from ..session import file_store
+
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
@@ -150,9 +151,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def put_file(path: str, chunks) -> int:
     """Write byte chunks to a file of the shared store named by a URI or a path; returns its size."""
-    from pyarrow import fs
-
-    store, name = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    store, name = file_store(path)
     store.create_dir(name.rpartition("/")[0], recursive=True)
     size = 0
     with store.open_output_stream(name, compression=None) as out:
@@ -164,7 +163,5 @@ def put_file(path: str, chunks) -> int:
 
 def open_file(path: str):
     """A random-access file of the shared store."""
-    from pyarrow import fs
-
-    store, name = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    store, name = file_store(path)
     return store.open_input_file(name)

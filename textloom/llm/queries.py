@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import chunked_bpe, direct_codes, fm_index, language_profiles, pii_bootstrap, preferences, prefix_hash, shingle_rtree, token_counts, warc_dictionary
 from .oracles import ORACLES
 
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
