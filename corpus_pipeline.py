@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import chunked_bpe, fm_index, language_profiles, pii_bootstrap, shingle_rtree
-from textloom.session import materialize
+from textloom.session import materialize, ship_package
 
 #: Clean texts of the learned languages score 0.4 and more, also very short ones; other scripts and encoded junk about 0.
 LEAST_SCORE = 0.2
@@ -23,23 +23,28 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return language_profiles.keep_known_languages(docs, language_profiles.learn_profiles(docs), LEAST_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return shingle_rtree.keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return _with_length(fm_index.remove_contamination(docs, benchmark))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return _with_length(pii_bootstrap.mask_personal_data(docs))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
     return chunked_bpe.encode_documents(docs, path).withColumn("n_tokens", F.size("ids").cast("long"))
 
