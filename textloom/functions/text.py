@@ -93,17 +93,18 @@ def fold_ordered(parts, order_field: str, value_field: str, sep: str) -> Column:
     )
 
 
-def clean_generated(text, prefix=None) -> Column:
+def clean_generated(text, prefix=None, *, keep_if_absent: bool = False) -> Column:
     """prefix + text, drop U+0020, cut before the last full-width comma.
 
-    With no full-width comma the last character is dropped (a ``[:-1]`` slice).
+    With no full-width comma the last character is dropped (a ``[:-1]`` slice), or the text is kept
+    whole with ``keep_if_absent``.
     """
     t = _col(text) if prefix is None else F.concat(_col(prefix), _col(text))
     r = F.replace(t, F.lit(" "), F.lit(""))
     comma = "\uff0c"
     return F.when(
         F.instr(r, comma) > 0, F.regexp_extract(r, "(?s)^(.*)" + comma, 1)
-    ).otherwise(F.regexp_replace(r, "(?s).\\z", ""))
+    ).otherwise(r if keep_if_absent else F.regexp_replace(r, "(?s).\\z", ""))
 
 
 def codepoints(c) -> Column:

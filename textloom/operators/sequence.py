@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import EOD_ID, LABEL_PAD_ID, PACK_GROUP_ROWS, PAD_ID
+from ..constants import DEFAULT_SEQUENCE_LENGTH, EOD_ID, LABEL_PAD_ID, PACK_GROUP_ROWS, PAD_ID
 from ..functions import arrays as A
 
 
@@ -61,6 +61,17 @@ def collate(
     return out
 
 
+def collate_five(df: DataFrame, group_cols=("rank", "batch")) -> DataFrame:
+    """Q6: the iterable loader's five arrays are padded together, three of them are returned."""
+    five = {"input_ids": PAD_ID, "position_ids": PAD_ID, "token_type_ids": PAD_ID, "attention_mask": PAD_ID, "labels": LABEL_PAD_ID}
+    return collate(df, group_cols, pad_cols=five).drop("position_ids", "token_type_ids")
+
+
+def block_size(requested: int | None, model_max: int) -> int:
+    """Q7: tokens in a packed block - the request, not beyond the model; 1,024 at most where none is made."""
+    return min(model_max, DEFAULT_SEQUENCE_LENGTH if requested is None else requested)
+
+
 def pack_blocks(
     df: DataFrame,
     ids_col: str,

@@ -8,6 +8,7 @@ from ..constants import STRIP_CHARS
 from ..functions import arrays as A
 from ..functions import text as T
 from ..operators import bpe as B
+from ..operators import corpus as C
 from ..operators import pretoken as P
 from ..operators import sequence as Q
 from ..session import checkpoint_dir
@@ -42,11 +43,12 @@ def pretoken_histogram(spark, sf_dir):
 
 
 def trained_model(spark, sf_dir, vocab_size: int = BPE_VOCAB, *, recache: bool = False) -> B.BpeModel:
-    """S9 + S11: load the model for this corpus from the shared folder, or learn and save it."""
-    path = f"{checkpoint_dir(spark)}/bpe-model-{content_key(table(spark, sf_dir, 'documents'), vocab_size)}"
+    """S9 + S11: load the model for this corpus (U3: documents and folded conversations) from the shared folder, or learn and save it."""
+    path = f"{checkpoint_dir(spark)}/bpe-model-{content_key(table(spark, sf_dir, 'documents'), vocab_size, content_key(table(spark, sf_dir, 'conversations')))}"
     if not recache and read_if_present(spark, f"{path}/merges") is not None:
         return B.BpeModel.load(spark, path)
-    model = B.learn_bpe(table(spark, sf_dir, "documents").select("text"), vocab_size)
+    conversations = C.fold_conversations(table(spark, sf_dir, "conversations"), sep="\n")
+    model = B.learn_bpe(C.tokenizer_corpus([table(spark, sf_dir, "documents"), conversations]), vocab_size)
     model.save(spark, path)
     return model
 

@@ -46,7 +46,7 @@ _D_TOKENS = f"""(SELECT lang, doc_id, u.c, u.k FROM documents,
 
 @register(
     "next_token_accuracy",
-    ids="A4 X5",
+    ids="A4",
     sql=f"""SELECT lang, CAST(sum(CASE WHEN nxt = c THEN 1 ELSE 0 END) AS BIGINT) AS hits, CAST(count(nxt) AS BIGINT) AS n_pred,
   round(sum(CASE WHEN nxt = c THEN 1 ELSE 0 END) / count(nxt), 6) AS accuracy
 FROM (SELECT lang, c, lead(c) OVER (PARTITION BY doc_id ORDER BY k) AS nxt FROM {_D_TOKENS}) GROUP BY lang""",

@@ -8,8 +8,11 @@ from ..constants import END_OF_TEXT_TOKEN as E
 from ..functions import arrays as A
 from ..functions import text as T
 from ..operators import corpus as C
+from ..operators import samples as SB
 from ..operators import sequence as Q
 from ..operators.order import natural_order
+from ..session import scratch_path
+from ..sources import readers as R
 from .duck import codepoints as d_cp, ids_str as d_ids
 from .registry import register
 from .tables import table
@@ -93,13 +96,13 @@ def sample_columns(spark, sf_dir):
 
 @register(
     "raw_text_samples",
-    ids="Q9 Q3 X1",
+    ids="Q9",
     sql=f"""SELECT doc_id AS idx, array_to_string(string_split(text, chr(10)), '{E}') AS text FROM documents""",
 )
 def raw_text_samples(spark, sf_dir):
     """Q9: segments joined by the end token, no trailing token, tokenizer = None -> raw text."""
     d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("idx"), T.join_segments(C.split_lines("text"), E).alias("text"))
+    return SB.raw_text_samples(d.select(F.col("doc_id").alias("idx"), C.split_lines("text").alias("segs")), "idx", "segs")
 
 
 COLL_R, COLL_B, COLL_L = 4, 16, 64
@@ -137,7 +140,92 @@ def collate_batches(spark, sf_dir):
     )
 
 
-PACK_S, PACK_G = 256, 100
+# the five columns of an iterable sample, padded together
+_D_FIVE = f"""WITH docs AS (SELECT doc_id AS idx, CAST(length(text) AS BIGINT) AS n_chars, {_d_trunc('r', COLL_L)} AS ids, {_d_mask('r', COLL_L, 1)} AS mask
+  FROM (SELECT *, list_concat({d_cp('text')}, [CAST(1 AS BIGINT)]) AS r FROM documents)),
+ordered AS (SELECT *, row_number() OVER (ORDER BY n_chars, idx) - 1 AS pos FROM docs),
+params AS (SELECT count(*) AS n, CAST(ceil(count(*) / {COLL_R}.0) AS BIGINT) AS num FROM docs),
+slots AS (SELECT unnest(range(0, num * {COLL_R})) AS p, n, num FROM params),
+placed AS (SELECT p % {COLL_R} AS rank, (p // {COLL_R}) // {COLL_B} AS batch, (p // {COLL_R}) % {COLL_B} AS slot, num, o.* FROM slots JOIN ordered o ON o.pos = slots.p % slots.n),
+kept AS (SELECT *, max(len(ids)) OVER (PARTITION BY rank, batch) AS w FROM placed WHERE batch < num // {COLL_B})"""
+
+
+@register(
+    "collate_five_columns",
+    ids="Q6 Q5 A7 F6 F8",
+    sql=_D_FIVE + f"""
+SELECT CAST(rank AS BIGINT) AS rank, CAST(batch AS BIGINT) AS batch, CAST(slot AS BIGINT) AS slot, idx,
+  {d_ids('list_resize(ids, w, 0)')} AS input_ids, {d_ids('list_resize(mask, w, 0)')} AS attention_mask, {d_ids('list_resize(ids, w, -100)')} AS labels
+FROM kept""",
+)
+def collate_five_columns(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text")
+    ids = placed_texts(d, COLL_R, COLL_B).withColumn("ids", F.concat(T.codepoints("text"), Q.eod_array())).drop("text")
+    out = Q.collate_five(Q.iterable_sample(ids, "ids", COLL_L))
+    return out.select("rank", "batch", "slot", "idx", *[A.ids_to_string(c).alias(c) for c in ("input_ids", "attention_mask", "labels")])
+
+
+@register(
+    "raw_text_batches",
+    ids="Q9 O6 O5",
+    sql=_D_FIVE + """
+SELECT CAST(rank AS BIGINT) AS rank, CAST(batch AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS n_texts, md5(string_agg(text, chr(0) ORDER BY slot)) AS texts_md5
+FROM kept JOIN documents ON doc_id = idx GROUP BY rank, batch""",
+)
+def raw_text_batches(spark, sf_dir):
+    """Batches of the texts themselves, in slot order (their digest stands for them here)."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text")
+    b = Q.raw_text_batches(placed_texts(d, COLL_R, COLL_B))
+    return b.select("rank", "batch", F.size("texts").cast("bigint").alias("n_texts"), F.md5(F.array_join("texts", "\0")).alias("texts_md5"))
+
+
+BUILD_L = 96
+_D_CONV = "(SELECT conv_id, list(text ORDER BY turn) AS segs FROM conversations GROUP BY conv_id)"
+_D_SEGS = "(SELECT doc_id, string_split(text, chr(10)) AS segs FROM documents)"
+
+
+def _d_sample(key: str, text: str, source: str, tail: int) -> str:
+    return f"""SELECT {key}, {d_ids(_d_trunc('ids', BUILD_L))} AS input_ids, {d_ids(_d_mask('ids', BUILD_L, tail))} AS attention_mask
+FROM (SELECT {key}, {d_cp('t')} AS ids FROM (SELECT {key}, {text} AS t FROM {source}))"""
+
+
+def _sample_out(s, key: str):
+    return s.select(key, *[A.ids_to_string(c).alias(c) for c in ("input_ids", "attention_mask")])
+
+
+@register("map_style_builder", ids="Q1 F5", sql=_d_sample("doc_id", f"array_to_string(segs, '') || '{E}'", _D_SEGS, 0))
+def map_style_builder(spark, sf_dir):
+    """Q1 by its builder: segments joined, the end token as text, code points for a vocabulary."""
+    d = table(spark, sf_dir, "documents").select("doc_id", C.split_lines("text").alias("segs"))
+    return _sample_out(SB.map_style_samples(d, "doc_id", "segs", T.codepoints, BUILD_L), "doc_id")
+
+
+@register(
+    "iterable_builder", ids="Q2 P4 F6",
+    sql=_d_sample("doc_id", f"array_to_string(list_filter(segs, lambda s: length(s) > 1), '{E}') || '{E}'", _D_SEGS, 1),
+)
+def iterable_builder(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", C.split_lines("text").alias("segs"))
+    return _sample_out(SB.iterable_samples(d, "doc_id", "segs", T.codepoints, BUILD_L), "doc_id")
+
+
+@register("conversation_builder", ids="Q3 S3 F6", sql=_d_sample("conv_id", f"array_to_string(segs, '{E}')", _D_CONV, 1))
+def conversation_builder(spark, sf_dir):
+    """Q3 from conversations written as JSON lines and read back."""
+    conv = C.fold_conversations(table(spark, sf_dir, "conversations"))
+    path = scratch_path(spark, "jsonl-conv")
+    R.write_jsonl(conv.select("conv_id", F.col("turns").alias("texts")), path)
+    read = R.read_jsonl(spark, path, "texts", "array<string>", numbered=False, extra="conv_id bigint")
+    return _sample_out(SB.conversation_samples(read, "conv_id", "texts", T.codepoints, BUILD_L, trailing_end=False), "conv_id")
+
+
+@register("conversation_map_builder", ids="Q4 F5", sql=_d_sample("conv_id", f"array_to_string(segs, '{E}') || '{E}'", _D_CONV, 0))
+def conversation_map_builder(spark, sf_dir):
+    conv = C.fold_conversations(table(spark, sf_dir, "conversations"))
+    return _sample_out(SB.conversation_samples(conv, "conv_id", "turns", T.codepoints, BUILD_L, trailing_end=True), "conv_id")
+
+
+PACK_S, PACK_G = Q.block_size(256, 2048), 100
 _D_PACK = f"""WITH toks AS (
   SELECT pos // {PACK_G} AS grp, doc_id, u.v AS tok, u.k AS k FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents),
     LATERAL (SELECT unnest({d_cp('text')}) AS v, generate_subscripts({d_cp('text')}, 1) AS k) u),
@@ -157,7 +245,7 @@ def _pack(spark, sf_dir):
 
 @register(
     "pack_blocks",
-    ids="Q7 X3",
+    ids="Q7",
     sql=_D_PACK + """
 SELECT CAST(grp AS BIGINT) AS grp, CAST(blk AS BIGINT) AS blk,
   string_agg(CAST(tok AS VARCHAR), ',' ORDER BY t) AS input_ids, CAST(count(*) AS BIGINT) AS n_tokens

@@ -73,7 +73,7 @@ def _conv_files(spark, sf_dir, wrapped: bool):
 
 @register(
     "wholefile_json_scan",
-    ids="S4 F1 Q3",
+    ids="S4 F1",
     sql=f"SELECT string_agg(text, '{E}' ORDER BY turn) AS text, CAST(count(*) AS BIGINT) AS n_turns FROM conversations GROUP BY conv_id",
 )
 def wholefile_json_scan(spark, sf_dir):

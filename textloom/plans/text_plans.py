@@ -107,7 +107,7 @@ def ascii_words(spark, sf_dir):
 
 @register(
     "conversation_fold",
-    ids="F1 F2 S3 Q4",
+    ids="F1 F2",
     sql=f"""SELECT conv_id, string_agg(text, '{E}' ORDER BY turn) || '{E}' AS text, CAST(count(*) AS BIGINT) AS n_turns
 FROM conversations GROUP BY conv_id""",
 )
