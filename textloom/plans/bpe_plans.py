@@ -16,8 +16,8 @@ from ..sources.index import content_key, read_if_present
 from .registry import register
 from .tables import table
 
-#: Tokens the registered queries learn; rounds are sequential jobs, so the operator's default of 25,000 takes hours at this size (README).
-BPE_VOCAB = 1000
+#: Tokens the registered queries learn; rounds are sequential jobs, so the operator's default of 25,000 takes many more of them (README).
+BPE_VOCAB = 600
 
 _RE2_WS = "".join(f"\\x{{{ord(c):X}}}" for c in STRIP_CHARS if c not in "\x1c\x1d\x1e\x1f")
 _RE2_PRETOKEN = f"'s|'t|'re|'ve|'m|'ll|'d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{_RE2_WS}\\p{{L}}\\p{{N}}]+"

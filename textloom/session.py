@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
 import uuid
@@ -89,9 +90,30 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one written table."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared checkpoint folder for one written table.
+
+    It lives as long as the application: results are lazy and read it, so it is removed when the
+    driver's interpreter ends, or before by :func:`remove_scratch`.
+    """
+    if not _SCRATCH:
+        atexit.register(remove_scratch)
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch() -> None:
+    """Delete all scratch tables of this application; nothing that was built from them can be read afterwards."""
+    from pyarrow import fs
+
+    while _SCRATCH:
+        store, name = file_store(_SCRATCH.pop())
+        if store.get_file_info(name).type != fs.FileType.NotFound:
+            store.delete_dir(name)
 
 
 def materialize(df, name: str):
