@@ -10,12 +10,14 @@ are searched, equal sets are one class from the start.
   around arbitrary points can't be told apart. The tree is therefore rooted in cells: a set
   enters the cells of its ``n - ceil(0.8 n) + 1`` rarest shingles (rare by a fixed-size sketch
   of counts over all documents), and sets that link share a cell.
-* Contraction: in every cell neighbours by size, and each set and the cell's smallest, are
-  verified first. Their links already join large groups of copies, so no group is paired out.
-* Tree: cells that still hold several components are packed into pages of ``PAGE`` points
-  (sorted by component and size) with the largest coordinate of each group. Page pairs whose
-  summed coordinate minima can't reach the needed overlap are dropped, then point pairs,
-  and the exact sets of the surviving pairs decide.
+* Contraction: in every cell neighbours by size, and each set and the cell's smallest in ``CONTRACT_CELLS`` cells, are
+  verified first, then each set and the cell's set of most links (``CONTRACT_ROUNDS`` times). Their
+  links already join large groups of copies, so no group is paired out.
+* Tree: cells that still hold several components. One of up to ``PAGE`` members is a leaf; a larger
+  one is packed into pages of ``PAGE`` points (sorted by component and size) with the largest
+  coordinate of each group, and page pairs whose summed coordinate minima can't reach the needed
+  overlap are dropped. Pairs of members must fit by size and by the places of the cell among their
+  rarest shingles, then by the summed minima of their points; the exact sets of the survivors decide.
 
 Defined results: null text, texts without words: empty set, linked with nothing, component
 is the document itself. Fewer than five words: the whole sequence is the one shingle. Repeated
@@ -36,9 +38,11 @@ from .components import connected_components
 
 SHINGLE = 5
 PERCENT = 80
-GROUPS = 64
+GROUPS = 256
 SKETCH_BITS = 20
 PAGE = 256
+CONTRACT_CELLS = 3
+CONTRACT_ROUNDS = 2
 FILTER_BITS = 24
 
 
@@ -82,6 +86,16 @@ def _class_of(s: np.ndarray) -> int:
     return int(mix64(total + np.array([len(s)], np.uint64)).view(np.int64)[0])
 
 
+def _point(s: np.ndarray) -> bytes:
+    """The counts of a set's shingles in the groups, one, two or four bytes each as the largest needs."""
+    counts = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    return counts.astype("<u1" if counts.max() < 1 << 8 else "<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _coordinates(points: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(p, f"<u{len(p) // GROUPS}").astype(np.uint32) for p in points])
+
+
 def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
     """Rarity level (0..255) of every hash group, from counts over all sets; its size doesn't depend on the data.
 
@@ -125,94 +139,110 @@ def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
 
 
 def _index(docs: DataFrame, levels, bits: int) -> DataFrame:
-    """``(doc_id, n, cls, cells)``: set size, class, and the keys of the rarest shingles (empty where a task saw the class before)."""
+    """``(doc_id, n, cls, cells, point)``: set size, class, the keys of the rarest shingles (null where a task saw the class before), group counts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         seen, level = set(), levels.value
         for b in small_batches(batches, "text"):
-            ns, cs, cells = [], [], []
+            ns, cs, cells, points = [], [], [], []
             for s in shingle_sets(b.column("text")):
                 ns.append(len(s))
                 if not len(s):
                     cs.append(None)
                     cells.append(None)
+                    points.append(None)
                     continue
                 c = _class_of(s)
                 cs.append(c)
+                points.append(_point(s))
                 if c in seen:
                     cells.append(None)
                     continue
                 seen.add(c)
                 key = (level[(s >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
                 take = len(s) - (PERCENT * len(s) + 99) // 100 + 1
-                cells.append((np.partition(key, take - 1)[:take] if take < len(key) else key).view(np.int64))
+                cells.append(np.sort(np.partition(key, take - 1)[:take] if take < len(key) else key).view(np.int64))
             lengths = np.array([0 if x is None else len(x) for x in cells])
             flat = np.concatenate([x for x in cells if x is not None]) if lengths.any() else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), lists], names=["doc_id", "n", "cls", "cells"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), lists, pa.array(points, pa.binary())], names=["doc_id", "n", "cls", "cells", "point"])
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, n long, cls long, cells array<long>")
+    return docs.mapInArrow(run, f"doc_id {id_type}, n long, cls long, cells array<long>, point binary")
+
+
+#: Whether two members can still reach the needed overlap if this cell is their first common one (it is for some cell of every link).
+_REACH = f"(1 + least(n - pos, {{0}}.n - {{0}}.pos) - 1) * {100 + PERCENT} >= (n + {{0}}.n) * {PERCENT}"
 
 
 def _neighbours(index: DataFrame) -> DataFrame:
-    """Members of cells with several classes, each with its neighbour by size and the smallest of the cell."""
-    posts = index.select("n", "cls", F.explode("cells").alias("cell"))
+    """Members of cells with several classes, each with its neighbour by size and the smallest of the cell; ``pos``: the cell's place among the set's rarest."""
+    posts = index.select("n", "cls", F.posexplode("cells").alias("pos", "cell"))
     by = "PARTITION BY cell ORDER BY n, cls"
     ranked = posts.selectExpr(
-        "cell", "n", "cls", f"lag(struct(cls, n)) OVER ({by}) AS before",
-        f"first(struct(cls, n)) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS least",
+        "cell", "n", "cls", "pos", f"lag(struct(cls, n, pos)) OVER ({by}) AS before",
+        f"first(struct(cls, n, pos)) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS least",
         f"last(cls) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS largest",
     )
     # copies of a class from several tasks stand next to each other: only the first counts
-    return ranked.filter("least.cls != largest AND (before IS NULL OR before.cls != cls)").select("cell", "n", "cls", "before", "least")
+    return ranked.filter("least.cls != largest AND (before IS NULL OR before.cls != cls)").select("cell", "n", "cls", "pos", "before", "least")
 
 
-def _pairs(members: DataFrame) -> DataFrame:
+def _pairs(members: DataFrame, looks: int = CONTRACT_CELLS) -> DataFrame:
+    """Pairs that are tried first: of each set with its neighbour and with the smallest set, in the ``looks`` cells with the least hashes.
+
+    Copies of one text agree on these cells, so a large group falls into few components; the pairs are at most
+    ``2 * looks`` a set. Which pairs these are only matters for how much is left to the tree.
+    """
     out = None
     for other in ("before", "least"):
-        p = members.filter(f"{other}.cls != cls AND 100 * {other}.n >= {PERCENT} * n").select(F.least("cls", f"{other}.cls").alias("a"), F.greatest("cls", f"{other}.cls").alias("b"))
+        near = members.filter(f"{other}.cls != cls AND 100 * {other}.n >= {PERCENT} * n AND " + _REACH.format(other))
+        picks = [F.min(F.struct(F.xxhash64(F.lit(k), "cell").alias("h"), F.col(f"{other}.cls").alias("o"))).alias(f"p{k}") for k in range(looks)]
+        p = near.groupBy("cls").agg(*picks).select("cls", F.explode(F.array(*[f"p{k}" for k in range(looks)])).alias("p"))
+        p = p.select(F.least("cls", "p.o").alias("a"), F.greatest("cls", "p.o").alias("b"))
         out = p if out is None else out.unionByName(p)
     return out.distinct()
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members ``(cell, n, cls, pos, comp, large)`` of the cells that still hold several components."""
+    comp = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cell", "n", "cls", "pos", F.coalesce("root", "cls").alias("comp"))
+    cells = comp.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("m")).filter("x != y").select("cell", (F.col("m") > PAGE).alias("large"))
+    return materialize(comp.join(cells, "cell"), "shingle-mixed")
+
+
+def _hub_pairs(mixed: DataFrame, links: DataFrame, looks: int = CONTRACT_CELLS) -> DataFrame:
+    """Pairs of each set with the cell's set of most links so far, where that is of another component (``looks`` cells a set)."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    hub = "first(struct(cls, n, pos, comp)) OVER (PARTITION BY cell ORDER BY links DESC NULLS LAST, n, cls ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hub"
+    near = mixed.join(degree, "cls", "left").selectExpr("cell", "n", "cls", "pos", "comp", hub)
+    near = near.filter(f"hub.comp != comp AND 100 * least(n, hub.n) >= {PERCENT} * greatest(n, hub.n) AND " + _REACH.format("hub"))
+    picks = [F.min(F.struct(F.xxhash64(F.lit(k), "cell").alias("h"), F.col("hub.cls").alias("o"))).alias(f"p{k}") for k in range(looks)]
+    p = near.groupBy("cls").agg(*picks).select("cls", F.explode(F.array(*[f"p{k}" for k in range(looks)])).alias("p"))
+    return p.select(F.least("cls", "p.o").alias("a"), F.greatest("cls", "p.o").alias("b")).distinct()
+
+
 def _id_filter(ids: DataFrame, bits: int) -> np.ndarray:
-    """A fixed-size bitmap (2**bits bits) of hashed ids: rows outside it need not be read closer."""
+    """A fixed-size bitmap (2**bits bits) of hashed ids: rows outside it need not be looked at."""
     words = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("h")).groupBy(F.expr("int(h div 32)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(h % 32)))").alias("m"))
+    found = words.toPandas()
     out = np.zeros((1 << bits) // 32, np.uint32)
-    for r in words.toLocalIterator():
-        out[r.w] = r.m
+    out[found["w"].to_numpy()] = found["m"].to_numpy().astype(np.uint32)
     return out
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
-    """``(cls, n, shingles, point)`` of the documents that stand for the wanted classes (``wanted``: doc_id, cls)."""
-    spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(_id_filter(wanted, bits))
-    h = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("h"))
+def _texts(docs: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
+    """``(doc_id, text)`` of the rows with one of these ids (and of a few more, which the bitmap lets through); written."""
+    bitmap = docs.sparkSession.sparkContext.broadcast(_id_filter(ids, bits))
+    hashed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("h"))
 
     def run(batches):
         bit = bitmap.value
         for b in batches:
             at = np.asarray(b.column("h"))
-            b = b.filter(pa.array(((bit[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)))
-            for c in small_batches([b], "text"):
-                ids, cls, sets, points = [], [], [], []
-                for i, s in zip(c.column("doc_id"), shingle_sets(c.column("text"))):
-                    if len(s):
-                        ids.append(i.as_py())
-                        cls.append(_class_of(s))
-                        sets.append(s.view(np.int64))
-                        points.append(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, c.schema.field("doc_id").type), pa.array(cls, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(points, pa.binary())],
-                    names=["doc_id", "cls", "n", "shingles", "point"],
-                )
+            yield b.select(["doc_id", "text"]).filter(pa.array(((bit[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)))
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    found = h.mapInArrow(run, f"doc_id {id_type}, cls long, n long, shingles array<long>, point binary")
-    # repeated rows of one id: one set for each class
-    return found.join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"])
+    return materialize(hashed.mapInArrow(run, docs.schema), "shingle-texts")
 
 
 def _point_bound(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -223,7 +253,7 @@ def _point_bound(pairs: DataFrame, points: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             if b.num_rows:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), "<u4").reshape(-1, GROUPS) for c in ("pa", "pb"))
+                x, y = (_coordinates(b.column(c).to_pylist()) for c in ("pa", "pb"))
                 need = (np.asarray(b.column("na")) + np.asarray(b.column("nb"))) * PERCENT
                 keep = np.minimum(x, y).sum(axis=1, dtype=np.int64) * (100 + PERCENT) >= need
                 yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep))
@@ -231,59 +261,139 @@ def _point_bound(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return joined.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose exact sets link."""
-    s = sets.select("cls", "n", "shingles")
-    j = pairs.join(s.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa")), "a").join(s.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return j.filter(common * (100 + PERCENT) >= (F.col("na") + F.col("nb")) * PERCENT).select("a", "b")
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, bits: int) -> DataFrame:
+    """The pairs ``(a, b)`` of classes whose exact sets link.
+
+    Only ids and then the texts of the classes' documents move (texts pack better than sets of
+    hashes); the sets are made again where two texts meet.
+    """
+    of = classes.select("cls", "doc_id")
+    known = pairs.join(of.select(F.col("cls").alias("a"), F.col("doc_id").alias("da")), "a").join(of.select(F.col("cls").alias("b"), F.col("doc_id").alias("db")), "b")
+    known = materialize(known, "shingle-pairs")
+    texts = _texts(docs, known.select(F.col("da").alias("doc_id")).unionByName(known.select(F.col("db").alias("doc_id"))), bits)
+    both = known.join(texts.select(F.col("doc_id").alias("da"), F.col("text").alias("ta")), "da").join(texts.select(F.col("doc_id").alias("db"), F.col("text").alias("tb")), "db")
+
+    def run(batches):
+        last, sets = None, None
+        for whole in batches:
+            for b in small_batches([whole], "ta"):
+                second = shingle_sets(b.column("tb"))
+                keep = []
+                for k, (x, y, ta) in enumerate(zip(b.column("a").to_pylist(), b.column("b").to_pylist(), b.column("ta"))):
+                    if x != last:
+                        last, sets = x, shingle_sets(pa.array([ta.as_py()], pa.string()))[0]
+                    t = second[k]
+                    same = len(np.intersect1d(sets, t, assume_unique=True)) if len(sets) and len(t) else 0
+                    # rows that share an id with another text belong to another class
+                    right = _class_of(sets) == x and _class_of(t) == y
+                    keep.append(right and same * (100 + PERCENT) >= (len(sets) + len(t)) * PERCENT)
+                    if not right:
+                        last = None
+                yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return materialize(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct(), "shingle-links")
+
+
+def _leaf_pairs(hard: DataFrame) -> DataFrame:
+    """Pairs of different components in cells of one page: ``hard`` holds (cell, comp, n, cls, pos) of cells with up to ``PAGE`` members.
+
+    Sizes and places are compared for the whole leaf at once. A pair shares many cells; a task passes it on once.
+    """
+
+    def run(batches):
+        cell, rows, seen = None, [], set()
+
+        def leaf():
+            comp, n, cls, pos = (np.array(x) for x in zip(*rows))
+            i, j = np.triu_indices(len(rows), 1)
+            keep = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+            keep &= np.minimum(n[i] - pos[i], n[j] - pos[j]) * (100 + PERCENT) >= (n[i] + n[j]) * PERCENT
+            for x, y in zip(cls[i[keep]].tolist(), cls[j[keep]].tolist()):
+                pair = (x, y) if x < y else (y, x)
+                if pair not in seen:
+                    seen.add(pair)
+                    yield pair
+            if len(seen) > 1 << 18:
+                seen.clear()
+
+        def out(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+
+        for b in batches:
+            got = []
+            for c, *row in zip(*(b.column(x).to_pylist() for x in ("cell", "comp", "n", "cls", "pos"))):
+                if c != cell and len(rows) > 1:
+                    got += leaf()
+                if c != cell:
+                    cell, rows = c, []
+                rows.append(row)
+            yield out(got)
+        if len(rows) > 1:
+            yield out(list(leaf()))
 
+    spread = hard.repartition(shuffle_partitions(hard.sparkSession), "cell").sortWithinPartitions("cell")
+    return spread.select("cell", "comp", "n", "cls", "pos").mapInArrow(run, "a long, b long")
 
-def _pages(hard: DataFrame) -> DataFrame:
-    """Cells packed into pages of points with their upper corner (the tree's nodes)."""
-    spark = hard.sparkSession
+
+def _pages(large: DataFrame) -> DataFrame:
+    """Cells packed into pages of points with their upper corner (the tree's nodes).
+
+    ``large``: (cell, comp, n, cls, point, cells), ``cells`` being all large cells of the set.
+    """
+    spark = large.sparkSession
+    numbers, blobs = ("cell", "page", "low", "high", "first", "last"), ("corner", "comps", "classes", "sizes", "points", "cells", "ends")
 
     def run(batches):
         cell, rows, number = None, [], 0
 
         def page():
-            n = np.array([r[1] for r in rows])
-            point = np.frombuffer(b"".join(r[3] for r in rows), "<u4").reshape(-1, GROUPS)
+            comp, n, cls, points, cells = zip(*rows)
+            point = _coordinates(list(points))
             return {
-                "cell": cell, "page": number, "low": int(n.min()), "high": int(n.max()), "first": rows[0][0], "last": rows[-1][0],
-                "corner": point.max(axis=0).astype("<u4").tobytes(), "comps": np.array([r[0] for r in rows], "<i8").tobytes(),
-                "classes": np.array([r[2] for r in rows], "<i8").tobytes(), "sizes": n.astype("<i8").tobytes(), "points": point.tobytes(),
+                "cell": cell, "page": number, "low": min(n), "high": max(n), "first": comp[0], "last": comp[-1],
+                "corner": point.max(axis=0).astype("<u4").tobytes(), "comps": np.array(comp, "<i8").tobytes(),
+                "classes": np.array(cls, "<i8").tobytes(), "sizes": np.array(n, "<i8").tobytes(), "points": point.astype("<u4").tobytes(),
+                "cells": np.concatenate([np.array(c, "<i8") for c in cells]).tobytes(), "ends": np.cumsum([len(c) for c in cells]).astype("<i8").tobytes(),
             }
 
         for b in batches:
             out = []
-            for c, comp, n, cls, point in zip(*(b.column(x).to_pylist() for x in ("cell", "comp", "n", "cls", "point"))):
+            for c, *row in zip(*(b.column(x).to_pylist() for x in ("cell", "comp", "n", "cls", "point", "cells"))):
                 if rows and (c != cell or len(rows) == PAGE):
                     out.append(page())
                     number = 0 if c != cell else number + 1
                     rows = []
                 cell = c
-                rows.append((comp, n, cls, point))
+                rows.append(row)
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
         if rows:
             yield pa.RecordBatch.from_pylist([page()], schema=schema)
 
-    schema = pa.schema([(k, pa.int64()) for k in ("cell", "page", "low", "high", "first", "last")] + [(k, pa.binary()) for k in ("corner", "comps", "classes", "sizes", "points")])
-    spark_schema = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'binary'}" for f in schema)
-    return hard.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", "comp", "n", "cls").mapInArrow(run, spark_schema)
+    schema = pa.schema([(k, pa.int64()) for k in numbers] + [(k, pa.binary()) for k in blobs])
+    spark_schema = ", ".join([f"{k} long" for k in numbers] + [f"{k} binary" for k in blobs])
+    ordered = large.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", "comp", "n", "cls")
+    return ordered.select("cell", "comp", "n", "cls", "point", "cells").mapInArrow(run, spark_schema)
 
 
 def _tree_pairs(pages: DataFrame) -> DataFrame:
-    """Pairs of points of different components that pass the bounds of their pages and their own."""
+    """Pairs of points of different components that pass the bounds of their pages and their own.
+
+    A pair that meets in several large cells is passed on by the first of them alone.
+    """
     p, q = pages.alias("p"), pages.alias("q")
     near = p.join(q, (F.col("p.cell") == F.col("q.cell")) & (F.col("p.page") <= F.col("q.page")))
     near = near.filter(
         (F.col("p.high") * 100 >= F.col("q.low") * PERCENT) & (F.col("q.high") * 100 >= F.col("p.low") * PERCENT)
         & ~((F.col("p.first") == F.col("p.last")) & (F.col("p.first") == F.col("q.first")) & (F.col("q.first") == F.col("q.last")))
     )
-    names = ("low", "corner", "comps", "classes", "sizes", "points")
-    near = near.select((F.col("p.page") == F.col("q.page")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "pq" for c in names])
+    names = ("low", "corner", "comps", "classes", "sizes", "points", "cells", "ends")
+    near = near.select(F.col("p.cell").alias("cell"), (F.col("p.page") == F.col("q.page")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "pq" for c in names])
+
+    def side(col, s, k):
+        comp, cls, n, ends = (np.frombuffer(col[f"{s}_{c}"][k], "<i8") for c in ("comps", "classes", "sizes", "ends"))
+        cells = np.frombuffer(col[f"{s}_cells"][k], "<i8")
+        return comp, cls, n, np.frombuffer(col[f"{s}_points"][k], "<u4").reshape(-1, GROUPS), [set(x.tolist()) for x in np.split(cells, ends[:-1])]
 
     def run(batches):
         for b in batches:
@@ -293,21 +403,19 @@ def _tree_pairs(pages: DataFrame) -> DataFrame:
                 corners = [np.frombuffer(col[f"{s}_corner"][k], "<u4") for s in "pq"]
                 if int(np.minimum(*corners).sum(dtype=np.int64)) * (100 + PERCENT) < low:
                     continue
-                (ca, xa, na, va), (cb, xb, nb, vb) = ((np.frombuffer(col[f"{s}_comps"][k], "<i8"), np.frombuffer(col[f"{s}_classes"][k], "<i8"), np.frombuffer(col[f"{s}_sizes"][k], "<i8"), np.frombuffer(col[f"{s}_points"][k], "<u4").reshape(-1, GROUPS)) for s in "pq")
-                ii, jj = [], []
+                (ca, xa, na, va, la), (cb, xb, nb, vb, lb) = side(col, "p", k), side(col, "q", k)
+                pairs = []
                 for i in range(len(xa)):
                     j = np.flatnonzero((cb != ca[i]) & (100 * nb >= PERCENT * na[i]) & (100 * na[i] >= PERCENT * nb))
                     if col["same"][k]:
                         j = j[j > i]
                     if len(j):
                         j = j[np.minimum(vb[j], va[i]).sum(axis=1, dtype=np.int64) * (100 + PERCENT) >= (nb[j] + na[i]) * PERCENT]
-                        ii.append(np.full(len(j), xa[i]))
-                        jj.append(xb[j])
-                if ii:
-                    x, y = np.concatenate(ii), np.concatenate(jj)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], names=["a", "b"])
+                        pairs += [(int(xa[i]), int(xb[m])) for m in j.tolist() if min(la[i] & lb[m]) == col["cell"][k]]
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in pairs], pa.int64()), pa.array([max(x) for x in pairs], pa.int64())], names=["a", "b"])
 
-    return near.mapInArrow(run, "a long, b long").distinct()
+    return near.mapInArrow(run, "a long, b long")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -319,18 +427,31 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = materialize(_neighbours(index), "shingle-cells")
     classes = index.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialize(classes.join(members.select("cls").distinct(), "cls", "left_semi").select("doc_id", "cls"), "shingle-classes")
-    sets = materialize(_sets(d, wanted, filter_bits), "shingle-sets")
-    first = materialize(_pairs(members), "shingle-pairs")
-    links = materialize(_verified(_point_bound(first, sets), sets), "shingle-links")
+    points = materialize(index.select("doc_id", "cls", "n", "point").join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]), "shingle-points")
+    tried = materialize(_pairs(members), "shingle-pairs")
+    links = _verified(_point_bound(tried, points), d, wanted, filter_bits)
     labels = connected_components(links)
-
-    comp = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cell", "n", "cls", F.coalesce("root", "cls").alias("comp"))
-    mixed = comp.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("cell")
-    hard = comp.join(mixed, "cell", "left_semi").join(sets.select("cls", "point"), "cls")
-    more = materialize(_tree_pairs(materialize(_pages(hard), "shingle-pages")).join(first, ["a", "b"], "left_anti"), "shingle-pairs")
-    late = materialize(_verified(more, sets), "shingle-links")
-    if not late.isEmpty():
-        labels = connected_components(links.unionByName(late))
+    for _ in range(CONTRACT_ROUNDS):  # large groups of near copies gather around their hubs
+        mixed = _mixed(members, labels)
+        new = materialize(_hub_pairs(mixed, links).join(tried, ["a", "b"], "left_anti"), "shingle-pairs")
+        more = _verified(_point_bound(new, points), d, wanted, filter_bits)
+        tried = tried.unionByName(new)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = connected_components(links)
+
+    mixed = _mixed(members, labels)
+    large = mixed.filter("large")
+    # what a set takes along is bounded by its own number of cells
+    cells = large.groupBy("cls").agg(F.collect_set("cell").alias("cells")).join(points.select("cls", "point"), "cls")
+    tree = _pages(large.join(cells, "cls"))
+    found = _leaf_pairs(mixed.filter("NOT large")).unionByName(_tree_pairs(materialize(tree, "shingle-pages"))).distinct()
+    left = materialize(_point_bound(found.join(tried, ["a", "b"], "left_anti"), points), "shingle-pairs")
+    if not left.isEmpty():
+        late = _verified(left, d, wanted, filter_bits)
+        if not late.isEmpty():
+            labels = connected_components(links.unionByName(late))
 
     node = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -341,7 +462,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without the linked copies: of each component the document with the smallest id stays."""
-    found = link_documents(docs, id_col, text_col)
+    """The rows of ``docs`` without the linked copies: of each component the document with the smallest id stays, once."""
+    found = materialize(link_documents(docs, id_col, text_col), "shingle-components")
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    repeated = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again"))
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, kept[id_col] == repeated["_again"], "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(repeated, kept[id_col] == repeated["_again"], "left_anti").unionByName(once)
