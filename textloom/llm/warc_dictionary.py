@@ -160,8 +160,9 @@ def _page_id(name: str) -> str | None:
     return unquote(name[len("<urn:page:") : -1]) or None
 
 
-def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write WARC archives of all rows to the shared folder; returns the manifest ``(path, records, bytes)``."""
+def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", folder: str | None = None) -> DataFrame:
+    """Write WARC archives of all rows to ``folder`` (a path or URI that all workers reach; a scratch folder where none
+    is given); returns the manifest ``(path, records, bytes)``."""
     spark = pages.sparkSession
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     key = F.sha2("html", 256)
@@ -170,7 +171,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     revisits = materialize(keys.join(copies, "key").filter("page_id < refers_to").select("page_id", "key", "refers_to").distinct(), "warc-revisits")
     # by id and payload: one id can stand with several payloads
     known = p.withColumn("key", key).join(revisits, ["page_id", "key"], "left").select(F.col("page_id").cast("string"), "url", F.col("html").cast("binary"), F.col("refers_to").cast("string"))
-    folder = scratch_path(spark, "warc")
+    folder = folder or scratch_path(spark, "warc")
 
     def run(batches):
         def records():
