@@ -130,26 +130,22 @@ class DirectCodes:
         return self.span(int(self.offsets[k]), int(self.offsets[k + 1]))
 
 
-def _number_type(size: int) -> str:
-    return "<u2" if size <= 0xFFFF else "<u4"
-
-
-def write_codes(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_tokens: int = FILE_TOKENS) -> DataFrame:
-    """Encode all texts and write their ids, each text ended by ``end_id``; returns the manifest ``(bucket, part, path, tokens, documents)``."""
+def write_codes(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_tokens: int = FILE_TOKENS, folder: str | None = None) -> DataFrame:
+    """Encode all texts and write their ids, each text ended by ``end_id``, to ``folder`` (scratch where none is given); returns the manifest ``(bucket, part, path, tokens, documents)``."""
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
     d = with_order_bucket(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", buckets)
 
     def encode(batches):
         enc = word_bpe.encoder(path)
-        kind = _number_type(max(enc.size, end_id + 1))
+        end, width = np.array([end_id], enc.kind).tobytes(), int(enc.kind[2])
         for b in small_batches(batches, "text"):
-            packed = [np.array([*ids, end_id], kind).tobytes() for ids in enc.encode([t or "" for t in b.column("text").to_pylist()])]
-            yield pa.RecordBatch.from_arrays([b.column("_bucket"), b.column("doc_id"), pa.array(packed, pa.binary()), pa.array([int(kind[2])] * len(packed), pa.int32())], names=["bucket", "doc_id", "ids", "width"])
+            packed = [ids + end for ids in enc.packed([t or "" for t in b.column("text").to_pylist()])]
+            yield pa.RecordBatch.from_arrays([b.column("_bucket"), b.column("doc_id"), pa.array(packed, pa.binary()), pa.array([width] * len(packed), pa.int32())], names=["bucket", "doc_id", "ids", "width"])
 
     encoded = d.select("_bucket", "doc_id", "text").mapInArrow(encode, "bucket int, doc_id long, ids binary, width int")
     ordered = encoded.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "doc_id", "ids")
-    folder = scratch_path(spark, "codes")
+    folder = folder or scratch_path(spark, "codes")
 
     def write(batches):
         attempt, bucket, part, held, names, parts = uuid.uuid4().hex, None, 0, 0, [], []

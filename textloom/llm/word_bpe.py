@@ -19,6 +19,7 @@ from .chunked_bpe import byte_alphabet
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 END = "</w>"
+STORE_WORDS = 1 << 19
 _TOP = 0x10000
 _BLANK, _LETTER, _NUMBER, _OTHER = range(4)
 _TABLES: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -57,6 +58,8 @@ class WordBPE:
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.specials = [t["content"] for t in spec.get("added_tokens") or []]
         self.fast = self._fast(spec)
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        self.store: dict[str, bytes] = {}
 
     def _fast(self, spec: dict):
         model, norm, pre = spec["model"], spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
@@ -82,19 +85,36 @@ class WordBPE:
             return None
         return tiktoken.Encoding("words", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        out: list[list[int] | None] = [None] * len(texts)
+    def _words(self, line: str) -> bytes:
+        """Packed ids of a text's pieces; a worker keeps those of pieces it has met (started anew when full)."""
+        words = line.split("\n")[:-1]
+        parts = list(map(self.store.get, words))
+        if None in parts:
+            if len(self.store) >= STORE_WORDS:
+                self.store = {}
+            for i, p in enumerate(parts):
+                if p is None:
+                    w = words[i]
+                    parts[i] = self.store[w] = self.store.get(w) or np.array(self.fast.encode_ordinary(w + "\n"), self.kind).tobytes()
+        return b"".join(parts)
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian numbers of ``kind``."""
+        out: list[bytes | None] = [None] * len(texts)
         if self.fast is not None:
             codes = [np.frombuffer(t.encode("utf-32-le"), "<u4") for t in texts]
             simple = _tables()[0]
             easy = [i for i, (t, c) in enumerate(zip(texts, codes)) if (not len(c) or c.max() < _TOP and simple[c].all()) and not any(s in t for s in self.specials)]
-            for i, words in zip(easy, _word_lines([codes[i] for i in easy])):
-                out[i] = self.fast.encode_ordinary(words)
+            for i, line in zip(easy, _word_lines([codes[i] for i in easy])):
+                out[i] = self._words(line)
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False) if rest else []):
-            out[i] = e.ids
+            out[i] = np.array(e.ids, self.kind).tobytes()
         return out
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(p, self.kind).tolist() for p in self.packed(texts)]
+
 
 def _word_lines(codes: list[np.ndarray]) -> list[str]:
     """Each text's pieces, lower-cased, a line feed after each."""
