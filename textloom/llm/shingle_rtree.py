@@ -42,7 +42,7 @@ GROUPS = 256
 SKETCH_BITS = 20
 PAGE = 256
 CONTRACT_CELLS = 3
-CONTRACT_ROUNDS = 2
+CONTRACT_ROUNDS = 1
 FILTER_BITS = 24
 
 
@@ -425,7 +425,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     levels = spark.sparkContext.broadcast(_sketch(d.select("text"), sketch_bits))
     index = materialize(_index(d, levels, sketch_bits), "shingle-index")
     members = materialize(_neighbours(index), "shingle-cells")
-    classes = index.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    classes = index.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     wanted = materialize(classes.join(members.select("cls").distinct(), "cls", "left_semi").select("doc_id", "cls"), "shingle-classes")
     points = materialize(index.select("doc_id", "cls", "n", "point").join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]), "shingle-points")
     tried = materialize(_pairs(members), "shingle-pairs")
@@ -455,8 +455,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     node = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    whole = node.join(least, "root").filter(F.col("component_id").isNotNull()).select("cls", "component_id")
-    shared = whole.join(index.filter("cls IS NOT NULL").select("cls", "doc_id"), "cls").filter("component_id != doc_id OR doc_id IS NULL").select("cls", "component_id").distinct()
+    # a class that is its own smallest document and has no copies needs no look-up
+    shared = node.join(least, "root").filter("component_id IS NOT NULL AND (copies > 1 OR doc_id IS NULL OR component_id != doc_id)").select("cls", "component_id")
     out = index.join(shared, "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
