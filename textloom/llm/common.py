@@ -165,3 +165,34 @@ def open_file(path: str):
     """A random-access file of the shared store."""
     store, name = file_store(path)
     return store.open_input_file(name)
+
+
+def id_bitmap(ids: DataFrame, id_col: str, bits: int) -> np.ndarray:
+    """A fixed-size bitmap (2**bits bits) of hashed ids."""
+    hashed = ids.select(F.pmod(F.xxhash64(id_col), F.lit(1 << bits)).alias("h"))
+    found = hashed.groupBy(F.expr("int(h div 32)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(h % 32)))").alias("m")).toPandas()
+    out = np.zeros((1 << bits) // 32, np.uint32)
+    out[found["w"].to_numpy()] = found["m"].to_numpy().astype(np.uint32)
+    return out
+
+
+def split_by_ids(docs: DataFrame, id_col: str, ids: DataFrame, ids_col: str, bits: int = 24) -> tuple[DataFrame, DataFrame]:
+    """``(outside, inside)``: rows whose id certainly isn't among ``ids``, and the others (with a few that aren't either).
+
+    Only the second part needs a join, so the texts of the first are not shuffled.
+    """
+    bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, ids_col, bits))
+    hashed = docs.withColumn("_id_hash", F.pmod(F.xxhash64(id_col), F.lit(1 << bits)))
+    names = docs.columns
+
+    def part(wanted: bool) -> DataFrame:
+        def run(batches):
+            bit = bitmap.value
+            for b in batches:
+                at = np.asarray(b.column("_id_hash"))
+                has = ((bit[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+                yield b.select(names).filter(pa.array(has if wanted else ~has))
+
+        return hashed.mapInArrow(run, docs.schema)
+
+    return part(False), part(True)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import small_batches, utf8_column
+from .common import small_batches, split_by_ids, utf8_column
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Seeds of further kinds: name and pattern.
@@ -274,7 +274,10 @@ def mask_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows, added = discover(docs, id_col, text_col)
     extra = rows.join(added, "row").select("doc_id", "text_md5", F.struct("kind", "start", "end").alias("s")).distinct().groupBy("doc_id", "text_md5").agg(F.collect_list("s").alias("_pii_added"))
     extra = extra.select(F.col("doc_id").alias("_pii_id"), F.col("text_md5").alias("_pii_md5"), "_pii_added")
-    joined = docs.join(extra, docs[id_col].eqNullSafe(extra["_pii_id"]) & (F.md5(docs[text_col]) == extra["_pii_md5"]), "left").drop("_pii_id", "_pii_md5")
+    extra = materialize(extra, "pii-added")
+    outside, inside = split_by_ids(docs, id_col, extra, "_pii_id")  # texts without discovered spans are not shuffled
+    found = inside.join(extra, inside[id_col].eqNullSafe(extra["_pii_id"]) & (F.md5(inside[text_col]) == extra["_pii_md5"]), "left").drop("_pii_id", "_pii_md5")
+    joined = outside.withColumn("_pii_added", F.lit(None).cast(extra.schema["_pii_added"].dataType)).unionByName(found)
 
     def run(batches):
         for b in small_batches(batches, text_col):

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import fold_ascii, mix64, shuffle_partitions, small_batches, span_hashes, utf8_column, word_spans
+from .common import fold_ascii, mix64, shuffle_partitions, small_batches, span_hashes, split_by_ids, utf8_column, word_spans
 from .components import connected_components
 
 SHINGLE = 5
@@ -465,7 +465,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows of ``docs`` without the linked copies: of each component the document with the smallest id stays, once."""
     found = materialize(link_documents(docs, id_col, text_col), "shingle-components")
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    outside, inside = split_by_ids(docs, id_col, gone, "_gone")
+    kept = outside.unionByName(inside.join(gone, inside[id_col] == gone["_gone"], "left_anti"))
     repeated = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again"))
     if repeated.isEmpty():
         return kept
