@@ -132,3 +132,18 @@ def test_rounds_leave_one_word_table(spark):
     before = len(tables())
     B.learn_bpe(texts_df(spark, random_corpus(3)), 60)
     assert len(tables()) - before <= 2
+
+
+def test_queries_learn_the_default_vocabulary(spark, tmp_path):
+    """More tokens than the queries once stopped at, and batches that pass over joined pairs, against the library at 25,000."""
+    from textloom.constants import DEFAULT_VOCAB_SIZE
+    from textloom.plans import queries as Q
+
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefgé") for _ in range(rnd.randrange(2, 9))) for _ in range(600)] + ["aaaa", "aaaaaaa", "baaab"]
+    docs = [" ".join(rnd.choice(words) for _ in range(12)) for _ in range(120)]
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "conv_id string, turn int, role string, text string, ts timestamp").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = [r.token for r in Q.queries()["bpe_vocab"](spark, str(tmp_path)).orderBy("id").collect()]
+    _, lib = library_vocab(docs, DEFAULT_VOCAB_SIZE)
+    assert DEFAULT_VOCAB_SIZE == 25_000 and got == lib and len(got) > 600

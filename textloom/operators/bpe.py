@@ -1,13 +1,11 @@
 """Byte-level BPE as Spark jobs: learn merges (T3), encode (T4, T6, T7), decode (T5), save/load.
 
 Learning works on the distinct pre-token table ``(word array<int>, n bigint)``,
-never on documents. Every round computes the adjacent-pair histogram with a
-shuffle aggregate, takes the top candidates, and accepts the longest prefix of
-them that merging one at a time would also pick in that order (see
-``_accept_batch``). The accepted merges rewrite the words with a higher-order
-``aggregate``; the word table is written to the shared checkpoint folder every
-round, which cuts lineage, keeps plans from composing across rounds, and
-survives lost executors.
+never on documents. The adjacent-pair histogram is a table in the shared checkpoint
+folder. Every round takes its top candidates, accepts those that merging one at a time
+would also pick in that order (see ``_accept_batch``), and adds the differences of the words they
+change to the histogram, a Spark aggregation. Words are rewritten by tasks over Arrow batches and
+written every few rounds; the written tables cut lineage and survive lost executors.
 
 The model (vocabulary and ordered merges) is bounded by ``vocab_size`` and is
 the only state held on the driver.
@@ -17,6 +15,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +26,8 @@ from .pieces import PieceEncoder, encode_batch
 from .pretoken import piece_list, pretokens
 
 _SHIFT = 1 << 32
+#: Distinct words a task takes at least; a round is a few short jobs, whose time is that of starting tasks.
+WORDS_A_TASK = 50_000
 
 
 def byte_to_char() -> dict[int, str]:
@@ -103,78 +105,199 @@ def word_table(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return hist.select(word_bytes("piece").alias("w"), "n")
 
 
-def _accept_batch(top, bounds, room: int, max_batch: int):
-    """Longest prefix of ``top`` that one-at-a-time merging would pick in this order.
+def _before(count: int, key: tuple[int, int], bound) -> bool:
+    """Whether one-at-a-time merging takes this pair before ``bound``, a ``(count, key)`` or None."""
+    return bound is None or count > bound[0] or (count == bound[0] and key < bound[1])
 
-    ``top``: [(left, right, count)] sorted by count desc, then (left, right). ``bounds(pair)``: the
-    largest count of a symbol triple that holds the pair at its start or end. A further pair is
-    accepted only if (a) it can't overlap an accepted one: it doesn't begin with an accepted right
-    symbol, nor end with an accepted left one, nor repeat one symbol; and (b) its count is
-    greater than what any accepted merge could give a new pair: (x, ab) comes from triples (x, a, b) only,
-    (ab, y) from (a, b, y). Pairs that exist never gain count. The batch stops after a pair (a, a).
+
+def _accept_batch(top, near, model: BpeModel, tok_ids: dict[str, int], room: int) -> list[tuple[int, int, int]]:
+    """Merges ``(left, right, out)`` that one-at-a-time merging would make next, in its order; new tokens are entered in the model.
+
+    ``top``: [(left, right, count)] sorted by count desc, then (left, right). ``near``: ``(best, joined)`` of :func:`_triples`.
+    Pairs and triples of symbols that exist never gain count. So a listed pair still has its count after some
+    merges unless a triple joins it to one of them; then it has at most its count less the triple's, and is passed over.
+    A merge (a, b) gives pairs (x, ab) at most the count of (x, a, b), and (ab, y) that of (a, b, y). A pair is
+    accepted if it comes before all that is bounded so; at equal counts the keys decide, new symbols having
+    the largest ids. After (a, a) a pair joined to it ends the batch, as the last symbol of an odd run stays. So does a merge to an id
+    in use: pairs with that id may gain count.
     """
-    accepted, lefts, rights, bound = [], set(), set(), 0
-    for left, right, cnt in top[: max(1, min(room, max_batch))]:
-        if accepted and (left == right or left in rights or right in lefts or cnt <= bound):
+    best, joined = near
+    accepted, taken, bound = [], set(), None
+    for left, right, count in top:
+        key = (left, right)
+        if len(accepted) >= room or not _before(count, key, bound):
             break
-        accepted.append((left, right, cnt))
-        if left == right or len(accepted) == max_batch:
+        meets = [(o, c) for o, c in joined.get(key, ()) if o in taken]
+        if any(a == b for (a, b), _ in meets):
             break
-        lefts.add(left)
-        rights.add(right)
-        bound = max(bound, bounds((left, right)))
+        lost = max((c for _, c in meets), default=0)
+        news = [(count - lost, key)]
+        if not lost:
+            tok = model.vocab[left] + model.vocab[right]
+            out = tok_ids.get(tok)
+            reused = out is not None
+            if not reused:
+                out = tok_ids[tok] = len(model.vocab)
+                model.vocab.append(tok)
+            accepted.append((left, right, out))
+            taken.add(key)
+            if reused:
+                break
+            before, after = best.get(key, (None, None))
+            news = [(c, (o, out)) for c, o in filter(None, [before])] + [(c, (out, o)) for c, o in filter(None, [after])]
+        for new in news:
+            if _before(*new, bound):
+                bound = new
     return accepted
 
 
-def _triple_bounds(words: DataFrame, pairs: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
-    """For each of a bounded list of pairs: the largest count of a triple that starts or ends with it."""
-    keys = ", ".join(f"{a * _SHIFT + b}L" for a, b in pairs)
-    key = f"CAST(w[i] AS BIGINT) * {_SHIFT} + w[i + 1]"
-    at = words.selectExpr("w", "n", f"explode(filter(sequence(0, size(w) - 2), i -> {key} IN ({keys}))) AS i").selectExpr(f"{key} AS k", "w", "i", "n")
-    ends = at.selectExpr("k", "n", "explode(array(struct(0 AS side, get(w, i - 1) AS o), struct(1 AS side, get(w, i + 2) AS o))) AS e").where("e.o IS NOT NULL")
-    triples = ends.groupBy("k", "e").agg(F.sum("n").alias("c")).groupBy("k").agg(F.max("c").alias("c"))
-    return {(r.k // _SHIFT, r.k % _SHIFT): r.c for r in triples.collect()}
-
-
-def _pair_histogram(words: DataFrame) -> DataFrame:
-    """Weighted count of every adjacent symbol pair, keyed ``left << 32 | right``."""
-    pairs = words.select(
-        F.expr(
-            f"explode(zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), "
-            f"(a, b) -> CAST(a AS BIGINT) * {_SHIFT} + b))"
-        ).alias("k"),
-        "n",
+class _Words:
+    """The words of an Arrow batch as one array of symbols with offsets; pairs are keyed ``left << 32 | right``."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        w = batch.column("w")
+        self.flat = np.asarray(w.flatten()).astype(np.int64)
+        self.off = np.concatenate([[0], np.cumsum(np.asarray(w.value_lengths(), dtype=np.int64))])
+        self.n = np.asarray(batch.column("n"))
+
+    def keys(self) -> np.ndarray:
+        """The key of the pair that begins at each place, -1 at the last place of a word."""
+        out = np.full(len(self.flat), -1, np.int64)
+        out[:-1] = self.flat[:-1] << 32 | self.flat[1:]
+        ends = self.off[1:] - 1
+        out[ends[self.off[1:] > self.off[:-1]]] = -1
+        return out
+
+    def at(self, keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places of pairs among ``wanted`` (sorted), and their numbers in it."""
+        number = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+        place = np.flatnonzero(wanted[number] == keys)
+        return place, number[place]
+
+    def counts(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pair keys in the flagged words and the words' counts, one entry a place."""
+        lengths = self.off[1:] - self.off[:-1]
+        keys = self.keys()
+        keep = np.repeat(rows, lengths) & (keys >= 0)
+        return keys[keep], np.repeat(self.n, lengths)[keep]
+
+    def merge(self, wanted: np.ndarray, outs: np.ndarray) -> np.ndarray:
+        """Make the merges of a batch; flags of the words that changed. Accepted pairs overlap only with themselves: of a run of one symbol every second place counts."""
+        place, number = self.at(self.keys(), wanted)
+        run = np.arange(len(place)) - np.maximum.accumulate(np.where(np.diff(place, prepend=-2) > 1, np.arange(len(place)), 0)) if len(place) else place
+        place, number = place[run % 2 == 0], number[run % 2 == 0]
+        changed = np.zeros(len(self.n), bool)
+        changed[np.searchsorted(self.off, place, "right") - 1] = True
+        keep = np.ones(len(self.flat), bool)
+        keep[place + 1] = False
+        self.flat[place] = outs[number]
+        self.flat = self.flat[keep]
+        self.off = np.concatenate([[0], np.cumsum(keep)])[self.off]
+        return changed
+
+    def batch(self) -> pa.RecordBatch:
+        """The words of several symbols; one symbol has no pair to merge."""
+        long = self.off[1:] - self.off[:-1] > 1
+        lists = pa.ListArray.from_arrays(pa.array(self.off, pa.int32()), pa.array(self.flat, pa.int32()))
+        return pa.RecordBatch.from_arrays([lists, pa.array(self.n, pa.int64())], names=["w", "n"]).filter(pa.array(long))
+
+
+def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    k, at = np.unique(np.concatenate(keys), return_inverse=True)
+    c = np.zeros(len(k), np.int64)
+    np.add.at(c, at, np.concatenate(counts))
+    return k, c
+
+
+def _tables(pending) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Batches of merges as sorted keys with their new symbols."""
+    out = []
+    for merges in pending:
+        t = sorted((a << 32 | b, o) for a, b, o in merges)
+        out.append((np.array([k for k, _ in t], np.int64), np.array([o for _, o in t], np.int64)))
+    return out
+
+
+def _rewritten(words: DataFrame, pending) -> DataFrame:
+    """The words after some batches of merges."""
+    tables = _tables(pending)
+
+    def run(batches):
+        for b in batches:
+            w = _Words(b)
+            for t in tables:
+                w.merge(*t)
+            yield w.batch()
+
+    return words.mapInArrow(run, "w array<int>, n long")
+
+
+def _pair_histogram(words: DataFrame, pending=()) -> DataFrame:
+    """Weighted count ``(k, c)`` of every adjacent symbol pair, keyed ``left << 32 | right``; summed in each Arrow batch first.
+
+    With ``pending`` batches of merges, only the differences that the last of them makes.
+    """
+    tables = _tables(pending)
+
+    def run(batches):
+        for b in batches:
+            w = _Words(b)
+            if not len(w.n):
+                continue
+            if not tables:
+                k, c = _sums(*([x] for x in w.counts(np.ones(len(w.n), bool))))
+            else:
+                for t in tables[:-1]:
+                    w.merge(*t)
+                old = _Words.__new__(_Words)
+                old.flat, old.off, old.n = w.flat.copy(), w.off, w.n
+                changed = w.merge(*tables[-1])
+                (k0, c0), (k1, c1) = old.counts(changed), w.counts(changed)
+                k, c = _sums([k0, k1], [-c0, c1])
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["k", "c"]).filter(pa.array(c != 0))
+
+    return words.mapInArrow(run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
+
+
+def _triples(words: DataFrame, pending, pairs: list[tuple[int, int]]):
+    """``(best, joined)`` for a bounded list of pairs (a, b).
+
+    ``best``: of the triples (x, a, b) and of (a, b, y) each the most frequent as ``(count, x or y)``, the smallest symbol at equal counts.
+    ``joined``: the listed pairs that a triple joins to the pair, with the triple's count.
+    """
+    tables = _tables(pending)
+    wanted = np.array(sorted(a << 32 | b for a, b in pairs), np.int64)
+
+    def run(batches):
+        for b in batches:
+            w = _Words(b)
+            for t in tables:
+                w.merge(*t)
+            keys = w.keys()
+            place, number = w.at(keys, wanted)
+            word = np.searchsorted(w.off, place, "right") - 1
+            for side, beside, inside in ((0, place - 1, place > w.off[word]), (1, place + 2, place + 2 < w.off[word + 1])):
+                if inside.any():
+                    other = w.flat[beside[inside]]
+                    both, c = _sums([number[inside].astype(np.int64) << 32 | other], [w.n[word[inside]]])
+                    k, o = wanted[both >> 32], both & (_SHIFT - 1)
+                    next_pair = (k & (_SHIFT - 1)) << 32 | o
+                    link = np.isin(next_pair, wanted) if side else np.zeros(len(k), bool)
+                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), side), pa.int32()), pa.array(o), pa.array(c), pa.array(link)], names=["k", "side", "o", "c", "link"])
+
+    found = words.mapInArrow(run, "k long, side int, o long, c long, link boolean").groupBy("k", "side", "o", "link").agg(F.sum("c").alias("c"))
+    found = found.groupBy("k").agg(
+        *[F.max(F.when(F.col("side") == i, F.struct("c", (-F.col("o")).alias("o")))).alias(f"s{i}") for i in (0, 1)],
+        F.collect_list(F.when(F.col("link"), F.struct("o", "c"))).alias("links"),
     )
-    return pairs.groupBy("k").agg(F.sum("n").alias("c"))
-
-
-def _rewrite(words: DataFrame, table: dict[int, int]) -> DataFrame:
-    """Apply a batch of merges to the words that hold one of its pairs; the others pass through.
-    One pass suffices: the pairs of a batch never overlap, and none begins or ends with a new symbol."""
-    keys = list(table.keys())
-    m = f"map_from_arrays(array({', '.join(f'{k}L' for k in keys)}), array({', '.join(str(table[k]) for k in keys)}))"
-    if all(k // _SHIFT != k % _SHIFT for k in keys):
-        # No (a, a) pair: a batch holds no chain of pairs, so two hits never overlap
-        # and every hit merges. Element-wise: a hit at i emits the merged id and
-        # the element after a hit is dropped.
-        def at(i: str) -> str:
-            return f"try_element_at({m}, CAST(try_element_at(w, {i} + 1) AS BIGINT) * {_SHIFT} + try_element_at(w, {i} + 2))"
-
-        expr = (
-            f"filter(transform(w, (x, i) -> CASE WHEN {at('i')} IS NOT NULL THEN {at('i')} "
-            f"WHEN i > 0 AND {at('i - 1')} IS NOT NULL THEN NULL ELSE x END), x -> x IS NOT NULL)"
-        )
-    else:
-        # a run of a's merges pairwise from the left: fold with the previous symbol
-        expr = (
-            f"aggregate(w, CAST(array() AS ARRAY<INT>), (acc, x) -> "
-            f"CASE WHEN try_element_at({m}, CAST(try_element_at(acc, -1) AS BIGINT) * {_SHIFT} + x) IS NOT NULL "
-            f"THEN concat(slice(acc, 1, size(acc) - 1), array(try_element_at({m}, CAST(try_element_at(acc, -1) AS BIGINT) * {_SHIFT} + x))) "
-            f"ELSE concat(acc, array(x)) END)"
-        )
-    touched = f"exists(sequence(0, size(w) - 2), i -> CAST(w[i] AS BIGINT) * {_SHIFT} + w[i + 1] IN ({', '.join(f'{k}L' for k in keys)}))"
-    out = words.select(F.expr(f"CASE WHEN {touched} THEN {expr} ELSE w END").alias("w"), "n")
-    return out.where(F.size("w") > 1)  # a single symbol has no pairs left to merge
+    best, joined = {}, {}
+    for r in found.collect():
+        a, b = r.k >> 32, r.k & (_SHIFT - 1)
+        best[a, b] = tuple(None if x is None else (x.c, -x.o) for x in (r.s0, r.s1))
+        for x in r.links:
+            joined.setdefault((a, b), []).append(((b, x.o), x.c))
+            joined.setdefault((b, x.o), []).append(((a, b), x.c))
+    return best, joined
 
 
 def learn_bpe(
@@ -185,14 +308,18 @@ def learn_bpe(
     specials=SPECIAL_TOKENS,
     max_batch: int = 1024,
     top_k: int = 4096,
-    bounded: int = 256,
+    bounded: int = 1024,
+    keep_batches: int = 8,
+    progress=None,
 ) -> BpeModel:
     """Learn byte-level BPE merges until ``vocab_size`` or no pair remains.
 
     ``max_batch=1`` gives the one-merge-per-round reference mode used by tests.
     ``top_k`` pairs reach the driver in a round and ``bounded`` of them can be accepted together; both
     change the number of rounds only. Ties between equal counts go to the smallest (left id, right id).
-    A round's word table is deleted when the next one is written.
+    The pair histogram is a table to which a round adds the differences of the words it rewrites. The word table is
+    written anew after every ``keep_batches`` rounds, until then the tasks make the batches of merges since then; tables are deleted when
+    the next ones are written. ``progress(round, tokens)`` is called after every round.
     """
     spark = texts.sparkSession
     b2c = byte_to_char()
@@ -205,53 +332,50 @@ def learn_bpe(
     m = F.map_from_arrays(
         F.array(*[F.lit(b) for b in alphabet]), F.array(*[F.lit(byte_id[b]) for b in alphabet])
     )
-    parts = max(spark.sparkContext.defaultParallelism, 1)
+    parts = max(1, min(spark.sparkContext.defaultParallelism, words.count() // WORDS_A_TASK + 1))
 
-    def written(df: DataFrame) -> tuple[DataFrame, str]:
-        path = scratch_path(spark, "bpe-words")
+    def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, name)
         df.write.parquet(path)
-        return spark.read.parquet(path), path
+        return spark.read.schema(df.schema).parquet(path), path
 
     words, path = written(
         words.select(F.transform("w", lambda b: F.element_at(m, b)).alias("w"), "n")
         .where(F.size("w") > 1)
-        .repartition(parts, "w")
+        .repartition(parts, "w"),
+        "bpe-words",
     )
     model = BpeModel(vocab, [], list(specials))
     tok_ids = model.token_id()
+    hist, hist_path = written(_pair_histogram(words), "bpe-pairs")
+    pending: list[list[tuple[int, int, int]]] = []
+    reach, rounds = 256, 0
     while len(model.vocab) < vocab_size:
-        hist = _pair_histogram(words)
         top_rows = hist.orderBy(F.col("c").desc(), F.col("k").asc()).limit(top_k).collect()
         if not top_rows:
             break
-        top = [(r.k // _SHIFT, r.k % _SHIFT, r.c) for r in top_rows]
+        top = [(r.k >> 32, r.k & (_SHIFT - 1), r.c) for r in top_rows]
         room = vocab_size - len(model.vocab)
-        most = min(room, max_batch, bounded)
-        # how far a batch could reach by its pairs alone; only for these the triples are counted
-        reach = _accept_batch(top, lambda p: 0, room, most)
-        bounds = _triple_bounds(words, [p[:2] for p in reach]) if len(reach) > 1 else {}
-        batch = _accept_batch(reach, lambda p: bounds.get(p, 0), room, most)
-        table: dict[int, int] = {}
-        for left, right, _ in batch:
-            tok = model.vocab[left] + model.vocab[right]
-            out = tok_ids.get(tok)
-            reused = out is not None
-            if not reused:
-                out = len(model.vocab)
-                model.vocab.append(tok)
-                tok_ids[tok] = out
-            model.merges.append((left, right, out))
-            table[left * _SHIFT + right] = out
-            if reused:
-                # the merged string already had an id: pairs with that id may gain
-                # count, so the rest of this batch is re-examined next round
-                break
-        # Written every round: the rewrite references each word several times, so
-        # letting the optimizer compose rounds would grow expressions exponentially.
-        # The written table also cuts lineage and survives lost executors.
-        before = path
-        words, path = written(_rewrite(words, table))
+        # not many more pairs than the last batch had
+        top = top[: max(1, min(room, max_batch, bounded, reach))]
+        near = _triples(words, pending, [t[:2] for t in top]) if len(top) > 1 else ({}, {})
+        batch = _accept_batch(top, near, model, tok_ids, min(room, max_batch))
+        model.merges += batch
+        pending.append(batch)
+        reach, rounds = max(256, 4 * len(batch)), rounds + 1
+        if progress:
+            progress(rounds, len(model.vocab))
+        if len(model.vocab) >= vocab_size:
+            break
+        before = hist_path
+        hist, hist_path = written(hist.unionByName(_pair_histogram(words, pending)).groupBy("k").agg(F.sum("c").alias("c")).where("c > 0"), "bpe-pairs")
         remove_table(before)
+        if len(pending) >= keep_batches:
+            before = path
+            words, path = written(_rewritten(words, pending), "bpe-words")
+            remove_table(before)
+            pending = []
+    remove_table(hist_path)
     return model
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..constants import STRIP_CHARS
+from ..constants import DEFAULT_VOCAB_SIZE, STRIP_CHARS
 from ..functions import arrays as A
 from ..functions import text as T
 from ..operators import bpe as B
@@ -16,9 +16,6 @@ from ..sources.index import content_key, read_if_present
 from .registry import register
 from .tables import table
 
-#: Tokens the registered queries learn; rounds are sequential jobs, so the operator's default of 25,000 takes many more of them (README).
-BPE_VOCAB = 600
-
 _RE2_WS = "".join(f"\\x{{{ord(c):X}}}" for c in STRIP_CHARS if c not in "\x1c\x1d\x1e\x1f")
 _RE2_PRETOKEN = f"'s|'t|'re|'ve|'m|'ll|'d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{_RE2_WS}\\p{{L}}\\p{{N}}]+"
 
@@ -42,7 +39,7 @@ def pretoken_histogram(spark, sf_dir):
     return P.pretoken_histogram(table(spark, sf_dir, "documents"))
 
 
-def trained_model(spark, sf_dir, vocab_size: int = BPE_VOCAB, *, recache: bool = False) -> B.BpeModel:
+def trained_model(spark, sf_dir, vocab_size: int = DEFAULT_VOCAB_SIZE, *, recache: bool = False) -> B.BpeModel:
     """S9 + S11: load the model for this corpus (U3: documents and folded conversations) from the shared folder, or learn and save it."""
     path = f"{checkpoint_dir(spark)}/bpe-model-{content_key(table(spark, sf_dir, 'documents'), vocab_size, content_key(table(spark, sf_dir, 'conversations')))}"
     if not recache and read_if_present(spark, f"{path}/merges") is not None:
