@@ -131,3 +131,20 @@ def test_empty(make):
     docs = make([], "doc_id long, text string")
     assert B.find_personal_data(docs).count() == 0 and B.mask_personal_data(docs).count() == 0
     assert B.personal_data_digest(B.find_personal_data(make([(1, "nothing here")], "doc_id long, text string"))).first().spans == ""
+
+
+def test_identifiers_in_groups(make):
+    shapes = ["DE89 3704 0044 0532 0130 00", "078 05 1120", "4111 1111 1111 1112", "(555) 555-1234", "[12] 345.678"]
+    for x in shapes:
+        for text in (f"pay to {x} now", x, f"({x}, see", f"at {x}."):
+            s = text.index(x)
+            assert (None, s, s + len(x)) in B.candidates(text, B.base_spans(text)), text
+    assert (None, 5, 13) in B.candidates("see (078 1120) here", [])
+    around = "10.0.0.7 and 7788 9900 x@y.example.com 1234 567"
+    assert {around[s:e] for k, s, e in B.candidates(around, B.base_spans(around)) if k is None} == {"7788 9900", "1234 567"}
+    rows = [(i, f"the call number +1 (555) 555-{1000 + i} rings today") for i in range(60)]
+    rows += [(100 + i, f"please pay card 4111 1111 1111 {n} by noon") for i, n in enumerate(n for n in range(1000, 1600) if luhn(f"411111111111{n}"))]
+    rows += [(900, "the call number (555) 555-1234 rings today"), (901, "please pay card 4111 1111 1111 1112 by noon"), (902, "the call number DE89 3704 0044 0532 0130 00 rings today"), (903, "the shop has 078 05 1120 left over")]
+    got = {r.doc_id: r.text for r in B.mask_personal_data(make(rows, "doc_id long, text string")).collect()}
+    assert got[900] == "the call number [PHONE] rings today" and got[901] == "please pay card [CARD] by noon"
+    assert got[902] == "the call number [PHONE] rings today" and got[903] == rows[-1][1]

@@ -4,7 +4,8 @@ Seeds are the spans of four fixed rules (email, ip, card, phone) and ``SEED_RULE
 further kinds. What stands around a seed gives its lexical patterns: the two words before,
 the word before, the word after (lower-cased, digits as 0). Other identifier-shaped tokens
 (``MIN_LENGTH`` characters with at least ``MIN_DIGITS`` digits, or an ``@``) in the same patterns are
-instances without a kind. Spark scores the bipartite graph of patterns and instances in rounds:
+instances without a kind; so are runs of groups that hold a digit, joined by single blanks, dots, dashes or brackets
+(``DE89 3704 0044``, ``(555) 555-1234``), with the contexts outside the whole run. Spark scores the bipartite graph of patterns and instances in rounds:
 a pattern's confidence in a kind is the weight of its distinct instances of that kind over all
 of them plus two; a pattern needs ``CONFIDENCE``, hence several instances, to count. Instances
 get the noisy-or of their confident patterns as weight and go into the next round. At the end the
@@ -53,6 +54,8 @@ _DIGIT = re.compile(r"[0-9]")
 _MARK = re.compile(r"[0-9@]")
 _EDGE = "\"'`<>()[]{},;:!?.*#$%&|/\\=~^"
 _STOP = re.compile(r"[\s\"'`<>()\[\]{},;|]")
+_GROUP = r"[A-Za-z]*+[0-9][0-9A-Za-z]*+(?!\w)"
+_RUN = re.compile(rf"(?<!\w)[(\[]?\+?{_GROUP}(?:(?:[)\]][\x20.-]?|[\x20.-][(\[]?|[(\[])\+?{_GROUP})++[)\]]?")
 
 
 def _luhn(digits: str) -> bool:
@@ -110,7 +113,7 @@ def _overlaps(spans: list[tuple[int, int]], s: int, e: int) -> bool:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str | None, int, int]]:
-    """Seeds of every kind, and identifier-shaped tokens (kind None) that overlap no seed."""
+    """Seeds of every kind, and identifier-shaped tokens and runs of groups (kind None) that overlap no seed."""
     out = list(base)
     taken = [(s, e) for _, s, e in base]
     for kind, rule in _SEEDS:
@@ -119,6 +122,13 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str |
                 out.append((kind, m.start(), m.end()))
                 taken.append((m.start(), m.end()))
     taken.sort()
+    runs, at = [], 0
+    for s, e in [*taken, (len(text), len(text))]:  # between the seeds
+        for m in _RUN.finditer(text, at, max(at, s)):
+            a, z = _bracketed(text, m.start(), m.end())
+            if z - a >= MIN_LENGTH and _STOP.search(text, a, z) and len(_DIGIT.findall(text, a, z)) >= MIN_DIGITS:
+                runs.append((None, a, z))
+        at = max(at, e)
     at, k = 0, 0
     while m := _MARK.search(text, at):
         while k < len(taken) and taken[k][1] <= m.start():
@@ -137,7 +147,19 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str |
             e -= 1
         if e - s >= MIN_LENGTH and ("@" in text[s:e] or len(_DIGIT.findall(text, s, e)) >= MIN_DIGITS) and not _overlaps(taken, s, e):
             out.append((None, s, e))
-    return out
+    held = {(s, e) for _, s, e in out}
+    return out + [r for r in runs if r[1:] not in held]
+
+
+def _bracketed(text: str, s: int, e: int) -> tuple[int, int]:
+    """The run without a bracket at its ends whose other half is not in it."""
+    if text[s] in "([" and ")]"["([".index(text[s])] not in text[s:e]:
+        s += 1
+    if text[e - 1] in ")]" and "(["[")]".index(text[e - 1])] not in text[s:e]:
+        e -= 1
+    if text[s] in "([" and text[e - 1] == ")]"["([".index(text[s])] and not _STOP.search(text[s + 1 : e - 1].replace(" ", "")):
+        s, e = s + 1, e - 1  # brackets around the whole run are no part of it
+    return s, e
 
 
 def _word(w: str) -> str:
