@@ -148,3 +148,35 @@ def test_identifiers_in_groups(make):
     got = {r.doc_id: r.text for r in B.mask_personal_data(make(rows, "doc_id long, text string")).collect()}
     assert got[900] == "the call number [PHONE] rings today" and got[901] == "please pay card [CARD] by noon"
     assert got[902] == "the call number [PHONE] rings today" and got[903] == rows[-1][1]
+
+
+def settled_patterns(edges):
+    """As ``brute_patterns``, without a number of rounds: until no score changes."""
+    weight, last = {}, None
+    while True:
+        best, doubt = {}, {}
+        for p in {p for p, _ in edges}:
+            mine = [(v, k) for (q, v), k in edges.items() if q == p]
+            got = sum(1.0 if k else weight.get(v, 0.0) for v, k in mine) / (len(mine) + 2)
+            if got >= B.CONFIDENCE:
+                best[p] = got
+        for (p, v), k in edges.items():
+            if k is None and p in best:
+                doubt[v] = doubt.get(v, 1.0) * (1 - min(best[p], 0.999999))
+        weight = {v: 1 - d for v, d in doubt.items()}
+        if last is not None and best.keys() == last.keys() and all(abs(best[p] - last[p]) <= 1e-12 for p in best):
+            return best
+        last = best
+
+
+def test_chain_of_patterns_and_weights_that_still_rise(make):
+    edges = {("p0", f"seed{v}"): "email" for v in range(60)} | {("p7", f"other{v}"): None for v in range(8)}
+    for hop in range(7):  # a pattern is confident only when the pattern before it has made its values known
+        edges |= {(f"p{p}", f"v{hop}-{v}"): None for p in (hop, hop + 1) for v in range(8)}
+        edges |= {(f"p{hop + 1}", f"known{hop}-{v}"): "email" for v in range(44)}
+    want = settled_patterns(edges)
+    few = brute_patterns(edges)
+    rows = make([(p, v, k) for (p, v), k in edges.items()], "pattern string, value string, kind string")
+    got = {r.pattern: r.confidence for r in B.score_patterns(rows, rounds=None).collect()}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-8 for p in want)
+    assert got.keys() == {f"p{k}" for k in range(8)} and few.keys() == {f"p{k}" for k in range(4)}

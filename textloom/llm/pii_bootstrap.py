@@ -8,8 +8,8 @@ instances without a kind; so are runs of groups that hold a digit, joined by sin
 (``DE89 3704 0044``, ``(555) 555-1234``), with the contexts outside the whole run. Spark scores the bipartite graph of patterns and instances in rounds:
 a pattern's confidence in a kind is the weight of its distinct instances of that kind over all
 of them plus two; a pattern needs ``CONFIDENCE``, hence several instances, to count. Instances
-get the noisy-or of their confident patterns as weight and go into the next round. At the end the
-confident patterns mark the unseen identifiers they surround; base spans always stay.
+get the noisy-or of their confident patterns as weight and go into the next round, until neither patterns
+nor weights change. At the end the confident patterns mark the unseen identifiers they surround; base spans always stay.
 
 The documents are scanned once; what is written, joined and grouped are spans and contexts, never
 texts. A frequent pattern is aggregated partially before it is shuffled.
@@ -40,7 +40,8 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 #: Seeds of further kinds: name and pattern.
 SEED_RULES = (("secret", r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])"),)
 CONFIDENCE = 0.8
-ROUNDS = 4
+#: Default rounds of ``score_patterns``; the query scores until nothing changes by more than ``EPSILON``, and fails after ``MAX_ROUNDS``.
+ROUNDS, EPSILON, MAX_ROUNDS = 4, 1e-9, 1000
 MIN_LENGTH, MIN_DIGITS = 6, 3
 CONTEXT = 80
 
@@ -215,17 +216,19 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, text_md5 string, base array<string>, found {_FOUND_SPARK}")
 
 
-def score_patterns(edges: DataFrame, confidence: float = CONFIDENCE, rounds: int = ROUNDS) -> DataFrame:
+def score_patterns(edges: DataFrame, confidence: float = CONFIDENCE, rounds: int | None = ROUNDS) -> DataFrame:
     """Confident patterns ``(pattern, kind, confidence)`` of a graph ``edges(pattern, value, kind)``; ``kind`` is null for unknown values.
 
-    Every round is two aggregations; tables are written so that the plan doesn't grow. Stops early when no value is new.
+    Every round is two aggregations; tables are written so that the plan doesn't grow. A number of rounds stops early when
+    no value is new; with None the rounds go on until the confident patterns are the same and their confidences, on which the weights depend, have settled.
     """
     seeds = edges.filter("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count(F.lit(1)).cast("double").alias("w"))
     totals = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("total"))
     unknown = materialize(edges.filter("kind IS NULL").select("pattern", "value"), "pii-unknown")
     best_of = "row_number() OVER (PARTITION BY {0} ORDER BY {1} DESC, kind) AS place"
     known, count, best = None, 0, None
-    for _ in range(rounds):
+    for _ in range(MAX_ROUNDS if rounds is None else rounds):
+        last = best
         weights = seeds
         if known is not None:
             got = unknown.join(known, "value").groupBy("pattern", "kind").agg(F.sum("weight").alias("w"))
@@ -234,18 +237,30 @@ def score_patterns(edges: DataFrame, confidence: float = CONFIDENCE, rounds: int
         best = materialize(scored, "pii-patterns")  # at 0.8 and above only one kind of a pattern can pass
         doubt = unknown.join(best, "pattern").groupBy("value", "kind").agg(F.sum(F.log1p(-F.least("confidence", F.lit(0.999999)))).alias("log_doubt"))
         known = materialize(doubt.selectExpr("value", "kind", "1 - exp(log_doubt) AS weight", best_of.format("value", "-log_doubt")).filter("place = 1").drop("place"), "pii-values")
-        if (now := known.count()) == count:
+        if rounds is None:
+            if last is not None and _same_scores(last, best):
+                break
+        elif (now := known.count()) == count:
             break
-        count = now
+        else:
+            count = now
+    else:
+        if rounds is None:
+            raise RuntimeError("pattern scores did not settle")
     return best
 
 
+def _same_scores(a: DataFrame, b: DataFrame) -> bool:
+    both = a.withColumnRenamed("confidence", "x").join(b.withColumnRenamed("confidence", "y"), ["pattern", "kind"], "full")
+    return both.filter(f"x IS NULL OR y IS NULL OR abs(x - y) > {EPSILON}").isEmpty()
+
+
 def discover(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(rows, added)``: ``extract``'s rows with a ``row`` number, and ``(row, kind, start, end)`` of seeds of further kinds and discovered spans."""
     rows = materialize(extract(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pii-found")
     found = rows.select("row", F.explode("found").alias("f")).select("row", "f.*")
     edges = materialize(found.select(F.explode("patterns").alias("pattern"), "value", "kind").groupBy("pattern", "value").agg(F.min("kind").alias("kind")), "pii-edges")
-    best = score_patterns(edges)
+    best = score_patterns(edges, rounds=None)
     open_spans = found.filter("kind IS NULL").select("row", "start", "end", F.explode("patterns").alias("pattern"))
     marked = open_spans.join(best, "pattern").groupBy("row", "start", "end").agg(F.max(F.struct("confidence", "kind")).alias("b")).select("row", F.col("b.kind").alias("kind"), "start", "end")
     seeds = found.filter(F.col("kind").isNotNull() & ~F.col("kind").isin(*BASE_KINDS)).select("row", "kind", "start", "end")
