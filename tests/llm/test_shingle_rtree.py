@@ -95,3 +95,17 @@ def test_components_of_chains_and_stars(make):
     star = [(5, i) for i in range(200, 400)]
     got = {r.node: r.root for r in K.connected_components(make(chain + star + [(7, 7)], "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {i: 5 for i in [5, *range(200, 400)]}
+
+
+def brute_links(docs):
+    s = [sets(t) for _, t in docs]
+    return sorted((i, len(x), sum(k != j and bool(x) and bool(y) and 100 * len(x & y) >= 80 * len(x | y) for j, y in enumerate(s))) for k, ((i, _), x) in enumerate(zip(docs, s)))
+
+
+@pytest.mark.parametrize("page", [4, 256])
+def test_every_link_inside_components(make, monkeypatch, page):
+    monkeypatch.setattr(S, "PAGE", page)
+    docs = corpus(7, 3, 18, 60, 3, 20)
+    docs += [(500 + k, docs[k][1]) for k in range(4)] + [(900, None), (901, "a b"), (902, "A b")]
+    got = sorted(tuple(r) for r in S.count_links(make(docs, "doc_id long, text string"), sketch_bits=12, filter_bits=12).collect())
+    assert got == brute_links(docs) and max(n for _, _, n in got) > 4

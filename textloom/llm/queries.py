@@ -58,6 +58,11 @@ def op6_count_vector_rtree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_rtree.link_documents(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_count_vector_rtree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_rtree.count_links(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_prefix_hash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_hash.compare_with_next(_table(spark, sf_dir, "documents"))

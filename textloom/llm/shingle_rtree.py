@@ -2,7 +2,8 @@
 
 A document's set holds its distinct five-word shingles; two documents link when
 ``100 * intersection >= 80 * union``. The join is exact; only links between different sets
-are searched, equal sets are one class from the start.
+are searched, equal sets are one class from the start. ``link_documents`` gives components and looks for no more links than
+decide them; ``link_classes`` verifies every pair of classes that the bounds leave, and ``count_links`` counts a row's links.
 
 * Points: the shingles are hashed into ``GROUPS`` groups; the counts of a set in them are its
   point. The overlap of two sets is at most the sum of the coordinate minima.
@@ -204,9 +205,9 @@ def _pairs(members: DataFrame, looks: int = CONTRACT_CELLS) -> DataFrame:
     return out.distinct()
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members ``(cell, n, cls, pos, comp, large)`` of the cells that still hold several components."""
-    comp = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cell", "n", "cls", "pos", F.coalesce("root", "cls").alias("comp"))
+def _mixed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members ``(cell, n, cls, pos, comp, large)`` of the cells that still hold several components; without labels every class is one."""
+    comp = members.select("cell", "n", "cls", "pos", F.col("cls").alias("comp")) if labels is None else members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cell", "n", "cls", "pos", F.coalesce("root", "cls").alias("comp"))
     cells = comp.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("m")).filter("x != y").select("cell", (F.col("m") > PAGE).alias("large"))
     return materialize(comp.join(cells, "cell"), "shingle-mixed")
 
@@ -335,8 +336,8 @@ def _leaf_pairs(hard: DataFrame) -> DataFrame:
     return spread.select("cell", "comp", "n", "cls", "pos").mapInArrow(run, "a long, b long")
 
 
-def _pages(large: DataFrame) -> DataFrame:
-    """Cells packed into pages of points with their upper corner (the tree's nodes).
+def _pages(large: DataFrame, order: tuple[str, ...] = ("comp", "n", "cls")) -> DataFrame:
+    """Cells packed in this order into pages of points with their upper corner (the tree's nodes).
 
     ``large``: (cell, comp, n, cls, point, cells), ``cells`` being all large cells of the set.
     """
@@ -372,7 +373,7 @@ def _pages(large: DataFrame) -> DataFrame:
 
     schema = pa.schema([(k, pa.int64()) for k in numbers] + [(k, pa.binary()) for k in blobs])
     spark_schema = ", ".join([f"{k} long" for k in numbers] + [f"{k} binary" for k in blobs])
-    ordered = large.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", "comp", "n", "cls")
+    ordered = large.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", *order)
     return ordered.select("cell", "comp", "n", "cls", "point", "cells").mapInArrow(run, spark_schema)
 
 
@@ -418,8 +419,8 @@ def _tree_pairs(pages: DataFrame) -> DataFrame:
     return near.mapInArrow(run, "a long, b long")
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of every row of ``docs``."""
+def _prepared(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int):
+    """``(d, index, members, classes, wanted, points)``: what the joins start from."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     levels = spark.sparkContext.broadcast(_sketch(d.select("text"), sketch_bits))
@@ -428,6 +429,41 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = index.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     wanted = materialize(classes.join(members.select("cls").distinct(), "cls", "left_semi").select("doc_id", "cls"), "shingle-classes")
     points = materialize(index.select("doc_id", "cls", "n", "point").join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]), "shingle-points")
+    return d, index, members, classes, wanted, points
+
+
+def _left_pairs(mixed: DataFrame, points: DataFrame, order: tuple[str, ...] = ("comp", "n", "cls")) -> DataFrame:
+    """Pairs of classes of different components that leaves and tree leave over."""
+    large = mixed.filter("large")
+    # what a set takes along is bounded by its own number of cells
+    cells = large.groupBy("cls").agg(F.collect_set("cell").alias("cells")).join(points.select("cls", "point"), "cls")
+    tree = _pages(large.join(cells, "cls"), order)
+    return _leaf_pairs(mixed.filter("NOT large")).unionByName(_tree_pairs(materialize(tree, "shingle-pages"))).distinct()
+
+
+def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """``(rows, links)``: ``(doc_id, n, cls)`` of every row, and all pairs ``(a, b)`` of distinct classes that link, each verified on exact sets.
+
+    No pair is skipped for its component, so the work and the result grow with the links there are.
+    """
+    d, index, members, _, wanted, points = _prepared(docs, id_col, text_col, sketch_bits)
+    pairs = _point_bound(_left_pairs(_mixed(members, None), points, ("n", "cls")), points)
+    return index.select("doc_id", "n", "cls"), _verified(materialize(pairs, "shingle-pairs"), d, wanted, filter_bits)
+
+
+def count_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``(doc_id, n_shingles, n_links)`` of every row of ``docs``: the other rows whose sets link with its own (copies do)."""
+    rows, links = link_classes(docs, id_col, text_col, sketch_bits, filter_bits)
+    sizes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"))
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sizes.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("copies").alias("others"))
+    n = sizes.join(others, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")).filter("n_links > 0")
+    return rows.join(n, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of every row of ``docs``."""
+    d, index, members, classes, wanted, points = _prepared(docs, id_col, text_col, sketch_bits)
     tried = materialize(_pairs(members), "shingle-pairs")
     links = _verified(_point_bound(tried, points), d, wanted, filter_bits)
     labels = connected_components(links)
@@ -441,12 +477,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = links.unionByName(more)
         labels = connected_components(links)
 
-    mixed = _mixed(members, labels)
-    large = mixed.filter("large")
-    # what a set takes along is bounded by its own number of cells
-    cells = large.groupBy("cls").agg(F.collect_set("cell").alias("cells")).join(points.select("cls", "point"), "cls")
-    tree = _pages(large.join(cells, "cls"))
-    found = _leaf_pairs(mixed.filter("NOT large")).unionByName(_tree_pairs(materialize(tree, "shingle-pages"))).distinct()
+    found = _left_pairs(_mixed(members, labels), points)
     left = materialize(_point_bound(found.join(tried, ["a", "b"], "left_anti"), points), "shingle-pairs")
     if not left.isEmpty():
         late = _verified(left, d, wanted, filter_bits)
