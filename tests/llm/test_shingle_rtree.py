@@ -109,3 +109,23 @@ def test_every_link_inside_components(make, monkeypatch, page):
     docs += [(500 + k, docs[k][1]) for k in range(4)] + [(900, None), (901, "a b"), (902, "A b")]
     got = sorted(tuple(r) for r in S.count_links(make(docs, "doc_id long, text string"), sketch_bits=12, filter_bits=12).collect())
     assert got == brute_links(docs) and max(n for _, _, n in got) > 4
+
+
+def test_keeping_one_knows_rows_by_id_and_text(make):
+    rnd = random.Random(3)
+
+    def text():
+        return [f"w{rnd.randrange(900)}" for _ in range(40)]
+
+    a, b, c, d, e, f = (text() for _ in range(6))
+    near = lambda t: " ".join(t[:-1] + ["end"])
+    a, b, c2, d2, f2, c, d, e, f = " ".join(a), " ".join(b), near(c), near(d), near(f), " ".join(c), " ".join(d), " ".join(e), " ".join(f)
+    rows = [(3, a), (5, a), (5, b)]  # only the copy under 5 goes
+    rows += [(7, c), (7, c2)]  # near copies under one id
+    rows += [(None, d), (None, d2), (None, e), (9, e), (None, f), (None, f), (None, f2)]  # null ids
+    rows += [(11, None), (11, None), (None, None), (12, a + " "), (9, e.upper())]
+    kept = [tuple(r) for r in S.keep_one_of_each(make(rows, "doc_id long, text string")).collect()]
+    ids = sorted((-1 if i is None else i) for i, _ in kept)
+    assert ids == [-1, -1, -1, 3, 5, 7, 9, 11]
+    assert (5, b) in kept and (3, a) in kept and {t for i, t in kept if i == 7} < {c, c2}
+    assert len({t for i, t in kept if i is None} & {d, d2}) == 1 and len({t for i, t in kept if i is None} & {f, f2}) == 1 and (None, None) in kept

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 from .common import fold_ascii, mix64, shuffle_partitions, small_batches, span_hashes, split_by_ids, utf8_column, word_spans
@@ -140,7 +141,7 @@ def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
 
 
 def _index(docs: DataFrame, levels, bits: int) -> DataFrame:
-    """``(doc_id, n, cls, cells, point)``: set size, class, the keys of the rarest shingles (null where a task saw the class before), group counts."""
+    """``(doc_id, key, n, cls, cells, point)``: set size, class, the keys of the rarest shingles (null where a task saw the class before), group counts."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -167,9 +168,9 @@ def _index(docs: DataFrame, levels, bits: int) -> DataFrame:
             lengths = np.array([0 if x is None else len(x) for x in cells])
             flat = np.concatenate([x for x in cells if x is not None]) if lengths.any() else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), lists, pa.array(points, pa.binary())], names=["doc_id", "n", "cls", "cells", "point"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(ns, pa.int64()), pa.array(cs, pa.int64()), lists, pa.array(points, pa.binary())], names=["doc_id", "key", "n", "cls", "cells", "point"])
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, n long, cls long, cells array<long>, point binary")
+    return docs.mapInArrow(run, f"doc_id {id_type}, key long, n long, cls long, cells array<long>, point binary")
 
 
 #: Whether two members can still reach the needed overlap if this cell is their first common one (it is for some cell of every link).
@@ -420,16 +421,18 @@ def _tree_pairs(pages: DataFrame) -> DataFrame:
 
 
 def _prepared(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int):
-    """``(d, index, members, classes, wanted, points)``: what the joins start from."""
+    """``(d, index, members, classes, wanted, points)``: what the joins start from; ids are keys in ``d``, ``wanted`` and ``points``."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     levels = spark.sparkContext.broadcast(_sketch(d.select("text"), sketch_bits))
+    # a text is found again by its key: a hash of its id, or of the text itself where the id is null
+    d = d.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(1), "text")).otherwise(F.xxhash64("doc_id")).alias("key"))
     index = materialize(_index(d, levels, sketch_bits), "shingle-index")
     members = materialize(_neighbours(index), "shingle-cells")
-    classes = index.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    wanted = materialize(classes.join(members.select("cls").distinct(), "cls", "left_semi").select("doc_id", "cls"), "shingle-classes")
-    points = materialize(index.select("doc_id", "cls", "n", "point").join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]), "shingle-points")
-    return d, index, members, classes, wanted, points
+    classes = index.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"))
+    wanted = materialize(classes.join(members.select("cls").distinct(), "cls", "left_semi").select(F.col("key").alias("doc_id"), "cls"), "shingle-classes")
+    points = materialize(index.select(F.col("key").alias("doc_id"), "cls", "n", "point").join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]), "shingle-points")
+    return d.select(F.col("key").alias("doc_id"), "text"), index, members, classes, wanted, points
 
 
 def _left_pairs(mixed: DataFrame, points: DataFrame, order: tuple[str, ...] = ("comp", "n", "cls")) -> DataFrame:
@@ -461,8 +464,8 @@ def count_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.join(n, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of every row of ``docs``."""
+def _components(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``(index, node)``: every row with its class, and ``(cls, doc_id, copies, root)`` of every class, ``root`` naming its component."""
     d, index, members, classes, wanted, points = _prepared(docs, id_col, text_col, sketch_bits)
     tried = materialize(_pairs(members), "shingle-pairs")
     links = _verified(_point_bound(tried, points), d, wanted, filter_bits)
@@ -484,7 +487,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not late.isEmpty():
             labels = connected_components(links.unionByName(late))
 
-    node = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    return index, classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+
+
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of every row of ``docs``."""
+    index, node = _components(docs, id_col, text_col, sketch_bits, filter_bits)
     least = node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     # a class that is its own smallest document and has no copies needs no look-up
     shared = node.join(least, "root").filter("component_id IS NOT NULL AND (copies > 1 OR doc_id IS NULL OR component_id != doc_id)").select("cls", "component_id")
@@ -493,13 +501,31 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without the linked copies: of each component the document with the smallest id stays, once."""
-    found = materialize(link_documents(docs, id_col, text_col), "shingle-components")
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    outside, inside = split_by_ids(docs, id_col, gone, "_gone")
-    kept = outside.unionByName(inside.join(gone, inside[id_col] == gone["_gone"], "left_anti"))
-    repeated = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again"))
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept[id_col] == repeated["_again"], "left_semi").dropDuplicates([id_col, text_col])
-    return kept.join(repeated, kept[id_col] == repeated["_again"], "left_anti").unionByName(once)
+    """The rows of ``docs`` without the linked copies: of each component one row stays.
+
+    Rows are known by id and class, so rows that share an id but not a set are judged apart. The row with the smallest id stays (then
+    the smallest class, then text); a null id comes after all others. Rows without words are linked with nothing and stay, those with one id and text once.
+    """
+    index, node = _components(docs, id_col, text_col, SKETCH_BITS, FILTER_BITS)
+    rows = index.groupBy("doc_id", "cls").agg(F.count(F.lit(1)).alias("rows"))
+    # a component of one row needs no look
+    many = node.groupBy("root").agg(F.sum("copies").alias("rows")).filter("rows > 1").select("root")
+    of = materialize(rows.join(node.select("cls", "root").join(many, "root"), "cls").select("root", "doc_id", "cls", "rows"), "shingle-nodes")
+    first = of.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "cls")).alias("first"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("cls") == F.col("first.cls"))
+    judged = of.join(first, "root").select(F.col("doc_id").alias("_id"), F.col("cls").alias("_of"), is_first.alias("_stays"), "rows").filter("NOT _stays OR rows > 1").drop("rows")
+    empty = rows.filter("cls IS NULL AND doc_id IS NOT NULL AND rows > 1").select(F.col("doc_id").alias("_id"), F.col("cls").alias("_of"), F.lit(True).alias("_stays"))
+    judged = materialize(judged.unionByName(empty), "shingle-judged")
+    outside, inside = split_by_ids(docs, id_col, judged, "_id")
+    names = docs.columns
+
+    def run(batches):
+        for b in small_batches(batches, text_col):
+            of_row = [_class_of(x) if len(x) else None for x in shingle_sets(b.column(text_col))]
+            yield pa.RecordBatch.from_arrays([*b.select(names).columns, pa.array(of_row, pa.int64())], names=[*names, "_cls"])
+
+    classed = inside.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_cls", T.LongType())]))
+    both = classed.join(judged, classed[id_col].eqNullSafe(judged["_id"]) & classed["_cls"].eqNullSafe(judged["_of"]), "left")
+    alone = both.filter("_stays IS NULL").select(names)
+    once = both.filter("_stays").withColumn("_row", F.struct(*names)).groupBy(id_col, "_cls", F.when(F.col("_cls").isNull(), F.col(text_col)).alias("_empty"))
+    return outside.unionByName(alone).unionByName(once.agg(F.min_by("_row", text_col).alias("_row"), F.first("_row").alias("_any")).select(F.coalesce("_row", "_any").alias("_row")).select("_row.*"))
