@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,6 +128,22 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, lengths) + np.arange(total)
 
 
+def span_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """``(number, values)``: byte spans numbered by their exact bytes, equal spans alike, and the distinct values."""
+    lengths = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    joined = np.ascontiguousarray(data[ragged(starts, lengths)])
+    spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(joined)])
+    coded = spans.dictionary_encode()
+    return np.asarray(coded.indices).astype(np.int64), coded.dictionary
+
+
+def digest64(values) -> np.ndarray:
+    """64 bits of a cryptographic hash of every bytes value: no texts are known that collide by construction."""
+    blake = hashlib.blake2b
+    return np.frombuffer(b"".join([blake(v, digest_size=8).digest() for v in values]), "<u8").astype(np.uint64)
+
+
 def with_order_bucket(df: DataFrame, key: str, buckets: int, name: str = "_bucket") -> DataFrame:
     """Adds the number of the ascending key range a row belongs to.
 

@@ -79,3 +79,27 @@ SELECT pair_id, coalesce(string_agg({_C}, '' ORDER BY pos) FILTER (shared), '')
        count(*) FILTER (shared) AS prompt_turns
 FROM e GROUP BY pair_id
 """
+
+ORACLES["op13_misra_gries_phrases"] = r"""
+WITH piece AS (
+  SELECT row_number() OVER () AS id, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+f AS (
+  SELECT lang, g, k, count(*) AS a FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM piece, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 30),
+cut AS (SELECT lang, g, k, a, string_split(g, ' ') AS w, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+scored AS (
+  SELECT cut.lang, cut.g, cut.k, cut.a, c, l.a AS l, r.a AS r, (2000000 * CAST(cut.a AS HUGEINT)) // (l.a + r.a) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.g = array_to_string(w[:c], ' ') JOIN f r ON r.lang = cut.lang AND r.g = array_to_string(w[c + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+part AS (
+  SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS g FROM (
+    SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT lang, a, k, string_split(g, ' ') AS w, unnest(range(2, k)) AS m FROM f WHERE k > 2))),
+longer AS (SELECT lang, g, max(a) AS longer FROM part GROUP BY ALL),
+ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.g) AS rank
+  FROM best LEFT JOIN longer ON longer.lang = best.lang AND longer.g = best.g WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT ranked.lang, rank, g AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+"""
