@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import chunked_bpe, direct_codes, fm_index, language_profiles, phrase_mining, pii_bootstrap, preferences, prefix_hash, shingle_rtree, token_counts, warc_dictionary
+from . import chunked_bpe, direct_codes, fm_index, language_profiles, periodic_runs, phrase_mining, pii_bootstrap, preferences, prefix_hash, risk_rules, shingle_rtree, token_counts, warc_dictionary
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,16 @@ def op10_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return fm_index.contamination_digest(found)
 
 
+@query
+def op11_block_convolution_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digest(periodic_runs.collapse_runs(_table(spark, sf_dir, "documents"), word_order=periodic_runs.planted_order))
+
+
+@query
+def op12_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk_rules.judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query
 def op13_misra_gries_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.mine_collocations(_table(spark, sf_dir, "documents"))
