@@ -11,7 +11,7 @@ least ``threshold`` occurrences are candidates.
   the masses come before the summaries in its stream) has capacity ``M // threshold + 1``. Each unit taken off removes more than capacity units
   of mass, so at most ``M / (capacity + 1) < threshold`` is ever taken off: every phrase with ``threshold`` occurrences survives.
   Keys that share a hash only add up, which cannot lose one.
-* Second pass. The survivors set bits in a bitmap (16 bits a survivor up to ``2 ** filter_bits``); the texts are read again,
+* Second pass. The survivors set bits in a bitmap (about 16 bits a survivor, ``2 ** filter_bits`` at most, each hash partition its own part); the texts are read again,
   phrases outside it are passed over, and the others are counted by their words. What the bitmap lets through by chance is dropped by the exact
   count. Beyond a survivor for four bits the bitmap alone would let too much through, and the phrases also join the survivors' keys.
 * Scores are exact decimals. Cuts and contained phrases are looked up by joins of the frequent phrases alone.
@@ -216,31 +216,40 @@ def survivors(docs: DataFrame, threshold: int, parts: int) -> DataFrame:
 # ---------------------------------------------------------------- second pass: exact counts
 
 
-def _place(part, key, parts: int, bits: int):
-    """The bit of a survivor: its partition and key mixed into ``bits`` bits."""
-    return mix64(part.astype(np.uint64) << np.uint64(40) | key.astype(np.uint64)) & np.uint64((1 << bits) - 1)
+def _place(part, key, bits: int):
+    """The bit of a survivor: every hash partition has ``2 ** bits`` of its own."""
+    return part.astype(np.uint64) << np.uint64(bits) | mix64(key.astype(np.uint64)) & np.uint64((1 << bits) - 1)
 
 
 def _bitmap(kept: DataFrame, parts: int, bits: int) -> np.ndarray:
-    """A bit for every survivor; tasks set the bits of their rows in words that the driver puts together (its size is bounded by ``bits``)."""
+    """The bits of all survivors; a task sets those of whole partitions, and the driver puts the partitions' bytes (of fixed size) together."""
+    size = (1 << bits) // 32
 
     def run(batches):
+        rows: dict[int, np.ndarray] = {}
         for b in batches:
-            place = np.unique(_place(np.asarray(b.column("part")), np.asarray(b.column("key")), parts, bits))
-            yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(5)).astype(np.int32)), pa.array(np.left_shift(np.int64(1), (place & np.uint64(31)).astype(np.int64)))], names=["w", "m"])
-
-    words = kept.mapInArrow(run, "w int, m long").groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
-    out = np.zeros((1 << bits) // 32, np.uint32)
-    out[np.asarray(words.column("w"))] = np.asarray(words.column("m")).astype(np.uint32)
+            part, key = np.asarray(b.column("part")), np.asarray(b.column("key"))
+            at = _place(part, key, bits) - (part.astype(np.uint64) << np.uint64(bits))
+            for p in np.unique(part).tolist():
+                word = rows.setdefault(p, np.zeros(size, np.uint32))
+                mine = at[part == p]
+                np.bitwise_or.at(word, (mine >> np.uint64(5)).astype(np.int64), np.uint32(1) << (mine & np.uint64(31)).astype(np.uint32))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int32()), pa.array([w.tobytes() for w in rows.values()], pa.binary())], names=["part", "words"])
+
+    out = np.zeros(parts * size, np.uint32)
+    n = shuffle_partitions(kept.sparkSession)
+    for r in kept.repartitionById(n, F.expr(f"part % {n}")).mapInArrow(run, "part int, words binary").toLocalIterator():
+        out[r.part * size : (r.part + 1) * size] = np.frombuffer(r.words, np.uint32)
     return out
 
 
 def _exact_counts(docs: DataFrame, kept: DataFrame, parts: int, filter_bits: int) -> DataFrame:
     """``(lang, phrase, words, a)`` of the phrases that the survivors' bitmap lets through, and ``(lang, null, 0, words)``."""
     many = kept.count()
-    bits = min(filter_bits, max(16, (16 * max(many, 1) - 1).bit_length()))
+    bits = max(5, min(filter_bits - (parts - 1).bit_length(), (16 * many // parts).bit_length()))
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(kept, parts, bits))
-    crowded = 4 * many > 1 << bits
+    crowded = 4 * many > parts << bits
 
     def run(batches):
         bit = shared.value
@@ -253,7 +262,7 @@ def _exact_counts(docs: DataFrame, kept: DataFrame, parts: int, filter_bits: int
             for n in range(1, LONGEST + 1):
                 at, h = words.phrases(n)
                 p, k = _partition_of(h, parts), h & _KEY
-                place = _place(p, k, parts, bits)
+                place = _place(p, k, bits)
                 here = (bit[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
                 at, p, k = at[here], p[here], k[here]
                 if not len(at):
