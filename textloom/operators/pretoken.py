@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..constants import PRETOKEN_PATTERN, SPECIAL_TOKENS
 
 SPECIAL_ALT = "|".join(re.escape(t) for t in SPECIAL_TOKENS)
-# a special token, or a maximal run of text containing none
-SPECIAL_SPLIT_PATTERN = f"(?s){SPECIAL_ALT}|(?:(?!{SPECIAL_ALT}).)+"
 
 
 def _col(c) -> Column:
@@ -24,8 +22,14 @@ def pretokens(text) -> Column:
 
 
 def special_parts(text) -> Column:
-    """Split a text into special tokens and the ordinary runs between them."""
-    return F.regexp_extract_all(_col(text), F.lit(SPECIAL_SPLIT_PATTERN), 0)
+    """Split a text into special tokens and the ordinary runs between them.
+
+    The special strings are found first and the text is cut at them, so no pattern looks ahead from every
+    character (such a pattern recurses in the JVM and ends it on long texts).
+    """
+    t = _col(text)
+    between, found = F.split(t, SPECIAL_ALT, -1), F.regexp_extract_all(t, F.lit(SPECIAL_ALT), 0)
+    return F.filter(F.flatten(F.zip_with(between, found, lambda run, token: F.array(run, token))), lambda p: p != "")
 
 
 def has_visible_char(piece) -> Column:
@@ -49,5 +53,5 @@ def piece_list(text) -> Column:
     """
     t = _col(text)
     parts = F.transform(special_parts(t), lambda p: F.when(p.isin(SPECIAL_TOKENS), F.array(p)).otherwise(pretokens(p)))
-    # every special token starts with '<': texts without one skip the look-ahead split
+    # every special token starts with '<': texts without one are not cut
     return F.when(F.instr(t, "<") > 0, F.flatten(parts)).otherwise(pretokens(t))
