@@ -1,14 +1,22 @@
 """Selecting from score tables.
 
 Input is a long table ``(group, item, score)`` - one row per candidate item of a
-group. Every operator is a window over a group (the candidate set of one
-decision) or an aggregate; the model that produced the scores is out of scope.
+group; the model that produced the scores is out of scope. Softmax and the nucleus cut hold for groups of any
+size: the rows of a group are spread over tasks in score order, every task adds up its own part, and
+the parts are put together by their log-sum-exp. Where the caller knows that groups are small
+(the candidates of one decision), ``small_groups`` takes a window per group instead.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import materialize
 
 
 def temperature(df: DataFrame, t: float, score: str = "score") -> DataFrame:
@@ -48,21 +56,77 @@ def top_k(df: DataFrame, k: int, group: str = "group_id", item: str = "item_id",
     return df.withColumn("_r", F.rank().over(w)).where(F.col("_r") <= k).drop("_r")
 
 
-def softmax(df: DataFrame, group: str = "group_id", score: str = "score", prob: str = "prob") -> DataFrame:
-    """``exp(s - max) / sum(exp(s - max))`` per group."""
+def _task_sums(df: DataFrame, group: str, score: str, keys: list, partitions: int | None) -> DataFrame:
+    """Rows in ``(group, keys)`` order over range partitions, with their partition and two numbers inside their part of the group:
+    ``_e``, the exponential of the score less the part's first (largest) one, and ``_before``, the sum of those of the rows before. Written once."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.withColumn("_x", F.col(score).cast("double")).repartitionByRange(n, F.col(group), *keys).sortWithinPartitions(F.col(group), *keys)
+    schema = T.StructType([*ordered.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField("_e", T.DoubleType()), T.StructField("_before", T.DoubleType())])
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        last, top, total = None, 0.0, 0.0  # the group that goes on from the batch before
+        for b in batches:
+            if not b.num_rows:
+                continue
+            code = b.column(group).dictionary_encode(null_encoding="encode")
+            number = np.asarray(code.indices)
+            starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+            ends = np.append(starts[1:], b.num_rows)
+            x = np.asarray(pc.fill_null(b.column("_x"), float("nan")))
+            e, before = np.empty(b.num_rows), np.empty(b.num_rows)
+            for s, z in zip(starts.tolist(), ends.tolist()):
+                name = (code.dictionary[number[s]].as_py(),)
+                if name != last:
+                    last, top, total = name, x[s], 0.0
+                e[s:z] = np.exp(x[s:z] - top)
+                sums = total + np.cumsum(e[s:z])
+                before[s], before[s + 1 : z] = total, sums[:-1]
+                total = sums[-1]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, pid, np.int32)), pa.array(e), pa.array(before)], names=[*b.schema.names, "_pid", "_e", "_before"])
+
+    return materialize(ordered.mapInArrow(run, schema), "softmax")
+
+
+def _in_order(df: DataFrame, group: str, score: str, item: str | None, partitions: int | None) -> DataFrame:
+    """Rows with ``_p``, their probability in the group, and ``_mass``, that of the rows before them by score (then item)."""
+    keys = [F.col(score).desc(), *([F.col(item).asc()] if item else [])]
+    rows = _task_sums(df, group, score, keys, partitions)
+    # one row for each part of a group: as many as there are groups, and one more for every partition border inside one
+    parts = rows.groupBy("_pid", F.col(group).alias("_g")).agg(F.max("_x").alias("_m"), F.sum("_e").alias("_s"))
+    whole, earlier = Window.partitionBy("_g"), Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    scaled = parts.withColumn("_w", F.exp(F.col("_m") - F.max("_m").over(whole)))
+    mass = F.col("_s") * F.col("_w")
+    offsets = scaled.select(F.col("_pid").alias("_q"), "_g", (F.col("_w") / F.sum(mass).over(whole)).alias("_scale"), (F.coalesce(F.sum(mass).over(earlier), F.lit(0.0)) / F.sum(mass).over(whole)).alias("_offset"))
+    joined = rows.join(offsets, (F.col("_pid") == F.col("_q")) & F.col(group).eqNullSafe(F.col("_g")))
+    out = joined.withColumn("_p", F.col("_e") * F.col("_scale")).withColumn("_mass", F.col("_offset") + F.col("_before") * F.col("_scale"))
+    return out.drop("_x", "_pid", "_e", "_before", "_q", "_g", "_scale", "_offset")
+
+
+def softmax(df: DataFrame, group: str = "group_id", score: str = "score", prob: str = "prob", *, small_groups: bool = False, partitions: int | None = None) -> DataFrame:
+    """``exp(s - max) / sum(exp(s - max))`` per group, in two levels (tasks, then groups) unless the groups are known to be small."""
+    if not small_groups:
+        return _in_order(df, group, score, None, partitions).withColumnRenamed("_p", prob).drop("_mass")
     w = Window.partitionBy(group)
     e = F.exp(F.col(score) - F.max(score).over(w))
     return df.withColumn("_e", e).withColumn(prob, F.col("_e") / F.sum("_e").over(w)).drop("_e")
 
 
-def nucleus(df: DataFrame, p: float, group: str = "group_id", item: str = "item_id", score: str = "score", prob: str = "prob") -> DataFrame:
+def nucleus(
+    df: DataFrame, p: float, group: str = "group_id", item: str = "item_id", score: str = "score", prob: str = "prob", *, small_groups: bool = False, partitions: int | None = None
+) -> DataFrame:
     """After softmax, keep an item if the probability mass *before* it is <= p.
 
-    Sorted by score descending, ties by item; the first item always stays; p = 0 disables.
+    Sorted by score descending, ties by item; the first item always stays; p = 0 disables. A group of any size is spread
+    over range partitions, so the border may fall anywhere, also among equal scores.
     """
-    sm = softmax(df, group, score, prob)
     if p <= 0:
-        return sm
+        return softmax(df, group, score, prob, small_groups=small_groups, partitions=partitions)
+    if not small_groups:
+        return _in_order(df, group, score, item, partitions).filter(F.col("_mass") <= F.lit(float(p))).withColumnRenamed("_p", prob).drop("_mass")
+    sm = softmax(df, group, score, prob, small_groups=True)
     w = (
         Window.partitionBy(group)
         .orderBy(F.col(score).desc(), F.col(item).asc())

@@ -33,13 +33,13 @@ SELECT group_id AS user_id, item_id AS event_type, round(prob, 9) AS prob FROM s
 )
 def softmax_scores(spark, sf_dir):
     s = G.ban_items(G.temperature(_scores(spark, sf_dir), TEMP), [BANNED])
-    p = G.softmax(s)
+    p = G.softmax(s, small_groups=True)  # a group holds one row an event type
     return p.select(F.col("group_id").alias("user_id"), F.col("item_id").alias("event_type"), F.round("prob", 9).alias("prob"))
 
 
 def _filtered(spark, sf_dir):
     s = G.ban_items(G.temperature(_scores(spark, sf_dir), TEMP), [BANNED])
-    return G.nucleus(G.top_k(s, TOP_K), TOP_P)
+    return G.nucleus(G.top_k(s, TOP_K), TOP_P, small_groups=True)
 
 
 _D_TOPK = f"""(SELECT * FROM (SELECT *, rank() OVER (PARTITION BY group_id ORDER BY score DESC) AS r FROM {_D_SCORES}) WHERE r <= {TOP_K})"""
@@ -74,6 +74,38 @@ def weighted_draw(spark, sf_dir):
     return d.select(F.col("group_id").alias("user_id"), F.col("item_id").alias("event_type"))
 
 
+def _kinds(spark, sf_dir):
+    """Few groups of very many items: every event is an item of its type's group."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("event_type").alias("group_id"), F.col("event_id").alias("item_id"), (F.floor(F.col("value") / 4) / 40).alias("score"))
+
+
+_D_KINDS = """WITH s AS (SELECT event_type AS group_id, event_id AS item_id, floor(value / 4) / 40 AS score FROM events),
+sm AS (SELECT *, e / sum(e) OVER (PARTITION BY group_id) AS prob FROM (SELECT *, exp(score - max(score) OVER (PARTITION BY group_id)) AS e FROM s))"""
+
+
+@register(
+    "softmax_large_groups",
+    ids="G6",
+    sql=_D_KINDS + "\nSELECT group_id AS event_type, item_id AS event_id, round(prob, 9) AS prob FROM sm",
+)
+def softmax_large_groups(spark, sf_dir):
+    p = G.softmax(_kinds(spark, sf_dir))
+    return p.select(F.col("group_id").alias("event_type"), F.col("item_id").alias("event_id"), F.round("prob", 9).alias("prob"))
+
+
+@register(
+    "nucleus_large_groups",
+    ids="G5 G6",
+    sql=_D_KINDS + f""",
+cum AS (SELECT *, coalesce(sum(prob) OVER (PARTITION BY group_id ORDER BY score DESC, item_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM sm)
+SELECT group_id AS event_type, item_id AS event_id, round(prob, 9) AS prob FROM cum WHERE before <= {TOP_P}""",
+)
+def nucleus_large_groups(spark, sf_dir):
+    p = G.nucleus(_kinds(spark, sf_dir), TOP_P)
+    return p.select(F.col("group_id").alias("event_type"), F.col("item_id").alias("event_id"), F.round("prob", 9).alias("prob"))
+
+
 TOPK_ORDERS = 2
 
 
