@@ -107,18 +107,54 @@ def scan_line_numbers(df: DataFrame, file_col: str, block_col: str, pos_col: str
     order, so its rows have consecutive ``monotonically_increasing_id`` values. A first
     narrow pass counts the rows of every split; the rows then only add their
     split's offset. The offsets have one row per split, that is one per
-    ``spark.sql.files.maxPartitionBytes`` of input, and are broadcast.
+    ``spark.sql.files.maxPartitionBytes`` of input; they are written once, so their size is known when the join is planned.
     """
     numbered = df.withColumn("_mid", F.monotonically_increasing_id())
-    splits = numbered.groupBy(file_col, block_col).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        F.col(file_col).alias("_file"), F.col(block_col).alias("_block"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _split_counts(numbered, [F.col(file_col).alias("_file"), F.col(block_col).alias("_block")]).select(
+        "_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
-    out = numbered.join(F.broadcast(offsets), (F.col(file_col) == F.col("_file")) & (F.col(block_col) == F.col("_block")))
+    out = numbered.join(materialize(offsets, "split-offsets"), (F.col(file_col) == F.col("_file")) & (F.col(block_col) == F.col("_block")))
     return out.withColumn(pos_col, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint")).drop("_mid", "_file", "_block", "_first", "_off")
 
 
+def _split_counts(numbered: DataFrame, names: list[Column]) -> DataFrame:
+    """Rows and first number of every split."""
+    return numbered.groupBy(*names).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
+
+
+def scan_union_positions(df: DataFrame, set_col: str, file_col: str, block_col: str, pos_col: str = "idx") -> DataFrame:
+    """U1 / U2 + O2: position of each row over several scanned sets, one after the other, without sorting or moving the rows.
+
+    Sets come in the order of ``set_col``, their files in the order of their paths, and rows as they stand in their files. The
+    offset of a split is the sum of the counts of all splits before it, over sets and files: a prefix sum
+    over one row a split, made in two levels (the splits of a file, the files of all sets).
+    """
+    numbered = df.withColumn("_mid", F.monotonically_increasing_id())
+    splits = materialize(_split_counts(numbered, [F.col(set_col).alias("_set"), F.col(file_col).alias("_file"), F.col(block_col).alias("_block")]), "split-counts")
+    inside = Window.partitionBy("_set", "_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = global_prefix_sum(splits.groupBy("_set", "_file").agg(F.sum("_n").alias("_m")), ["_set", "_file"], "_m", "_base")
+    offsets = splits.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(files.select("_set", "_file", "_base"), ["_set", "_file"])
+    offsets = materialize(offsets.select("_set", "_file", "_block", "_first", (F.col("_base") + F.col("_in")).alias("_off")), "split-offsets")
+    out = numbered.join(offsets, (F.col(set_col) == F.col("_set")) & (F.col(file_col) == F.col("_file")) & (F.col(block_col) == F.col("_block")))
+    return out.withColumn(pos_col, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("bigint")).drop("_mid", "_set", "_file", "_block", "_first", "_off")
+
+
+def global_prefix_sum(df: DataFrame, order_cols: Sequence, value_col: str, out_col: str) -> DataFrame:
+    """The sum of ``value_col`` over all rows before, in ``order_cols`` order: range partitions add up their own rows, then the partitions' sums are added up.
+
+    ``order_cols`` must define a total order. No window holds all rows.
+    """
+    keys = _as_cols(order_cols)
+    tagged = df.repartitionByRange(_default_partitions(df), *keys).withColumn("_pid", F.spark_partition_id())
+    tagged = materialize(tagged, "prefix-sums")
+    own = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    sums = tagged.groupBy("_pid").agg(F.sum(value_col).alias("_t")).select("_pid", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_e"))
+    out = tagged.withColumn(out_col, F.coalesce(F.sum(value_col).over(own), F.lit(0))).join(sums, "_pid")
+    return out.withColumn(out_col, F.col(out_col) + F.col("_e")).drop("_pid", "_e")
+
+
 def head_rows(df: DataFrame, order_cols: Sequence, n: int, *, pos_col: str = "pos") -> DataFrame:
     """P10: the first ``n`` rows in ``order_cols`` order with their position; every task keeps its own first ``n`` only."""
     keys = _as_cols(order_cols)

@@ -74,3 +74,28 @@ def stream_batches(spark, sf_dir):
     S.run_foreach_batch(enc, S.shard_and_batch_per_microbatch(STREAM_R, STREAM_B, sink), scratch_path(spark, "stream-ckpt"))
     out = spark.read.parquet(sink)
     return out.select("rank", "batch", "slot", "conv_id", F.size("input_ids").cast("bigint").alias("width"))
+
+
+@register(
+    "stream_continuous_batches",
+    ids="ST2 O7 O5 Q6",
+    sql=f"""WITH s AS (SELECT conv_id, least(len(ids), {STREAM_L}) AS n FROM {_D_Q3}),
+f AS (SELECT conv_id, n, 4 * (conv_id % 3) + conv_id // 3 % 4 AS file FROM s),
+l AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY conv_id) - 1 AS line FROM f),
+r AS (SELECT *, line % {STREAM_R} AS rank, row_number() OVER (PARTITION BY line % {STREAM_R} ORDER BY file, line) - 1 AS step FROM l),
+b AS (SELECT *, step // {STREAM_B} AS batch, step % {STREAM_B} AS slot FROM r)
+SELECT CAST(rank AS BIGINT) AS rank, CAST(batch AS BIGINT) AS batch, CAST(slot AS BIGINT) AS slot, conv_id,
+  CAST(max(n) OVER (PARTITION BY rank, batch) AS BIGINT) AS width FROM b""",
+)
+def stream_continuous_batches(spark, sf_dir):
+    """Three arrivals of four files each; the stream is started anew for each from its checkpoint, and no batch ends with a file or an arrival."""
+    conv = C.fold_conversations(table(spark, sf_dir, "conversations")).select("conv_id", F.col("turns").alias("texts"))
+    src, sink, state, ckpt = (scratch_path(spark, f"stream-{n}") for n in ("arrivals", "continuous", "open", "ckpt"))
+    for arrival in range(3):
+        mine = conv.filter(F.col("conv_id") % 3 == arrival)
+        R.write_jsonl(mine.repartitionById(4, F.expr("int(conv_id div 3 % 4)")).sortWithinPartitions("conv_id"), f"{src}/{arrival}")
+        stream = S.conversation_stream(spark, f"{src}/*")
+        enc = S.encode_stream(stream, _ids(F.col("texts")), STREAM_L, key_cols=("conv_id", "file", "block"))
+        batches = S.ContinuousBatches(spark, STREAM_R, STREAM_B, sink, state)
+        S.run_foreach_batch(enc, batches, ckpt)
+    return batches.finish().select("rank", "batch", "slot", "conv_id", F.size("input_ids").cast("bigint").alias("width"))
