@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .position import global_position
+from .position import global_position, scan_union_positions
 
 
 def length_order(
@@ -52,6 +52,42 @@ def seeded_shuffle(
     ).drop("_shuffle_key")
 
 
+def _network(x: str, inverse: bool, rounds: int) -> str:
+    """One pass of the Feistel network over the cells of an ``_a`` by ``_b`` rectangle, or back: alternately one side is moved round by a hash of the other."""
+    value = "cast(conv(substring(md5(concat_ws(':', _key, {0}, {1})), 1, 12), 16, 10) AS bigint)"
+    sign = "-" if inverse else "+"
+    left = f"named_struct('l', pmod(s.l {sign} {value.format('i', 's.r')}, _a), 'r', s.r)"
+    right = f"named_struct('l', s.l, 'r', pmod(s.r {sign} {value.format('i', 's.l')}, _b))"
+    order = f"sequence({rounds - 1}, 0)" if inverse else f"sequence(0, {rounds - 1})"
+    return f"aggregate({order}, named_struct('l', {x} % _a, 'r', {x} div _a), (s, i) -> if(i % 2 = 0, {left}, {right}), s -> s.l + _a * s.r)"
+
+
+def _walk(df: DataFrame, in_col: str, out_col: str, total_col: str, seed: int, epoch, inverse: bool, rounds: int) -> DataFrame:
+    e = F.lit(epoch) if isinstance(epoch, int) else F.col(epoch)
+    n = F.col(total_col)
+    side = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("bigint"), F.lit(1))
+    sized = df.withColumns({"_x": F.col(in_col).cast("bigint"), "_n": n.cast("bigint"), "_a": side, "_key": F.concat_ws(":", F.lit(seed), e)})
+    sized = sized.withColumn("_b", F.ceil(F.col("_n") / F.col("_a")).cast("bigint")).withColumn("_y", F.expr(_network("_x", inverse, rounds)))
+    # the few cells beyond the last position are walked on from until a position is reached: at most as many steps as there are such cells
+    on = f"if(_y < _n, _y, aggregate(sequence(1, _a * _b - _n), _y, (y, k) -> if(y < _n, y, {_network('y', inverse, rounds)})))"
+    return sized.withColumn(out_col, F.expr(on)).drop("_x", "_n", "_a", "_b", "_key", "_y")
+
+
+def shuffled_place(df: DataFrame, seed: int, epoch: int | str = 0, *, pos_col: str = "pos", total_col: str = "n_total", out_col: str = "place", rounds: int = 6) -> DataFrame:
+    """O9 by random access: the place of a dense position in the shuffle of an epoch, computed from the position alone.
+
+    A Feistel network over the least rectangle of about ``sqrt(n)`` by ``sqrt(n)`` cells, with cycle walking: a
+    permutation of ``0 .. n - 1`` for every key ``seed:epoch`` and every ``n``. Nothing is sorted or exchanged, so any
+    row's place in any epoch (``epoch`` may name a column) costs the same, and :func:`unshuffled_position` gives the row at a place.
+    """
+    return _walk(df, pos_col, out_col, total_col, seed, epoch, False, rounds)
+
+
+def unshuffled_position(df: DataFrame, seed: int, epoch: int | str = 0, *, place_col: str = "place", total_col: str = "n_total", out_col: str = "pos", rounds: int = 6) -> DataFrame:
+    """The inverse of :func:`shuffled_place`: which position stands at a place of the shuffle."""
+    return _walk(df, place_col, out_col, total_col, seed, epoch, True, rounds)
+
+
 def rank_shard(
     df: DataFrame,
     world_size: int,
@@ -201,6 +237,11 @@ def concat_sets(frames: Sequence[DataFrame], ord_col: str = "dataset_ord") -> Da
     return out
 
 
+def scanned_index(frames: Sequence[DataFrame], *, ord_col: str = "dataset_ord", idx_col: str = "idx", file_col: str = "file", block_col: str = "block") -> DataFrame:
+    """U1 / U2 + O2 over scans of files (columns ``file_col``, ``block_col``): one index in set, file and row order, without a sort of the rows."""
+    return scan_union_positions(concat_sets(frames, ord_col), ord_col, file_col, block_col, idx_col)
+
+
 def concat_index(frames: Sequence[DataFrame], local_cols: Sequence[str], *, ord_col: str = "dataset_ord", idx_col: str = "idx") -> DataFrame:
     """U1 + O2: one global index - earlier sets' sizes plus the local position."""
     u = concat_sets(frames, ord_col)

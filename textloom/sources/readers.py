@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.position import scan_line_numbers
+from ..session import materialize
 
 COMPRESSED_SUFFIXES = (".gz", ".bz", ".bz2")
 
@@ -97,6 +98,12 @@ def read_jsonl(spark: SparkSession, paths, field: str, field_type: str = "string
     return parse_jsonl(lines, field, field_type, mode=mode, extra=extra)
 
 
+def scan_jsonl(spark: SparkSession, paths, field: str, field_type: str = "string", *, mode: str = "FAILFAST", extra: str = "", reject_compressed: bool = False) -> DataFrame:
+    """S1-S3 for several sets at once: ``(file, block, field)`` with the start of each line's split, for :func:`textloom.operators.order.scanned_index`."""
+    check_compressed(spark, paths, reject_compressed)
+    return parse_jsonl(_scan(spark, paths).select("file", F.col("_start").alias("block"), "value"), field, field_type, mode=mode, extra=extra)
+
+
 def read_wholefile_json(spark: SparkSession, paths, *, wrapped: bool = False, field: str = "texts", reject_compressed: bool = False) -> DataFrame:
     """Whole-file JSON of conversations -> ``(file, conv_no, turns array<string>)``.
 
@@ -120,13 +127,13 @@ def _with_breaks(scan: DataFrame) -> DataFrame:
     """Lines with the line breaks they have in their files: a file's last line may have none.
 
     A narrow pass adds up the bytes of every split; a file one byte shorter than its lines with
-    breaks lacks the last one. One row per such file is broadcast.
+    breaks lacks the last one. One row per such file is written, so its size is known when the join is planned.
     """
     numbered = scan.withColumn("_mid", F.monotonically_increasing_id())
     splits = numbered.groupBy("file", "_start").agg(F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_mid").alias("_last"), F.max("_size").alias("_size"))
     open_files = splits.groupBy("file").agg(F.sum("_bytes").alias("_bytes"), F.max("_size").alias("_size"), F.max(F.struct("_start", "_last")).alias("_end"))
     ends = open_files.where(F.col("_bytes") == F.col("_size") + 1).select(F.col("file").alias("_file"), F.col("_end._start").alias("_s"), F.col("_end._last").alias("_l"))
-    j = numbered.join(F.broadcast(ends), (F.col("file") == F.col("_file")) & (F.col("_start") == F.col("_s")) & (F.col("_mid") == F.col("_l")), "left")
+    j = numbered.join(materialize(ends, "open-files"), (F.col("file") == F.col("_file")) & (F.col("_start") == F.col("_s")) & (F.col("_mid") == F.col("_l")), "left")
     return j.select(F.when(F.col("_file").isNull(), F.concat("value", F.lit("\n"))).otherwise(F.col("value")).alias("text"))
 
 
@@ -134,8 +141,8 @@ def read_text_table(spark: SparkSession, paths, extension: str, *, keep_linebrea
     """S7 + P9: CSV / JSON / TXT table reduced to its text column, named ``text``.
 
     The text column is ``text`` if present, else the first column in the file's own order; the other
-    columns are dropped. JSON tables are lines of objects; their columns are the keys of the first object, so
-    nothing is inferred over the data. TXT keeps one row per line; with ``keep_linebreaks`` each line keeps
+    columns are dropped. JSON tables are lines of objects; a narrow pass looks for the key ``text`` in any of
+    them, and where none has it the first key of the first object is taken. Lines without the key give null. TXT keeps one row per line; with ``keep_linebreaks`` each line keeps
     its line break, as far as it has one. CSV files are split unless ``multi_line`` allows
     line breaks inside quoted values.
     """
@@ -152,11 +159,12 @@ def read_text_table(spark: SparkSession, paths, extension: str, *, keep_linebrea
         col = "text" if "text" in df.columns else df.columns[0]
         return df.select(F.col(f"`{col}`").alias("text"))
     lines = spark.read.option("lineSep", "\n").text(p).where(F.trim("value") != "")
-    first = lines.select(F.json_object_keys("value").alias("k")).first()
-    keys = list(first["k"] or []) if first else []
-    if not keys:
+    keys = F.json_object_keys("value")
+    named = lines.agg(F.bool_or(F.array_contains(keys, "text"))).first()[0]
+    first = None if named else lines.select(keys.alias("k")).first()
+    if not named and not (first and first["k"]):
         return lines.select(F.lit(None).cast("string").alias("text")).where(F.lit(False))
-    col = "text" if "text" in keys else keys[0]
+    col = "text" if named else first["k"][0]
     return lines.select(F.from_json("value", f"`{col}` string", {"mode": "FAILFAST"})[col].alias("text"))
 
 
