@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hooks import TwoPhaseMetric
+
 
 def describe_lengths(df: DataFrame, group_cols: Sequence[str], value_col: str, digits: int = 2) -> DataFrame:
     """A1: pandas ``describe()`` per group - count, mean, sample std, min, quartiles, max.
@@ -75,3 +80,43 @@ def perplexity(df: DataFrame, nll_sum_col: str, n_col: str, group_cols: Sequence
     """``exp(mean loss)``; an overflow is +infinity (Spark's ``exp`` already gives it)."""
     agg = df.groupBy(*group_cols).agg((F.sum(nll_sum_col) / F.sum(n_col)).alias("mean_nll"))
     return agg.withColumn("perplexity", F.exp("mean_nll"))
+
+
+def _lists(batch: pa.RecordBatch, col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values and lengths of a list column, and which rows have a list."""
+    c = batch.column(col)
+    lengths = np.asarray(c.value_lengths().fill_null(0), dtype=np.int64)
+    return np.asarray(c.flatten()), lengths, np.asarray(c.is_valid())
+
+
+def accuracy_metric(preds_col: str, labels_col: str) -> TwoPhaseMetric:
+    """A4 as a metric in two phases: hits and predictions are counted per batch."""
+
+    def partial(batch):
+        (p, pn, _), (l, ln, _) = _lists(batch, preds_col), _lists(batch, labels_col)
+        # row starts in the flat arrays; place i of a row is predicted by place i - 1
+        ps, ls = np.cumsum(pn) - pn, np.cumsum(ln) - ln
+        n = np.maximum(ln - 1, 0)
+        row = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        there = at < pn[row]
+        hits = p[(ps[row] + at)[there]] == l[(ls[row] + at + 1)[there]]
+        return {"hits": int(hits.sum()), "n": int(n.sum())}
+
+    return TwoPhaseMetric(partial, lambda a, b: {k: a[k] + b[k] for k in a}, lambda s: {"hits": s["hits"], "n_pred": s["n"], "accuracy": round(s["hits"] / s["n"], 6) if s["n"] else None}, "hits bigint, n_pred bigint, accuracy double")
+
+
+def perplexity_metric(nll_sum_col: str, n_col: str) -> TwoPhaseMetric:
+    """A6 as a metric in two phases: losses and counts are added up per batch; an overflow is infinity."""
+
+    def partial(batch):
+        return {"nll": math.fsum(x for x in batch.column(nll_sum_col).to_pylist() if x is not None), "n": sum(x for x in batch.column(n_col).to_pylist() if x is not None)}
+
+    def finish(s):
+        mean = s["nll"] / s["n"] if s["n"] else None
+        try:
+            return {"mean_nll": mean, "perplexity": None if mean is None else math.exp(mean)}
+        except OverflowError:
+            return {"mean_nll": mean, "perplexity": math.inf}
+
+    return TwoPhaseMetric(partial, lambda a, b: {k: a[k] + b[k] for k in a}, finish, "mean_nll double, perplexity double")

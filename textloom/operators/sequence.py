@@ -131,6 +131,15 @@ def block_lengths(blocks: DataFrame, ids_col: str = "input_ids") -> DataFrame:
     return blocks.select("grp", "blk", F.size(ids_col).cast("bigint").alias("block_len"))
 
 
+def packed_lengths(df: DataFrame, len_col: str, idx_col: str, block_size: int, *, group_rows: int = PACK_GROUP_ROWS) -> DataFrame:
+    """Q8 without packing: ``(grp, blk, block_len)`` of the blocks that :func:`pack_blocks` makes, from the rows' lengths alone."""
+    S = block_size
+    total = df.groupBy(F.floor(F.col(idx_col) / group_rows).cast("bigint").alias("grp")).agg(F.sum(F.coalesce(len_col, F.lit(0))).cast("bigint").alias("_total"))
+    full = F.floor(F.col("_total") / S).cast("bigint")
+    blocks = total.where(F.col("_total") > 0).withColumn("blk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(full, F.lit(1)) - 1)))
+    return blocks.select("grp", "blk", F.least(F.col("_total"), F.lit(S)).cast("bigint").alias("block_len"))
+
+
 def raw_text_batches(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Q9 batch form: one row per (rank, batch) with its texts in slot order."""
     return df.groupBy("rank", "batch").agg(

@@ -8,6 +8,7 @@ from ..constants import END_OF_TEXT_TOKEN as E
 from ..functions import arrays as A
 from ..functions import text as T
 from ..operators import corpus as C
+from ..operators import hooks as H
 from ..operators import samples as SB
 from ..operators import sequence as Q
 from ..operators.order import natural_order
@@ -108,10 +109,7 @@ def raw_text_samples(spark, sf_dir):
 COLL_R, COLL_B, COLL_L = 4, 16, 64
 
 
-@register(
-    "collate_batches",
-    ids="Q5 Q6 A7 O6",
-    sql=f"""WITH docs AS (SELECT doc_id AS idx, CAST(length(text) AS BIGINT) AS n_chars,
+_D_COLLATED = f"""WITH docs AS (SELECT doc_id AS idx, CAST(length(text) AS BIGINT) AS n_chars,
     {_d_trunc('r', COLL_L)} AS ids, {_d_mask('r', COLL_L, 0)} AS mask
   FROM (SELECT *, list_concat({d_cp('text')}, [CAST(1 AS BIGINT)]) AS r FROM documents)),
 ordered AS (SELECT idx, ids, mask, row_number() OVER (ORDER BY n_chars, idx) - 1 AS pos FROM docs),
@@ -124,22 +122,38 @@ SELECT CAST(rank AS BIGINT) AS rank, CAST(batch AS BIGINT) AS batch, CAST(slot A
   {d_ids('list_resize(ids, w, 0)')} AS input_ids,
   {d_ids('list_resize(mask, w, 0)')} AS attention_mask,
   {d_ids('list_resize(ids, w, -100)')} AS labels
-FROM kept""",
-)
-def collate_batches(spark, sf_dir):
+FROM kept"""
+
+
+def _map_samples(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"), "text"
     )
     batched = placed_texts(d, COLL_R, COLL_B)  # order and shard on the keys; build the arrays afterwards
     ids = batched.withColumn("ids", F.concat(T.codepoints("text"), Q.eod_array())).drop("text")
     # untruncated rows keep an all-ones mask; truncated rows end in 0
-    out = Q.collate(Q.map_style_sample(ids, "ids", COLL_L))
+    return Q.map_style_sample(ids, "ids", COLL_L)
+
+
+def _batch_rows(out):
     return out.select(
         "rank", "batch", "slot", "idx",
         *[A.ids_to_string(c).alias(c) for c in ("input_ids", "attention_mask", "labels")],
     )
 
 
+@register("collate_batches", ids="Q5 Q6 A7 O6", sql=_D_COLLATED)
+def collate_batches(spark, sf_dir):
+    return _batch_rows(Q.collate(_map_samples(spark, sf_dir)))
+
+
+@register("collate_by_hook", ids="X4 Q5", sql=_D_COLLATED)
+def collate_by_hook(spark, sf_dir):
+    """The same through a table function over the rows of each batch."""
+    rows = _map_samples(spark, sf_dir).select("rank", "batch", "slot", "idx", "input_ids", "attention_mask", "labels")
+    return _batch_rows(H.run_over_groups(rows, H.PadRows, ["rank", "batch"], ["slot"]))
+
+
 # the five columns of an iterable sample, padded together
 _D_FIVE = f"""WITH docs AS (SELECT doc_id AS idx, CAST(length(text) AS BIGINT) AS n_chars, {_d_trunc('r', COLL_L)} AS ids, {_d_mask('r', COLL_L, 1)} AS mask
   FROM (SELECT *, list_concat({d_cp('text')}, [CAST(1 AS BIGINT)]) AS r FROM documents)),
@@ -235,27 +249,39 @@ kept AS (SELECT grp, t // {PACK_S} AS blk, t, tok FROM num
   WHERE t < CASE WHEN total >= {PACK_S} THEN total // {PACK_S} * {PACK_S} ELSE total END)"""
 
 
-def _pack(spark, sf_dir):
+def _numbered(spark, sf_dir, *cols):
     docs = table(spark, sf_dir, "documents")
     # groups are consecutive rows: the ids are numbered densely first (they need not be after a filter)
     pos = natural_order(docs.select(F.col("doc_id").alias("idx"))).select("idx", "pos")
-    d = docs.select(F.col("doc_id").alias("idx"), T.codepoints("text").alias("input_ids")).join(pos, "idx").drop("idx")
-    return Q.pack_blocks(d, "input_ids", "pos", PACK_S, group_rows=PACK_G)
+    return docs.select(F.col("doc_id").alias("idx"), *cols).join(pos, "idx").drop("idx")
 
 
-@register(
-    "pack_blocks",
-    ids="Q7",
-    sql=_D_PACK + """
+def _pack(spark, sf_dir):
+    return Q.pack_blocks(_numbered(spark, sf_dir, T.codepoints("text").alias("input_ids")), "input_ids", "pos", PACK_S, group_rows=PACK_G)
+
+
+_D_BLOCKS = _D_PACK + """
 SELECT CAST(grp AS BIGINT) AS grp, CAST(blk AS BIGINT) AS blk,
   string_agg(CAST(tok AS VARCHAR), ',' ORDER BY t) AS input_ids, CAST(count(*) AS BIGINT) AS n_tokens
-FROM kept GROUP BY grp, blk""",
-)
-def pack_blocks(spark, sf_dir):
-    b = _pack(spark, sf_dir)
+FROM kept GROUP BY grp, blk"""
+
+
+def _block_rows(b):
     return b.select("grp", "blk", A.ids_to_string("input_ids").alias("input_ids"), F.size("input_ids").cast("bigint").alias("n_tokens"))
 
 
+@register("pack_blocks", ids="Q7", sql=_D_BLOCKS)
+def pack_blocks(spark, sf_dir):
+    return _block_rows(_pack(spark, sf_dir))
+
+
+@register("pack_by_hook", ids="X3 Q7", sql=_D_BLOCKS)
+def pack_by_hook(spark, sf_dir):
+    """The same through a table function that carries less than a block from row to row."""
+    d = _numbered(spark, sf_dir, T.codepoints("text").alias("input_ids")).withColumn("grp", F.floor(F.col("pos") / PACK_G).cast("bigint"))
+    return _block_rows(H.run_over_groups(d, H.PackRows, ["grp"], ["pos"], PACK_S))
+
+
 @register(
     "block_lengths",
     ids="Q8",
@@ -264,7 +290,7 @@ SELECT CAST(block_len AS BIGINT) AS block_len, CAST(count(*) AS BIGINT) AS n_blo
 FROM (SELECT grp, blk, count(*) AS block_len FROM kept GROUP BY grp, blk) GROUP BY block_len""",
 )
 def block_lengths(spark, sf_dir):
-    lens = Q.block_lengths(_pack(spark, sf_dir))
+    lens = Q.packed_lengths(_numbered(spark, sf_dir, T.char_length("text").alias("n")), "n", "pos", PACK_S, group_rows=PACK_G)
     return lens.groupBy("block_len").agg(F.count(F.lit(1)).cast("bigint").alias("n_blocks"))
 
 
