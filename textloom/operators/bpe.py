@@ -1,18 +1,20 @@
 """Byte-level BPE as Spark jobs: learn merges (T3), encode (T4, T6, T7), decode (T5), save/load.
 
 Learning works on the distinct pre-token table ``(word array<int>, n bigint)``,
-never on documents. The adjacent-pair histogram is a table in the shared checkpoint
-folder. Every round takes its top candidates, accepts those that merging one at a time
-would also pick in that order (see ``_accept_batch``), and adds the differences of the words they
-change to the histogram, a Spark aggregation. Words are rewritten by tasks over Arrow batches and
+never on documents. The driver keeps a bounded queue of the most frequent pairs. Every round takes its first
+candidates, accepts those that merging one at a time
+would also pick in that order (see ``_accept_batch``), and one job makes them in the tasks and brings back what they
+change of the counts, a Spark aggregation. Words are rewritten by tasks over Arrow batches and
 written every few rounds; the written tables cut lineage and survive lost executors.
 
-The model (vocabulary and ordered merges) is bounded by ``vocab_size`` and is
+The model (vocabulary and ordered merges, bounded by ``vocab_size``) and the queue are
 the only state held on the driver.
 """
 
 from __future__ import annotations
 
+import heapq
+import json
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
-from ..session import materialize, remove_table, scratch_path
+from ..session import file_store, materialize, remove_table, scratch_path
 from .pieces import PieceEncoder, encode_batch
 from .pretoken import piece_list, pretokens
 
@@ -90,6 +92,37 @@ class BpeModel:
         self.vocab_frame(spark).write.mode("overwrite").parquet(f"{path}/vocab")
         self.merges_frame(spark).write.mode("overwrite").parquet(f"{path}/merges")
 
+    def save_file(self, path: str) -> None:
+        """The one JSON file that tokenizer libraries load (byte-level BPE; its size is that of the vocabulary)."""
+        added = [{"id": i, "content": t, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True} for i, t in enumerate(self.specials)]
+        level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        model = {
+            "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False,
+            "ignore_merges": False, "vocab": self.token_id(), "merges": [[self.vocab[a], self.vocab[b]] for a, b, _ in self.merges],
+        }
+        spec = {"version": "1.0", "truncation": None, "padding": None, "added_tokens": added, "normalizer": None, "pre_tokenizer": level, "post_processor": None, "decoder": level, "model": model}
+        store, name = file_store(path)
+        store.create_dir(name.rpartition("/")[0], recursive=True)
+        with store.open_output_stream(name, compression=None) as out:
+            out.write(json.dumps(spec, ensure_ascii=False, indent=1).encode())
+
+    @staticmethod
+    def load_file(path: str) -> "BpeModel":
+        """The model of a byte-level BPE file, ours or one that a library wrote; merges may be pairs or strings with a blank."""
+        store, name = file_store(path)
+        with store.open_input_stream(name, compression=None) as f:
+            spec = json.loads(f.read())
+        ids = spec["model"]["vocab"]
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+        by_id = {i: t for t, i in (ids | added).items()}
+        if sorted(by_id) != list(range(len(by_id))):
+            raise ValueError("the ids of the vocabulary are not 0 .. n - 1")
+        specials = [by_id[i] for i in range(len(added))]
+        if set(specials) != set(added):
+            raise ValueError("special tokens must have the first ids")
+        return BpeModel([by_id[i] for i in range(len(by_id))], [(ids[a], ids[b], ids[a + b]) for a, b in pairs], specials)
+
     @staticmethod
     def load(spark: SparkSession, path: str) -> "BpeModel":
         v = spark.read.parquet(f"{path}/vocab").orderBy("id").collect()
@@ -232,72 +265,148 @@ def _rewritten(words: DataFrame, pending) -> DataFrame:
     return words.mapInArrow(run, "w array<int>, n long")
 
 
-def _pair_histogram(words: DataFrame, pending=()) -> DataFrame:
-    """Weighted count ``(k, c)`` of every adjacent symbol pair, keyed ``left << 32 | right``; summed in each Arrow batch first.
-
-    With ``pending`` batches of merges, only the differences that the last of them makes.
-    """
-    tables = _tables(pending)
+def _pair_histogram(words: DataFrame) -> DataFrame:
+    """Weighted count ``(k, c)`` of every adjacent symbol pair, keyed ``left << 32 | right``; summed in each Arrow batch first."""
 
     def run(batches):
         for b in batches:
             w = _Words(b)
-            if not len(w.n):
-                continue
-            if not tables:
+            if len(w.n):
                 k, c = _sums(*([x] for x in w.counts(np.ones(len(w.n), bool))))
-            else:
-                for t in tables[:-1]:
-                    w.merge(*t)
-                old = _Words.__new__(_Words)
-                old.flat, old.off, old.n = w.flat.copy(), w.off, w.n
-                changed = w.merge(*tables[-1])
-                (k0, c0), (k1, c1) = old.counts(changed), w.counts(changed)
-                k, c = _sums([k0, k1], [-c0, c1])
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["k", "c"]).filter(pa.array(c != 0))
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["k", "c"])
 
     return words.mapInArrow(run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
 
 
-def _triples(words: DataFrame, pending, pairs: list[tuple[int, int]]):
-    """``(best, joined)`` for a bounded list of pairs (a, b).
+def pair_histogram(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """A9 over texts: ``(left, right, n)`` of every pair of adjacent bytes inside pre-tokens."""
+    k = F.col("k")
+    pairs = _pair_histogram(word_table(texts, text_col))
+    return pairs.select(F.shiftright(k, 32).cast("int").alias("left"), k.bitwiseAND(F.lit(_SHIFT - 1)).cast("int").alias("right"), F.col("c").alias("n"))
+
+
+class _Queue:
+    """Counts of the pairs the driver keeps, largest first: a heap whose stale entries are dropped when they come up."""
+
+    def __init__(self, rows):
+        self.counts = {k: c for k, c in rows}
+        self.heap = [(-c, k) for k, c in rows]
+        heapq.heapify(self.heap)
+
+    def add(self, key: int, change: int, fresh: bool) -> None:
+        """A change of a kept pair's count; other pairs are only taken up when ``fresh``."""
+        if key in self.counts or fresh:
+            c = self.counts.get(key, 0) + change
+            if c > 0:
+                self.counts[key] = c
+                heapq.heappush(self.heap, (-c, key))
+            else:
+                self.counts.pop(key, None)
+
+    def first(self, n: int, above: int) -> list[tuple[int, int, int]]:
+        """The first ``n`` pairs ``(left, right, count)`` with more than ``above``, ties by the pair's ids."""
+        if len(self.heap) > 3 * len(self.counts) + (1 << 14):
+            self.__init__(list(self.counts.items()))
+        out, seen = [], set()
+        while self.heap and len(out) < n and -self.heap[0][0] > above:
+            c, k = heapq.heappop(self.heap)
+            if self.counts.get(k) == -c and k not in seen:
+                seen.add(k)
+                out.append((k >> 32, k & (_SHIFT - 1), -c))
+        for left, right, c in out:
+            heapq.heappush(self.heap, (-c, left << 32 | right))
+        return out
+
+    def keep(self, n: int) -> int:
+        """Leave the ``n`` largest; returns the largest count that went (0 where none did)."""
+        if len(self.counts) <= n:
+            return 0
+        rows = heapq.nlargest(n + 1, self.counts.items(), key=lambda x: x[1])
+        self.__init__(rows[:n])
+        return rows[n][1]
 
-    ``best``: of the triples (x, a, b) and of (a, b, y) each the most frequent as ``(count, x or y)``, the smallest symbol at equal counts.
-    ``joined``: the listed pairs that a triple joins to the pair, with the triple's count.
+
+def _round(words: DataFrame, pending, kept: np.ndarray, fresh_id: int, above: int, ask: list[tuple[int, int]]):
+    """One job: make the last batch of merges, and return ``(changes, best, joined)``.
+
+    ``changes``: what the batch changes of the counts, ``(pair, change)``, of the kept pairs and of pairs with a new symbol (``fresh_id``
+    or later) that have more than ``above``. ``best`` and ``joined`` tell of the words after it: of the triples (x, a, b) and (a, b, y) of each asked pair
+    the most frequent as ``(count, x or y)``, the smallest symbol at equal counts, and the asked pairs that a triple joins to it, with the triple's count.
     """
     tables = _tables(pending)
-    wanted = np.array(sorted(a << 32 | b for a, b in pairs), np.int64)
+    wanted = np.array(sorted(a << 32 | b for a, b in ask), np.int64)
+    shared = words.sparkSession.sparkContext.broadcast((kept, wanted))
+    names = ["k", "side", "o", "c", "link"]
+
+    def rows(k, side, o, c, link):
+        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), side), pa.int32()), pa.array(o), pa.array(c), pa.array(link)], names=names)
 
     def run(batches):
+        known, asked = shared.value
         for b in batches:
             w = _Words(b)
-            for t in tables:
+            if not len(w.n):
+                continue
+            for t in tables[:-1]:
                 w.merge(*t)
-            keys = w.keys()
-            place, number = w.at(keys, wanted)
+            if tables:
+                old = _Words.__new__(_Words)
+                old.flat, old.off, old.n = w.flat.copy(), w.off, w.n
+                changed = w.merge(*tables[-1])
+                (k0, c0), (k1, c1) = old.counts(changed), w.counts(changed)
+                k, c = _sums([k0, k1], [-c0, c1])
+                new = ((k >> 32) >= fresh_id) | ((k & (_SHIFT - 1)) >= fresh_id)
+                if len(known):
+                    new |= known[np.minimum(np.searchsorted(known, k), len(known) - 1)] == k
+                k, c = k[new & (c != 0)], c[new & (c != 0)]
+                yield rows(k, -1, np.zeros(len(k), np.int64), c, np.zeros(len(k), bool))
+            if not len(asked):
+                continue
+            place, number = w.at(w.keys(), asked)
             word = np.searchsorted(w.off, place, "right") - 1
             for side, beside, inside in ((0, place - 1, place > w.off[word]), (1, place + 2, place + 2 < w.off[word + 1])):
                 if inside.any():
                     other = w.flat[beside[inside]]
                     both, c = _sums([number[inside].astype(np.int64) << 32 | other], [w.n[word[inside]]])
-                    k, o = wanted[both >> 32], both & (_SHIFT - 1)
+                    k, o = asked[both >> 32], both & (_SHIFT - 1)
                     next_pair = (k & (_SHIFT - 1)) << 32 | o
-                    link = np.isin(next_pair, wanted) if side else np.zeros(len(k), bool)
-                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), side), pa.int32()), pa.array(o), pa.array(c), pa.array(link)], names=["k", "side", "o", "c", "link"])
+                    yield rows(k, side, o, c, np.isin(next_pair, asked) if side else np.zeros(len(k), bool))
 
-    found = words.mapInArrow(run, "k long, side int, o long, c long, link boolean").groupBy("k", "side", "o", "link").agg(F.sum("c").alias("c"))
-    found = found.groupBy("k").agg(
+    seen = words.mapInArrow(run, "k long, side int, o long, c long, link boolean")
+    # rows are summed in each Arrow batch; one exchange by pair serves both aggregations
+    seen = seen.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "k").groupBy("k", "side", "o", "link").agg(F.sum("c").alias("c"))
+    found = seen.groupBy("k").agg(
+        F.sum(F.when(F.col("side") == -1, F.col("c"))).alias("d"),
         *[F.max(F.when(F.col("side") == i, F.struct("c", (-F.col("o")).alias("o")))).alias(f"s{i}") for i in (0, 1)],
         F.collect_list(F.when(F.col("link"), F.struct("o", "c"))).alias("links"),
     )
-    best, joined = {}, {}
+    is_new = F.greatest(F.shiftright("k", 32), F.col("k").bitwiseAND(F.lit(_SHIFT - 1))) >= fresh_id
+    found = found.filter(F.col("s0").isNotNull() | F.col("s1").isNotNull() | (F.col("d").isNotNull() & (~is_new | (F.col("d") > above))))
+    changes, best, joined = [], {}, {}
     for r in found.collect():
         a, b = r.k >> 32, r.k & (_SHIFT - 1)
-        best[a, b] = tuple(None if x is None else (x.c, -x.o) for x in (r.s0, r.s1))
+        if r.d:
+            changes.append((r.k, r.d))
+        if r.s0 is not None or r.s1 is not None:
+            best[a, b] = tuple(None if x is None else (x.c, -x.o) for x in (r.s0, r.s1))
         for x in r.links:
             joined.setdefault((a, b), []).append(((b, x.o), x.c))
             joined.setdefault((b, x.o), []).append(((a, b), x.c))
-    return best, joined
+    shared.unpersist()
+    return changes, best, joined
+
+
+def _next_asked(queue: _Queue, above: int, batch, best, n: int) -> list[tuple[int, int]]:
+    """Pairs that are likely to lead next: the first ones kept besides the batch's own, and the batch's new symbols with their best neighbours."""
+    gone = {(a, b) for a, b, _ in batch}
+    ask = {(a, b) for a, b, _ in queue.first(n + len(gone), above)} - gone
+    for a, b, out in batch:
+        before, after = best.get((a, b), (None, None))
+        if before and before[0] > above:
+            ask.add((before[1], out))
+        if after and after[0] > above:
+            ask.add((out, after[1]))
+    return list(ask)
 
 
 def learn_bpe(
@@ -307,7 +416,7 @@ def learn_bpe(
     text_col: str = "text",
     specials=SPECIAL_TOKENS,
     max_batch: int = 1024,
-    top_k: int = 4096,
+    top_k: int = 1 << 16,
     bounded: int = 1024,
     keep_batches: int = 8,
     progress=None,
@@ -315,10 +424,12 @@ def learn_bpe(
     """Learn byte-level BPE merges until ``vocab_size`` or no pair remains.
 
     ``max_batch=1`` gives the one-merge-per-round reference mode used by tests.
-    ``top_k`` pairs reach the driver in a round and ``bounded`` of them can be accepted together; both
-    change the number of rounds only. Ties between equal counts go to the smallest (left id, right id).
-    The pair histogram is a table to which a round adds the differences of the words it rewrites. The word table is
-    written anew after every ``keep_batches`` rounds, until then the tasks make the batches of merges since then; tables are deleted when
+    The driver keeps the ``top_k`` most frequent pairs (a bound, whatever the corpus) in a queue, with exact counts. All other pairs have at most the count
+    ``above`` and can't gain any; so the order of merges is known down to that count, and a round is one job: the tasks make the accepted merges, and return what
+    changed of the kept pairs, new pairs beyond ``above``, and the triples around the pairs that are likely to lead next. The full histogram is
+    only made at the start and when the queue has come down to ``above``. ``bounded`` pairs can be accepted together; none of these numbers changes the
+    result. Ties between equal counts go to the smallest (left id, right id).
+    The word table is written anew after every ``keep_batches`` rounds, until then the tasks make the batches of merges since then; tables are deleted when
     the next ones are written. ``progress(round, tokens)`` is called after every round.
     """
     spark = texts.sparkSession
@@ -347,19 +458,36 @@ def learn_bpe(
     )
     model = BpeModel(vocab, [], list(specials))
     tok_ids = model.token_id()
-    hist, hist_path = written(_pair_histogram(words), "bpe-pairs")
     pending: list[list[tuple[int, int, int]]] = []
+    queue, above, best, joined, asked = None, 0, {}, {}, set()
     reach, rounds = 256, 0
     while len(model.vocab) < vocab_size:
-        top_rows = hist.orderBy(F.col("c").desc(), F.col("k").asc()).limit(top_k).collect()
-        if not top_rows:
-            break
-        top = [(r.k >> 32, r.k & (_SHIFT - 1), r.c) for r in top_rows]
         room = vocab_size - len(model.vocab)
-        # not many more pairs than the last batch had
-        top = top[: max(1, min(room, max_batch, bounded, reach))]
-        near = _triples(words, pending, [t[:2] for t in top]) if len(top) > 1 else ({}, {})
-        batch = _accept_batch(top, near, model, tok_ids, min(room, max_batch))
+        top = [] if queue is None else queue.first(min(room, max_batch, bounded, reach), above)
+        if not top:
+            if queue is not None and not above:
+                break
+            if pending:
+                words, path, pending = _rewrite(words, pending, path, written)
+            rows = _pair_histogram(words).orderBy(F.col("c").desc(), F.col("k").asc()).limit(top_k + 1).collect()
+            # of pairs with the count of the first one left out the keys are not all known
+            queue, above = _Queue([(r.k, r.c) for r in rows[:top_k]]), rows[top_k].c if len(rows) > top_k else 0
+            top = queue.first(min(room, max_batch, bounded, reach), above)
+            if not top and rows:  # more pairs with one count than are kept
+                top_k *= 4
+                queue, above = None, 0
+                continue
+            asked = set()
+            if not top:
+                break
+            if len(top) > 1:
+                _, best, joined = _round(words, [], np.zeros(0, np.int64), 0, above, [t[:2] for t in top])
+                asked = {t[:2] for t in top}
+        # the first pair needs no triples; the others do
+        at = next((i for i, t in enumerate(top) if t[:2] not in asked), len(top))
+        top = top[: max(1, at)]
+        fresh_id = len(model.vocab)
+        batch = _accept_batch(top, (best, joined), model, tok_ids, min(room, max_batch))
         model.merges += batch
         pending.append(batch)
         reach, rounds = max(256, 4 * len(batch)), rounds + 1
@@ -367,18 +495,31 @@ def learn_bpe(
             progress(rounds, len(model.vocab))
         if len(model.vocab) >= vocab_size:
             break
-        before = hist_path
-        hist, hist_path = written(hist.unionByName(_pair_histogram(words, pending)).groupBy("k").agg(F.sum("c").alias("c")).where("c > 0"), "bpe-pairs")
-        remove_table(before)
+        ask = _next_asked(queue, above, batch, best, min(max_batch, bounded, reach)) if max_batch > 1 else []
+        changes, best, joined = _round(words, pending, np.sort(np.fromiter(queue.counts, np.int64, len(queue.counts))), fresh_id, above, ask)
+        asked = set(ask)
+        for k, d in changes:
+            queue.add(k, d, max(k >> 32, k & (_SHIFT - 1)) >= fresh_id)
+        if any(out < fresh_id for _, _, out in batch):
+            queue, above = None, 0  # pairs with a symbol in use may gain count
+            asked = set()
+            if pending:
+                words, path, pending = _rewrite(words, pending, path, written)
+            continue
+        above = max(above, queue.keep(4 * top_k))
         if len(pending) >= keep_batches:
-            before = path
-            words, path = written(_rewritten(words, pending), "bpe-words")
-            remove_table(before)
-            pending = []
-    remove_table(hist_path)
+            words, path, pending = _rewrite(words, pending, path, written)
+    remove_table(path)
     return model
 
 
+def _rewrite(words: DataFrame, pending, path: str, written):
+    """The word table after its batches of merges, written; the one before is deleted."""
+    words, after = written(_rewritten(words, pending), "bpe-words")
+    remove_table(path)
+    return words, after, []
+
+
 # ---------------------------------------------------------------- encoding
 
 
