@@ -66,10 +66,22 @@ def remove_table(path: str) -> None:
 
 
 _SHIPPED: set[str] = set()
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Texts are long: Arrow batches end at ``BATCH_BYTES`` instead of Spark's default of 64 MB, unless the session says otherwise.
+
+    An executor holds a batch of every task twice, in the JVM and in the worker.
+    """
+    if spark.conf.get(_BATCH_BYTES, None) in ("67108864b", "64MB", "64m"):
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable on the workers, wherever they were started: its sources go to them once per application."""
+    bound_batches(spark)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
