@@ -47,6 +47,60 @@ def test_shared_passages_are_encoded_once():
     assert before and sum(map(len, calls)) < 0.15 * len(passage)
 
 
+def test_joins_are_repaired_and_chinese_text_is_shared(monkeypatch):
+    monkeypatch.setattr(C, "CUT_BITS", 7)
+    lib, rnd = Tokenizer.from_file(PATH), random.Random(9)
+    han = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏"
+    passage = "，".join("".join(rnd.choice(han) for _ in range(rnd.randint(3, 12))) for _ in range(900)) + "。"
+    enc, calls = C.ByteBPE(PATH), []
+    first = enc.encode_column(pa.array(["开始：" + passage]))[0]
+    assert enc.repaired > 50 and enc.widened == 0
+    real = enc.encode_text
+    enc.encode_text = lambda t: calls.append(t) or real(t)
+    second = enc.encode_column(pa.array(["另一个文档！" + passage + "完"]))[0]
+    assert sum(map(len, calls)) < 0.05 * len(passage)
+    assert first.tolist() == lib.encode("开始：" + passage, add_special_tokens=False).ids
+    assert second.tolist() == lib.encode("另一个文档！" + passage + "完", add_special_tokens=False).ids
+
+
+def test_disagreeing_repairs_are_widened(monkeypatch):
+    monkeypatch.setattr(C, "CUT_BITS", 4)
+    lib, rnd = Tokenizer.from_file(PATH), random.Random(10)
+    t = [" ".join(rnd.choice(["alpha", "it's", "we're", "été", "12a"]) for _ in range(400)) for _ in range(4)]
+    enc = C.ByteBPE(PATH)
+    # positions in the middle of words are no agreement positions: the comparison must find that out
+    monkeypatch.setattr(C, "agreement_positions", lambda raw, specials=(): C.np.arange(3, len(raw), 7)[[raw[i] & 0xC0 != 0x80 for i in range(3, len(raw), 7)]])
+    enc.encode_column(pa.array(t))
+    assert enc.widened > 0
+    monkeypatch.undo()
+    monkeypatch.setattr(C, "CUT_BITS", 4)
+    enc = C.ByteBPE(PATH)
+    ids, off = enc.encode_column(pa.array(t))
+    assert enc.widened == 0 and [ids[off[k] : off[k + 1]].tolist() for k in range(4)] == [lib.encode(x, add_special_tokens=False).ids for x in t]
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, " " * 5_000_000 + "x", "ab" * 2_500_000, "😀" * 1_000_000, "a" + "\u3000" * 600_000 + " b" + "\t" * 9000 + "<|endoftext|>" + " " * 9000])
+def test_very_long_runs(text):
+    enc, lib = C.ByteBPE(PATH), Tokenizer.from_file(PATH)
+    ids, off = enc.encode_column(pa.array([text, "short", text[:5000] + "<|endoftext|>x"]))
+    assert ids[off[0] : off[1]].tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert ids[off[2] : off[3]].tolist() == lib.encode(text[:5000] + "<|endoftext|>x", add_special_tokens=False).ids
+    assert enc.decode(ids[off[0] : off[1]]) == text
+
+
+def test_every_pair_of_characters_at_a_position():
+    """Pieces of the library never reach over an agreement position, for characters of all classes around it."""
+    from tokenizers import pre_tokenizers
+
+    split, rnd = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True), random.Random(3)
+    chars = ["a", "s", "t", "'", "é", "漢", "٣", "1", "½", " ", "\n", "\u3000", "\x85", "!", "。", "’", "😀", "\x00", "\u0301", "Ⅷ", "ª", "𝒜", "\u200b", "\ufeff"]
+    for _ in range(4000):
+        t = "".join(rnd.choice(chars) for _ in range(rnd.randint(2, 14)))
+        at = set(C.agreement_positions(t.encode()).tolist())
+        ends = {len(t[: e].encode()) for _, (b, e) in split.pre_tokenize_str(t)}
+        assert at <= ends, (t, at, ends)
+
+
 def test_store_is_bounded(monkeypatch):
     monkeypatch.setattr(C, "STORE_BYTES", 4000)
     enc = C.ByteBPE(PATH)

@@ -1,18 +1,23 @@
 """Byte-level BPE with content-defined chunk reuse (dealt operator 9).
 
-A rolling hash over the last ``ROLL`` bytes cuts texts where its low bits are zero, so equal
-passages get equal chunks wherever they stand. A chunk that was seen before isn't encoded
-again. Tokens near a cut may differ from those of the whole text, so every join is repaired:
-the text from the last position in the left chunk to the first one in the right chunk at which
-encodings provably agree is encoded anew; where a chunk holds no such position the repair grows
-over it, to the whole text if need be. Encodings agree at a position between a visible ASCII
-character and a blank: no piece of the pre-tokenisation pattern reaches from a visible character
-into white space, special strings hold no blank, and what follows depends on later text alone.
+A rolling hash over the last ``ROLL`` bytes cuts texts where its top bits are zero, so equal
+passages get equal chunks wherever they stand. Every chunk is encoded from cut to cut as if it were a text, and one that
+was seen before isn't encoded again. Tokens near a cut differ from those of the whole text, so every join is
+repaired: the text around the cut is encoded anew, from one agreement position to another,
+and its first and last tokens are compared with those stored for the two chunks. Where they differ, the repair
+is widened by more positions on both sides, over neighbouring chunks and to the whole text if need be.
+
+Agreement positions are ends of pre-tokenisation pieces that two neighbouring characters prove: the first is a letter, number or
+other visible character but no apostrophe, and the second is of another of the four classes (white space is the fourth). No alternative of
+the pattern reaches over such a place, no look-ahead begins before it and ends after it, and scanning goes on from
+it whatever came before. Only characters count whose class has been the same since early Unicode versions, and
+no place inside a special string does. So texts in any script are reused, with or without blanks.
 
 The vocabulary file is one of the ``tokenizers`` library (a path known to every worker). Its ids
 are checked to be merge ranks, and pieces are encoded by the rank-merging encoder of
 ``tiktoken``, which gives the same ids; other byte-level files go through the library itself.
-Special strings in texts are special tokens, as is the library's default.
+Special strings in texts are special tokens, as is the library's default. That encoder's pattern can't go through very long runs of white
+space; those are cut off as the pieces they are.
 
 One scan, nothing shuffled: chunks are shared among all documents that a worker process meets
 (the store of encoded chunks is bounded by ``STORE_BYTES`` and started anew when full).
@@ -26,6 +31,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +44,10 @@ from .common import ragged, small_batches, utf8_column
 
 ROLL = 16
 CUT_BITS = 9
-STORE_BYTES = 48 << 20
+STORE_BYTES = 24 << 20
+LONG_RUN = 1 << 12
+#: Unicode's white space.
+WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: The pre-tokenisation pattern of byte-level BPE files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -74,6 +85,9 @@ class ByteBPE:
         )
         ranks = [ids.get(a + b, -1) for a, b in merges]
         self.library = None
+        self.specials = specials
+        self._special = re.compile("|".join(map(re.escape, sorted(specials, key=len, reverse=True)))) if specials else None
+        self._run = re.compile("[" + "".join(map(chr, WHITE)) + "]{%d,}" % LONG_RUN)
         if plain and ranks == sorted(ranks) and len(set(ranks)) == len(ranks) and all(c in ids for c in alphabet) and (not ranks or ranks[0] > max(ids[c] for c in alphabet)):
             import tiktoken
 
@@ -85,20 +99,43 @@ class ByteBPE:
             self.library = Tokenizer.from_str(raw)
             self.library.no_truncation()
             self.library.no_padding()
-        self.store: dict[bytes, np.ndarray] = {}
+        self.store: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
         self.held = 0
+        self.repaired = self.widened = 0
 
     def encode_text(self, text: str) -> np.ndarray:
         if self.library is not None:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
+        if self._run.search(text):
+            return self._with_long_runs(text)
         return np.array(self.fast.encode(text, allowed_special="all"), np.int32)
 
-    def encode_part(self, part: bytes) -> np.ndarray:
-        """Ids of a chunk's inner text or of a repaired join, from the store where it is known."""
+    def _with_long_runs(self, text: str) -> np.ndarray:
+        """Ids of a text with long runs of white space: all of a run but its last character is a piece, or all of it where an ordinary stretch ends."""
+        out, at = [], 0
+        for m in [*(self._special.finditer(text) if self._special else ()), None]:
+            end = len(text) if m is None else m.start()
+            while at < end:
+                run = self._run.search(text, at, end)
+                stop = end if run is None else run.start()
+                if stop > at:
+                    out += self.fast.encode_ordinary(text[at:stop])
+                if run is None:
+                    break
+                at = end if run.end() == end else run.end() - 1
+                out += self.fast._encode_single_piece(text[run.start() : at])
+            if m is not None:
+                out.append(self.specials[m.group()])
+                at = m.end()
+        return np.array(out, np.int32)
+
+    def encode_part(self, part: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a chunk or of a repaired join and the bytes up to the end of each, from the store where it is known."""
         got = self.store.get(part)
         if got is None:
-            got = self.encode_text(part.decode())
-            self.held += len(part) + got.nbytes + 200
+            ids = self.encode_text(part.decode())
+            got = ids, np.cumsum(self.sizes[ids])
+            self.held += len(part) + 12 * len(ids) + 300
             if self.held > STORE_BYTES:
                 self.store, self.held = {}, 0
             self.store[part] = got
@@ -111,18 +148,71 @@ class ByteBPE:
             lists = [self.encode_text(t or "") for t in texts.to_pylist()]
         else:
             raw, lists = data.tobytes(), []
-            cuts = agreed_cuts(data, off)
-            ends = np.searchsorted(cuts, off[1:], "left")
-            begins = np.searchsorted(cuts, off[:-1], "right")
-            for a, z, i, j in zip(off[:-1].tolist(), off[1:].tolist(), begins.tolist(), ends.tolist()):
+            cuts = rolling_cuts(data, off)
+            safe = agreement_positions(raw, self.specials)
+            first_cut, last_cut = np.searchsorted(cuts, off[:-1], "right").tolist(), np.searchsorted(cuts, off[1:], "left").tolist()
+            first, last = np.searchsorted(safe, off[:-1], "right").tolist(), np.searchsorted(safe, off[1:], "left").tolist()
+            for k, (a, z) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
                 if a == z:
                     lists.append(np.zeros(0, np.int32))
-                    continue
-                edges = [a, *cuts[i:j].tolist(), z]
-                lists.append(np.concatenate([self.encode_part(raw[s:e]) for s, e in zip(edges, edges[1:])]))
+                elif first_cut[k] == last_cut[k]:
+                    lists.append(self.encode_part(raw[a:z])[0])
+                else:
+                    lists.append(self._joined(raw, [a, *cuts[first_cut[k] : last_cut[k]].tolist(), z], [a, *safe[first[k] : last[k]].tolist(), z]))
         sizes = np.array([len(x) for x in lists], np.int64)
         return (np.concatenate(lists) if lists else np.zeros(0, np.int32)), np.concatenate([[0], np.cumsum(sizes)])
 
+    def _joined(self, raw: bytes, edges: list[int], safe: list[int]) -> np.ndarray:
+        """Ids of a text from those of its chunks between ``edges``, every join repaired; ``safe``: its agreement positions, with its begin and end."""
+        chunks = [self.encode_part(raw[a:z]) for a, z in zip(edges, edges[1:])]
+        places = np.array(safe)
+        right = np.searchsorted(places, edges[1:-1], "left")  # the first one at or after each cut
+        margin = 1
+        while True:
+            repairs = []  # (from, inner from, inner to, to): encoded from the outer positions, compared as far as the inner ones
+            for c, r in zip(edges[1:-1], right.tolist()):
+                if safe[r] == c:
+                    continue  # chunks that meet at an agreement position need no repair
+                left, low, high = r - 1, max(0, r - 1 - margin), min(len(safe) - 1, r + margin)
+                if repairs and safe[low] < repairs[-1][3]:
+                    repairs[-1] = (*repairs[-1][:2], safe[r], safe[high])
+                else:
+                    repairs.append((safe[low], safe[left], safe[r], safe[high]))
+            out, at, agreed = [], edges[0], True
+            for low, inner_low, inner_high, high in [*repairs, (edges[-1],) * 4]:
+                agreed &= self._stored(chunks, edges, at, low, out)
+                if low == high:
+                    break
+                ids, ends = self.encode_part(raw[low:high])
+                before, after = [], []
+                agreed &= self._stored(chunks, edges, low, inner_low, before) and self._stored(chunks, edges, inner_high, high, after)
+                head, tail = sum(map(len, before)), sum(map(len, after))
+                agreed &= head + tail <= len(ids) and all((x == y).all() for x, y in ((np.concatenate([*before, ids[:0]]), ids[:head]), (np.concatenate([*after, ids[:0]]), ids[len(ids) - tail :])))
+                out.append(ids)
+                at = high
+                self.repaired += 1
+                if not agreed:
+                    break
+            if agreed:
+                return np.concatenate(out)
+            self.widened += 1
+            if margin > len(safe):
+                return self.encode_text(raw[edges[0] : edges[-1]].decode())
+            margin *= 2
+
+    def _stored(self, chunks, edges: list[int], begin: int, end: int, out: list[np.ndarray]) -> bool:
+        """Add the stored ids of ``begin .. end`` to ``out``; False where tokens don't end there. Chunks meet inside it at agreement positions only."""
+        k = bisect_right(edges, begin) - 1
+        while begin < end:
+            stop = min(end, edges[k + 1])
+            ids, ends = chunks[k]
+            i, j = np.searchsorted(ends, (begin - edges[k], stop - edges[k]), "right").tolist()
+            if (i and ends[i - 1] != begin - edges[k]) or (not i and begin != edges[k]) or (not j or ends[j - 1] != stop - edges[k]):
+                return False
+            out.append(ids[i:j])
+            begin, k = stop, k + 1
+        return True
+
     def decode(self, ids: np.ndarray) -> str:
         ids = np.asarray(ids, np.int64)
         ids = ids[(ids >= 0) & (ids < len(self.sizes))]
@@ -130,7 +220,7 @@ class ByteBPE:
 
 
 def rolling_cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Content-defined cuts: where the hash of the ``ROLL`` bytes before is zero in its top bits."""
+    """Content-defined cuts: after the character in which the hash of the last ``ROLL`` bytes is zero in its top bits."""
     h = (data.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1)
     step, base = 1, 0x85EBCA6B
     while step < ROLL:  # doubling the window
@@ -140,29 +230,53 @@ def rolling_cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         h, base, step = longer, base * base % (1 << 32), step * 2
     cut = np.flatnonzero(h >> np.uint32(32 - CUT_BITS) == 0) + 1
     row = np.searchsorted(off, cut, "left") - 1
-    return cut[cut - off[row] >= ROLL]
+    cut = cut[cut - off[row] >= ROLL]
+    for _ in range(3):  # to the next character
+        inside = cut < len(data)
+        inside[inside] = (data[cut[inside]] & 0xC0) == 0x80
+        cut = cut + inside
+    return np.unique(cut[~np.isin(cut, off)])
 
 
-def agreed_cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Around every cut, the nearest positions left and right of it where encodings agree, within its chunk's text.
+_LETTER, _NUMBER, _OTHER, _BLANK, _UNSURE = range(5)
+_KINDS: list[np.ndarray] = []
 
-    These are the edges of the chunks' inner texts and of the repaired joins.
-    """
-    if len(data) < 2:
-        return np.zeros(0, np.int64)
-    agree = (data[1:] == 32) & (data[:-1] > 32) & (data[:-1] < 127)
-    agree[off[1:-1][(off[1:-1] > 0) & (off[1:-1] < len(data))] - 1] = False
-    safe = np.flatnonzero(agree) + 1
-    cuts = rolling_cuts(data, off)
-    if not len(safe) or not len(cuts):
+
+def _kinds() -> np.ndarray:
+    """The class of every code point of the basic plane; unsure where early Unicode versions had another, and for what is not assigned."""
+    if not _KINDS:
+        old = unicodedata.ucd_3_2_0
+
+        def kind(category: str) -> int:
+            return _UNSURE if category in ("Cn", "Cs", "Co") else _LETTER if category[0] == "L" else _NUMBER if category[0] == "N" else _OTHER
+
+        table = np.full((1 << 16) + 1, _UNSURE, np.uint8)  # the last one stands for the other planes
+        for c in range(1 << 16):
+            now, then = kind(unicodedata.category(chr(c))), kind(old.category(chr(c)))
+            table[c] = now if now == then else _UNSURE
+        table[WHITE] = _BLANK
+        _KINDS.append(table)
+    return _KINDS[0]
+
+
+def agreement_positions(raw: bytes, specials=()) -> np.ndarray:
+    """Byte positions where a piece of the pattern ends whatever stands around the two characters that meet there; none inside special strings."""
+    if not raw:
         return np.zeros(0, np.int64)
-    row = np.searchsorted(off, cuts, "left") - 1
-    right = np.searchsorted(safe, cuts, "left")
-    out = []
-    for at, ok in ((right - 1, right > 0), (right, right < len(safe))):
-        p = safe[np.clip(at, 0, len(safe) - 1)]
-        out.append(p[ok & (p > off[row]) & (p < off[row + 1])])
-    return np.unique(np.concatenate(out))
+    codes = np.frombuffer(raw.decode().encode("utf-32-le"), "<u4")
+    data = np.frombuffer(raw, np.uint8)
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    kind = _kinds()[np.minimum(codes, 1 << 16)]
+    left, right = kind[:-1], kind[1:]
+    ends = (left < _BLANK) & (codes[:-1] != 39) & (right < _UNSURE) & (left != right)
+    safe = starts[1:][ends]
+    for s in specials:
+        text, at = s.encode(), raw.find(s.encode())
+        while at >= 0:
+            i, j = np.searchsorted(safe, (at + 1, at + len(text)))
+            safe = np.delete(safe, np.s_[i:j])
+            at = raw.find(text, at + 1)
+    return safe
 
 
 _ENCODERS: dict[str, ByteBPE] = {}

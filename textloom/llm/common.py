@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -10,12 +11,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import file_store
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-
 
 def utf8_column(arr) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, offsets)`` of an Arrow string array; nulls count as empty texts."""
@@ -43,13 +42,24 @@ def byte_slices(offsets: np.ndarray, step: int) -> Iterator[tuple[int, int]]:
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], text: str, step: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``step`` bytes of text, so that numpy work arrays stay small."""
+    """The same rows in batches of about ``step`` bytes of text, so that numpy work arrays stay small; at the end of the rows freed memory goes back."""
     for b in batches:
         if b.num_rows == 0:
             continue
         lengths = np.asarray(pc.fill_null(pc.binary_length(b.column(text)), 0), dtype=np.int64)
         for i, j in byte_slices(np.concatenate([[0], np.cumsum(lengths)]), step):
             yield b.slice(i, j - i)
+    give_back()
+
+
+def give_back() -> None:
+    """Return what a task has freed to the system: workers live on from task to task, and several share an executor's memory."""
+    _POW.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
 
 
 def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -86,35 +96,68 @@ def fold_ascii() -> np.ndarray:
     return t
 
 
+#: A Mersenne prime, and the number at which texts are read as polynomials modulo it.
+_PRIME = (1 << 61) - 1
+_POINT = 0x1B873593CC9E2D51 % _PRIME
 _POW: dict[str, np.ndarray] = {}
+_M30, _M31, _M61 = np.uint64((1 << 30) - 1), np.uint64((1 << 31) - 1), np.uint64(_PRIME)
+_S30, _S31, _S61 = np.uint64(30), np.uint64(31), np.uint64(61)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _M61) + (x >> _S61)
+    return np.where(x >= _M61, x - _M61, x)
+
 
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime, from products of halves."""
+    a1, a0, b1, b0 = a >> _S31, a & _M31, b >> _S31, b & _M31
+    mid = a1 * b0 + a0 * b1
+    return _reduced(np.uint64(2) * a1 * b1 + (mid >> _S30) + ((mid & _M30) << _S31) + a0 * b0)
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POW.get("pow", ())) < n:
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of the point, split into their low 30 and high 31 bits, and of its inverse."""
+    if len(_POW.get("inv", ())) < n:
         size = max(n, 1 << 16)
-        for name, base in (("pow", _BASE), ("inv", _BASE_INV)):
+        for name, base in (("pow", _POINT), ("inv", pow(_POINT, -1, _PRIME))):
             t = np.ones(size, np.uint64)
             k = 1
             while k < size:  # double the filled part
-                t[k : 2 * k] = t[: min(k, size - k)] * np.uint64(pow(base, k, 1 << 64))
+                t[k : 2 * k] = _times(t[: min(k, size - k)], np.uint64(pow(base, k, _PRIME)))
                 k *= 2
             _POW[name] = t
-    return _POW["pow"], _POW["inv"]
+        _POW["low"], _POW["high"] = _POW["pow"] & _M30, _POW.pop("pow") >> _S30
+    return _POW["low"], _POW["high"], _POW["inv"]
+
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray, step: int = 1 << 16) -> np.ndarray:
+    """64-bit hashes of byte spans (sorted by start); equal folded bytes give equal hashes.
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray, step: int = 1 << 20) -> np.ndarray:
-    """64-bit hashes of byte spans (sorted by start), from prefix sums; equal folded bytes give equal hashes."""
-    table = mix64(fold.astype(np.uint64) + np.uint64(1))
+    A span is read as a polynomial with its bytes plus one as coefficients, modulo the prime 2**61 - 1 at a fixed point, from prefix
+    sums over ``step`` bytes at a time, which stay in a core's cache. Two different spans of up to ``n`` bytes share a value at less than ``n`` of the 2**61 points there are; so a collision takes a pair that was made for
+    the point, or a chance of ``n`` in 2**61. Values are spread over 64 bits by a bijection.
+    """
+    table = fold.astype(np.uint64) + np.uint64(1)
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(starts, starts[i] + step)))
         lo, hi = int(starts[i]), int(ends[j - 1])
-        power, inverse = _powers(hi - lo + 1)
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(table[data[lo:hi]] * power[: hi - lo], out=sums[1:])
+        low, high, inverse = _powers(hi - lo + 1)
         s, e = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix64((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
+        total = np.zeros(j - i, np.uint64)
+        for at in range(0, hi - lo, 1 << 22):  # sums of so many terms fit 64 bits
+            to = min(hi - lo, at + (1 << 22))
+            coefficients = table[data[lo + at : lo + to]]
+            a, z = np.clip(s, at, to) - at, np.clip(e, at, to) - at
+            sums = np.zeros(to - at + 1, np.uint64)
+            np.cumsum(coefficients * high[at:to], out=sums[1:])
+            top = _reduced(sums[z] - sums[a])
+            np.cumsum(coefficients * low[at:to], out=sums[1:])
+            # the high half counts 2**30 times
+            total = _reduced(total + _reduced(((top & _M31) << _S30) + (top >> _S31)) + _reduced(sums[z] - sums[a]))
+        out[i:j] = mix64(_times(total, inverse[s]))
         i = j
     return out
 
@@ -162,6 +205,13 @@ def with_order_bucket(df: DataFrame, key: str, buckets: int, name: str = "_bucke
     return df.withColumn(name, F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.size(F.filter(wide, lambda b: b < F.col(key)))))
 
 
+def whole_ids(docs: DataFrame, id_col: str) -> None:
+    """Refuse an id column that isn't a whole number where ids are ordered or stored as numbers."""
+    kind = docs.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise ValueError(f"{id_col} is {kind.simpleString()}; whole numbers are needed")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -193,11 +243,14 @@ def id_bitmap(ids: DataFrame, id_col: str, bits: int) -> np.ndarray:
     return out
 
 
-def split_by_ids(docs: DataFrame, id_col: str, ids: DataFrame, ids_col: str, bits: int = 24) -> tuple[DataFrame, DataFrame]:
+def split_by_ids(docs: DataFrame, id_col: str, ids: DataFrame, ids_col: str, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(outside, inside)``: rows whose id certainly isn't among ``ids``, and the others (with a few that aren't either).
 
-    Only the second part needs a join, so the texts of the first are not shuffled.
+    Only the second part needs a join, so the texts of the first are not shuffled. The bitmap has about 16 bits an id, ``2**16`` at least
+    and ``2**28`` (32 MB) at most unless ``bits`` says otherwise; beyond that more rows go into the second part, which its join sorts out.
     """
+    if bits is None:
+        bits = min(28, max(16, (16 * ids.count()).bit_length()))
     bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, ids_col, bits))
     hashed = docs.withColumn("_id_hash", F.pmod(F.xxhash64(id_col), F.lit(1 << bits)))
     names = docs.columns

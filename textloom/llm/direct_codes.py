@@ -15,7 +15,8 @@ written as files of about ``FILE_TOKENS`` tokens, under names no other attempt u
 those that count, and its running sum gives every file's first token.
 
 Defined results: null text counts as empty and gives the end id alone; repeated rows are
-stored each, next to each other; null document ids come first; empty tables give no files and no rows.
+stored each, next to each other; null document ids come first; empty tables give no files and no rows. Ids are
+stored as 64-bit numbers: an id column that isn't a whole number is refused.
 """
 
 from __future__ import annotations
@@ -32,10 +33,10 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 from . import word_bpe
-from .common import open_file, put_file, shuffle_partitions, small_batches, with_order_bucket
+from .common import give_back, open_file, put_file, shuffle_partitions, small_batches, whole_ids, with_order_bucket
 
 MAGIC = b"DACT"
-FILE_TOKENS = 4 << 20
+FILE_TOKENS = 2 << 20
 _SUPER = 8  # bitmap words in a directory block
 _HEAD = struct.Struct("<4sIQQ")
 
@@ -133,6 +134,7 @@ class DirectCodes:
 def write_codes(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_tokens: int = FILE_TOKENS, folder: str | None = None) -> DataFrame:
     """Encode all texts and write their ids, each text ended by ``end_id``, to ``folder`` (scratch where none is given); returns the manifest ``(bucket, part, path, tokens, documents)``."""
     spark = docs.sparkSession
+    whole_ids(docs, id_col)
     buckets = shuffle_partitions(spark)
     d = with_order_bucket(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", buckets)
 
@@ -168,6 +170,8 @@ def write_codes(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
                 held += len(parts[-1])
         if names:
             yield flush()
+        names, parts = [], []
+        give_back()
 
     schema = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("path", pa.string()), ("tokens", pa.int64()), ("documents", pa.int64())])
     return materialize(ordered.mapInArrow(write, "bucket int, part int, path string, tokens long, documents long"), "codes-manifest")
@@ -189,5 +193,7 @@ def read_codes(manifest: DataFrame) -> DataFrame:
                     [pa.array(codes.doc_ids, pa.int64()), pa.array(first + codes.offsets[:-1], pa.int64()), pa.array(np.diff(codes.offsets), pa.int64()), pa.array(sums, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
+                del codes
+        give_back()
 
     return files.repartition(shuffle_partitions(manifest.sparkSession)).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -13,13 +13,13 @@ import unicodedata
 
 import numpy as np
 
-from .chunked_bpe import byte_alphabet
+from .chunked_bpe import WHITE, byte_alphabet
+from .common import ragged, span_ids
 
-#: The pre-tokenisation pattern this module reproduces, and Unicode's white space.
+#: The pre-tokenisation pattern this module reproduces.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 END = "</w>"
-STORE_WORDS = 1 << 19
+STORE_BYTES = 40 << 20
 _TOP = 0x10000
 _BLANK, _LETTER, _NUMBER, _OTHER = range(4)
 _TABLES: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -47,19 +47,28 @@ class WordBPE:
     """Encoder of one file; ``encode`` takes a batch."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
-            raw = f.read()
-        spec = json.loads(raw)
-        self.library = Tokenizer.from_str(raw)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.specials = [t["content"] for t in spec.get("added_tokens") or []]
+            spec = json.load(f)
+        added = spec.get("added_tokens") or []
+        # ids above the vocabulary's are those of added tokens
+        self.size = max([*spec["model"]["vocab"].values(), *(t["id"] for t in added)], default=-1) + 1
+        self.specials = [t["content"] for t in added]
         self.fast = self._fast(spec)
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        self.path, self._library = path, None
         self.store: dict[str, bytes] = {}
+        self.held = 0
+
+    @property
+    def library(self):
+        """The library's tokenizer, loaded when a text needs it."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+            self._library.no_truncation()
+            self._library.no_padding()
+        return self._library
 
     def _fast(self, spec: dict):
         model, norm, pre = spec["model"], spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
@@ -85,18 +94,32 @@ class WordBPE:
             return None
         return tiktoken.Encoding("words", pat_str=r"[^\n]*\n", mergeable_ranks=ranks, special_tokens={})
 
-    def _words(self, line: str) -> bytes:
-        """Packed ids of a text's pieces; a worker keeps those of pieces it has met (started anew when full)."""
-        words = line.split("\n")[:-1]
-        parts = list(map(self.store.get, words))
-        if None in parts:
-            if len(self.store) >= STORE_WORDS:
-                self.store = {}
-            for i, p in enumerate(parts):
-                if p is None:
-                    w = words[i]
-                    parts[i] = self.store[w] = self.store.get(w) or np.array(self.fast.encode_ordinary(w + "\n"), self.kind).tobytes()
-        return b"".join(parts)
+    def _piece(self, piece: bytes) -> bytes:
+        """Packed ids of a piece; a worker keeps those of short pieces it has met, up to ``STORE_BYTES`` (then started anew)."""
+        got = self.store.get(piece)
+        if got is None:
+            got = np.array(self.fast.encode_ordinary(piece.decode() + "\n"), self.kind).tobytes()
+            if len(piece) <= 256:
+                if self.held >= STORE_BYTES:
+                    self.store, self.held = {}, 0
+                self.store[piece] = got
+                self.held += 170 + len(piece) + len(got)  # with what Python needs for the entry
+        return got
+
+    def _lines(self, codes: list[np.ndarray]) -> list[bytes]:
+        """Packed ids of texts given as code points: the distinct pieces of all of them are looked up once."""
+        letters, ends = _word_lines(codes)
+        data = np.frombuffer(letters.tobytes().decode("utf-32-le").encode(), np.uint8)
+        stops = np.flatnonzero(data == 10)
+        numbers, values = span_ids(data, np.concatenate([[0], stops[:-1] + 1])[: len(stops)], stops)
+        packs = [self._piece(v) for v in values.to_pylist()]
+        sizes = np.array([len(p) for p in packs], np.int64)
+        flat = np.frombuffer(b"".join(packs), np.uint8)
+        each = sizes[numbers]
+        out = flat[ragged((np.cumsum(sizes) - sizes)[numbers], each)].tobytes()
+        words = np.concatenate([[0], np.cumsum(letters == 10)])[ends]
+        edges = np.concatenate([[0], np.cumsum(each)])[words].tolist()
+        return [out[a:z] for a, z in zip([0, *edges], edges)]
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian numbers of ``kind``."""
@@ -105,8 +128,9 @@ class WordBPE:
             codes = [np.frombuffer(t.encode("utf-32-le"), "<u4") for t in texts]
             simple = _tables()[0]
             easy = [i for i, (t, c) in enumerate(zip(texts, codes)) if (not len(c) or c.max() < _TOP and simple[c].all()) and not any(s in t for s in self.specials)]
-            for i, line in zip(easy, _word_lines([codes[i] for i in easy])):
-                out[i] = self._words(line)
+            if easy:
+                for i, ids in zip(easy, self._lines([codes[i] for i in easy])):
+                    out[i] = ids
         rest = [i for i, x in enumerate(out) if x is None]
         for i, e in zip(rest, self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False) if rest else []):
             out[i] = np.array(e.ids, self.kind).tobytes()
@@ -116,10 +140,8 @@ class WordBPE:
         return [np.frombuffer(p, self.kind).tolist() for p in self.packed(texts)]
 
 
-def _word_lines(codes: list[np.ndarray]) -> list[str]:
-    """Each text's pieces, lower-cased, a line feed after each."""
-    if not codes:
-        return []
+def _word_lines(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' pieces, lower-cased, a line feed after each, as code points; and where each text's end."""
     _, kinds, lower = _tables()
     gap = np.array([32], np.uint32)
     c = np.concatenate([x for t in codes for x in (t, gap)] + [gap, gap, gap])
@@ -139,12 +161,7 @@ def _word_lines(codes: list[np.ndarray]) -> list[str]:
     place = np.cumsum(keep.astype(np.int64) + last)
     out = np.full(int(place[-1]), 10, "<u4")
     out[(place - 1 - last)[keep]] = c[keep]
-    ends = place[np.cumsum([len(t) + 1 for t in codes]) - 1]
-    raw, begin, lines = out.tobytes(), 0, []
-    for e in ends.tolist():
-        lines.append(raw[4 * begin : 4 * e].decode("utf-32-le"))
-        begin = e
-    return lines
+    return out, place[np.cumsum([len(t) + 1 for t in codes]) - 1]
 
 
 _ENCODERS: dict[str, WordBPE] = {}
