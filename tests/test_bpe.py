@@ -147,3 +147,48 @@ def test_queries_learn_the_default_vocabulary(spark, tmp_path):
     got = [r.token for r in Q.queries()["bpe_vocab"](spark, str(tmp_path)).orderBy("id").collect()]
     _, lib = library_vocab(docs, DEFAULT_VOCAB_SIZE)
     assert DEFAULT_VOCAB_SIZE == 25_000 and got == lib and len(got) > 600
+
+
+def test_one_json_file_for_library_and_engine(spark, tmp_path):
+    from tokenizers import Tokenizer, decoders, models, pre_tokenizers, trainers
+
+    texts = random_corpus(5, 60)
+    model = B.learn_bpe(texts_df(spark, texts), 90)
+    model.save_file(str(tmp_path / "out" / "tokenizer.json"))
+    lib = Tokenizer.from_file(str(tmp_path / "out" / "tokenizer.json"))
+    samples = [*texts[:20], "<EMAIL> ab<|endoftext|>aab  ", "", "a\n\nb", "é<PHONE>"]
+    docs = spark.createDataFrame(list(enumerate(samples)), "k bigint, text string")
+    ours = {r.k: r.ids for r in B.encode_documents(docs, model, "k").collect()}
+    assert all(ours[k] == lib.encode(t).ids for k, t in enumerate(samples))
+    assert lib.decode(ours[0], skip_special_tokens=False) == samples[0]
+    back = B.BpeModel.load_file(str(tmp_path / "out" / "tokenizer.json"))
+    assert (back.vocab, back.merges, back.specials) == (model.vocab, model.merges, model.specials)
+    # a file that the library wrote
+    tok = Tokenizer(models.BPE())
+    tok.pre_tokenizer, tok.decoder = pre_tokenizers.ByteLevel(add_prefix_space=False), decoders.ByteLevel()
+    tok.train_from_iterator(texts, trainer=trainers.BpeTrainer(vocab_size=90, special_tokens=SPECIAL_TOKENS, show_progress=False))
+    tok.save(str(tmp_path / "theirs.json"))
+    theirs = B.BpeModel.load_file(str(tmp_path / "theirs.json"))
+    assert theirs.vocab == model.vocab and theirs.merges == model.merges and theirs.specials == SPECIAL_TOKENS
+    assert spark.createDataFrame([(0,)], "a int").count() == 1
+
+
+def test_long_alternating_text_with_specials(spark):
+    texts = random_corpus(6, 40)
+    model = B.learn_bpe(texts_df(spark, texts + ["😀 a😀"] * 4), 120)
+    tok, lib = library_vocab(texts + ["😀 a😀"] * 4, 120)
+    assert model.vocab == lib
+    samples = ["<" + "a😀" * 60_000, "a😀" * 20_000 + "<EMAIL>" + "é" * 50_000 + "<|endoftext|>", "<" * 30_000]
+    docs = spark.createDataFrame(list(enumerate(samples)), "k bigint, text string")
+    got = {r.k: r.ids for r in B.encode_documents(docs, model, "k").collect()}
+    for k, t in enumerate(samples):
+        assert got[k] == tok.encode(t).ids
+
+
+@pytest.mark.parametrize("kept", [4, 40])
+def test_a_short_queue_gives_the_same_vocabulary(spark, kept):
+    texts = random_corpus(7, 60)
+    _, lib = library_vocab(texts, 110)
+    jobs = []
+    model = B.learn_bpe(texts_df(spark, texts), 110, top_k=kept, progress=lambda r, n: jobs.append(n))
+    assert model.vocab == lib and jobs[-1] == len(lib)

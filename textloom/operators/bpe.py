@@ -374,7 +374,7 @@ def _round(words: DataFrame, pending, kept: np.ndarray, fresh_id: int, above: in
 
     seen = words.mapInArrow(run, "k long, side int, o long, c long, link boolean")
     # rows are summed in each Arrow batch; one exchange by pair serves both aggregations
-    seen = seen.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "k").groupBy("k", "side", "o", "link").agg(F.sum("c").alias("c"))
+    seen = seen.repartition("k").groupBy("k", "side", "o", "link").agg(F.sum("c").alias("c"))
     found = seen.groupBy("k").agg(
         F.sum(F.when(F.col("side") == -1, F.col("c"))).alias("d"),
         *[F.max(F.when(F.col("side") == i, F.struct("c", (-F.col("o")).alias("o")))).alias(f"s{i}") for i in (0, 1)],

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..constants import END_OF_TEXT_TOKEN as E
 from ..functions import text as T
 from ..operators import corpus as C
-from ..session import scratch_path, checkpoint_dir
+from ..session import checkpoint_dir, remove_table, scratch_path
+from ..sources import incremental as INC
 from ..sources import index as IX
 from ..sources import readers as R
 from .registry import register
@@ -129,3 +130,51 @@ def cached_index(spark, sf_dir):
 
     IX.cached(spark, path, build)  # first call builds and writes
     return IX.cached(spark, path, build)  # second call reads the cached table
+
+
+@register("compressed_jsonl_scan", ids="S10 S1 P8", sql="SELECT doc_id, [text] AS segs, true AS refused FROM documents")
+def compressed_jsonl_scan(spark, sf_dir):
+    """Compressed lines are read as they are unless the caller wants them refused, as the original does; each text is its own only segment."""
+    path = scratch_path(spark, "jsonl-gz")
+    table(spark, sf_dir, "documents").select("doc_id", "text").write.option("compression", "gzip").json(path)
+    try:
+        R.check_compressed(spark, path, True)
+        refused = False
+    except NotImplementedError:
+        refused = True
+    got = R.read_jsonl(spark, path, "text", numbered=False, extra="doc_id bigint")
+    return got.select("doc_id", T.identity_split("text").alias("segs"), F.lit(refused).alias("refused"))
+
+
+@register(
+    "encoder_hook",
+    ids="X1 X2",
+    sql="""SELECT doc_id, text AS raw, CASE WHEN length(text) = 0 THEN 0 ELSE list_sum(list_transform(string_split(text, ''), lambda c: unicode(c))) END AS total FROM documents""",
+)
+def encoder_hook(spark, sf_dir):
+    """The caller's encoder as a column function, and none at all (the raw-text path), for a field of the caller's choice."""
+    from ..operators import hooks as H
+
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("cont"))
+    both = H.with_encoder(H.with_encoder(d, "cont", None, "raw"), "cont", T.codepoints, "ids")
+    return both.select("doc_id", "raw", F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("total"))
+
+
+@register("incremental_index", ids="S8 S9", sql="SELECT doc_id AS idx, CAST(length(text) AS BIGINT) AS n_chars FROM documents WHERE doc_id % 4 <> 1")
+def incremental_index(spark, sf_dir):
+    """An index over files that come and go: three of four sets are indexed, one goes and the last one comes, and only its files are read."""
+    src = scratch_path(spark, "index-src")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def build(session, files):
+        lines = R.read_jsonl(session, files, "text", numbered=False, extra="doc_id bigint")
+        return lines.select("file", F.col("doc_id").alias("idx"), T.char_length("text").alias("n_chars"))
+
+    index = INC.IncrementalIndex(spark, scratch_path(spark, "index"), build)
+    for k in range(3):
+        R.write_jsonl(d.filter(F.col("doc_id") % 4 == k), f"{src}/{k}")
+    index.update(f"{src}/*/*.json")
+    R.write_jsonl(d.filter(F.col("doc_id") % 4 == 3), f"{src}/3")
+    remove_table(f"{src}/1")
+    index.update(f"{src}/*/*.json")
+    return index.read().select("idx", "n_chars")
