@@ -98,8 +98,8 @@ def test_components_of_chains_and_stars(make):
 
 
 def brute_links(docs):
-    s = [sets(t) for _, t in docs]
-    return sorted((i, len(x), sum(k != j and bool(x) and bool(y) and 100 * len(x & y) >= 80 * len(x | y) for j, y in enumerate(s))) for k, ((i, _), x) in enumerate(zip(docs, s)))
+    s, comp = [sets(t) for _, t in docs], brute(docs)
+    return sorted((i, len(x), comp[i][1], sum(k != j and bool(x) and bool(y) and 100 * len(x & y) >= 80 * len(x | y) for j, y in enumerate(s))) for k, ((i, _), x) in enumerate(zip(docs, s)))
 
 
 @pytest.mark.parametrize("page", [4, 256])
@@ -108,7 +108,7 @@ def test_every_link_inside_components(make, monkeypatch, page):
     docs = corpus(7, 3, 18, 60, 3, 20)
     docs += [(500 + k, docs[k][1]) for k in range(4)] + [(900, None), (901, "a b"), (902, "A b")]
     got = sorted(tuple(r) for r in S.count_links(make(docs, "doc_id long, text string"), sketch_bits=12, filter_bits=12).collect())
-    assert got == brute_links(docs) and max(n for _, _, n in got) > 4
+    assert got == brute_links(docs) and max(n for *_, n in got) > 4
 
 
 def test_keeping_one_knows_rows_by_id_and_text(make):
@@ -129,3 +129,50 @@ def test_keeping_one_knows_rows_by_id_and_text(make):
     assert ids == [-1, -1, -1, 3, 5, 7, 9, 11]
     assert (5, b) in kept and (3, a) in kept and {t for i, t in kept if i == 7} < {c, c2}
     assert len({t for i, t in kept if i is None} & {d, d2}) == 1 and len({t for i, t in kept if i is None} & {f, f2}) == 1 and (None, None) in kept
+
+
+def test_a_large_group_of_near_copies_takes_few_pairs(make, monkeypatch):
+    """800 near copies and 300 others: right components, and verified pairs in proportion to the documents."""
+    rnd = random.Random(21)
+    vocab = [f"w{i}" for i in range(3000)]
+    base = [rnd.choice(vocab) for _ in range(200)]
+    docs = []
+    for _ in range(800):
+        t = list(base)
+        for _ in range(rnd.randint(1, 3)):
+            t[rnd.randrange(len(t))] = rnd.choice(vocab)
+        docs.append(" ".join(t))
+    docs += [" ".join(rnd.choice(vocab) for _ in range(rnd.randint(20, 200))) for _ in range(300)]
+    rnd.shuffle(docs)
+    docs = list(enumerate(docs))
+    pairs, real = [], S._verified
+    monkeypatch.setattr(S, "_verified", lambda p, *a: pairs.append(p.count()) or real(p, *a))
+    assert found(make, docs, sketch_bits=14) == brute(docs)
+    assert sum(pairs) < 16 * len(docs)
+
+
+def test_hashes_have_no_collisions_by_construction(make):
+    """Two words of 1,024 letters that agree under every polynomial hash modulo a power of two."""
+    w = "a"
+    while len(w) < 1024:
+        w += w.translate(str.maketrans("ab", "ba"))
+    swapped = w.translate(str.maketrans("ab", "ba"))
+    docs = [(1, w), (2, swapped), (3, w), (4, f"x {w} y z q r"), (5, f"x {swapped} y z q r")]
+    assert found(make, docs) == brute(docs)
+
+
+def test_span_hashes_against_exact_arithmetic():
+    import numpy as np
+
+    from textloom.llm import common as C
+
+    rnd = random.Random(8)
+    fold = C.fold_ascii()
+    cuts = sorted({0, 900, *(rnd.randrange(900, 9000) for _ in range(400)), 9000})
+    data = np.array([rnd.randrange(256) for _ in range(9000)], np.uint8)
+    spans = [(a, max(a, z - rnd.randrange(3))) for a, z in zip(cuts, cuts[1:])]
+    starts, ends = np.array([a for a, _ in spans]), np.array([z for _, z in spans])
+    for step in (1, 37, 1 << 20):
+        got = C.span_hashes(data, starts, ends, fold, step)
+        want = [sum((int(fold[b]) + 1) * pow(C._POINT, k, C._PRIME) for k, b in enumerate(data[a:z].tolist())) % C._PRIME for a, z in spans]
+        assert got.tolist() == C.mix64(np.array(want, np.uint64)).tolist()

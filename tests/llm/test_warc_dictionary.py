@@ -64,3 +64,38 @@ def test_small_empty_long_and_clashing(make):
     assert W.archive_round_trip(make([], PAGES)).count() == 0
     one = W.archive_round_trip(make([(1, "u", "é" * 2_000_000, "k", 5)], PAGES + ", key string, n long")).collect()
     assert [(r.page_id, r.payload_bytes, r.record_type) for r in one] == [(1, 4_000_000, "response")]
+
+
+def test_every_archive_of_eight_records_has_a_dictionary(monkeypatch):
+    rnd = random.Random(4)
+    big = bytes(rnd.randrange(97, 123) for _ in range(1 << 20))
+    alike = [W.page_record(str(i), "http://x.example/", f"<p>page {i} of the same site</p>".encode() * 40, None) for i in range(400)]
+    cases = [
+        [W.page_record("0", "u", big, None), *alike],  # a large first record
+        [W.page_record(str(i), "u", big[i * 1000 :], None) for i in range(9)],
+        [W.page_record(str(i), None, b"", None) for i in range(8)],  # nearly nothing to train on
+        [W.page_record("1", None, b"same", None)] * 30,
+    ]
+    for records in cases:
+        for limit in (W.ARCHIVE_BYTES, 3 << 20):
+            back = []
+            for chunks, n in W.archive(iter(records), limit):
+                raw = b"".join(chunks)
+                assert (raw[:4] == (0x184D2A5D).to_bytes(4, "little")) == (n >= 8), (n, len(raw))
+                assert n < 8 or raw[8:12] == W.DICTIONARY_MAGIC
+                back += [f["WARC-Record-ID"] for f, _ in W.read_records(raw)][1:]
+            assert len(back) == len(records)
+    few = list(W.archive(iter(alike[:7])))
+    assert len(few) == 1 and few[0][0][0][:4] != (0x184D2A5D).to_bytes(4, "little")
+
+
+def test_pages_that_are_no_revisit_are_not_joined(make, monkeypatch):
+    rows = pages(6)
+    monkeypatch.setattr(W, "materialize", lambda df, name: seen.append((name, df)) or real(df, name))
+    from textloom.session import materialize as real
+
+    seen = []
+    got = sorted((tuple(r) for r in W.archive_round_trip(make(rows, PAGES)).collect()), key=repr)
+    assert got == brute(rows)
+    plan = dict(seen)["warc-manifest"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftAnti" in plan

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ragged, small_batches, utf8_column
+from .common import kept, ragged, small_batches, utf8_column
 
 ROLL = 16
 CUT_BITS = 9
@@ -279,14 +279,12 @@ def agreement_positions(raw: bytes, specials=()) -> np.ndarray:
     return safe
 
 
-_ENCODERS: dict[str, ByteBPE] = {}
-
-
 def encoder(path: str) -> ByteBPE:
     """The worker's encoder of a file, loaded once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ByteBPE(path)
-    return _ENCODERS[path]
+    loaded = kept("chunked_bpe")
+    if path not in loaded:
+        loaded[path] = ByteBPE(path)
+    return loaded[path]
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -52,6 +52,19 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str, step: int = 4 <<
     give_back()
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """What an operator keeps in this worker from task to task; what others kept is dropped, as workers live on from operator to operator."""
+    others = [k for k in _KEPT if k != operator]
+    for k in others:
+        del _KEPT[k]
+    if others:
+        give_back()
+    return _KEPT.setdefault(operator, {})
+
+
 def give_back() -> None:
     """Return what a task has freed to the system: workers live on from task to task, and several share an executor's memory."""
     _POW.clear()
@@ -205,6 +218,11 @@ def with_order_bucket(df: DataFrame, key: str, buckets: int, name: str = "_bucke
     return df.withColumn(name, F.when(F.col(key).isNull(), F.lit(0)).otherwise(F.size(F.filter(wide, lambda b: b < F.col(key)))))
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """A written table marked for broadcast if it has at most ``rows`` rows; a larger one is left to the optimizer, which shuffles both sides."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def whole_ids(docs: DataFrame, id_col: str) -> None:
     """Refuse an id column that isn't a whole number where ids are ordered or stored as numbers."""
     kind = docs.schema[id_col].dataType
@@ -234,6 +252,9 @@ def open_file(path: str):
     return store.open_input_file(name)
 
 
+SENT_IDS = 1 << 18
+
+
 def id_bitmap(ids: DataFrame, id_col: str, bits: int) -> np.ndarray:
     """A fixed-size bitmap (2**bits bits) of hashed ids."""
     hashed = ids.select(F.pmod(F.xxhash64(id_col), F.lit(1 << bits)).alias("h"))
@@ -246,11 +267,17 @@ def id_bitmap(ids: DataFrame, id_col: str, bits: int) -> np.ndarray:
 def split_by_ids(docs: DataFrame, id_col: str, ids: DataFrame, ids_col: str, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(outside, inside)``: rows whose id certainly isn't among ``ids``, and the others (with a few that aren't either).
 
-    Only the second part needs a join, so the texts of the first are not shuffled. The bitmap has about 16 bits an id, ``2**16`` at least
+    Only the second part needs a join, so the texts of the first are not shuffled. Up to ``SENT_IDS`` ids are sent to all executors; beyond that a
+    bitmap of them is. It has about 16 bits an id, ``2**16`` at least
     and ``2**28`` (32 MB) at most unless ``bits`` says otherwise; beyond that more rows go into the second part, which its join sorts out.
     """
     if bits is None:
-        bits = min(28, max(16, (16 * ids.count()).bit_length()))
+        n = ids.count()
+        if n <= SENT_IDS:
+            sent = F.broadcast(ids.select(F.col(ids_col).alias("_sent_id")).distinct())
+            same = docs[id_col].eqNullSafe(F.col("_sent_id"))
+            return docs.join(sent, same, "left_anti"), docs.join(sent, same, "left_semi")
+        bits = min(28, max(16, (16 * n).bit_length()))
     bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(ids, ids_col, bits))
     hashed = docs.withColumn("_id_hash", F.pmod(F.xxhash64(id_col), F.lit(1 << bits)))
     names = docs.columns

@@ -24,6 +24,7 @@ column through untouched.
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
-from .common import fold_ascii, open_file, put_file, ragged, small_batches, span_hashes, utf8_column, word_spans
+from ..session import materialize, scratch_path
+from .common import fold_ascii, kept, open_file, put_file, ragged, small_batches, span_hashes, utf8_column, word_spans
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -189,42 +190,48 @@ def _prepare_block(ids: list[str | None], texts: list[str | None], window: int)
 
 
 def prepare_phrases(benchmark: DataFrame, window: int = WINDOW, item_id: str = "item_id", text: str = "text", block_bytes: int = 16 << 20) -> list[str]:
-    """Write the benchmark's phrases in blocks of at most ``block_bytes`` of text (an item at least); returns the files.
+    """Write the benchmark's phrases in blocks of about ``block_bytes`` of text (an item at least); returns the files.
 
-    The driver streams the items and holds one block at a time.
+    Tasks cut the windows and write the blocks, under names no other attempt uses; the driver only gets the names of those that count.
     """
-    spark, files, ids, texts, size = benchmark.sparkSession, [], [], [], 0
-    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t"))
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).filter("t IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     folder = scratch_path(spark, "benchmark-phrases")
 
-    def flush():
-        path = f"{folder}/block-{len(files):05d}.npz"
-        put_file(path, [_prepare_block(ids, texts, window)])
-        files.append(path)
-        ids.clear()
-        texts.clear()
+    def write(batches):
+        attempt, number = uuid.uuid4().hex, 0
+        ids, texts, held = [], [], 0
 
-    for r in items.toLocalIterator():
-        if r.t is None:
-            continue
-        ids.append(r.i)
-        texts.append(r.t)
-        size += len(r.t)
-        if size >= block_bytes:
-            flush()
-            size = 0
-    if ids:
-        flush()
-    return files
+        def block():
+            path = f"{folder}/block-{attempt}-{number:05d}.npz"
+            put_file(path, [_prepare_block(ids, texts, window)])
+            return pa.RecordBatch.from_pydict({"path": [path]})
 
+        for b in batches:
+            for i, t in zip(b.column("i").to_pylist(), b.column("t").to_pylist()):
+                if ids and held + len(t) > block_bytes:
+                    yield block()
+                    number, ids, texts, held = number + 1, [], [], 0
+                ids.append(i)
+                texts.append(t)
+                held += len(t)
+        if ids:
+            yield block()
 
-_LOADED: dict[str, dict] = {}
+    blocks = items.repartition(max(1, -(-size // block_bytes))).mapInArrow(write, "path string")
+    return sorted(r.path for r in materialize(blocks, "benchmark-blocks").collect())
+
+
+#: Blocks a worker keeps, and small batches it searches together where there are more.
+KEPT_BLOCKS, GROUP_BATCHES = 2, 4
 
 
 def _block(path: str) -> dict:
-    if path not in _LOADED:
-        if len(_LOADED) >= 2:
-            _LOADED.clear()
+    loaded = kept("fm_index")
+    if path not in loaded:
+        if len(loaded) >= KEPT_BLOCKS:
+            loaded.clear()
         with open_file(path) as f, np.load(io.BytesIO(f.read())) as z:
             b = {k: z[k] for k in z.files}
         small = np.zeros(1 << 16, bool)  # most words are told apart by 16 bits of their hash
@@ -232,8 +239,8 @@ def _block(path: str) -> dict:
         b["small"] = small
         b["shortest"] = int((b["phrases"] > 0).sum(axis=1).min()) if len(b["phrases"]) else 0
         b["first"] = np.cumsum(b["counts"]) - b["counts"]
-        _LOADED[path] = b
-    return _LOADED[path]
+        loaded[path] = b
+    return loaded[path]
 
 
 def _numbers(hashes: np.ndarray, b: dict) -> np.ndarray:
@@ -277,22 +284,23 @@ def _shards(number: np.ndarray, row: np.ndarray, shortest: int, longest: int, sh
         i = j
 
 
-def search_texts(texts, files: list[str], shard_words: int = SHARD_WORDS) -> dict:
-    """Words, hit words and items of a batch of texts, against every block of phrases."""
-    data, off = utf8_column(texts)
-    n = len(off) - 1
-    starts, ends, row = word_spans(data, off, _IS_WORD)
-    hashes = span_hashes(data, starts, ends, _FOLD)
-    hit = np.zeros(len(starts), bool)
-    items: list[set[str]] = [set() for _ in range(n)]
-    for path in files:
-        b = _block(path)
+class _Search:
+    """The words of a batch of texts, and what the blocks searched so far have found in them."""
+
+    def __init__(self, texts):
+        data, self.off = utf8_column(texts)
+        self.starts, self.ends, self.row = word_spans(data, self.off, _IS_WORD)
+        self.hashes = span_hashes(data, self.starts, self.ends, _FOLD)
+        self.hit = np.zeros(len(self.starts), bool)
+        self.items: list[set[str]] = [set() for _ in range(len(self.off) - 1)]
+
+    def block(self, b: dict, shard_words: int) -> None:
         if not len(b["phrases"]):
-            continue
+            return
         longest = b["phrases"].shape[1]
         lengths = (b["phrases"] > 0).sum(axis=1)
-        number = _numbers(hashes, b)
-        for sequence, at in _shards(number, row, b["shortest"], longest, shard_words):
+        number = _numbers(self.hashes, b)
+        for sequence, at in _shards(number, self.row, b["shortest"], longest, shard_words):
             index = FMIndex(sequence, len(b["vocab"]))
             low, high = index.search(b["phrases"])
             found = np.flatnonzero(high > low)
@@ -301,16 +309,44 @@ def search_texts(texts, files: list[str], shard_words: int = SHARD_WORDS) -> dic
             each = (high - low)[found]
             place = at[index.locate(ragged(low[found], each))]
             phrase = np.repeat(found, each)
-            hit[ragged(place, lengths[phrase])] = True
-            pairs = np.unique(np.stack([row[place], phrase], axis=1), axis=0)
+            self.hit[ragged(place, lengths[phrase])] = True
+            pairs = np.unique(np.stack([self.row[place], phrase], axis=1), axis=0)
             for r, p in pairs.tolist():
                 for o in b["owner"][b["first"][p] : b["first"][p] + b["counts"][p]]:
                     if b["known"][o]:
-                        items[r].add(str(b["names"][o]))
-    words = np.bincount(row, minlength=n)
-    hits = np.bincount(row[hit], minlength=n)
-    spans = _merged(starts, ends, row, hit, off, n)
-    return {"n_words": words, "n_hit": hits, "items": items, "spans": spans}
+                        self.items[r].add(str(b["names"][o]))
+
+    def result(self) -> dict:
+        n = len(self.items)
+        words, hits = np.bincount(self.row, minlength=n), np.bincount(self.row[self.hit], minlength=n)
+        return {"n_words": words, "n_hit": hits, "items": self.items, "spans": _merged(self.starts, self.ends, self.row, self.hit, self.off, n)}
+
+
+def search_many(columns, files: list[str], shard_words: int = SHARD_WORDS) -> list[dict]:
+    """:func:`search_texts` of several batches, block by block: a block is loaded once for all of them."""
+    searches = [_Search(texts) for texts in columns]
+    for path in files:
+        b = _block(path)
+        for s in searches:
+            s.block(b, shard_words)
+    return [s.result() for s in searches]
+
+
+def search_texts(texts, files: list[str], shard_words: int = SHARD_WORDS) -> dict:
+    """Words, hit words, items and spans of a batch of texts, against every block of phrases."""
+    return search_many([texts], files, shard_words)[0]
+
+
+def _groups(batches, text: str, files: list[str]):
+    """Small batches, several at a time where there are more blocks than a worker keeps."""
+    group = []
+    for b in small_batches(batches, text):
+        group.append(b)
+        if len(files) <= KEPT_BLOCKS or len(group) == GROUP_BATCHES:
+            yield group
+            group = []
+    if group:
+        yield group
 
 
 def _merged(starts, ends, row, hit, off, n) -> list[list[tuple[int, int]]]:
@@ -335,13 +371,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     arrow_span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for b in small_batches(batches, "text"):
-            r = search_texts(b.column("text"), files, shard_words)
-            spans = [[{"start": s, "end": e} for s, e in x] for x in r["spans"]]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(r["n_words"], pa.int64()), pa.array(r["n_hit"], pa.int64()), pa.array([sorted(x) for x in r["items"]], pa.list_(pa.string())), pa.array(spans, arrow_span)],
-                names=["doc_id", "n_words", "n_hit", "items", "spans"],
-            )
+        for group in _groups(batches, "text", files):
+            for b, r in zip(group, search_many([b.column("text") for b in group], files, shard_words)):
+                spans = [[{"start": s, "end": e} for s, e in x] for x in r["spans"]]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), pa.array(r["n_words"], pa.int64()), pa.array(r["n_hit"], pa.int64()), pa.array([sorted(x) for x in r["items"]], pa.list_(pa.string())), pa.array(spans, arrow_span)],
+                    names=["doc_id", "n_words", "n_hit", "items", "spans"],
+                )
 
     return d.mapInArrow(run, schema)
 
@@ -365,8 +401,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str =
     files = prepare_phrases(benchmark, window)
 
     def run(batches):
-        for b in small_batches(batches, text_col):
-            r = search_texts(b.column(text_col), files)
+        for b, r in ((b, r) for group in _groups(batches, text_col, files) for b, r in zip(group, search_many([b.column(text_col) for b in group], files))):
             changed = [i for i, x in enumerate(r["spans"]) if x]
             if changed:
                 texts, keep = b.column(text_col).to_pylist(), np.ones(b.num_rows, bool)

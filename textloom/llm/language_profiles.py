@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import kept, small_batches
 
 PROFILE = 300
 UNKNOWN = "und"
@@ -122,12 +122,12 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
     texts = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     grams = texts.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    top = grams.selectExpr("lang", "gram", "row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) - 1 AS place").filter(F.col("place") < size).collect()
+    top = grams.selectExpr("lang", "gram", "row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS place").filter(F.col("place") <= size).collect()  # every task keeps its first ones only
     names, codes = sorted({r.lang for r in top}), np.array(sorted({r.gram for r in top}), np.int64)
     at = {c: i for i, c in enumerate(codes.tolist())}
     places = np.full((len(names), len(codes)), size, np.int64)
     for r in top:
-        places[names.index(r.lang), at[r.gram]] = r.place
+        places[names.index(r.lang), at[r.gram]] = r.place - 1
     return Profiles(names, codes, places, size)
 
 
@@ -149,6 +149,7 @@ def keep_known_languages(docs: DataFrame, profiles: Profiles, least_score: float
     model = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches):
+        kept("language_profiles")
         for b in small_batches(batches, text_col):
             found = [model.value.nearest(t) for t in b.column(text_col).to_pylist()]
             yield b.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))

@@ -26,6 +26,7 @@ instances count once, as graph nodes are distinct values. Empty tables give empt
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import small_batches, split_by_ids, utf8_column
+from .common import kept, small_batches, split_by_ids, utf8_column
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Seeds of further kinds: name and pattern.
@@ -109,20 +110,37 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 _SEEDS = tuple((k, re.compile(p)) for k, p in SEED_RULES)
 
 
-def _overlaps(spans: list[tuple[int, int]], s: int, e: int) -> bool:
-    return any(s < b and a < e for a, b in spans)
+class _Taken:
+    """Spans that don't overlap each other, by start: whether another one overlaps any is told by its neighbours."""
+
+    def __init__(self, spans):
+        # base kinds may overlap one another; what counts is the ground they cover
+        self.starts, self.ends = [], []
+        for s, e in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def overlaps(self, s: int, e: int) -> bool:
+        k = bisect_left(self.starts, e)
+        return k > 0 and self.ends[k - 1] > s
+
+    def spans(self) -> list[tuple[int, int]]:
+        return list(zip(self.starts, self.ends))
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str | None, int, int]]:
     """Seeds of every kind, and identifier-shaped tokens and runs of groups (kind None) that overlap no seed."""
     out = list(base)
-    taken = [(s, e) for _, s, e in base]
+    ground = _Taken((s, e) for _, s, e in base)
     for kind, rule in _SEEDS:
-        for m in rule.finditer(text):
-            if not _overlaps(taken, m.start(), m.end()):
-                out.append((kind, m.start(), m.end()))
-                taken.append((m.start(), m.end()))
-    taken.sort()
+        # matches of one rule don't overlap each other
+        found = [(kind, m.start(), m.end()) for m in rule.finditer(text) if not ground.overlaps(m.start(), m.end())]
+        out += found
+        ground = _Taken([*ground.spans(), *((s, e) for _, s, e in found)])
+    taken = ground.spans()
     runs, at = [], 0
     for s, e in [*taken, (len(text), len(text))]:  # between the seeds
         for m in _RUN.finditer(text, at, max(at, s)):
@@ -146,7 +164,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str |
             s += 1
         while e > s and text[e - 1] in _EDGE:
             e -= 1
-        if e - s >= MIN_LENGTH and ("@" in text[s:e] or len(_DIGIT.findall(text, s, e)) >= MIN_DIGITS) and not _overlaps(taken, s, e):
+        if e - s >= MIN_LENGTH and ("@" in text[s:e] or len(_DIGIT.findall(text, s, e)) >= MIN_DIGITS) and not ground.overlaps(s, e):
             out.append((None, s, e))
     held = {(s, e) for _, s, e in out}
     return out + [r for r in runs if r[1:] not in held]
@@ -187,6 +205,7 @@ _FOUND_SPARK = "array<struct<kind:string,start:bigint,end:bigint,value:string,pa
 
 def _found(texts: pa.Array) -> list[tuple[list, list]]:
     """Base spans and candidates of each text; texts without a digit or ``@`` are told by their bytes."""
+    kept("pii_bootstrap")
     data, off = utf8_column(texts)
     flags = np.zeros(256, np.int64)
     flags[48:58] = flags[64] = 1
@@ -290,7 +309,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def personal_data_digest(found: DataFrame) -> DataFrame:
     """The columns of the query."""
     n = [F.expr(f"CAST(size(filter(base, s -> startswith(s, '{k}:'))) AS BIGINT) AS n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *n, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join("spans", ",").alias("spans"))
+    return found.select("doc_id", *n, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join("spans", ",").alias("spans"), F.size("spans").cast("long").alias("n_found"))
 
 
 def _masked(text: str, spans: list[tuple[str, int, int]]) -> str:

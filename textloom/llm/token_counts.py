@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, span_hashes, utf8_column
+from .common import byte_slices, kept, span_hashes, utf8_column
 
 BATCH_BYTES = 1 << 20
 SLICE_BYTES = 4 << 20
@@ -128,13 +128,11 @@ class LibraryCounter:
         return np.array(out, np.int64)
 
 
-_COUNTERS: dict[str, PieceCounter | LibraryCounter] = {}
-
-
 def counter(path: str) -> PieceCounter | LibraryCounter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = (LibraryCounter if path.endswith(".json") else PieceCounter)(path)
-    return _COUNTERS[path]
+    loaded = kept("token_counts")
+    if path not in loaded:
+        loaded[path] = (LibraryCounter if path.endswith(".json") else PieceCounter)(path)
+    return loaded[path]
 
 
 def token_count(text: Column, path: str) -> Column:

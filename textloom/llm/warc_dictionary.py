@@ -12,8 +12,8 @@ Tasks write files of about ``ARCHIVE_BYTES`` to the shared folder under names no
 manifest, written by Spark, lists those of the attempts that counted, so lost executors
 leave only files that nobody reads.
 
-The dictionary is trained on at most ``SAMPLE_BYTES`` of records, a documented bound; archives with too little
-to train on have no dictionary frame. Defined results: null html is an empty payload; a null url leaves the
+The dictionary is trained on slices of ``SLICE_BYTES`` of an archive's first records, ``SAMPLE_BYTES`` of them in all, a documented bound; archives of
+less than ``LEAST_RECORDS`` records have no dictionary frame. Defined results: null html is an empty payload; a null url leaves the
 target header out; repeated rows of one id and payload are archived each, with the same type; rows
 without an id are always responses; empty tables give no archive and no rows.
 """
@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
-from .common import open_file, put_file, shuffle_partitions
+from .common import open_file, put_file, shuffle_partitions, split_by_ids
 
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 32 << 20
 SAMPLE_BYTES = 1 << 20
 SAMPLE_RECORDS = 512
+SLICE_BYTES = 16 << 10
+LEAST_RECORDS = 8
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: Frame magics, the revisit profile, the date every record carries.
@@ -73,15 +75,31 @@ def page_record(page_id: str | None, url: str | None, payload: bytes, refers_to:
 
 
 def train(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary of the records, or none where there is too little to train on."""
-    size = min(DICTIONARY_BYTES, sum(map(len, records)) // 8)
-    if len(records) < 8 or size < 1024:
+    """A dictionary of slices of the records (the first ``SLICE_BYTES`` of each, so that a few large ones don't fill the sample); none for less than ``LEAST_RECORDS``."""
+    slices = [r[:SLICE_BYTES] for r in records]
+    if len(records) < LEAST_RECORDS:
         return None
+    size = max(256, min(DICTIONARY_BYTES, sum(map(len, slices)) // 8))
     try:
-        trained = zstandard.train_dictionary(size, records, k=512, d=8)
-    except zstandard.ZstdError:
-        return None
-    return trained if trained.as_bytes().startswith(DICTIONARY_MAGIC) else None
+        trained = zstandard.train_dictionary(size, slices, k=512, d=8)
+    except zstandard.ZstdError:  # slices too short or too alike for the trainer: what they begin with is the content
+        trained = None
+    if trained is None or not trained.as_bytes().startswith(DICTIONARY_MAGIC):
+        return _from_content(slices, size)
+    return trained
+
+
+def _from_content(slices: list[bytes], size: int) -> zstandard.ZstdCompressionDict | None:
+    """A dictionary from samples that are too few or too alike as they stand: they are repeated with their number before each."""
+    many = [b"%d " % i + r for i in range(64) for r in slices]
+    for k in (512, 64, 16):
+        try:
+            trained = zstandard.train_dictionary(max(size, 1024), many, k=k, d=8)
+        except zstandard.ZstdError:
+            continue
+        if trained.as_bytes().startswith(DICTIONARY_MAGIC):
+            return trained
+    return None
 
 
 def archive(records: Iterator[bytes], limit: int = ARCHIVE_BYTES) -> Iterator[tuple[list[bytes], int]]:
@@ -91,8 +109,8 @@ def archive(records: Iterator[bytes], limit: int = ARCHIVE_BYTES) -> Iterator[tu
         sample, size, more = [], 0, False
         for r in records:
             sample.append(r)
-            size += len(r)
-            if size >= SAMPLE_BYTES or len(sample) >= SAMPLE_RECORDS:
+            size += min(len(r), SLICE_BYTES)
+            if size >= SAMPLE_BYTES or len(sample) >= SAMPLE_RECORDS or (len(sample) >= LEAST_RECORDS and sum(map(len, sample)) >= limit):
                 more = True
                 break
         if not sample:
@@ -169,8 +187,11 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     keys = p.select("page_id", F.octet_length("html").alias("n"), key.alias("key")).filter((F.col("n") >= REVISIT_BYTES) & F.col("page_id").isNotNull())
     copies = keys.groupBy("key").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least")).filter("least < refers_to").select("key", "refers_to")
     revisits = materialize(keys.join(copies, "key").filter("page_id < refers_to").select("page_id", "key", "refers_to").distinct(), "warc-revisits")
-    # by id and payload: one id can stand with several payloads
-    known = p.withColumn("key", key).join(revisits, ["page_id", "key"], "left").select(F.col("page_id").cast("string"), "url", F.col("html").cast("binary"), F.col("refers_to").cast("string"))
+    # by id and payload: one id can stand with several payloads. Pages that are certainly no revisit are not shuffled
+    outside, inside = split_by_ids(p, "page_id", revisits, "page_id")
+    again = inside.withColumn("key", key).join(revisits, ["page_id", "key"], "left").select("page_id", "url", "html", "refers_to")
+    known = outside.withColumn("refers_to", F.lit(None).cast(p.schema["page_id"].dataType)).unionByName(again)
+    known = known.select(F.col("page_id").cast("string"), "url", F.col("html").cast("binary"), F.col("refers_to").cast("string"))
     folder = folder or scratch_path(spark, "warc")
 
     def run(batches):

@@ -14,7 +14,7 @@ import unicodedata
 import numpy as np
 
 from .chunked_bpe import WHITE, byte_alphabet
-from .common import ragged, span_ids
+from .common import kept, ragged, span_ids
 
 #: The pre-tokenisation pattern this module reproduces.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -164,11 +164,9 @@ def _word_lines(codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, place[np.cumsum([len(t) + 1 for t in codes]) - 1]
 
 
-_ENCODERS: dict[str, WordBPE] = {}
-
-
 def encoder(path: str) -> WordBPE:
     """The worker's encoder of a file, loaded once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordBPE(path)
-    return _ENCODERS[path]
+    loaded = kept("word_bpe")
+    if path not in loaded:
+        loaded[path] = WordBPE(path)
+    return loaded[path]
