@@ -71,9 +71,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     The neighbours of a node are never gathered: its smallest one is a partial aggregate, and
     the join back on a node with very many links is one that Spark splits. A round writes its
-    links to the shared folder; the rounds grow with the logarithm of the longest chain.
+    links to the shared folder; the rounds grow with the logarithm of the longest chain. So few links that one task's forest holds them
+    (``FOREST_LINKS``) are settled by that forest.
     """
-    start = _local_roots(edges.filter(F.col("a") != F.col("b")))
+    edges = edges.filter(F.col("a") != F.col("b"))
+    start = _local_roots(edges.coalesce(1) if edges.limit(FOREST_LINKS + 1).count() <= FOREST_LINKS else edges)
     now = materialize(start.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     for _ in range(max_rounds):
         if _settled(now):

@@ -12,13 +12,16 @@ decide them; ``link_classes`` verifies every pair of classes that the bounds lea
   enters the cells of its ``n - ceil(0.8 n) + 1`` rarest shingles (rare by a fixed-size sketch
   of counts over all documents), and sets that link share a cell.
 * Contraction: in every cell neighbours by size, and each set and the cell's smallest in ``CONTRACT_CELLS`` cells, are
-  verified first, then each set and the cell's set of most links (``CONTRACT_ROUNDS`` times). Their
-  links already join large groups of copies, so no group is paired out.
+  verified first. Their links already join most of large groups of copies, so no group is paired out.
 * Tree: cells that still hold several components. One of up to ``PAGE`` members is a leaf; a larger
   one is packed into pages of ``PAGE`` points (sorted by component and size) with the largest
   coordinate of each group, and page pairs whose summed coordinate minima can't reach the needed
   overlap are dropped. Pairs of members must fit by size and by the places of the cell among their
   rarest shingles, then by the summed minima of their points; the exact sets of the survivors decide.
+* Rounds: for components the tree's pairs are taken in rounds. A hash of a pair puts it into a round of its cell: of a cell of ``m`` members
+  round 0 takes the share ``FIRST_PAIRS / m`` of the pairs, every further round ``FIRST_PAIRS`` times as much, the last one
+  the rest. Only pairs of different components are looked at, and components are formed anew after a round; so a group of
+  near copies grows together from few pairs of each member, and every pair that could still join two components is verified.
 
 Defined results: null text, texts without words: empty set, linked with nothing, component
 is the document itself. Fewer than five words: the whole sequence is the one shingle. Repeated
@@ -35,17 +38,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import fold_ascii, mix64, shuffle_partitions, small_batches, span_hashes, split_by_ids, utf8_column, word_spans
+from .common import fold_ascii, kept, mix64, shuffle_partitions, small_batches, small_side, span_hashes, split_by_ids, utf8_column, word_spans
 from .components import connected_components
 
 SHINGLE = 5
 PERCENT = 80
 GROUPS = 256
-SKETCH_BITS = 20
+SKETCH_BITS = (22, 24)  # least and most; between them 16 slots a document
 PAGE = 256
 CONTRACT_CELLS = 3
-CONTRACT_ROUNDS = 1
+FIRST_PAIRS = 8
 FILTER_BITS = 24
+#: Tables of up to so many narrow rows are sent to all executors (some 10 MB); larger ones are joined by shuffles.
+MANY_ROWS = 1 << 18
 
 
 def _word_bytes() -> np.ndarray:
@@ -60,6 +65,7 @@ _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, k + 1, 1 << 64)) for k in range(SHING
 
 def shingle_sets(texts) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every text."""
+    kept("shingle_rtree")
     data, off = utf8_column(texts)
     starts, ends, row = word_spans(data, off, _IS_WORD)
     words = span_hashes(data, starts, ends, _FOLD)
@@ -99,15 +105,15 @@ def _coordinates(points: list[bytes]) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
-    """Rarity level (0..255) of every hash group, from counts over all sets; its size doesn't depend on the data.
+    """Rarity level (0..255) of every hash group, from counts over all sets; its size is ``2**bits`` bytes.
 
-    Each task counts its sets in one array and passes it on in 64 segments that are added up.
+    Each task counts its sets in one array and passes it on in 64 segments that are added up; a slot counts up to 255 a task, as what matters is how rare the rare ones are.
     """
     segments, width = 64, (1 << bits) // 64
     text = docs.columns[0]
 
     def count(batches):
-        total, seen = np.zeros(1 << bits, np.int64), set()
+        total, seen = np.zeros(1 << bits, np.uint32), set()
         for b in small_batches(batches, text):
             sets = [s for s in shingle_sets(b.column(text)) if len(s)]
             fresh = []
@@ -117,17 +123,18 @@ def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
                     seen.add(c)
                     fresh.append(s)
             if fresh:
-                total += np.bincount((np.concatenate(fresh) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                slots, times = np.unique(np.concatenate(fresh) >> np.uint64(64 - bits), return_counts=True)
+                total[slots.astype(np.int64)] += times.astype(np.uint32)
         if seen:
-            # counts of one task fit 32 bits
-            parts = [total[i * width : (i + 1) * width].astype(np.uint32).tobytes() for i in range(segments)]
+            short = np.minimum(total, 255).astype(np.uint8)
+            parts = [short[i * width : (i + 1) * width].tobytes() for i in range(segments)]
             yield pa.RecordBatch.from_arrays([pa.array(range(segments), pa.int32()), pa.array(parts, pa.binary())], names=["segment", "counts"])
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for k, raw in zip(b.column("segment").to_pylist(), b.column("counts")):
-                part = np.frombuffer(raw.as_buffer(), np.uint32)
+                part = np.frombuffer(raw.as_buffer(), np.uint8)
                 sums[k] = sums[k] + part if k in sums else part.astype(np.int64)
         if sums:
             levels = [np.minimum(255, np.floor(4 * np.log2(v + 1))).astype(np.uint8).tobytes() for v in sums.values()]
@@ -206,51 +213,42 @@ def _pairs(members: DataFrame, looks: int = CONTRACT_CELLS) -> DataFrame:
     return out.distinct()
 
 
-def _mixed(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members ``(cell, n, cls, pos, comp, large)`` of the cells that still hold several components; without labels every class is one."""
-    comp = members.select("cell", "n", "cls", "pos", F.col("cls").alias("comp")) if labels is None else members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("cell", "n", "cls", "pos", F.coalesce("root", "cls").alias("comp"))
-    cells = comp.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("m")).filter("x != y").select("cell", (F.col("m") > PAGE).alias("large"))
+def _mixed(members: DataFrame, labels: DataFrame | None, beyond: int = 0) -> DataFrame:
+    """Members ``(cell, n, cls, pos, comp, m, large)`` of the cells of more than ``beyond`` members that still hold several components; without labels every class is one."""
+    comp = members.select("cell", "n", "cls", "pos", F.col("cls").alias("comp")) if labels is None else members.join(small_side(labels, MANY_ROWS).withColumnRenamed("node", "cls"), "cls", "left").select("cell", "n", "cls", "pos", F.coalesce("root", "cls").alias("comp"))
+    cells = comp.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("m")).filter(f"x != y AND m > {beyond}").select("cell", "m", (F.col("m") > PAGE).alias("large"))
     return materialize(comp.join(cells, "cell"), "shingle-mixed")
 
 
-def _hub_pairs(mixed: DataFrame, links: DataFrame, looks: int = CONTRACT_CELLS) -> DataFrame:
-    """Pairs of each set with the cell's set of most links so far, where that is of another component (``looks`` cells a set)."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
-    hub = "first(struct(cls, n, pos, comp)) OVER (PARTITION BY cell ORDER BY links DESC NULLS LAST, n, cls ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hub"
-    near = mixed.join(degree, "cls", "left").selectExpr("cell", "n", "cls", "pos", "comp", hub)
-    near = near.filter(f"hub.comp != comp AND 100 * least(n, hub.n) >= {PERCENT} * greatest(n, hub.n) AND " + _REACH.format("hub"))
-    picks = [F.min(F.struct(F.xxhash64(F.lit(k), "cell").alias("h"), F.col("hub.cls").alias("o"))).alias(f"p{k}") for k in range(looks)]
-    p = near.groupBy("cls").agg(*picks).select("cls", F.explode(F.array(*[f"p{k}" for k in range(looks)])).alias("p"))
-    return p.select(F.least("cls", "p.o").alias("a"), F.greatest("cls", "p.o").alias("b")).distinct()
-
-
-def _id_filter(ids: DataFrame, bits: int) -> np.ndarray:
-    """A fixed-size bitmap (2**bits bits) of hashed ids: rows outside it need not be looked at."""
-    words = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("h")).groupBy(F.expr("int(h div 32)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(h % 32)))").alias("m"))
-    found = words.toPandas()
-    out = np.zeros((1 << bits) // 32, np.uint32)
-    out[found["w"].to_numpy()] = found["m"].to_numpy().astype(np.uint32)
-    return out
+def _in_round(x: np.ndarray, y: np.ndarray, m: int, turn: int | None) -> np.ndarray:
+    """Which pairs of classes a cell of ``m`` members takes in a round; all of them where there are no rounds."""
+    if turn is None:
+        return np.ones(len(x), bool)
+    low, high = np.minimum(x, y).astype(np.uint64), np.maximum(x, y).astype(np.uint64)
+    u = mix64(low * _STEP[2] + mix64(high * _STEP[3]))
+    begin, end = (0.0 if k < 0 else min(1.0, float(FIRST_PAIRS) ** (k + 1) / m) for k in (turn - 1, turn))
+    at = (u >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    return (at >= begin) & (at < end)
 
 
 def _texts(docs: DataFrame, ids: DataFrame, bits: int) -> DataFrame:
-    """``(doc_id, text)`` of the rows with one of these ids (and of a few more, which the bitmap lets through); written."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(_id_filter(ids, bits))
-    hashed = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("h"))
+    """``(doc_id, text)`` of the rows with one of these ids (and, where there are very many, of a few more); written.
 
-    def run(batches):
-        bit = bitmap.value
-        for b in batches:
-            at = np.asarray(b.column("h"))
-            yield b.select(["doc_id", "text"]).filter(pa.array(((bit[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)))
-
-    return materialize(hashed.mapInArrow(run, docs.schema), "shingle-texts")
+    A bitmap of the ids is only worth its pass through Python where a join would move the texts; with few ids the join is one with a table known to be small.
+    """
+    ids = materialize(ids.distinct(), "shingle-ids")
+    if ids.count() <= MANY_ROWS:
+        found = docs.join(F.broadcast(ids), "doc_id", "left_semi")
+    else:
+        found = split_by_ids(docs, "doc_id", ids, "doc_id", bits)[1]
+    return materialize(found.select("doc_id", "text"), "shingle-texts")
 
 
 def _point_bound(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` whose summed coordinate minima reach the needed overlap."""
-    p = points.select("cls", "n", "point")
-    joined = pairs.join(p.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a").join(p.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
+    """Pairs ``(a, b)`` whose summed coordinate minima reach the needed overlap; only the points of their classes are joined."""
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "shingle-wanted")
+    p = materialize(points.select("cls", "n", "point").join(small_side(wanted, MANY_ROWS), "cls", "left_semi"), "shingle-near")
+    joined = small_side(pairs, MANY_ROWS).join(p.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a").join(p.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
 
     def run(batches):
         for b in batches:
@@ -269,11 +267,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, bits: int)
     Only ids and then the texts of the classes' documents move (texts pack better than sets of
     hashes); the sets are made again where two texts meet.
     """
-    of = classes.select("cls", "doc_id")
+    of = small_side(classes, MANY_ROWS).select("cls", "doc_id")
     known = pairs.join(of.select(F.col("cls").alias("a"), F.col("doc_id").alias("da")), "a").join(of.select(F.col("cls").alias("b"), F.col("doc_id").alias("db")), "b")
     known = materialize(known, "shingle-pairs")
     texts = _texts(docs, known.select(F.col("da").alias("doc_id")).unionByName(known.select(F.col("db").alias("doc_id"))), bits)
-    both = known.join(texts.select(F.col("doc_id").alias("da"), F.col("text").alias("ta")), "da").join(texts.select(F.col("doc_id").alias("db"), F.col("text").alias("tb")), "db")
+    both = small_side(known, MANY_ROWS).join(texts.select(F.col("doc_id").alias("da"), F.col("text").alias("ta")), "da").join(texts.select(F.col("doc_id").alias("db"), F.col("text").alias("tb")), "db")
 
     def run(batches):
         last, sets = None, None
@@ -296,8 +294,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, bits: int)
     return materialize(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct(), "shingle-links")
 
 
-def _leaf_pairs(hard: DataFrame) -> DataFrame:
-    """Pairs of different components in cells of one page: ``hard`` holds (cell, comp, n, cls, pos) of cells with up to ``PAGE`` members.
+def _leaf_pairs(hard: DataFrame, turn: int | None = None) -> DataFrame:
+    """A round's pairs of different components in cells of one page: ``hard`` holds (cell, comp, n, cls, pos) of cells with up to ``PAGE`` members.
 
     Sizes and places are compared for the whole leaf at once. A pair shares many cells; a task passes it on once.
     """
@@ -310,6 +308,8 @@ def _leaf_pairs(hard: DataFrame) -> DataFrame:
             i, j = np.triu_indices(len(rows), 1)
             keep = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
             keep &= np.minimum(n[i] - pos[i], n[j] - pos[j]) * (100 + PERCENT) >= (n[i] + n[j]) * PERCENT
+            i, j = i[keep], j[keep]
+            keep = _in_round(cls[i], cls[j], len(rows), turn)
             for x, y in zip(cls[i[keep]].tolist(), cls[j[keep]].tolist()):
                 pair = (x, y) if x < y else (y, x)
                 if pair not in seen:
@@ -340,27 +340,27 @@ def _leaf_pairs(hard: DataFrame) -> DataFrame:
 def _pages(large: DataFrame, order: tuple[str, ...] = ("comp", "n", "cls")) -> DataFrame:
     """Cells packed in this order into pages of points with their upper corner (the tree's nodes).
 
-    ``large``: (cell, comp, n, cls, point, cells), ``cells`` being all large cells of the set.
+    ``large``: (cell, m, comp, n, cls, point, cells), ``cells`` being all large cells of the set.
     """
     spark = large.sparkSession
-    numbers, blobs = ("cell", "page", "low", "high", "first", "last"), ("corner", "comps", "classes", "sizes", "points", "cells", "ends")
+    numbers, blobs = ("cell", "members", "page", "low", "high", "first", "last"), ("corner", "comps", "classes", "sizes", "points", "cells", "ends")
 
     def run(batches):
         cell, rows, number = None, [], 0
 
         def page():
-            comp, n, cls, points, cells = zip(*rows)
+            members, comp, n, cls, points, cells = zip(*rows)
             point = _coordinates(list(points))
             return {
-                "cell": cell, "page": number, "low": min(n), "high": max(n), "first": comp[0], "last": comp[-1],
+                "cell": cell, "members": members[0], "page": number, "low": min(n), "high": max(n), "first": comp[0], "last": comp[-1],
                 "corner": point.max(axis=0).astype("<u4").tobytes(), "comps": np.array(comp, "<i8").tobytes(),
-                "classes": np.array(cls, "<i8").tobytes(), "sizes": np.array(n, "<i8").tobytes(), "points": point.astype("<u4").tobytes(),
+                "classes": np.array(cls, "<i8").tobytes(), "sizes": np.array(n, "<i8").tobytes(), "points": point.astype("<u1" if point.max() < 256 else "<u4").tobytes(),
                 "cells": np.concatenate([np.array(c, "<i8") for c in cells]).tobytes(), "ends": np.cumsum([len(c) for c in cells]).astype("<i8").tobytes(),
             }
 
         for b in batches:
             out = []
-            for c, *row in zip(*(b.column(x).to_pylist() for x in ("cell", "comp", "n", "cls", "point", "cells"))):
+            for c, *row in zip(*(b.column(x).to_pylist() for x in ("cell", "m", "comp", "n", "cls", "point", "cells"))):
                 if rows and (c != cell or len(rows) == PAGE):
                     out.append(page())
                     number = 0 if c != cell else number + 1
@@ -375,13 +375,13 @@ def _pages(large: DataFrame, order: tuple[str, ...] = ("comp", "n", "cls")) -> D
     schema = pa.schema([(k, pa.int64()) for k in numbers] + [(k, pa.binary()) for k in blobs])
     spark_schema = ", ".join([f"{k} long" for k in numbers] + [f"{k} binary" for k in blobs])
     ordered = large.repartition(shuffle_partitions(spark), "cell").sortWithinPartitions("cell", *order)
-    return ordered.select("cell", "comp", "n", "cls", "point", "cells").mapInArrow(run, spark_schema)
+    return ordered.select("cell", "m", "comp", "n", "cls", "point", "cells").mapInArrow(run, spark_schema)
 
 
-def _tree_pairs(pages: DataFrame) -> DataFrame:
-    """Pairs of points of different components that pass the bounds of their pages and their own.
+def _tree_pairs(pages: DataFrame, turn: int | None = None) -> DataFrame:
+    """A round's pairs of points of different components that pass the bounds of their pages and their own.
 
-    A pair that meets in several large cells is passed on by the first of them alone.
+    Without rounds, a pair that meets in several large cells is passed on by the first of them alone.
     """
     p, q = pages.alias("p"), pages.alias("q")
     near = p.join(q, (F.col("p.cell") == F.col("q.cell")) & (F.col("p.page") <= F.col("q.page")))
@@ -390,12 +390,13 @@ def _tree_pairs(pages: DataFrame) -> DataFrame:
         & ~((F.col("p.first") == F.col("p.last")) & (F.col("p.first") == F.col("q.first")) & (F.col("q.first") == F.col("q.last")))
     )
     names = ("low", "corner", "comps", "classes", "sizes", "points", "cells", "ends")
-    near = near.select(F.col("p.cell").alias("cell"), (F.col("p.page") == F.col("q.page")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "pq" for c in names])
+    near = near.select(F.col("p.cell").alias("cell"), F.col("p.members").alias("members"), (F.col("p.page") == F.col("q.page")).alias("same"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "pq" for c in names])
 
     def side(col, s, k):
         comp, cls, n, ends = (np.frombuffer(col[f"{s}_{c}"][k], "<i8") for c in ("comps", "classes", "sizes", "ends"))
         cells = np.frombuffer(col[f"{s}_cells"][k], "<i8")
-        return comp, cls, n, np.frombuffer(col[f"{s}_points"][k], "<u4").reshape(-1, GROUPS), [set(x.tolist()) for x in np.split(cells, ends[:-1])]
+        points = col[f"{s}_points"][k]
+        return comp, cls, n, np.frombuffer(points, f"<u{len(points) // (GROUPS * len(cls))}").reshape(-1, GROUPS), [set(x.tolist()) for x in np.split(cells, ends[:-1])]
 
     def run(batches):
         for b in batches:
@@ -411,19 +412,23 @@ def _tree_pairs(pages: DataFrame) -> DataFrame:
                     j = np.flatnonzero((cb != ca[i]) & (100 * nb >= PERCENT * na[i]) & (100 * na[i] >= PERCENT * nb))
                     if col["same"][k]:
                         j = j[j > i]
+                    if len(j):
+                        j = j[_in_round(np.full(len(j), xa[i]), xb[j], col["members"][k], turn)]
                     if len(j):
                         j = j[np.minimum(vb[j], va[i]).sum(axis=1, dtype=np.int64) * (100 + PERCENT) >= (nb[j] + na[i]) * PERCENT]
-                        pairs += [(int(xa[i]), int(xb[m])) for m in j.tolist() if min(la[i] & lb[m]) == col["cell"][k]]
+                        pairs += [(int(xa[i]), int(xb[m])) for m in j.tolist() if turn is not None or min(la[i] & lb[m]) == col["cell"][k]]
                 if pairs:
                     yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in pairs], pa.int64()), pa.array([max(x) for x in pairs], pa.int64())], names=["a", "b"])
 
     return near.mapInArrow(run, "a long, b long")
 
 
-def _prepared(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int):
+def _prepared(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int | None):
     """``(d, index, members, classes, wanted, points)``: what the joins start from; ids are keys in ``d``, ``wanted`` and ``points``."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    if sketch_bits is None:
+        sketch_bits = min(SKETCH_BITS[1], max(SKETCH_BITS[0], (16 * docs.count()).bit_length()))
     levels = spark.sparkContext.broadcast(_sketch(d.select("text"), sketch_bits))
     # a text is found again by its key: a hash of its id, or of the text itself where the id is null
     d = d.select("doc_id", "text", F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(1), "text")).otherwise(F.xxhash64("doc_id")).alias("key"))
@@ -431,72 +436,72 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int):
     members = materialize(_neighbours(index), "shingle-cells")
     classes = index.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies"))
     wanted = materialize(classes.join(members.select("cls").distinct(), "cls", "left_semi").select(F.col("key").alias("doc_id"), "cls"), "shingle-classes")
-    points = materialize(index.select(F.col("key").alias("doc_id"), "cls", "n", "point").join(wanted, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]), "shingle-points")
+    points = materialize(index.select(F.col("key").alias("doc_id"), "cls", "n", "point").join(small_side(wanted, MANY_ROWS), ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]), "shingle-points")
     return d.select(F.col("key").alias("doc_id"), "text"), index, members, classes, wanted, points
 
 
-def _left_pairs(mixed: DataFrame, points: DataFrame, order: tuple[str, ...] = ("comp", "n", "cls")) -> DataFrame:
-    """Pairs of classes of different components that leaves and tree leave over."""
+def _left_pairs(mixed: DataFrame, points: DataFrame, order: tuple[str, ...] = ("comp", "n", "cls"), turn: int | None = None) -> DataFrame:
+    """Pairs of classes of different components that leaves and tree leave over, all or those of a round."""
     large = mixed.filter("large")
     # what a set takes along is bounded by its own number of cells
-    cells = large.groupBy("cls").agg(F.collect_set("cell").alias("cells")).join(points.select("cls", "point"), "cls")
+    cells = materialize(large.groupBy("cls").agg(F.collect_set("cell").alias("cells")), "shingle-large").join(points.select("cls", "point"), "cls")
     tree = _pages(large.join(cells, "cls"), order)
-    return _leaf_pairs(mixed.filter("NOT large")).unionByName(_tree_pairs(materialize(tree, "shingle-pages"))).distinct()
+    return _leaf_pairs(mixed.filter("NOT large"), turn).unionByName(_tree_pairs(materialize(tree, "shingle-pages"), turn)).distinct()
 
 
-def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int | None = None, filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """``(rows, links)``: ``(doc_id, n, cls)`` of every row, and all pairs ``(a, b)`` of distinct classes that link, each verified on exact sets.
 
     No pair is skipped for its component, so the work and the result grow with the links there are.
     """
     d, index, members, _, wanted, points = _prepared(docs, id_col, text_col, sketch_bits)
-    pairs = _point_bound(_left_pairs(_mixed(members, None), points, ("n", "cls")), points)
+    pairs = _point_bound(materialize(_left_pairs(_mixed(members, None), points, ("n", "cls")), "shingle-pairs"), points)
     return index.select("doc_id", "n", "cls"), _verified(materialize(pairs, "shingle-pairs"), d, wanted, filter_bits)
 
 
-def count_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``(doc_id, n_shingles, n_links)`` of every row of ``docs``: the other rows whose sets link with its own (copies do)."""
+def count_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int | None = None, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, n_links)`` of every row of ``docs``: the other rows whose sets link with its own (copies do), and the smallest id it reaches by links."""
     rows, links = link_classes(docs, id_col, text_col, sketch_bits, filter_bits)
-    sizes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"))
+    sizes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(sizes.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("copies").alias("others"))
-    n = sizes.join(others, "cls", "left").select("cls", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")).filter("n_links > 0")
-    return rows.join(n, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    others = both.join(sizes.select(F.col("cls").alias("b"), "copies"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("copies").alias("others"))
+    labels = connected_components(links).withColumnRenamed("node", "cls")
+    node = sizes.join(others, "cls", "left").join(labels, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    of = node.groupBy("root").agg(F.min("least").alias("component_id"))
+    n = node.join(of, "root").select("cls", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")).filter("n_links > 0")
+    return rows.join(n, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
+def _components(docs: DataFrame, id_col: str, text_col: str, sketch_bits: int | None, filter_bits: int) -> tuple[DataFrame, DataFrame]:
     """``(index, node)``: every row with its class, and ``(cls, doc_id, copies, root)`` of every class, ``root`` naming its component."""
     d, index, members, classes, wanted, points = _prepared(docs, id_col, text_col, sketch_bits)
     tried = materialize(_pairs(members), "shingle-pairs")
     links = _verified(_point_bound(tried, points), d, wanted, filter_bits)
-    labels = connected_components(links)
-    for _ in range(CONTRACT_ROUNDS):  # large groups of near copies gather around their hubs
-        mixed = _mixed(members, labels)
-        new = materialize(_hub_pairs(mixed, links).join(tried, ["a", "b"], "left_anti"), "shingle-pairs")
-        more = _verified(_point_bound(new, points), d, wanted, filter_bits)
-        tried = tried.unionByName(new)
-        if more.isEmpty():
+    labels = materialize(connected_components(links), "shingle-labels")
+    turn, beyond = 0, 0
+    while True:
+        mixed = _mixed(members, labels, beyond)
+        if mixed.isEmpty():
             break
-        links = links.unionByName(more)
-        labels = connected_components(links)
-
-    found = _left_pairs(_mixed(members, labels), points)
-    left = materialize(_point_bound(found.join(tried, ["a", "b"], "left_anti"), points), "shingle-pairs")
-    if not left.isEmpty():
-        late = _verified(left, d, wanted, filter_bits)
+        found = materialize(_left_pairs(mixed, points, turn=turn).join(tried, ["a", "b"], "left_anti"), "shingle-pairs")
+        tried = tried.unionByName(found)
+        late = _verified(_point_bound(found, points), d, wanted, filter_bits)
         if not late.isEmpty():
-            labels = connected_components(links.unionByName(late))
+            links = links.unionByName(late)
+            labels = materialize(connected_components(links), "shingle-labels")
+        # cells of so many members have had all their pairs looked at; the others go on
+        members, beyond, turn = mixed, FIRST_PAIRS ** (turn + 1), turn + 1
 
     return index, classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int = SKETCH_BITS, filter_bits: int = FILTER_BITS) -> DataFrame:
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch_bits: int | None = None, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row of ``docs``."""
     index, node = _components(docs, id_col, text_col, sketch_bits, filter_bits)
     least = node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     # a class that is its own smallest document and has no copies needs no look-up
     shared = node.join(least, "root").filter("component_id IS NOT NULL AND (copies > 1 OR doc_id IS NULL OR component_id != doc_id)").select("cls", "component_id")
-    out = index.join(shared, "cls", "left")
+    out = index.join(small_side(materialize(shared, "shingle-shared"), MANY_ROWS), "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -506,7 +511,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows are known by id and class, so rows that share an id but not a set are judged apart. The row with the smallest id stays (then
     the smallest class, then text); a null id comes after all others. Rows without words are linked with nothing and stay, those with one id and text once.
     """
-    index, node = _components(docs, id_col, text_col, SKETCH_BITS, FILTER_BITS)
+    index, node = _components(docs, id_col, text_col, None, FILTER_BITS)
     rows = index.groupBy("doc_id", "cls").agg(F.count(F.lit(1)).alias("rows"))
     # a component of one row needs no look
     many = node.groupBy("root").agg(F.sum("copies").alias("rows")).filter("rows > 1").select("root")
