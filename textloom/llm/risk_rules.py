@@ -216,4 +216,5 @@ def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
 def judge_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)`` of every row of ``docs``."""
     measured = materialize(measure(docs), "rules-measured")
-    return judge(measured, choose_cutoffs(measured, labels, **options))
+    # one row a stratum, written: the join is planned by its true size, and no stratum's rows meet in one task
+    return judge(measured, materialize(choose_cutoffs(measured, labels, **options), "rules-cutoffs"))
