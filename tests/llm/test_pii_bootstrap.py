@@ -198,12 +198,12 @@ def planted(seed=13):
             truth[len(docs)] = (text.index(value), text.index(value) + len(value))
         docs.append(text)
 
-    for before, after in direct:
+    for j, (before, after) in enumerate(direct):
         for k in range(120):
             add(before, f"user{k}.{rnd.randrange(999)}@mail{rnd.randrange(50)}.example.org", after, False)
-        for _ in range(16):
-            add(before, rnd.choice(unseen[:80]), after, True)
-    for before, after in distant:  # no find of a rule stands here, only values that also stand above
+        for v in unseen[16 * j : 16 * j + 16]:
+            add(before, v, after, True)
+    for before, after in distant:  # no find of a rule stands here; most values also stand above, a few nowhere else
         for v in unseen[:80]:
             add(before, v, after, True)
         for v in rnd.sample(unseen[80:], 5):

@@ -181,3 +181,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 ORACLES["op12_risk_controlled_rules"] = _risk_rules()
+
+_LINKED = ORACLES["op6_count_vector_rtree_join"].rpartition("SELECT d.doc_id")[0]
+ORACLES["op6_count_vector_rtree_links"] = _LINKED.rstrip() + """,
+many AS (SELECT x, count(*) AS c FROM links GROUP BY x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, coalesce(min(reach.r), d.doc_id) AS component_id, coalesce(any_value(many.c), 0) AS n_links
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN many ON many.x = d.doc_id GROUP BY d.doc_id
+"""
