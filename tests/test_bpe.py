@@ -192,3 +192,26 @@ def test_a_short_queue_gives_the_same_vocabulary(spark, kept):
     jobs = []
     model = B.learn_bpe(texts_df(spark, texts), 110, top_k=kept, progress=lambda r, n: jobs.append(n))
     assert model.vocab == lib and jobs[-1] == len(lib)
+
+
+def test_a_round_is_one_job(spark):
+    """Rounds are as many as they are; each may start one job (and the checkpoint of the blocks another one now and then)."""
+    texts = random_corpus(8, 60)
+    sc, rounds = spark.sparkContext, []
+    sc.setJobGroup("bpe-rounds", "")
+    try:
+        model = B.learn_bpe(texts_df(spark, texts), 120, progress=lambda r, n: rounds.append(r))
+        jobs = len(sc.statusTracker().getJobIdsForGroup("bpe-rounds"))
+        one = B.learn_bpe(texts_df(spark, texts), 120, max_batch=1, progress=lambda r, n: rounds.append(r))
+        more = len(sc.statusTracker().getJobIdsForGroup("bpe-rounds")) - jobs
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert model.vocab == one.vocab == library_vocab(texts, 120)[1]
+    assert more <= 1.5 * sum(1 for r in rounds[rounds.index(1, 1) :]) + 25
+
+
+def test_a_queue_is_cut_with_its_bound():
+    q = B._Queue([(k, 100 - k) for k in range(20)])
+    assert q.keep(16) == 0 and len(q.counts) == 20
+    assert q.keep(10) == 90 and sorted(q.counts) == list(range(10))
+    assert q.first(2, 0) == [(0, 0, 100), (0, 1, 99)]

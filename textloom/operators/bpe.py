@@ -4,8 +4,8 @@ Learning works on the distinct pre-token table ``(word array<int>, n bigint)``,
 never on documents. The driver keeps a bounded queue of the most frequent pairs. Every round takes its first
 candidates, accepts those that merging one at a time
 would also pick in that order (see ``_accept_batch``), and one job makes them in the tasks and brings back what they
-change of the counts, a Spark aggregation. Words are rewritten by tasks over Arrow batches and
-written every few rounds; the written tables cut lineage and survive lost executors.
+change of the counts. A round is a single stage over blocks of words in a persisted RDD (``_Blocks``), as its time is that of planning and starting it; the blocks
+are checkpointed to the shared folder every few rounds, which cuts lineage and survives lost executors.
 
 The model (vocabulary and ordered merges, bounded by ``vocab_size``) and the queue are
 the only state held on the driver.
@@ -15,21 +15,25 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_VOCAB_SIZE, SPECIAL_TOKENS
-from ..session import file_store, materialize, remove_table, scratch_path
+from ..session import checkpoint_dir, file_store, materialize, remove_table, scratch_path
 from .pieces import PieceEncoder, encode_batch
 from .pretoken import piece_list, pretokens
 
 _SHIFT = 1 << 32
-#: Distinct words a task takes at least; a round is a few short jobs, whose time is that of starting tasks.
-WORDS_A_TASK = 50_000
+#: Distinct words a task takes at least; a round is a short job, whose time is that of starting tasks. Words of a block.
+WORDS_A_TASK, WORDS_A_BLOCK = 10_000, 1 << 17
+#: With more tasks than this, what they found is summed in the tasks before the driver gets it.
+TOLD_TASKS = 16
 
 
 def byte_to_char() -> dict[int, str]:
@@ -187,11 +191,19 @@ def _accept_batch(top, near, model: BpeModel, tok_ids: dict[str, int], room: int
 class _Words:
     """The words of an Arrow batch as one array of symbols with offsets; pairs are keyed ``left << 32 | right``."""
 
-    def __init__(self, batch: pa.RecordBatch):
+    def __init__(self, flat: np.ndarray, off: np.ndarray, n: np.ndarray):
+        self.flat, self.off, self.n = flat, off, n
+
+    @staticmethod
+    def of(batch: pa.RecordBatch) -> "_Words":
         w = batch.column("w")
-        self.flat = np.asarray(w.flatten()).astype(np.int64)
-        self.off = np.concatenate([[0], np.cumsum(np.asarray(w.value_lengths(), dtype=np.int64))])
-        self.n = np.asarray(batch.column("n"))
+        off = np.concatenate([[0], np.cumsum(np.asarray(w.value_lengths(), dtype=np.int64))])
+        return _Words(np.asarray(w.flatten()).astype(np.int64), off, np.asarray(batch.column("n")))
+
+    @staticmethod
+    def joined(parts: list["_Words"]) -> "_Words":
+        lengths = [w.off[1:] - w.off[:-1] for w in parts]
+        return _Words(np.concatenate([w.flat for w in parts]), np.concatenate([[0], np.cumsum(np.concatenate(lengths))]), np.concatenate([w.n for w in parts]))
 
     def keys(self) -> np.ndarray:
         """The key of the pair that begins at each place, -1 at the last place of a word."""
@@ -203,9 +215,16 @@ class _Words:
 
     def at(self, keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places of pairs among ``wanted`` (sorted), and their numbers in it."""
-        number = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-        place = np.flatnonzero(wanted[number] == keys)
-        return place, number[place]
+        lefts = wanted >> 32
+        flags = np.zeros(int(lefts[-1]) + 1, bool)
+        flags[lefts] = True
+        # most places are told by their left symbol
+        place = np.flatnonzero((keys >= 0) & (self.flat < len(flags)))
+        place = place[flags[self.flat[place]]]
+        found = keys[place]
+        number = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+        same = wanted[number] == found
+        return place[same], number[same]
 
     def counts(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pair keys in the flagged words and the words' counts, one entry a place."""
@@ -228,18 +247,38 @@ class _Words:
         self.off = np.concatenate([[0], np.cumsum(keep)])[self.off]
         return changed
 
-    def batch(self) -> pa.RecordBatch:
+    def subset(self, rows: np.ndarray) -> "_Words":
+        """The flagged words."""
+        lengths = self.off[1:] - self.off[:-1]
+        return _Words(self.flat[np.repeat(rows, lengths)], np.concatenate([[0], np.cumsum(lengths[rows])]), self.n[rows])
+
+    def open(self) -> "_Words":
         """The words of several symbols; one symbol has no pair to merge."""
-        long = self.off[1:] - self.off[:-1] > 1
+        return self.subset(self.off[1:] - self.off[:-1] > 1)
+
+    def triples(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every place of an asked pair with a neighbour ``o`` in the word, as ``code << 32 | o``, and the word's count; the code is twice the pair's number, plus 1 where the neighbour comes after it."""
+        place, number = self.at(self.keys(), asked)
+        word = np.searchsorted(self.off, place, "right") - 1
+        codes, n = [], []
+        for side, beside, inside in ((0, place - 1, place > self.off[word]), (1, place + 2, place + 2 < self.off[word + 1])):
+            codes.append((2 * number[inside] + side) << 32 | self.flat[beside[inside]])
+            n.append(self.n[word[inside]])
+        return np.concatenate(codes), np.concatenate(n)
+
+    def batch(self) -> pa.RecordBatch:
         lists = pa.ListArray.from_arrays(pa.array(self.off, pa.int32()), pa.array(self.flat, pa.int32()))
-        return pa.RecordBatch.from_arrays([lists, pa.array(self.n, pa.int64())], names=["w", "n"]).filter(pa.array(long))
+        return pa.RecordBatch.from_arrays([lists, pa.array(self.n, pa.int64())], names=["w", "n"])
 
 
 def _sums(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, at = np.unique(np.concatenate(keys), return_inverse=True)
-    c = np.zeros(len(k), np.int64)
-    np.add.at(c, at, np.concatenate(counts))
-    return k, c
+    k, c = np.concatenate(keys), np.concatenate(counts)
+    if not len(k):
+        return k, c
+    order = np.argsort(k)
+    k = k[order]
+    first = np.flatnonzero(np.diff(k, prepend=k[0] - 1))
+    return k[first], np.add.reduceat(c[order], first)
 
 
 def _tables(pending) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -257,10 +296,10 @@ def _rewritten(words: DataFrame, pending) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            w = _Words(b)
+            w = _Words.of(b)
             for t in tables:
                 w.merge(*t)
-            yield w.batch()
+            yield w.open().batch()
 
     return words.mapInArrow(run, "w array<int>, n long")
 
@@ -270,7 +309,7 @@ def _pair_histogram(words: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            w = _Words(b)
+            w = _Words.of(b)
             if len(w.n):
                 k, c = _sums(*([x] for x in w.counts(np.ones(len(w.n), bool))))
                 yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], names=["k", "c"])
@@ -318,82 +357,157 @@ class _Queue:
         return out
 
     def keep(self, n: int) -> int:
-        """Leave the ``n`` largest; returns the largest count that went (0 where none did)."""
-        if len(self.counts) <= n:
+        """With a quarter more pairs than ``n``, leave the ``n`` largest; returns the largest count that went (0 where none did)."""
+        if len(self.counts) <= n + n // 4:
             return 0
-        rows = heapq.nlargest(n + 1, self.counts.items(), key=lambda x: x[1])
-        self.__init__(rows[:n])
-        return rows[n][1]
+        keys, counts = (np.fromiter(x, np.int64, len(self.counts)) for x in (self.counts.keys(), self.counts.values()))
+        order = np.argpartition(-counts, n)
+        self.__init__(list(zip(keys[order[:n]].tolist(), counts[order[:n]].tolist())))
+        return int(counts[order[n]])
 
 
-def _round(words: DataFrame, pending, kept: np.ndarray, fresh_id: int, above: int, ask: list[tuple[int, int]]):
-    """One job: make the last batch of merges, and return ``(changes, best, joined)``.
+def _has(k: np.ndarray, symbols) -> np.ndarray:
+    return np.isin(k >> 32, symbols) | np.isin(k & (_SHIFT - 1), symbols)
 
-    ``changes``: what the batch changes of the counts, ``(pair, change)``, of the kept pairs and of pairs with a new symbol (``fresh_id``
-    or later) that have more than ``above``. ``best`` and ``joined`` tell of the words after it: of the triples (x, a, b) and (a, b, y) of each asked pair
-    the most frequent as ``(count, x or y)``, the smallest symbol at equal counts, and the asked pairs that a triple joins to it, with the triple's count.
-    """
-    tables = _tables(pending)
-    wanted = np.array(sorted(a << 32 | b for a, b in ask), np.int64)
-    shared = words.sparkSession.sparkContext.broadcast((kept, wanted))
-    names = ["k", "side", "o", "c", "link"]
 
-    def rows(k, side, o, c, link):
-        return pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), side), pa.int32()), pa.array(o), pa.array(c), pa.array(link)], names=names)
+def _is_new(k: np.ndarray, fresh_id: int) -> np.ndarray:
+    return np.maximum(k >> 32, k & (_SHIFT - 1)) >= fresh_id
+
+
+def _is_link(triple: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Whether a triple (a, b, y) joins the asked pair (a, b) to the asked pair (b, y)."""
+    code = triple >> 32
+    return (code & 1 == 1) & np.isin((asked[code >> 1] & (_SHIFT - 1)) << 32 | triple & (_SHIFT - 1), asked)
 
-    def run(batches):
-        known, asked = shared.value
-        for b in batches:
-            w = _Words(b)
-            if not len(w.n):
-                continue
-            for t in tables[:-1]:
-                w.merge(*t)
-            if tables:
-                old = _Words.__new__(_Words)
-                old.flat, old.off, old.n = w.flat.copy(), w.off, w.n
-                changed = w.merge(*tables[-1])
-                (k0, c0), (k1, c1) = old.counts(changed), w.counts(changed)
-                k, c = _sums([k0, k1], [-c0, c1])
-                new = ((k >> 32) >= fresh_id) | ((k & (_SHIFT - 1)) >= fresh_id)
-                if len(known):
-                    new |= known[np.minimum(np.searchsorted(known, k), len(known) - 1)] == k
-                k, c = k[new & (c != 0)], c[new & (c != 0)]
-                yield rows(k, -1, np.zeros(len(k), np.int64), c, np.zeros(len(k), bool))
-            if not len(asked):
-                continue
-            place, number = w.at(w.keys(), asked)
-            word = np.searchsorted(w.off, place, "right") - 1
-            for side, beside, inside in ((0, place - 1, place > w.off[word]), (1, place + 2, place + 2 < w.off[word + 1])):
-                if inside.any():
-                    other = w.flat[beside[inside]]
-                    both, c = _sums([number[inside].astype(np.int64) << 32 | other], [w.n[word[inside]]])
-                    k, o = asked[both >> 32], both & (_SHIFT - 1)
-                    next_pair = (k & (_SHIFT - 1)) << 32 | o
-                    yield rows(k, side, o, c, np.isin(next_pair, asked) if side else np.zeros(len(k), bool))
-
-    seen = words.mapInArrow(run, "k long, side int, o long, c long, link boolean")
-    # rows are summed in each Arrow batch; one exchange by pair serves both aggregations
-    seen = seen.repartition("k").groupBy("k", "side", "o", "link").agg(F.sum("c").alias("c"))
-    found = seen.groupBy("k").agg(
-        F.sum(F.when(F.col("side") == -1, F.col("c"))).alias("d"),
-        *[F.max(F.when(F.col("side") == i, F.struct("c", (-F.col("o")).alias("o")))).alias(f"s{i}") for i in (0, 1)],
-        F.collect_list(F.when(F.col("link"), F.struct("o", "c"))).alias("links"),
-    )
-    is_new = F.greatest(F.shiftright("k", 32), F.col("k").bitwiseAND(F.lit(_SHIFT - 1))) >= fresh_id
-    found = found.filter(F.col("s0").isNotNull() | F.col("s1").isNotNull() | (F.col("d").isNotNull() & (~is_new | (F.col("d") > above))))
-    changes, best, joined = [], {}, {}
-    for r in found.collect():
-        a, b = r.k >> 32, r.k & (_SHIFT - 1)
-        if r.d:
-            changes.append((r.k, r.d))
-        if r.s0 is not None or r.s1 is not None:
-            best[a, b] = tuple(None if x is None else (x.c, -x.o) for x in (r.s0, r.s1))
-        for x in r.links:
-            joined.setdefault((a, b), []).append(((b, x.o), x.c))
-            joined.setdefault((b, x.o), []).append(((a, b), x.c))
-    shared.unpersist()
-    return changes, best, joined
+
+def _found(blocks: Iterator[_Words], pending, known: np.ndarray | None, fresh_id: int, again: list[int], asked: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """What a task tells of a round, sums by key: what the last batch changes (of ``known`` pairs, None for all, and of new ones), whole counts of pairs with a symbol of ``again``, and triples of asked pairs."""
+    none = np.zeros(0, np.int64)
+    tables = _tables(pending)
+    changed, whole, triples = ([none], [none]), ([none], [none]), ([none], [none])
+
+    def put(to, k, c):
+        k, c = _sums([k], [c])
+        to[0].append(k)
+        to[1].append(c)
+
+    for w in blocks:
+        for t in tables[:-1]:
+            w.merge(*t)
+        if tables:
+            old = _Words(w.flat.copy(), w.off, w.n)
+            rows = w.merge(*tables[-1])
+            ones = np.ones(int(rows.sum()), bool)
+            (k0, c0), (k1, c1) = old.subset(rows).counts(ones), w.subset(rows).counts(ones)
+            k, c = _sums([k0, k1], [-c0, c1])
+            keep = c != 0
+            if known is not None:
+                is_known = known[np.minimum(np.searchsorted(known, k), len(known) - 1)] == k if len(known) else np.zeros(len(k), bool)
+                keep &= is_known | _is_new(k, fresh_id)
+            put(changed, k[keep], c[keep])
+        if again:
+            k, c = w.counts(np.ones(len(w.n), bool))
+            has = _has(k, again)
+            put(whole, k[has], c[has])
+        if len(asked):
+            put(triples, *w.triples(asked))
+    return [_sums(*changed), _sums(*whole), _sums(*triples)]
+
+
+def _together(told: list[list[tuple[np.ndarray, np.ndarray]]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The sums by key of what tasks found."""
+    return [_sums(*zip(*tables)) for tables in zip(*told)]
+
+
+class _Blocks:
+    """The word table as blocks of numpy arrays in a persisted RDD, with the batches of merges made since; every ``keep_batches`` batches the blocks are made anew and checkpointed."""
+
+    def __init__(self, words: DataFrame, parts: int, keep_batches: int):
+        def run(batches):
+            rows, size = [], 0
+            for b in batches:
+                rows.append(_Words.of(b))
+                size += b.num_rows
+                if size >= WORDS_A_BLOCK:
+                    yield pa.RecordBatch.from_pylist([packed(rows)])
+                    rows, size = [], 0
+            if size:
+                yield pa.RecordBatch.from_pylist([packed(rows)])
+
+        def packed(rows):
+            w = _Words.joined(rows)
+            return {"flat": w.flat.astype("<i4").tobytes(), "off": w.off.astype("<i8").tobytes(), "n": w.n.astype("<i8").tobytes()}
+
+        checkpoint_dir(words.sparkSession)
+        rows = words.repartition(parts).mapInArrow(run, "flat binary, off binary, n binary").rdd
+        self.rdd = rows.map(lambda r: (np.frombuffer(r.flat, "<i4"), np.frombuffer(r.off, "<i8"), np.frombuffer(r.n, "<i8"))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.parts, self.keep_batches, self.pending, self.before = parts, keep_batches, [], None
+
+    def made(self, batch) -> None:
+        """The next round makes this batch."""
+        if len(self.pending) >= self.keep_batches:
+            tables = _tables(self.pending)
+
+            def run(blocks):
+                for flat, off, n in blocks:
+                    w = _Words(flat.astype(np.int64), off, n)
+                    for t in tables:
+                        w.merge(*t)
+                    w = w.open()
+                    yield w.flat.astype(np.int32), w.off, w.n
+
+            self.drop(self.before)
+            self.before, self.rdd, self.pending = self.rdd, self.rdd.mapPartitions(run).persist(StorageLevel.MEMORY_AND_DISK), []
+            self.rdd.checkpoint()
+        self.pending.append(batch)
+
+    @staticmethod
+    def drop(rdd) -> None:
+        if rdd is not None:
+            rdd.unpersist()
+            if path := rdd.getCheckpointFile():
+                remove_table(path)
+
+    def close(self) -> None:
+        self.drop(self.before)
+        self.drop(self.rdd)
+
+    def round(self, queue: "_Queue", above: int, fresh_id: int, again: list[int], ask: list[tuple[int, int]]):
+        """One job: make the last batch of merges, and return ``(changes, totals, best, joined)``.
+
+        ``changes``: what the batch changes of the counts, ``(pair, change)``, of the kept pairs and of pairs with a new symbol (``fresh_id``
+        or later) that have more than ``above``. ``totals``: the counts of pairs with a symbol of ``again``. ``best`` and ``joined`` tell of the words after it: of the triples (x, a, b) and (a, b, y) of each asked pair
+        the most frequent as ``(count, x or y)``, the smallest symbol at equal counts, and the asked pairs that a triple joins to it, with the triple's count.
+        """
+        asked = np.array(sorted(a << 32 | b for a, b in ask), np.int64)
+        pending = list(self.pending)
+        known = self.rdd.context.broadcast(np.sort(np.fromiter(queue.counts, np.int64, len(queue.counts)))) if above and pending else None
+
+        def run(blocks):
+            words = (_Words(flat.astype(np.int64), off, n) for flat, off, n in blocks)
+            yield _found(words, pending, None if known is None else known.value, fresh_id, again, asked)
+
+        told = self.rdd.mapPartitions(run)
+        found = told.treeReduce(lambda a, b: _together([a, b])) if self.parts > TOLD_TASKS else _together(told.collect())
+        if known is not None:
+            known.destroy()
+        (k, d), (of, total), (triple, c) = found
+        keep = (d != 0) & (~_is_new(k, fresh_id) | (d > above))
+        changes = list(zip(k[keep].tolist(), d[keep].tolist()))
+        best, joined = {}, {}
+        if len(triple):
+            code, o = triple >> 32, triple & (_SHIFT - 1)
+            a, b = asked[code >> 1] >> 32, asked[code >> 1] & (_SHIFT - 1)
+            order = np.lexsort((o, -c, code))
+            for i in order[np.diff(code[order], prepend=-1) > 0].tolist():
+                two = list(best.get((int(a[i]), int(b[i])), (None, None)))
+                two[int(code[i]) & 1] = (int(c[i]), int(o[i]))
+                best[int(a[i]), int(b[i])] = tuple(two)
+            link = _is_link(triple, asked)
+            for x, y, z, n in zip(a[link].tolist(), b[link].tolist(), o[link].tolist(), c[link].tolist()):
+                joined.setdefault((x, y), []).append(((y, z), n))
+                joined.setdefault((y, z), []).append(((x, y), n))
+        return changes, dict(zip(of.tolist(), total.tolist())), best, joined
 
 
 def _next_asked(queue: _Queue, above: int, batch, best, n: int) -> list[tuple[int, int]]:
@@ -426,11 +540,12 @@ def learn_bpe(
     ``max_batch=1`` gives the one-merge-per-round reference mode used by tests.
     The driver keeps the ``top_k`` most frequent pairs (a bound, whatever the corpus) in a queue, with exact counts. All other pairs have at most the count
     ``above`` and can't gain any; so the order of merges is known down to that count, and a round is one job: the tasks make the accepted merges, and return what
-    changed of the kept pairs, new pairs beyond ``above``, and the triples around the pairs that are likely to lead next. The full histogram is
+    changed of the kept pairs, new pairs beyond ``above``, and the triples around the pairs that are likely to lead next. Where a symbol in use is made again its pairs may gain; then
+    the tasks return their whole counts. The full histogram is
     only made at the start and when the queue has come down to ``above``. ``bounded`` pairs can be accepted together; none of these numbers changes the
     result. Ties between equal counts go to the smallest (left id, right id).
-    The word table is written anew after every ``keep_batches`` rounds, until then the tasks make the batches of merges since then; tables are deleted when
-    the next ones are written. ``progress(round, tokens)`` is called after every round.
+    The blocks of words are made anew after every ``keep_batches`` rounds, until then the tasks make the batches of merges since then; the ones before are deleted when
+    the next ones are there. ``progress(round, tokens)`` is called after every round.
     """
     spark = texts.sparkSession
     b2c = byte_to_char()
@@ -451,15 +566,12 @@ def learn_bpe(
         return spark.read.schema(df.schema).parquet(path), path
 
     words, path = written(
-        words.select(F.transform("w", lambda b: F.element_at(m, b)).alias("w"), "n")
-        .where(F.size("w") > 1)
-        .repartition(parts, "w"),
-        "bpe-words",
+        words.select(F.transform("w", lambda b: F.element_at(m, b)).alias("w"), "n").where(F.size("w") > 1), "bpe-words"
     )
     model = BpeModel(vocab, [], list(specials))
     tok_ids = model.token_id()
-    pending: list[list[tuple[int, int, int]]] = []
-    queue, above, best, joined, asked = None, 0, {}, {}, set()
+    pending: list[list[tuple[int, int, int]]] = []  # all since ``words`` was written
+    queue, blocks, above, best, joined, asked = None, None, 0, {}, {}, set()
     reach, rounds = 256, 0
     while len(model.vocab) < vocab_size:
         room = vocab_size - len(model.vocab)
@@ -467,6 +579,8 @@ def learn_bpe(
         if not top:
             if queue is not None and not above:
                 break
+            if blocks is not None:
+                blocks.close()
             if pending:
                 words, path, pending = _rewrite(words, pending, path, written)
             rows = _pair_histogram(words).orderBy(F.col("c").desc(), F.col("k").asc()).limit(top_k + 1).collect()
@@ -475,14 +589,15 @@ def learn_bpe(
             top = queue.first(min(room, max_batch, bounded, reach), above)
             if not top and rows:  # more pairs with one count than are kept
                 top_k *= 4
-                queue, above = None, 0
+                queue, blocks, above = None, None, 0
                 continue
-            asked = set()
+            blocks, asked = None, set()
             if not top:
                 break
+            blocks = _Blocks(words, parts, keep_batches)
             if len(top) > 1:
-                _, best, joined = _round(words, [], np.zeros(0, np.int64), 0, above, [t[:2] for t in top])
                 asked = {t[:2] for t in top}
+                _, _, best, joined = blocks.round(queue, above, 0, [], list(asked))
         # the first pair needs no triples; the others do
         at = next((i for i, t in enumerate(top) if t[:2] not in asked), len(top))
         top = top[: max(1, at)]
@@ -496,19 +611,20 @@ def learn_bpe(
         if len(model.vocab) >= vocab_size:
             break
         ask = _next_asked(queue, above, batch, best, min(max_batch, bounded, reach)) if max_batch > 1 else []
-        changes, best, joined = _round(words, pending, np.sort(np.fromiter(queue.counts, np.int64, len(queue.counts))), fresh_id, above, ask)
+        again = [out for _, _, out in batch if out < fresh_id]
+        blocks.made(batch)
+        changes, totals, best, joined = blocks.round(queue, above, fresh_id, again, ask)
         asked = set(ask)
         for k, d in changes:
             queue.add(k, d, max(k >> 32, k & (_SHIFT - 1)) >= fresh_id)
-        if any(out < fresh_id for _, _, out in batch):
-            queue, above = None, 0  # pairs with a symbol in use may gain count
-            asked = set()
-            if pending:
-                words, path, pending = _rewrite(words, pending, path, written)
-            continue
+        if again:  # pairs with a symbol in use may gain count
+            for k in [k for k in queue.counts if k >> 32 in again or k & (_SHIFT - 1) in again]:
+                queue.add(k, totals.pop(k, 0) - queue.counts[k], False)
+            for k, c in totals.items():
+                queue.add(k, c, c > above)
         above = max(above, queue.keep(4 * top_k))
-        if len(pending) >= keep_batches:
-            words, path, pending = _rewrite(words, pending, path, written)
+    if blocks is not None:
+        blocks.close()
     remove_table(path)
     return model
 
