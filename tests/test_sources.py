@@ -119,3 +119,31 @@ def test_cache_load_or_build(spark, tmp_path):
     assert cached(spark, path, build).count() == 3
     assert cached(spark, path, build).count() == 3 and len(calls) == 1
     assert cached(spark, path, build, recache=True).count() == 3 and len(calls) == 2
+
+
+@pytest.mark.parametrize("query", ["jsonl_scan", "scanned_union_index"])
+def test_ordered_sets_have_part_files_by_size(spark, tmp_path, monkeypatch, query):
+    """The files of a set, and so the tasks that write it, grow with its text; numbers and index go on over them."""
+    from textloom.plans import order_plans, queries, source_plans
+
+    docs = [(i, f"text {i} " + "x" * (i * 13 % 90), "s", "en") for i in range(203) if i % 7]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, f"item {i}") for i in range(9)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i // 2, i % 2, "user", f"turn {i}") for i in range(40)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    monkeypatch.setattr(R, "FILE_BYTES", 512, raising=False)
+    paths = []
+    for module in (source_plans, order_plans):
+        monkeypatch.setattr(module, "scratch_path", lambda s, name: paths.append(f"{tmp_path}/out-{query}-{name}") or paths[-1])
+    got = queries.queries()[query](spark, str(tmp_path)).collect()
+    if query == "jsonl_scan":
+        want, seen = [], {}
+        for i, text, _, _ in docs:
+            want.append((i, text, len(text), seen.get(i % 4, 0)))
+            seen[i % 4] = seen.get(i % 4, 0) + 1
+    else:
+        rows = [(0, d[0], len(d[1])) for d in docs] + [(1, i, len(f"item {i}")) for i in range(9)]
+        rows += [(2, i, len(f"turn {2 * i}<|endoftext|>turn {2 * i + 1}")) for i in range(20)]
+        want = [(*r, k) for k, r in enumerate(rows)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    names = {p.rsplit("part-", 1)[1][:5] for p in spark.read.text([f"{paths[0]}/*/*.json" if query == "jsonl_scan" else paths[0]]).inputFiles()}
+    assert len(names) > 10

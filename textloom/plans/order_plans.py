@@ -235,7 +235,7 @@ def scanned_union_index(spark, sf_dir):
     scans = []
     for name, rows in (("documents", docs), ("benchmark", bench), ("conversations", conv)):
         path = scratch_path(spark, f"set-{name}")
-        R.write_jsonl(rows.repartitionByRange(4, "local_id").sortWithinPartitions("local_id"), path)
+        R.write_ordered_jsonl(rows, path, ["local_id"], "text")
         scans.append(R.scan_jsonl(spark, path, "text", extra="local_id bigint"))
     out = O.scanned_index(scans)
     return out.select("dataset_ord", "local_id", F.length("text").cast("bigint").alias("n_chars"), "idx")

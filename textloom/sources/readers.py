@@ -16,6 +16,8 @@ from ..operators.position import scan_line_numbers
 from ..session import materialize
 
 COMPRESSED_SUFFIXES = (".gz", ".bz", ".bz2")
+#: Bytes of text in a file of an ordered set; a task writes one.
+FILE_BYTES = 64 << 20
 
 
 def _paths(paths) -> list[str]:
@@ -36,14 +38,19 @@ def _scan(spark: SparkSession, paths) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, paths, *, reject_compressed: bool = False) -> DataFrame:
+def read_lines(spark: SparkSession, paths, *, over_folders: bool = False, reject_compressed: bool = False) -> DataFrame:
     """S6 + line numbers: ``(file, line_no, value)`` for every line of every file (globs allowed).
 
     Lines are numbered where they are read (one narrow count of rows per split comes
-    first); no line is shuffled.
+    first); no line is shuffled. With ``over_folders`` a folder's files, in the order of their names, are one file in several
+    parts (as :func:`write_ordered_jsonl` writes them) and line numbers go on from part to part.
     """
     check_compressed(spark, paths, reject_compressed)
-    return scan_line_numbers(_scan(spark, paths), "file", "_start").select("file", "line_no", "value")
+    scan = _scan(spark, paths)
+    if not over_folders:
+        return scan_line_numbers(scan, "file", "_start").select("file", "line_no", "value")
+    folders = scan.withColumn("_folder", F.regexp_extract("file", "^(.*)/", 1))
+    return scan_line_numbers(folders, "file", "_start", over_col="_folder").select("file", "line_no", "value")
 
 
 def _strict(kind: str, field: str, want_list: bool) -> Column:
@@ -178,6 +185,18 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_ordered_jsonl(df: DataFrame, path: str, order_cols: Sequence[str], text_col: str, *, set_col: str | None = None, least_files: int = 4) -> None:
+    """JSON lines in the order of ``order_cols``, in part files of about ``FILE_BYTES`` of text (``least_files`` ranges of keys at least), however many that takes.
+
+    The parts' names follow the order. ``set_col`` makes sets: each has a folder of its own with its rows in order, and the column is left out of the objects.
+    """
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    keys = [set_col, *order_cols] if set_col else list(order_cols)
+    ordered = df.repartitionByRange(max(least_files, size // FILE_BYTES + 1), *keys).sortWithinPartitions(*keys)
+    out = ordered.write.mode("overwrite")
+    (out.partitionBy(set_col) if set_col else out).json(path)
+
+
 def write_wholefile_json(df: DataFrame, path: str, file_col: str, order_col: str, turns_col: str, *, wrapped: bool = False, field: str = "texts") -> None:
     """Write conversations as whole-file JSON (S4 shape, or S5 when ``wrapped``), one file per ``file_col`` value."""
     item = F.struct(F.col(turns_col).alias(field)) if wrapped else F.col(turns_col)
