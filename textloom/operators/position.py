@@ -100,8 +100,8 @@ def global_position(
     return out.drop("_pid", "_rn", "_off", "_first", *["_s" + c for c in ["_pid", *g]])
 
 
-def scan_line_numbers(df: DataFrame, file_col: str, block_col: str, pos_col: str = "line_no") -> DataFrame:
-    """Position of each row of a file scan inside its file, without moving the rows.
+def scan_line_numbers(df: DataFrame, file_col: str, block_col: str, pos_col: str = "line_no", over_col: str | None = None) -> DataFrame:
+    """Position of each row of a file scan inside its file, without moving the rows; with ``over_col`` inside all files that share its value, in the order of their paths.
 
     A split (``file_col``, ``block_col``: path and start of the block) is read by one task in file
     order, so its rows have consecutive ``monotonically_increasing_id`` values. A first
@@ -110,8 +110,8 @@ def scan_line_numbers(df: DataFrame, file_col: str, block_col: str, pos_col: str
     ``spark.sql.files.maxPartitionBytes`` of input; they are written once, so their size is known when the join is planned.
     """
     numbered = df.withColumn("_mid", F.monotonically_increasing_id())
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _split_counts(numbered, [F.col(file_col).alias("_file"), F.col(block_col).alias("_block")]).select(
+    before = Window.partitionBy("_over").orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _split_counts(numbered, [F.col(over_col or file_col).alias("_over"), F.col(file_col).alias("_file"), F.col(block_col).alias("_block")]).select(
         "_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
     out = numbered.join(materialize(offsets, "split-offsets"), (F.col(file_col) == F.col("_file")) & (F.col(block_col) == F.col("_block")))

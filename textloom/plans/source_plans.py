@@ -23,12 +23,13 @@ from .tables import table
   CAST(row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) - 1 AS BIGINT) AS line_no FROM documents""",
 )
 def jsonl_scan(spark, sf_dir):
-    """Four files of known order, so the line numbers are known too."""
+    """Four sets of known order, each in as many part files as its size asks for, so the line numbers are known too."""
     d = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "jsonl-docs")
-    rows = d.select("doc_id", "text", F.struct(F.col("source").alias("pile_set_name"), F.col("lang").alias("other")).alias("meta"))
-    R.write_jsonl(rows.repartitionById(4, (F.col("doc_id") % 4).cast("int")).sortWithinPartitions("doc_id"), path)
-    got = R.read_jsonl(spark, f"{path}/*.json", "text", extra="doc_id bigint")
+    of = F.coalesce(F.pmod(F.col("doc_id"), F.lit(4)).cast("int"), F.lit(0))
+    rows = d.select("doc_id", "text", F.struct(F.col("source").alias("pile_set_name"), F.col("lang").alias("other")).alias("meta"), of.alias("of"))
+    R.write_ordered_jsonl(rows, path, ["doc_id"], "text", set_col="of")
+    got = R.read_jsonl(spark, f"{path}/*/*.json", "text", extra="doc_id bigint", over_folders=True)
     return got.select("doc_id", "text", T.char_length("text").alias("n_chars"), "line_no")
 
 
