@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +50,8 @@ PAGE = 256
 CONTRACT_CELLS = 3
 FIRST_PAIRS = 8
 FILTER_BITS = 24
+#: Cells of a bucket, and of a task's pack of them.
+POSTS = 1 << 20
 #: Tables of up to so many narrow rows are sent to all executors (some 10 MB); larger ones are joined by shuffles.
 MANY_ROWS = 1 << 18
 
@@ -184,17 +187,101 @@ def _index(docs: DataFrame, levels, bits: int) -> DataFrame:
 _REACH = f"(1 + least(n - pos, {{0}}.n - {{0}}.pos) - 1) * {100 + PERCENT} >= (n + {{0}}.n) * {PERCENT}"
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first: the bytes that are mostly alike compress."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
+
+def _numbers(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _posts(index: DataFrame, buckets: int) -> DataFrame:
+    """The cells of all sets dealt by a hash into buckets: ``(bucket, cells, pos, cls, n, times)`` holds what some hundred thousand cells of a task put into one, sets with their class and size once each."""
+
+    def out(rows):
+        cells = np.concatenate([c for _, _, c in rows])
+        lengths = np.array([len(c) for _, _, c in rows])
+        of = np.repeat(np.arange(len(rows)), lengths)
+        pos = np.arange(len(cells)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        bucket = (mix64(cells.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        n, cls = np.array([x[0] for x in rows], "<i8"), np.array([x[1] for x in rows], "<i8")
+        got = []
+        for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            sets, times = np.unique(of[at], return_counts=True)
+            got.append({"bucket": int(bucket[at[0]]), "cells": _planes(cells[at]), "pos": _planes(pos[at].astype("<i4")), "cls": _planes(cls[sets]), "n": _planes(n[sets]), "times": _planes(times.astype("<i4"))})
+        return pa.RecordBatch.from_pylist(got, schema=schema)
+
+    def run(batches):
+        rows, size = [], 0
+        for b in batches:
+            cells = b.column("cells")
+            flat, lengths = np.asarray(cells.flatten()).astype("<i8"), np.asarray(pc.fill_null(pc.list_value_length(cells), 0))
+            ends = np.cumsum(lengths)
+            for i in np.flatnonzero(lengths).tolist():
+                rows.append((b.column("n")[i].as_py(), b.column("cls")[i].as_py(), flat[ends[i] - lengths[i] : ends[i]]))
+                size += int(lengths[i])
+                if size >= POSTS:
+                    yield out(rows)
+                    rows, size = [], 0
+        if size:
+            yield out(rows)
+
+    blobs = ("cells", "pos", "cls", "n", "times")
+    schema = pa.schema([("bucket", pa.int64())] + [(k, pa.binary()) for k in blobs])
+    return index.select("n", "cls", "cells").mapInArrow(run, "bucket long, " + ", ".join(f"{k} binary" for k in blobs))
+
+
 def _neighbours(index: DataFrame) -> DataFrame:
-    """Members of cells with several classes, each with its neighbour by size and the smallest of the cell; ``pos``: the cell's place among the set's rarest."""
-    posts = index.select("n", "cls", F.posexplode("cells").alias("pos", "cell"))
-    by = "PARTITION BY cell ORDER BY n, cls"
-    ranked = posts.selectExpr(
-        "cell", "n", "cls", "pos", f"lag(struct(cls, n, pos)) OVER ({by}) AS before",
-        f"first(struct(cls, n, pos)) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS least",
-        f"last(cls) OVER ({by} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS largest",
-    )
-    # copies of a class from several tasks stand next to each other: only the first counts
-    return ranked.filter("least.cls != largest AND (before IS NULL OR before.cls != cls)").select("cell", "n", "cls", "pos", "before", "least")
+    """Members of cells with several classes, each with its neighbour by size and the smallest of the cell; ``pos``: the cell's place among the set's rarest.
+
+    Most cells have one member; the cells are shuffled packed, a bucket (``POSTS`` cells or so) is sorted in one array, and only members of cells with several classes come out as rows.
+    """
+    total = index.agg(F.sum(F.size(F.coalesce("cells", F.array().cast("array<bigint>"))))).first()[0] or 0
+    tasks = shuffle_partitions(index.sparkSession)
+    kinds = {"cells": "<i8", "pos": "<i4", "cls": "<i8", "n": "<i8", "times": "<i4"}
+
+    def out(parts):
+        cell, pos, cls, n = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((pos, cls, n, cell))
+        cell, pos, cls, n = cell[order], pos[order], cls[order], n[order]
+        # copies of a class from several tasks stand next to each other: only the first counts
+        keep = np.concatenate([[True], (cell[1:] != cell[:-1]) | (cls[1:] != cls[:-1])])
+        cell, pos, cls, n = cell[keep], pos[keep], cls[keep], n[keep]
+        first = np.concatenate([[True], cell[1:] != cell[:-1]])
+        start = np.flatnonzero(first)
+        lengths = np.diff(np.append(start, len(cell)))
+        many = np.repeat(lengths > 1, lengths)
+        at = np.flatnonzero(many)
+        least, before = np.repeat(start, lengths)[many], np.maximum(at - 1, 0)
+
+        def member(rows, mask=None):
+            return pa.StructArray.from_arrays([pa.array(cls[rows]), pa.array(n[rows]), pa.array(pos[rows], pa.int32())], ["cls", "n", "pos"], mask=None if mask is None else pa.array(mask))
+
+        return pa.RecordBatch.from_arrays([pa.array(cell[at]), pa.array(n[at]), pa.array(cls[at]), pa.array(pos[at], pa.int32()), member(before, first[at]), member(least)], names=["cell", "n", "cls", "pos", "before", "least"])
+
+    def run(batches):
+        bucket, parts = None, []
+        for b in batches:
+            for row in b.to_pylist():
+                if row["bucket"] != bucket and parts:
+                    yield from pieces(out(parts))
+                    parts = []
+                bucket = row["bucket"]
+                x = {k: _numbers(row[k], kind) for k, kind in kinds.items()}
+                parts.append((x["cells"], x["pos"], np.repeat(x["cls"], x["times"]), np.repeat(x["n"], x["times"])))
+        if parts:
+            yield from pieces(out(parts))
+
+    def pieces(b):
+        for i in range(0, b.num_rows, 1 << 15):
+            yield b.slice(i, 1 << 15)
+
+    dealt = _posts(index, max(tasks, total // POSTS + 1)).repartitionById(tasks, F.expr(f"int(bucket % {tasks})")).sortWithinPartitions("bucket")
+    member = "struct<cls:bigint,n:bigint,pos:int>"
+    return dealt.mapInArrow(run, f"cell long, n long, cls long, pos int, before {member}, least {member}")
 
 
 def _pairs(members: DataFrame, looks: int = CONTRACT_CELLS) -> DataFrame:
