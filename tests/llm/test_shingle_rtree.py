@@ -176,3 +176,24 @@ def test_span_hashes_against_exact_arithmetic():
         got = C.span_hashes(data, starts, ends, fold, step)
         want = [sum((int(fold[b]) + 1) * pow(C._POINT, k, C._PRIME) for k, b in enumerate(data[a:z].tolist())) % C._PRIME for a, z in spans]
         assert got.tolist() == C.mix64(np.array(want, np.uint64)).tolist()
+
+
+def test_cells_are_shuffled_packed(spark):
+    """Members of cells with several classes, each with its neighbour and the smallest one, from far fewer shuffled rows than there are cells."""
+    from textloom.llm import shingle_rtree as S
+
+    rows = [(20 + k % 7, 1000 + k, [*range(k * 50, k * 50 + 40), -1 - k % 3]) for k in range(60)]
+    rows += [rows[0], rows[1], (5, 2000, None), (None, None, None)]
+    index = spark.createDataFrame(rows, "n long, cls long, cells array<long>").repartition(3)
+    packed = S._posts(index, 2)
+    assert packed.count() <= 2 * 3
+    want = set()
+    for cell in range(-3, 0):
+        # all other cells have one class
+        members = sorted({(n, cls) for n, cls, cells in rows if cells and cell in cells})
+        for i, (n, cls) in enumerate(members):
+            before = (members[i - 1][1], members[i - 1][0], 40) if i else None
+            want.add((cell, n, cls, 40, before, (members[0][1], members[0][0], 40)))
+    got = [(r.cell, r.n, r.cls, r.pos, r.before and tuple(r.before), tuple(r.least)) for r in S._neighbours(index).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert S._neighbours(index.filter("cls IS NULL")).collect() == []
